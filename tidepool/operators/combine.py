@@ -8,7 +8,6 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
 # -- joins and set operations --------------------------------------------------
 
 
@@ -40,7 +39,7 @@ def drop_exact_duplicates(df: DataFrame) -> DataFrame:
 
 def minus(a: DataFrame, b: DataFrame) -> DataFrame:
     """Distinct rows of ``a`` that are not in ``b``."""
-    return a.exceptDistinct(b) if hasattr(a, "exceptDistinct") else a.subtract(b)
+    return a.subtract(b)
 
 
 def only_top(df: DataFrame, top: DataFrame, key: str = "pool_address") -> DataFrame:
