@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.functions import scalars as S
-from tidepool.operators.quantiles import approx_quantile, quantile_struct
+from tidepool.operators.attach import attach
+from tidepool.operators.quantiles import approx_quantile, exact_quantiles, quantile_row
 
 
 def to_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -86,27 +87,29 @@ def cut_above_quantile(df: DataFrame, col: str, q: float = 0.999, approx: bool =
     if approx:
         limit = approx_quantile(df, col, q, []).select("value").scalar()
     else:
-        limit = quantile_struct(df, col, {"hi": q})["hi"]
+        limit = exact_quantiles(df, col, [q]).select("value").scalar()
     return df.where(F.col(col) <= limit)
 
 
 def clip_quantiles(df: DataFrame, col: str, lo: float | None = 0.01, hi: float | None = 0.99) -> DataFrame:
     wanted = {n: q for n, q in (("lo", lo), ("hi", hi)) if q is not None}
-    at = quantile_struct(df, col, wanted)
+    at = F.col("_one")
     clipped = S.clip(F.col(col), at["lo"] if lo is not None else None, at["hi"] if hi is not None else None)
-    return df.withColumn(col, clipped)
+    return attach(df, quantile_row(df, col, wanted)).withColumn(col, clipped).drop("_one")
 
 
 def iqr_cap(df: DataFrame, col: str, k: float = 5.0) -> DataFrame:
     """Bound a column at its third quartile plus ``k`` interquartile ranges."""
-    q = quantile_struct(df, col, {"q1": 0.25, "q3": 0.75})
-    return df.withColumn(col, S.clip(F.col(col), hi=q["q3"] + k * (q["q3"] - q["q1"])))
+    q = F.col("_one")
+    capped = S.clip(F.col(col), hi=q["q3"] + k * (q["q3"] - q["q1"]))
+    return attach(df, quantile_row(df, col, {"q1": 0.25, "q3": 0.75})).withColumn(col, capped).drop("_one")
 
 
 def quantile_flag(df: DataFrame, col: str, lo: float, hi: float, flag: str = "is_outlier") -> DataFrame:
     """True outside the two quantiles; missing values are not flagged."""
-    q = quantile_struct(df, col, {"lo": lo, "hi": hi})
-    return df.withColumn(flag, S.is_true((F.col(col) < q["lo"]) | (F.col(col) > q["hi"])))
+    q = F.col("_one")
+    outside = S.is_true((F.col(col) < q["lo"]) | (F.col(col) > q["hi"]))
+    return attach(df, quantile_row(df, col, {"lo": lo, "hi": hi})).withColumn(flag, outside).drop("_one")
 
 
 def scaling_check(df: DataFrame, col: str, factor: float) -> DataFrame:

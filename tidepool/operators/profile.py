@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.functions import scalars as S
-from tidepool.operators.quantiles import DIRECT_LIMIT, exact_quantiles, quantile_row, quantile_struct
+from tidepool.operators.attach import attach
+from tidepool.operators.quantiles import exact_quantiles, quantile_row
 
 # -- counts and rates ----------------------------------------------------------
 
@@ -140,23 +141,21 @@ def scale_sweep(df: DataFrame, cols: Sequence[str], factors: dict[str, float]) -
     return each.select("column", "factor", "count", *scaled)
 
 
-def _bounds(df: DataFrame, col: str) -> Column:
-    one = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).select(
-        F.struct(
-            F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
-            F.when(F.col("lo") == F.col("hi"), F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
-        ).alias("s")
+def _bounds(df: DataFrame, col: str) -> DataFrame:
+    same = F.col("lo") == F.col("hi")
+    return df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).select(
+        F.when(same, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
+        F.when(same, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
     )
-    return one.scalar()
 
 
 def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     """Equal-width bins between the smallest and largest value, the last one closed; empty bins included."""
-    edge = _bounds(df, col)
+    edge, bounds = F.col("_one"), _bounds(df, col)
     width = (edge["hi"] - edge["lo"]) / bins
     at = F.least(F.floor((F.col(col) - edge["lo"]) / width), F.lit(bins - 1)).cast("bigint")
-    counted = df.where(F.col(col).isNotNull()).groupBy(at.alias("_bin")).agg(F.count("*").alias("_n"))
-    axis = df.sparkSession.range(bins).withColumnRenamed("id", "bin")
+    counted = attach(df.where(F.col(col).isNotNull()), bounds).groupBy(at.alias("_bin")).agg(F.count("*").alias("_n"))
+    axis = attach(df.sparkSession.range(bins).withColumnRenamed("id", "bin"), bounds)
     lo = edge["lo"] + F.col("bin") * width
     return axis.join(counted, F.col("bin") == F.col("_bin"), "left").select(
         "bin", lo.alias("lo"), (lo + width).alias("hi"), F.coalesce("_n", F.lit(0)).alias("count")
@@ -165,18 +164,19 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
 
 def box_stats(df: DataFrame, col: str, k: float = 1.5) -> DataFrame:
     """Quartiles, whisker ends (outermost values within k interquartile ranges) and outlier count."""
-    q = quantile_struct(df, col, {"q1": 0.25, "median": 0.5, "q3": 0.75})
-    x = F.col(col)
+    quartiles = quantile_row(df, col, {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    q, x = F.col("_one"), F.col(col)
     low = q["q1"] - k * (q["q3"] - q["q1"])
     high = q["q3"] + k * (q["q3"] - q["q1"])
-    out = df.agg(
+    out = attach(df.select(col), quartiles).agg(
         F.count(x).alias("count"),
         F.min(F.when(x >= low, x)).alias("whisker_low"),
         F.max(F.when(x <= high, x)).alias("whisker_high"),
         F.count_if((x < low) | (x > high)).alias("outliers"),
     )
-    return out.select("count", q["q1"].alias("q1"), q["median"].alias("median"), q["q3"].alias("q3"),
-                      "whisker_low", "whisker_high", "outliers")
+    return attach(out, quartiles).select(
+        "count", "_one.q1", "_one.median", "_one.q3", "whisker_low", "whisker_high", "outliers"
+    )
 
 
 def kde(df: DataFrame, col: str, points: int = 64, cut: float = 3.0) -> DataFrame:
@@ -186,18 +186,16 @@ def kde(df: DataFrame, col: str, points: int = 64, cut: float = 3.0) -> DataFram
     """
     one = df.agg(F.count(col).alias("n"), F.stddev_samp(col).alias("s"), F.min(col).alias("lo"), F.max(col).alias("hi"))
     h = F.col("s") * F.pow(F.col("n").cast("double"), F.lit(-0.2))
-    stats = one.select(
-        F.struct("n", h.alias("h"), (F.col("lo") - cut * h).alias("lo"), (F.col("hi") + cut * h).alias("hi")).alias("s")
-    ).scalar()
-    x = F.col(col)
+    bounds = one.select("n", h.alias("h"), (F.col("lo") - cut * h).alias("lo"), (F.col("hi") + cut * h).alias("hi"))
+    stats, x = F.col("_one"), F.col(col)
     step = (stats["hi"] - stats["lo"]) / (points - 1)
     grid = lambda i: stats["lo"] + i * step
-    sums = df.agg(
+    sums = attach(df.select(col), bounds).agg(
         *[F.sum(F.exp(-F.pow((x - grid(i)) / stats["h"], F.lit(2.0)) / 2)).alias(f"_{i}") for i in range(points)]
     )
     cells = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"_{i}").alias("sum")) for i in range(points)])
     root = (2 * 3.141592653589793) ** 0.5
-    return sums.select(F.inline(cells)).select(
+    return attach(sums.select(F.inline(cells)), bounds).select(
         "i", grid(F.col("i")).alias("x"), (F.col("sum") / (stats["n"] * stats["h"] * root)).alias("density")
     )
 
@@ -298,13 +296,18 @@ def top_anomalies(df: DataFrame, k: int = 5, ties: Sequence[str] = ("pool_addres
 
 def clip_for_ranking(df: DataFrame) -> DataFrame:
     """Bound the two ranking columns at their outer percentiles before ranking."""
-    ratio = quantile_struct(df, "volume_tvl_ratio", {"hi": 0.99})
-    deviation = quantile_struct(df, "volume_deviation", {"lo": 0.01, "hi": 0.99})
+    wanted = ["volume_tvl_ratio", "volume_deviation"]
+    found = exact_quantiles(melt(df, wanted), "value", [0.01, 0.99], ["column"])
+    at = lambda c, q: F.max(F.when((F.col("column") == c) & (F.col("q") == q), F.col("value")))
+    bounds = found.agg(
+        at(wanted[0], 1).alias("ratio_hi"), at(wanted[1], 0).alias("deviation_lo"), at(wanted[1], 1).alias("deviation_hi")
+    )
+    one = F.col("_one")
     clipped = {
-        "volume_tvl_ratio": S.clip(F.col("volume_tvl_ratio"), hi=ratio["hi"]),
-        "volume_deviation": S.clip(F.col("volume_deviation"), lo=deviation["lo"], hi=deviation["hi"]),
+        "volume_tvl_ratio": S.clip(F.col("volume_tvl_ratio"), hi=one["ratio_hi"]),
+        "volume_deviation": S.clip(F.col("volume_deviation"), lo=one["deviation_lo"], hi=one["deviation_hi"]),
     }
-    return df.select(*[clipped[c].alias(c) if c in clipped else F.col(c) for c in df.columns])
+    return attach(df, bounds).select(*[clipped[c].alias(c) if c in clipped else F.col(c) for c in df.columns])
 
 
 def top_pools_of_rows(df: DataFrame, score: Column, k: int, pool: str = "pool_address") -> DataFrame:

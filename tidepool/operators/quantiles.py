@@ -175,12 +175,6 @@ def quantile_row(
     return found.groupBy(*by).agg(*wide)
 
 
-def quantile_struct(df: DataFrame, col: str | Column, qs: dict[str, float]) -> Column:
-    """Whole-column quantiles as a scalar subquery, to be compared with rows of any frame."""
-    row = quantile_row(df, col, qs)
-    return row.select(F.struct(*[F.col(n) for n in qs]).alias("s")).scalar()
-
-
 def approx_quantile(df: DataFrame, col: str, q: float, by: Sequence[str], accuracy: int = 10_000) -> DataFrame:
     """Sketch-based quantile: bounded state, and the answer is one of the values."""
     return df.groupBy(*by).agg(F.percentile_approx(col, q, accuracy).alias("value"))

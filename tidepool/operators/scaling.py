@@ -7,29 +7,27 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidepool.operators.attach import attach
+
 
 def standardize(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Zero mean and unit population deviation; a constant column becomes 0."""
-    stats = df.agg(
-        F.struct(
-            *[F.avg(c).alias(f"m_{c}") for c in cols], *[F.stddev_pop(c).alias(f"s_{c}") for c in cols]
-        ).alias("s")
-    ).scalar()
+    one = df.agg(*[F.avg(c).alias(f"m_{c}") for c in cols], *[F.stddev_pop(c).alias(f"s_{c}") for c in cols])
+    stats = F.col("_one")
 
     def scaled(c):
         spread = stats[f"s_{c}"]
         return ((F.col(c) - stats[f"m_{c}"]) / F.when(spread == 0, 1.0).otherwise(spread)).alias(c)
 
-    return df.select(*[scaled(c) if c in cols else F.col(c) for c in df.columns])
+    return attach(df, one).select(*[scaled(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def min_max(
     df: DataFrame, cols: Sequence[str], lo: float = 0.0, hi: float = 1.0, default: float | None = None
 ) -> DataFrame:
     """Rescale to [lo, hi]; a constant column becomes ``default`` (missing unless given)."""
-    stats = df.agg(
-        F.struct(*[F.min(c).alias(f"lo_{c}") for c in cols], *[F.max(c).alias(f"hi_{c}") for c in cols]).alias("s")
-    ).scalar()
+    one = df.agg(*[F.min(c).alias(f"lo_{c}") for c in cols], *[F.max(c).alias(f"hi_{c}") for c in cols])
+    stats = F.col("_one")
 
     def scaled(c):
         low, high = stats[f"lo_{c}"], stats[f"hi_{c}"]
@@ -38,4 +36,4 @@ def min_max(
             share = F.when(high == low, F.lit(float(default))).otherwise(share)
         return share.alias(c)
 
-    return df.select(*[scaled(c) if c in cols else F.col(c) for c in df.columns])
+    return attach(df, one).select(*[scaled(c) if c in cols else F.col(c) for c in df.columns])

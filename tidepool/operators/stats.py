@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tidepool.functions.probability import chi2_p, normal_p
+from tidepool.operators.attach import attach
 
 MAX_CATEGORIES = 1000
 
@@ -40,7 +41,8 @@ def chi2_independence(tbl: DataFrame, cols: Sequence[str] = ("neg", "valid")) ->
     row = sum((F.col(c) for c in cols[1:]), F.col(cols[0]))
     totals = tbl.agg(F.count("*").alias("rows"), *[F.sum(c).alias(c) for c in cols])
     whole = sum((F.col(c) for c in cols[1:]), F.col(cols[0]))
-    t = totals.select(F.struct("rows", whole.alias("n"), *cols).alias("s")).scalar()
+    totals = totals.select("rows", whole.alias("n"), *cols)
+    t = F.col("_one")
     freedom = (t["rows"] - 1) * (len(cols) - 1)
 
     def cell(c):
@@ -49,9 +51,9 @@ def chi2_independence(tbl: DataFrame, cols: Sequence[str] = ("neg", "valid")) ->
         gap = F.when(freedom == 1, gap - F.least(F.lit(0.5), gap)).otherwise(gap)
         return F.try_divide(gap * gap, expected)
 
-    chi2 = tbl.agg(F.sum(sum((cell(c) for c in cols[1:]), cell(cols[0]))).alias("chi2"))
+    chi2 = attach(tbl, totals).agg(F.sum(sum((cell(c) for c in cols[1:]), cell(cols[0]))).alias("chi2"))
     smaller = F.least(t["rows"], F.lit(len(cols)).cast("bigint"))
-    out = chi2.select(
+    out = attach(chi2, totals).select(
         "chi2",
         freedom.cast("int").alias("df"),
         t["n"].alias("n"),
@@ -73,14 +75,15 @@ def trend_test(tbl: DataFrame, weight: str = "fee_tier", centering: str = "plain
     w = F.col(weight).cast("double")
     size = F.col("neg") + F.col("valid")
     middle = F.avg(w) if centering == "plain" else F.sum(w * size) / F.sum(size)
-    t = tbl.agg(F.struct(middle.alias("w"), F.sum(size).alias("n"), F.sum("neg").alias("m")).alias("s")).scalar()
+    totals = tbl.agg(middle.alias("w"), F.sum(size).alias("n"), F.sum("neg").alias("m"))
+    t = F.col("_one")
     n, m = t["n"].cast("double"), t["m"].cast("double")
-    lean = tbl.agg(
+    lean = attach(tbl, totals).agg(
         F.sum((w - t["w"]) * (F.col("neg") - size * m / n)).alias("num"),
         F.sum(size * (w - t["w"]) * (w - t["w"])).alias("spread"),
     )
     z = F.try_divide("num", F.sqrt(m * (n - m) * F.col("spread") / (n * (n - 1))))
-    return lean.select(z.alias("z")).withColumn("p", normal_p("z"))
+    return attach(lean, totals).select(z.alias("z")).withColumn("p", normal_p("z"))
 
 
 def pairwise_z(tbl: DataFrame, category: str = "fee_tier") -> DataFrame:

@@ -28,7 +28,8 @@ def read_pool_jsonl(spark: SparkSession, folder: str, protocols: Sequence[str])
 
 
 def _folder_name() -> Column:
-    return F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    """The folder above the landed file. A landed "file" may itself be a folder of part files."""
+    return F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]*_pool\.jsonl", 1)
 
 
 def read_lines(spark: SparkSession, globs: str | Sequence[str]) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,7 +74,7 @@ def upsert_days(new: DataFrame, path: str, keys: Sequence[str], day: str = "day"
     days = [r[day] for r in batch.select(day).distinct().collect()]  # one value per touched day
     if not days:
         return
-    if not _exists(spark, path):
+    if not exists(spark, path):
         batch.repartition(day).write.partitionBy(day).parquet(path)
         return
     old = spark.read.schema(new.schema).parquet(path).where(F.col(day).isin(days))
@@ -84,6 +85,10 @@ def upsert_days(new: DataFrame, path: str, keys: Sequence[str], day: str = "day"
     ).partitionBy(day).parquet(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a parquet table has been written to ``path``."""
+    try:
+        spark.read.parquet(path)
+    except AnalysisException:
+        return False
+    return True

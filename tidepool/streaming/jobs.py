@@ -18,7 +18,7 @@ from tidepool.operators.features import LAG_ROWS, pool_features
 from tidepool.operators.forest import Forest, score
 from tidepool.operators.frames import HOURLY_CHUNK, dedup_latest, time_chunk
 from tidepool.plans.mart import _last_rows
-from tidepool.sources.tables import _exists, upsert_days
+from tidepool.sources.tables import exists, upsert_days
 
 
 def ingest_stream(spark: SparkSession, folder: str, max_files: int = 10_000) -> DataFrame:
@@ -87,7 +87,7 @@ def features_batch(path: str, keys: Sequence[str] = tuple(L.POOL_HOUR_KEY)) -> C
         spark = batch.sparkSession
         newest = "load_ts" if "load_ts" in batch.columns else "hour_ts"
         fresh = dedup_latest(batch, keys, newest, ["volume_usd", "tvl_usd"]).select(*base)
-        if not _exists(spark, path):
+        if not exists(spark, path):
             made = pool_features(fresh)
         else:
             known = spark.read.parquet(path).select(*base)
