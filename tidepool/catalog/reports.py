@@ -15,6 +15,7 @@ from tidepool.functions import scalars as S
 from tidepool.functions.json_fields import epoch_to_ts
 from tidepool.operators import combine as J
 from tidepool.operators import profile as P
+from tidepool.session import materialized
 
 # -- counts and rates --------------------------------------------------------------
 
@@ -287,10 +288,15 @@ _RANKED = f"""WITH {EXPLORED}, lim AS (SELECT quantile_cont(volume_tvl_ratio, 0.
 _SCORE = F.round(F.abs("volume_deviation") * F.col("volume_tvl_ratio"), 6)
 
 
+def _stored(spark, sf):
+    """The features feed both the bounds and the ranking, so they are computed once."""
+    return materialized(explored(spark, sf).select("id", "pool_address", "hour_ts", "volume_tvl_ratio", "volume_deviation"), "explored")
+
+
 @query("g2_top_anomalies", f"""{_RANKED} SELECT id, {rs('score')} AS score FROM scored WHERE score IS NOT NULL
 ORDER BY scored.score DESC, pool_address, hour_ts LIMIT 5""")
 def g2(spark, sf):
-    top = P.top_by(P.clip_for_ranking(explored(spark, sf)), _SCORE, 5, ["pool_address", "hour_ts"])
+    top = P.top_by(P.clip_for_ranking(_stored(spark, sf)), _SCORE, 5, ["pool_address", "hour_ts"])
     return top.select("id", r(_SCORE).alias("score"))
 
 
@@ -323,7 +329,7 @@ def g4(spark, sf):
 @query("g5_top_pools_of_rows", f"""{_RANKED} SELECT pool_address, {rs('max(score)')} AS best FROM scored WHERE score IS NOT NULL
 GROUP BY 1 ORDER BY max(score) DESC, 1 LIMIT 3""")
 def g5(spark, sf):
-    df = P.top_pools_of_rows(P.clip_for_ranking(explored(spark, sf)), _SCORE, 3)
+    df = P.top_pools_of_rows(P.clip_for_ranking(_stored(spark, sf)), _SCORE, 3)
     return df.withColumn("best", r("best"))
 
 

@@ -6,6 +6,7 @@ import math
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def normal_two_sided(z: float) -> float:
@@ -42,12 +43,12 @@ def chi2_upper(x: float, df: float) -> float:
     return front * h
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def normal_p(z: pd.Series) -> pd.Series:
     return z.map(normal_two_sided, na_action="ignore").astype("float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def chi2_p(x: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series(
         [None if pd.isna(a) or pd.isna(b) or b <= 0 else chi2_upper(a, b) for a, b in zip(x, df)], dtype="float64"

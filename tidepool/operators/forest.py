@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from tidepool.operators.attach import attach
 from tidepool.operators.quantiles import exact_quantiles
 from tidepool.session import materialized
 
@@ -67,17 +68,17 @@ def tree_samples(
 ) -> DataFrame:
     """``tree``, ``key`` hash and features: for each tree a uniform sample without replacement."""
     rows = df.select(F.xxhash64(*key).alias("_key"), *[F.col(c).cast("double").alias(c) for c in features])
-    # one pass over everything: keep about 4 * sample rows per tree, by hash
-    total = rows.agg(F.count("*")).scalar()
-    kept_share = F.least(F.lit(1.0), F.lit(4.0 * sample * trees) / total)
-    thin = rows.where(_uniform(F.xxhash64("_key", F.lit(seed))) < kept_share)
-    # every kept row asks each tree; one and a half samples per tree keeps the shortfall negligible
-    kept = F.least(total.cast("double"), F.lit(4.0 * sample * trees))
-    share = F.least(F.lit(1.0), F.lit(1.5 * sample) / kept)
+    wanted = 4.0 * sample * trees
+    total = rows.agg(F.count("*").cast("double").alias("n"))
+    # one pass over everything: keep about four samples' worth of rows per tree, by hash
+    thin = attach(rows, total).where(_uniform(F.xxhash64("_key", F.lit(seed))) * F.col("_one.n") < wanted)
+    # each kept row asks every tree; one and a half samples per tree makes a shortfall negligible
+    kept = F.least(F.col("_one.n"), F.lit(wanted))
     ask = F.filter(
-        F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: _uniform(F.xxhash64("_key", t, F.lit(seed + 1))) < share
+        F.sequence(F.lit(0), F.lit(trees - 1)),
+        lambda t: _uniform(F.xxhash64("_key", t, F.lit(seed + 1))) * kept < 1.5 * sample,
     )
-    asked = thin.withColumn("tree", F.explode(ask))
+    asked = thin.withColumn("tree", F.explode(ask)).drop("_one")
     order = Window.partitionBy("tree").orderBy(F.xxhash64("_key", "tree", F.lit(seed + 2)), "_key")
     return asked.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= sample).drop("_rank")
 
@@ -153,67 +154,68 @@ def fit_forest(
 # -- scoring ---------------------------------------------------------------------
 
 
-class _Scorer:
-    """The forest as arrays: one row per tree, one column per node."""
+def _arrays(nodes: pd.DataFrame, sample: int) -> dict:
+    """The forest as flat arrays: ``width`` slots per tree, one slot per node."""
+    trees = np.sort(nodes["tree"].unique())
+    width = int(nodes["node"].max()) + 1
+    at = np.searchsorted(trees, nodes["tree"].to_numpy()) * width + nodes["node"].to_numpy()
+    leaf = nodes["feature"].to_numpy() < 0
+    own = nodes["node"].to_numpy()
 
-    def __init__(self, nodes: pd.DataFrame, sample: int):
-        trees = np.sort(nodes["tree"].unique())
-        width = int(nodes["node"].max()) + 1 if len(nodes) else 1
-        shape = (len(trees), width)
-        at = (np.searchsorted(trees, nodes["tree"].to_numpy()), nodes["node"].to_numpy())
-        own = np.broadcast_to(np.arange(width, dtype=np.int32), shape)
-        leaf = nodes["feature"].to_numpy() < 0
-
-        def table(values, dtype, default=0):
-            out = np.full(shape, default, dtype=dtype)
-            out[at] = values
-            return out.ravel()
+    def table(values, dtype):
+        out = np.zeros(len(trees) * width, dtype=dtype)
+        out[at] = values
+        return out
 
-        self.trees, self.width = len(trees), width
-        self.feature = table(np.where(leaf, 0, nodes["feature"]), np.int32)
-        self.split = table(np.where(leaf, np.inf, nodes["split"]), float)
+    beyond = np.array([average_path(n) for n in nodes["size"]])
+    return {
+        "trees": len(trees),
+        "width": width,
+        "depth": int(nodes["depth"].max()),
+        "norm": average_path(sample),
+        "feature": table(np.where(leaf, 0, nodes["feature"]), np.int32),
+        "split": table(nodes["split"], np.float64),
         # a leaf leads to itself, so every row can take the same number of steps
-        self.left = table(np.where(leaf, own[at], nodes["left"]), np.int32)
-        self.right = table(np.where(leaf, own[at], nodes["right"]), np.int32)
-        rest = np.array([average_path(n) for n in nodes["size"]])
-        self.path = table(np.where(leaf, nodes["depth"] + rest, 0.0), float)
-        self.depth = int(nodes["depth"].max()) if len(nodes) else 0
-        self.norm = average_path(sample)
-
-    def score(self, x: np.ndarray) -> np.ndarray:
-        """2^(-mean path / expected path): near 1 is anomalous, below 0.5 is ordinary."""
-        n = len(x)
-        flat = np.ascontiguousarray(x).ravel()
-        base = np.arange(n) * x.shape[1]
-        total = np.zeros(n)
-        for tree in range(self.trees):
-            offset = tree * self.width
-            node = np.zeros(n, dtype=np.int32)
-            for _ in range(self.depth):
-                here = node + offset
-                left = flat[base + self.feature[here]] <= self.split[here]
-                node = np.where(left, self.left[here], self.right[here])
-            total += self.path[node + offset]
-        return np.exp2(-(total / self.trees) / self.norm)
+        "left": table(np.where(leaf, own, nodes["left"]), np.int32),
+        "right": table(np.where(leaf, own, nodes["right"]), np.int32),
+        "path": table(np.where(leaf, nodes["depth"] + beyond, 0.0), np.float64),
+    }
+
+
+def _scores(forest: dict, x: np.ndarray) -> np.ndarray:
+    """2^(-mean path / expected path): near 1 is anomalous, below 0.5 is ordinary."""
+    n = len(x)
+    flat = np.ascontiguousarray(x).ravel()
+    base = np.arange(n) * x.shape[1]
+    total = np.zeros(n)
+    for tree in range(forest["trees"]):
+        part = slice(tree * forest["width"], (tree + 1) * forest["width"])
+        feature, split, left, right = (forest[k][part] for k in ("feature", "split", "left", "right"))
+        node = np.zeros(n, dtype=np.int32)
+        for _ in range(forest["depth"]):
+            below = flat[base + feature[node]] <= split[node]
+            node = np.where(below, left[node], right[node])
+        total += forest["path"][part][node]
+    return np.exp2(-(total / forest["trees"]) / forest["norm"])
 
 
 def score(df: DataFrame, model: Forest, out: str = "score") -> DataFrame:
     """Add the anomaly score, larger meaning more anomalous; missing where a feature is missing."""
     spark = df.sparkSession
-    nodes = model.nodes.toPandas()  # bounded by trees * (2 * sample - 1) rows
-    scorer = spark.sparkContext.broadcast(_Scorer(nodes, model.sample))
+    nodes = model.nodes.toPandas()  # at most trees * (2 * sample - 1) rows
+    forest = spark.sparkContext.broadcast(_arrays(nodes, model.sample))
     inputs = [
         F.coalesce(F.col(c).cast("double"), F.lit(model.fill[c])) if c in model.fill else F.col(c).cast("double")
         for c in model.features
     ]
 
-    @F.pandas_udf("double")
+    @F.pandas_udf(T.DoubleType())
     def scored(*cols: pd.Series) -> pd.Series:
         x = np.column_stack([c.to_numpy(dtype=float) for c in cols])
         whole = ~np.isnan(x).any(axis=1)
         result = np.full(len(x), np.nan)
         if whole.any():
-            result[whole] = scorer.value.score(x[whole])
+            result[whole] = _scores(forest.value, x[whole])
         return pd.Series(result).where(whole)
 
     return df.withColumn(out, scored(*inputs)).withColumn(out, F.when(~F.isnan(out), F.col(out)))
