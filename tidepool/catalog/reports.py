@@ -285,7 +285,10 @@ _RANKED = f"""WITH {EXPLORED}, lim AS (SELECT quantile_cont(volume_tvl_ratio, 0.
   SELECT id, pool_address, hour_ts, CASE WHEN volume_tvl_ratio > rhi THEN rhi ELSE volume_tvl_ratio END AS volume_tvl_ratio,
     CASE WHEN volume_deviation > dhi THEN dhi WHEN volume_deviation < dlo THEN dlo ELSE volume_deviation END AS volume_deviation
   FROM explored, lim), scored AS (SELECT *, round(abs(volume_deviation) * volume_tvl_ratio, 6) AS score FROM clipped)"""
-_SCORE = F.round(F.abs("volume_deviation") * F.col("volume_tvl_ratio"), 6)
+
+
+def _score():
+    return F.round(F.abs("volume_deviation") * F.col("volume_tvl_ratio"), 6)
 
 
 def _stored(spark, sf):
@@ -296,8 +299,8 @@ def _stored(spark, sf):
 @query("g2_top_anomalies", f"""{_RANKED} SELECT id, {rs('score')} AS score FROM scored WHERE score IS NOT NULL
 ORDER BY scored.score DESC, pool_address, hour_ts LIMIT 5""")
 def g2(spark, sf):
-    top = P.top_by(P.clip_for_ranking(_stored(spark, sf)), _SCORE, 5, ["pool_address", "hour_ts"])
-    return top.select("id", r(_SCORE).alias("score"))
+    top = P.top_by(P.clip_for_ranking(_stored(spark, sf)), _score(), 5, ["pool_address", "hour_ts"])
+    return top.select("id", r(_score()).alias("score"))
 
 
 @query("g2_top_anomalies_unclipped", f"""WITH {EXPLORED} SELECT id FROM explored
@@ -329,7 +332,7 @@ def g4(spark, sf):
 @query("g5_top_pools_of_rows", f"""{_RANKED} SELECT pool_address, {rs('max(score)')} AS best FROM scored WHERE score IS NOT NULL
 GROUP BY 1 ORDER BY max(score) DESC, 1 LIMIT 3""")
 def g5(spark, sf):
-    df = P.top_pools_of_rows(P.clip_for_ranking(_stored(spark, sf)), _SCORE, 3)
+    df = P.top_pools_of_rows(P.clip_for_ranking(_stored(spark, sf)), _score(), 3)
     return df.withColumn("best", r("best"))
 
 
