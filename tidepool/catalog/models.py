@@ -116,3 +116,69 @@ def j11(spark, sf):
     rows = materialized(labelled(spark, sf), "labelled")
     scored = M.score(rows, _fitted(rows))
     return M.top_scored(scored, 20, 0.5, ["pool_id", "hour_ts"]).select("pool_id", "hour_ts", "score")
+
+
+# -- what can be said about the forest in SQL -------------------------------------------
+
+_COMPLETE = ("vol_rate_24h IS NOT NULL AND tvl_rate_24h IS NOT NULL AND vol_ma_24h IS NOT NULL "
+             "AND vol_tvl_ratio IS NOT NULL")
+
+
+@query("j3_forest_shape", f"""WITH {LABELLED}, n AS (SELECT count(*) AS n FROM labelled WHERE {_COMPLETE}
+  AND hour_ts >= TIMESTAMP '2024-01-31' - INTERVAL 30 DAY)
+SELECT CAST(tree AS INTEGER) AS tree, CAST(least(n, 256) AS INTEGER) AS root_size, CAST(least(n, 256) AS BIGINT) AS leaf_rows,
+       true AS balanced FROM n, range(200) t(tree)""")
+def j3_shape(spark, sf):
+    """Every tree starts from its full sample, loses no row on the way, and splits in two."""
+    nodes = j3(spark, sf)
+    leaf = F.col("feature") < 0
+    return nodes.groupBy("tree").agg(
+        F.max(F.when(F.col("node") == 0, F.col("size"))).alias("root_size"),
+        F.sum(F.when(leaf, F.col("size")).otherwise(0)).alias("leaf_rows"),
+        (F.count_if(leaf) == F.count_if(~leaf) + 1).alias("balanced"),
+    )
+
+
+@query("j4_score_domain", f"""WITH {LABELLED}
+SELECT pool_id, {epochs('hour_ts')} AS hour_epoch, {_COMPLETE} AS scored, {_COMPLETE} AS in_range FROM labelled""")
+def j4_domain(spark, sf):
+    """Complete rows, and only they, get a score, and it lies in (0, 1]."""
+    df = j4(spark, sf)
+    inside = F.coalesce((F.col("score") > 0) & (F.col("score") <= 1), F.lit(False))
+    return df.select("pool_id", epoch("hour_ts").alias("hour_epoch"), F.col("score").isNotNull().alias("scored"),
+                     inside.alias("in_range"))
+
+
+@query("j6_alert_rows", f"""WITH {LABELLED} SELECT pool_id, {epochs('hour_ts')} AS hour_epoch, {_COMPLETE} AS scored
+FROM labelled QUALIFY row_number() OVER (PARTITION BY pool_id ORDER BY hour_ts DESC) = 1""")
+def j6_rows(spark, sf):
+    """Alerts look at the newest row of every pool."""
+    df = j6(spark, sf)
+    return df.select("pool_id", epoch("hour_ts").alias("hour_epoch"), F.col("score").isNotNull().alias("scored"))
+
+
+@query("j7_batch_equals_score", f"""WITH {LABELLED} SELECT pool_id, {epochs('hour_ts')} AS hour_epoch, true AS same FROM labelled""")
+def j7_same(spark, sf):
+    """Rows posted with upper-case names get the score the table scoring gives them."""
+    rows = materialized(labelled(spark, sf), "labelled")
+    model = _fitted(rows)
+    posted = mart.score_batch(rows.toDF(*[c.upper() for c in rows.columns]), model)
+    again = M.score(rows, model).select(F.col("pool_id").alias("p"), F.col("hour_ts").alias("h"), F.col("score").alias("s"))
+    both = posted.join(again, (F.col("pool_id") == F.col("p")) & (F.col("hour_ts") == F.col("h")))
+    return both.select("pool_id", epoch("hour_ts").alias("hour_epoch"), F.col("score").eqNullSafe(F.col("s")).alias("same"))
+
+
+@query("j8_loaded_equals_saved", f"""WITH {LABELLED} SELECT CAST(tree AS INTEGER) AS tree, CAST(0 AS BIGINT) AS differing
+FROM range(200) t(tree), (SELECT count(*) AS n FROM labelled WHERE {_COMPLETE}) WHERE n > 0""")
+def j8_same(spark, sf):
+    """Saving two versions and loading by alias gives back the newer one, node by node."""
+    rows = materialized(labelled(spark, sf), "labelled")
+    path = new_folder(spark, "models")
+    M.save_model(M.fit_forest(rows, MART_FEATURES, trees=5, seed=1), path, 1, "production")
+    model = _fitted(rows)
+    M.save_model(model, path, 2, "production")
+    loaded = M.load_model(spark, path).nodes
+    gone = model.nodes.exceptAll(loaded).select("tree").unionByName(loaded.exceptAll(model.nodes).select("tree"))
+    counts = gone.groupBy(F.col("tree").alias("_t")).agg(F.count("*").alias("_n"))
+    trees = model.nodes.select("tree").distinct()
+    return trees.join(counts, F.col("tree") == F.col("_t"), "left").select("tree", F.coalesce("_n", F.lit(0)).alias("differing"))

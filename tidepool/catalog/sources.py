@@ -13,7 +13,7 @@ from tidepool.functions.json_fields import json_float, json_str, json_ts
 from tidepool.operators import clean as C
 from tidepool.operators import combine as J
 from tidepool.operators.frames import dedup_latest
-from tidepool.session import new_folder
+from tidepool.session import materialized, new_folder
 from tidepool.sources import records as R
 from tidepool.sources import tables as TB
 
@@ -263,7 +263,7 @@ def c1(spark, sf):
 SELECT c.id, c.hour_ts, c.volume_usd, m.fee_tier, m.token0_symbol, m.token1_symbol
 FROM wide c LEFT JOIN (SELECT DISTINCT {_META} FROM wide WHERE tvl_usd >= 0) m USING (id)""")
 def d1(spark, sf):
-    records = R.as_records(X.raw_json(spark, sf))
+    records = materialized(R.as_records(X.raw_json(spark, sf)), "records")
     meta = R.pool_metadata(records.where(F.col("tvlUSD").cast("double") >= 0))
     joined = J.with_pool(R.clean_hourly(records), meta)
     return joined.select("id", "hour_ts", "volume_usd", "fee_tier", "token0_symbol", "token1_symbol")

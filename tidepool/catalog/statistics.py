@@ -96,13 +96,17 @@ def i5_holm(spark, sf):
     return T.holm(T.pairwise_z(_table(spark, sf))).orderBy("p_adj", "a", "b")
 
 
-@query("i6_holm", f"""WITH {WIDE}, t AS (SELECT pool_address, (count(*) FILTER (tvl_usd < 0) + 1) / (100.0::DOUBLE * count(*)) AS p
-  FROM wide GROUP BY 1), s AS (SELECT *, p * (count(*) OVER () - row_number() OVER (ORDER BY p) + 1) AS step FROM t)
-SELECT pool_address, {rs('p', 9)} AS p, {rs('least(1, max(step) OVER (ORDER BY p ROWS UNBOUNDED PRECEDING))', 9)} AS p_adj FROM s""")
+@query("i6_holm", f"""WITH {POOL_EVENTS}, t AS (SELECT pool_id, fee_tier, (count(*) FILTER (tvl_usd < 0) + 1) / (3.0::DOUBLE * count(*)) AS p
+  FROM pool_events GROUP BY 1, 2), s AS (SELECT *, p * (count(*) OVER (PARTITION BY pool_id)
+    - row_number() OVER (PARTITION BY pool_id ORDER BY p, fee_tier) + 1) AS step FROM t)
+SELECT pool_id, fee_tier, {rs('p', 9)} AS p,
+       {rs('least(1, max(step) OVER (PARTITION BY pool_id ORDER BY p, fee_tier ROWS UNBOUNDED PRECEDING))', 9)} AS p_adj FROM s""")
 def i6(spark, sf):
-    p = (F.count_if(F.col("tvl_usd") < 0) + 1) / (100.0 * F.count("*"))
-    tests = X.wide(spark, sf).groupBy("pool_address").agg(p.alias("p"))
-    return T.holm(tests).select("pool_address", r("p", 9).alias("p"), r("p_adj", 9).alias("p_adj"))
+    """A family per pool: one made-up p-value for each of its fee tiers."""
+    p = (F.count_if(F.col("tvl_usd") < 0) + 1) / (3.0 * F.count("*"))
+    tests = X.pool_events(spark, sf).groupBy("pool_id", "fee_tier").agg(p.alias("p"))
+    adjusted = T.holm(tests, family=["pool_id"])
+    return adjusted.select("pool_id", "fee_tier", r("p", 9).alias("p"), r("p_adj", 9).alias("p_adj"))
 
 
 _DAILY = f"""WITH {POOL_HOURLY}, raw AS (

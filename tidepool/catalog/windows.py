@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidepool import fixtures as X
 from tidepool.catalog.registry import (
-    EXPLORED, FEATURE_COLUMNS_SQL, FEATURES, LABELLED, POOL_HOURLY, WIDE, epoch, epochs, feature_columns_out, query, r,
+    EXPLORED, FEATURE_COLUMNS_SQL, FEATURES, LABELLED, POOL_EVENTS, POOL_HOURLY, WIDE, epoch, epochs, feature_columns_out, query, r,
     rs, scis, sci,
 )
 from tidepool.functions.json_fields import epoch_to_ts
@@ -136,8 +136,17 @@ def f12(spark, sf):
 
 @query("d2_label_spikes", f"WITH {LABELLED} SELECT dex, y, {FEATURE_COLUMNS_SQL} FROM labelled")
 def d2(spark, sf):
-    """Flagship: features and spike labels of every pool-hour."""
-    return feature_columns_out(label_spikes(pool_features(X.pool_hourly(spark, sf))), "dex", "y")
+    """Flagship: features and spike labels of every pool-hour, which are unique by construction."""
+    return feature_columns_out(label_spikes(pool_features(X.pool_hourly(spark, sf)), unique_hours=True), "dex", "y")
+
+
+@query("d2_label_spikes_any_rows", f"""WITH {POOL_EVENTS}
+SELECT event_id, value, CASE WHEN value >= p THEN 1 ELSE 0 END AS y FROM pool_events
+JOIN (SELECT pool_id, quantile_cont(value, 0.9) AS p FROM pool_events GROUP BY 1) USING (pool_id)""")
+def d2_any(spark, sf):
+    """The same on single events: nothing bounds a pool's rows, so pools are counted first."""
+    df = label_spikes(X.pool_events(spark, sf).select("event_id", "pool_id", "value"), col="value")
+    return df.select("event_id", "value", "y")
 
 
 @query("e13_pool_quantile", f"""WITH {POOL_HOURLY}

@@ -128,8 +128,9 @@ def ffill_bfill(
     within = Window.partitionBy(*keys, "_chunk").orderBy(order)
     back = within.rowsBetween(Window.unboundedPreceding, 0)
     ahead = within.rowsBetween(0, Window.unboundedFollowing)
-    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-    joined = chunked.join(carry, [*same, F.col("_chunk").eqNullSafe(F.col("_kc"))], "left")
+    # plain equality keeps the join's partitioning usable for the windows below
+    same = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]
+    joined = chunked.join(carry, [*same, F.col("_chunk") == F.col("_kc")], "left")
     filled = {
         c: F.coalesce(
             F.last(c, ignorenulls=True).over(back),
@@ -147,7 +148,14 @@ def error_flag(df: DataFrame, col: str, flag: str = "tvl_error") -> DataFrame:
     return df.withColumn(flag, F.col(col).isNull().cast("int"))
 
 
-# -- keep the newest copy ----------------------------------------------------
+# -- last rows, newest copy ----------------------------------------------------
+
+
+def last_rows(df: DataFrame, keys: Sequence[str], order: str, n: int) -> DataFrame:
+    """The last ``n`` rows of every key. The limit also applies before the shuffle, so a key
+    with very many rows sends at most ``n`` of them from each input partition."""
+    newest = Window.partitionBy(*keys).orderBy(F.desc(order))
+    return df.withColumn("_r", F.row_number().over(newest)).where(F.col("_r") <= n).drop("_r")
 
 
 def dedup_latest(df: DataFrame, keys: Sequence[str], newest: str, ties: Sequence[str] = ()) -> DataFrame:

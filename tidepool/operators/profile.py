@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tidepool.functions import scalars as S
 from tidepool.operators.attach import attach
 from tidepool.operators.quantiles import exact_quantiles, quantile_row
+from tidepool.session import materialized
 
 # -- counts and rates ----------------------------------------------------------
 
@@ -295,7 +296,10 @@ def top_anomalies(df: DataFrame, k: int = 5, ties: Sequence[str] = ("pool_addres
 
 
 def clip_for_ranking(df: DataFrame) -> DataFrame:
-    """Bound the two ranking columns at their outer percentiles before ranking."""
+    """Bound the two ranking columns at their outer percentiles before ranking.
+
+    The three bounds are computed at once and stored, as a ranking refers to them many times.
+    """
     wanted = ["volume_tvl_ratio", "volume_deviation"]
     found = exact_quantiles(melt(df, wanted), "value", [0.01, 0.99], ["column"])
     at = lambda c, q: F.max(F.when((F.col("column") == c) & (F.col("q") == q), F.col("value")))
@@ -307,7 +311,7 @@ def clip_for_ranking(df: DataFrame) -> DataFrame:
         "volume_tvl_ratio": S.clip(F.col("volume_tvl_ratio"), hi=one["ratio_hi"]),
         "volume_deviation": S.clip(F.col("volume_deviation"), lo=one["deviation_lo"], hi=one["deviation_hi"]),
     }
-    return attach(df, bounds).select(*[clipped[c].alias(c) if c in clipped else F.col(c) for c in df.columns])
+    return attach(df, materialized(bounds, "bounds")).select(*[clipped[c].alias(c) if c in clipped else F.col(c) for c in df.columns])
 
 
 def top_pools_of_rows(df: DataFrame, score: Column, k: int, pool: str = "pool_address") -> DataFrame:

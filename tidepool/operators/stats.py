@@ -112,7 +112,11 @@ def pairwise_z(tbl: DataFrame, category: str = "fee_tier") -> DataFrame:
 
 
 def holm(tests: DataFrame, p: str = "p", family: Sequence[str] = (), out: str = "p_adj") -> DataFrame:
-    """Holm's step-down adjustment within each family of tests."""
+    """Holm's step-down adjustment within each family of tests.
+
+    A family is a set of tests made together, such as all pairs of categories. Without
+    ``family`` the whole frame is one, so it must be a finished report and not data rows.
+    """
     groups = [F.col(f) for f in family] or [F.lit(0)]
     ordered = Window.partitionBy(*groups).orderBy(p)
     rank = F.row_number().over(ordered)

@@ -13,7 +13,7 @@ from tidepool.operators.clean import newer_than, recent
 from tidepool.operators.combine import as_of, union_protocols
 from tidepool.operators.features import LAG_ROWS, pool_features
 from tidepool.operators.forest import Forest, score
-from tidepool.operators.frames import HOURLY_CHUNK, dedup_latest, time_chunk
+from tidepool.operators.frames import dedup_latest, last_rows
 from tidepool.operators.labels import label_spikes
 from tidepool.session import materialized
 from tidepool.sources.records import stage_pool_hourly
@@ -36,26 +36,47 @@ def run_stages(raw: dict[str, DataFrame], q: float = 0.9, dedup: bool = True, co
     return {"staging": staged, "features": features, "labelled": labelled}
 
 
-def incremental_features(source: DataFrame, target: DataFrame, lookback: int = LAG_ROWS) -> DataFrame:
-    """Features of hours newer than the target's newest, equal to those of a full rebuild.
+def preceding_rows(
+    known: DataFrame, since: DataFrame, rows: int = LAG_ROWS, recent_days: int = 7
+) -> DataFrame:
+    """The last ``rows`` stored rows of each pool before its ``since`` (columns pool_id, since).
 
-    Row windows need the ``lookback`` rows before the first new one, however old they are.
-    Those are taken per (pool, time chunk) first and per pool after, so that no task sorts
-    a pool's whole history, and the filter on time comes after the windows.
+    Most pools have them within the last days, which a literal time bound reads alone. Only
+    if some pool has fewer there is the older history read, and then for those pools.
     """
-    newest = target.agg(F.coalesce(F.max("hour_ts"), F.lit("1900-01-01").cast("timestamp"))).scalar()
-    fresh = source.where(F.col("hour_ts") > newest)
-    before = source.where(F.col("hour_ts") <= newest).withColumn("_chunk", time_chunk("hour_ts", HOURLY_CHUNK))
-    before = _last_rows(_last_rows(before, ["pool_id", "_chunk"], lookback), ["pool_id"], lookback)
-    known = before.drop("_chunk").unionByName(fresh)
-    return pool_features(known).where(F.col("hour_ts") > newest)
-
-
-def _last_rows(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
-    from pyspark.sql.window import Window
+    first = since.agg(F.min("since")).first()[0]
+    if first is None:
+        return known.limit(0)
+    edge = F.lit(first) - F.make_dt_interval(days=F.lit(recent_days))
+    start = since.select(F.col("pool_id").alias("_pool"), F.col("since").alias("_since"))
+
+    def before(part: DataFrame, starts: DataFrame) -> DataFrame:
+        mine = part.join(starts, F.col("pool_id") == F.col("_pool")).where(F.col("hour_ts") < F.col("_since"))
+        return last_rows(mine.select(*known.columns), ["pool_id"], "hour_ts", rows)
+
+    near = materialized(before(known.where(F.col("hour_ts") >= edge), start), "recent-rows")
+    full = near.groupBy(F.col("pool_id").alias("_full")).agg(F.count("*").alias("_n")).where(F.col("_n") >= rows)
+    short = start.join(full, F.col("_pool") == F.col("_full"), "left_anti")
+    if short.isEmpty():
+        return near
+    far = before(known.where(F.col("hour_ts") < edge), short)
+    return last_rows(near.unionByName(far), ["pool_id"], "hour_ts", rows)
+
+
+def incremental_features(source: DataFrame, target: DataFrame, recent_days: int = 7) -> DataFrame:
+    """Features of hours newer than the target's newest, equal to those of a full rebuild.
 
-    order = Window.partitionBy(*keys).orderBy(F.desc("hour_ts"))
-    return df.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= n).drop("_r")
+    The newest hour is read first, so the new rows come from a scan with a literal bound.
+    Row windows also need the 24 rows before a pool's first new one, however old they are;
+    the filter on time comes after the windows.
+    """
+    newest = target.agg(F.max("hour_ts")).first()[0]
+    if newest is None:
+        return pool_features(source)
+    fresh = source.where(F.col("hour_ts") > F.lit(newest))
+    since = fresh.groupBy("pool_id").agg(F.min("hour_ts").alias("since"))
+    before = preceding_rows(source, since, LAG_ROWS, recent_days)
+    return pool_features(before.unionByName(fresh)).where(F.col("hour_ts") > F.lit(newest))
 
 
 def incremental_label(

@@ -14,11 +14,12 @@ from tidepool.session import new_folder
 def materialize(df: DataFrame, target: str, partition_by: Sequence[str] = (), cluster: str | None = None) -> None:
     """Create or replace a table from a query. ``target`` is a path if it holds a slash, else a table name.
 
-    ``cluster`` sorts rows within files by that column, so min/max statistics let readers
-    skip row groups.
+    Rows of one partition are brought together by a rebalance, which adaptive execution
+    splits again where a partition is large. ``cluster`` sorts rows within files by that
+    column, so min/max statistics let readers skip row groups.
     """
     if partition_by:
-        df = df.repartition(*partition_by, *([cluster] if cluster else []))
+        df = df.hint("rebalance", *partition_by)
     if cluster:
         df = df.sortWithinPartitions(*partition_by, cluster)
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
@@ -75,14 +76,13 @@ def upsert_days(new: DataFrame, path: str, keys: Sequence[str], day: str = "day"
     if not days:
         return
     if not exists(spark, path):
-        batch.repartition(day).write.partitionBy(day).parquet(path)
+        batch.hint("rebalance", day).write.partitionBy(day).parquet(path)
         return
     old = spark.read.schema(new.schema).parquet(path).where(F.col(day).isin(days))
     upsert(old.select(*new.columns), batch, keys).write.partitionBy(day).parquet(f"{staged}/merged")
     merged = spark.read.schema(new.schema).parquet(f"{staged}/merged").select(*new.columns)
-    merged.repartition(day, F.pmod(F.xxhash64(*keys), F.lit(8))).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy(day).parquet(path)
+    swap = merged.hint("rebalance", day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    swap.partitionBy(day).parquet(path)
 
 
 def exists(spark: SparkSession, path: str) -> bool:

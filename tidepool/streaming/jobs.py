@@ -14,10 +14,11 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tidepool import schema as L
-from tidepool.operators.features import LAG_ROWS, pool_features
+from tidepool.operators.features import pool_features
 from tidepool.operators.forest import Forest, score
-from tidepool.operators.frames import HOURLY_CHUNK, dedup_latest, time_chunk
-from tidepool.plans.mart import _last_rows
+from tidepool.operators.frames import dedup_latest
+from tidepool.plans.mart import preceding_rows
+from tidepool.session import materialized
 from tidepool.sources.tables import exists, upsert_days
 
 
@@ -86,7 +87,10 @@ def features_batch(path: str, keys: Sequence[str] = tuple(L.POOL_HOUR_KEY)) -> C
     def handle(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
         newest = "load_ts" if "load_ts" in batch.columns else "hour_ts"
-        fresh = dedup_latest(batch, keys, newest, ["volume_usd", "tvl_usd"]).select(*base)
+        # stored first, because the batch is used several times below
+        fresh = materialized(dedup_latest(batch, keys, newest, ["volume_usd", "tvl_usd"]).select(*base), "batch")
+        if fresh.isEmpty():
+            return
         if not exists(spark, path):
             made = pool_features(fresh)
         else:
@@ -103,17 +107,22 @@ def _with_history(fresh: DataFrame, known: DataFrame, keys: Sequence[str]) -> Da
     A late or corrected hour changes the 24 rows that follow it, so every stored row from
     a pool's first touched hour on is computed again, behind the 24 rows before it.
     """
-    since = fresh.groupBy(F.col("pool_id").alias("_pool")).agg(F.min("hour_ts").alias("_since"))
-    mine = known.join(since, F.col("pool_id") == F.col("_pool"))
+    since = fresh.groupBy("pool_id").agg(F.min("hour_ts").alias("since"))
+    before = preceding_rows(known, since)
+    first = since.agg(F.min("since")).first()[0]
+    start = since.select(F.col("pool_id").alias("_pool"), F.col("since").alias("_since"))
     replaced = fresh.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
     same = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]
-    after = mine.where(F.col("hour_ts") >= F.col("_since")).join(replaced, same, "left_anti")
-    before = mine.where(F.col("hour_ts") < F.col("_since")).withColumn("_chunk", time_chunk("hour_ts", HOURLY_CHUNK))
-    before = _last_rows(_last_rows(before, ["pool_id", "_chunk"], LAG_ROWS), ["pool_id"], LAG_ROWS)
+    after = (
+        known.where(F.col("hour_ts") >= F.lit(first))
+        .join(start, F.col("pool_id") == F.col("_pool"))
+        .where(F.col("hour_ts") >= F.col("_since"))
+        .join(replaced, same, "left_anti")
+    )
     cols = fresh.columns
-    rows = before.select(*cols).unionByName(after.select(*cols)).unionByName(fresh)
-    made = pool_features(rows)
-    return made.join(since, F.col("pool_id") == F.col("_pool")).where("hour_ts >= _since").drop("_pool", "_since")
+    made = pool_features(before.select(*cols).unionByName(after.select(*cols)).unionByName(fresh))
+    changed = made.join(start, F.col("pool_id") == F.col("_pool")).where("hour_ts >= _since")
+    return changed.drop("_pool", "_since")
 
 
 def alert_batch(model: Forest, path: str, threshold: float = 0.6) -> Callable[[DataFrame, int], None]:
