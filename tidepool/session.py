@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.ui.enabled": "false",
 }
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
 
 def build_session(app: str, master: str | None = None, **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -37,9 +39,10 @@ def shared_folder(spark: SparkSession) -> str:
         return base.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    base = tempfile.mkdtemp(prefix="tidepool-")
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="tidepool-")
+    return _LOCAL_FOLDERS[app]
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
