@@ -73,9 +73,9 @@ def test_create_or_replace_by_name(spark):
         spark.sql(f"drop table if exists {name}")
 
 
-def test_features_on_a_stream_with_late_and_corrected_hours(spark, hours, tmp_path):
+def test_features_on_a_stream_with_late_and_corrected_hours(spark, sf_dir, tmp_path):
     path, mark, folder = (str(tmp_path / n) for n in ("features", "mark", "in"))
-    source = hours.drop("load_ts") if "load_ts" in hours.columns else hours
+    source = X.pool_hourly(spark, sf_dir)
     wrong = source.where(F.dayofmonth("hour_ts") == 5).withColumn("volume_usd", F.col("volume_usd") + 100)
     arrivals = [
         source.where("dayofmonth(hour_ts) < 20 and dayofmonth(hour_ts) != 5").unionByName(wrong),
@@ -86,7 +86,7 @@ def test_features_on_a_stream_with_late_and_corrected_hours(spark, hours, tmp_pa
     for part in arrivals:
         part.write.mode("append").parquet(folder)
         ST.run_available(ST.table_stream(spark, folder, source.schema), mark, each=handle)
-    want = rounded(pool_features(hours))
+    want = rounded(pool_features(source))
     assert same(rounded(spark.read.parquet(path)), want)
     handle(arrivals[2], 99)  # a batch that is repeated after a failure
     assert same(rounded(spark.read.parquet(path)), want)

@@ -71,8 +71,12 @@ def rollup_stream(
 def sessions(df: DataFrame, ts: str = "ts", pool: str = "pool_id", gap: str = "6 hours", delay: str = "1 hour") -> DataFrame:
     """Spells of activity per pool, closed by a gap. Works on batch frames and on streams."""
     source = df.withWatermark(ts, delay) if df.isStreaming else df
-    spells = source.groupBy(F.session_window(ts, gap), pool).agg(F.count("*").alias("rows"))
-    return spells.select(pool, F.col("session_window.start").alias("start"), F.col("session_window.end").alias("end"), "rows")
+    # Start and end are aggregates on purpose: a filter on the window column itself would be
+    # pushed below the merging of sessions and cut sessions short.
+    spells = source.groupBy(F.session_window(ts, gap), pool).agg(
+        F.min(ts).alias("start"), (F.max(ts) + F.expr(f"interval {gap}")).alias("end"), F.count("*").alias("rows")
+    )
+    return spells.select(pool, "start", "end", "rows")
 
 
 def features_batch(path: str, keys: Sequence[str] = tuple(L.POOL_HOUR_KEY)) -> Callable[[DataFrame, int], None]:
