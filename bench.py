@@ -35,9 +35,10 @@ def _supplier(make):
     return lambda spark, sf: make(X.supplier_days(spark, sf))
 
 
-# the larger series: suppliers as pools, ship dates as hours
+# the larger series: suppliers as pools, ship dates as hours, and chunks of as many rows as 90 days of hours
+CHUNK = 2160 * 86_400
 LARGER = {
-    "supplier_features": _supplier(pool_features),
+    "supplier_features": _supplier(lambda df: pool_features(df, chunk_seconds=CHUNK)),
     "supplier_labels": _supplier(lambda df: label_spikes(df, unique_hours=True)),
     "supplier_quantiles": _supplier(lambda df: exact_quantiles(df, "volume_usd", [0.25, 0.5, 0.75], ["pool_id"])),
     "lineitem_quantile_by_counting": lambda spark, sf: exact_quantiles(

@@ -32,8 +32,15 @@ def _bag(names, rows):
     return [names[i] for i in order], Counter(tuple(_cell(row[i]) for i in order) for row in rows)
 
 
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
 def compare(df, con, sql):
     """An empty string if equal, else what differs."""
+    spark_types = {c: TYPES.get(t, t) for c, t in df.dtypes}
+    sql_types = {row[0]: str(row[1]) for row in con.execute(f"DESCRIBE {sql}").fetchall()}
+    if spark_types != sql_types:
+        return f"types {sorted(spark_types.items())} != {sorted(sql_types.items())}"
     cur = con.execute(sql)
     want_names, want = _bag([d[0] for d in cur.description], cur.fetchall())
     got_names, got = _bag(df.columns, [tuple(x) for x in df.collect()])

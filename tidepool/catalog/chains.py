@@ -62,7 +62,7 @@ def k2(spark, sf):
 @query("k2_incremental_features", f"""WITH {FEATURES} SELECT {FEATURE_COLUMNS_SQL} FROM features
 WHERE hour_ts > (SELECT max(hour_ts) FROM features WHERE hour_ts < TIMESTAMP '2024-01-20')""")
 def k2_features(spark, sf):
-    source = X.pool_hourly(spark, sf)
+    source = materialized(X.pool_hourly(spark, sf), "hours")
     return feature_columns_out(mart.incremental_features(source, source.where(F.col("hour_ts") < F.lit(_SPLIT))))
 
 

@@ -137,7 +137,8 @@ def f12(spark, sf):
 @query("d2_label_spikes", f"WITH {LABELLED} SELECT dex, y, {FEATURE_COLUMNS_SQL} FROM labelled")
 def d2(spark, sf):
     """Flagship: features and spike labels of every pool-hour, which are unique by construction."""
-    return feature_columns_out(label_spikes(pool_features(X.pool_hourly(spark, sf)), unique_hours=True), "dex", "y")
+    hourly = X.pool_hourly(spark, sf)
+    return feature_columns_out(label_spikes(pool_features(hourly), unique_hours=True, history=hourly), "dex", "y")
 
 
 @query("d2_label_spikes_any_rows", f"""WITH {POOL_EVENTS}

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidepool.functions.scalars import spike_flag
 from tidepool.operators.quantiles import DIRECT_LIMIT, approx_quantile, exact_quantiles
+from tidepool.session import materialized
 
 
 def pool_quantile(
@@ -43,8 +44,13 @@ def label_spikes(
     The threshold looks at the whole series, later rows included: it is a label for
     judging a model, not a feature. A pool without any value gets 0. ``history`` is the
     frame the thresholds come from when it is not ``df`` itself.
+
+    The thresholds, one row per pool, are written first. Their true size then decides the
+    join: a small table is broadcast and the rows are not shuffled at all; a large one is
+    merged, and adaptive execution splits a hot pool.
     """
-    limits = pool_quantile(history if history is not None else df, q, col, by, approx, unique_hours)
+    found = pool_quantile(history if history is not None else df, q, col, by, approx, unique_hours)
+    limits = materialized(found, "thresholds")
     side = limits.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(by)], F.col("value").alias("_limit"))
     same = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(by)]
     known = df.where(" and ".join(f"`{k}` is not null" for k in by))
