@@ -138,6 +138,25 @@ def test_histogram_of_a_constant_column(spark):
     assert [r["count"] for r in rows] == [0, 0, 7, 0] and rows[0]["lo"] == 2.5
 
 
+def test_constant_and_empty_columns_give_missing_figures(spark):
+    from tidepool.operators import profile as P
+    from tidepool.operators import scaling as Z
+    from tidepool.operators.clean import cut_above_quantile, scaling_check
+
+    flat = spark.range(5).select(F.lit(3.0).alias("x"), F.col("id").cast("double").alias("y"))
+    corr = {(r["a"], r["b"]): r["corr"] for r in P.corr_matrix(flat, ["x", "y"]).collect()}
+    assert corr[("x", "y")] is None and corr[("y", "y")] == pytest.approx(1.0)
+    assert scaling_check(flat, "x", 10).first()["corr"] is None
+    assert P.kde(flat, "x", 4).where("density is not null").count() == 0
+    assert P.moments(flat, "x").first()["median"] == 3.0
+    assert Z.standardize(flat, ["x"]).where("x = 0").count() == 5
+    assert Z.min_max(flat, ["x"]).where("x is null").count() == 5
+    empty = flat.limit(0)
+    assert P.describe(empty, ["x", "y"]).count() == 0 and P.box_stats(empty, "x").first()["count"] == 0
+    assert P.kde(empty, "x", 4).where("density is not null").count() == 0
+    assert cut_above_quantile(empty, "x").count() == 0 and histogram(empty, "x", 4).agg(F.sum("count")).first()[0] == 0
+
+
 def test_filters_and_columns_reach_the_scan(spark, sf_dir, tmp_path):
     from datetime import datetime
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidepool.functions import scalars as S
 from tidepool.operators.attach import attach
+from tidepool.operators.profile import pearson
 from tidepool.operators.quantiles import approx_quantile, exact_quantiles, quantile_row
 
 
@@ -114,4 +115,4 @@ def quantile_flag(df: DataFrame, col: str, lo: float, hi: float, flag: str = "is
 
 def scaling_check(df: DataFrame, col: str, factor: float) -> DataFrame:
     """Correlation of a column with its scaled self, which must stay 1."""
-    return df.agg(F.corr(F.col(col), S.scale_fixed_point(F.col(col), factor)).alias("corr"))
+    return df.agg(pearson(F.col(col), S.scale_fixed_point(F.col(col), factor)).alias("corr"))

@@ -116,18 +116,20 @@ def ffill_bfill(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_last_{c}") for c in cols],
         *[F.min_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_first_{c}") for c in cols],
     )
-    series = Window.partitionBy(*keys).orderBy("_chunk")
-    earlier = series.rowsBetween(Window.unboundedPreceding, -1)
-    later = series.rowsBetween(1, Window.unboundedFollowing)
+    # Looking ahead is looking back in reverse order: a frame up to the end of a partition
+    # would be walked again for every row.
+    series = Window.partitionBy(*keys)
+    earlier = series.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    later = series.orderBy(F.desc("_chunk")).rowsBetween(Window.unboundedPreceding, -1)
     carry = ends.select(
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
         F.col("_chunk").alias("_kc"),
         *[F.last(f"_last_{c}", ignorenulls=True).over(earlier).alias(f"_in_{c}") for c in cols],
-        *[F.first(f"_first_{c}", ignorenulls=True).over(later).alias(f"_out_{c}") for c in cols],
+        *[F.last(f"_first_{c}", ignorenulls=True).over(later).alias(f"_out_{c}") for c in cols],
     )
-    within = Window.partitionBy(*keys, "_chunk").orderBy(order)
-    back = within.rowsBetween(Window.unboundedPreceding, 0)
-    ahead = within.rowsBetween(0, Window.unboundedFollowing)
+    within = Window.partitionBy(*keys, "_chunk")
+    back = within.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    ahead = within.orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, 0)
     # plain equality keeps the join's partitioning usable for the windows below
     same = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]
     joined = chunked.join(carry, [*same, F.col("_chunk") == F.col("_kc")], "left")
@@ -135,7 +137,7 @@ def ffill_bfill(
         c: F.coalesce(
             F.last(c, ignorenulls=True).over(back),
             F.col(f"_in_{c}"),
-            F.first(c, ignorenulls=True).over(ahead),
+            F.last(c, ignorenulls=True).over(ahead),
             F.col(f"_out_{c}"),
         )
         for c in cols

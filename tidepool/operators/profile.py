@@ -192,19 +192,24 @@ def kde(df: DataFrame, col: str, points: int = 64, cut: float = 3.0) -> DataFram
     step = (stats["hi"] - stats["lo"]) / (points - 1)
     grid = lambda i: stats["lo"] + i * step
     sums = attach(df.select(col), bounds).agg(
-        *[F.sum(F.exp(-F.pow((x - grid(i)) / stats["h"], F.lit(2.0)) / 2)).alias(f"_{i}") for i in range(points)]
+        *[F.sum(F.exp(-F.pow(F.try_divide(x - grid(i), stats["h"]), F.lit(2.0)) / 2)).alias(f"_{i}") for i in range(points)]
     )
     cells = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"_{i}").alias("sum")) for i in range(points)])
     root = (2 * 3.141592653589793) ** 0.5
     return attach(sums.select(F.inline(cells)), bounds).select(
-        "i", grid(F.col("i")).alias("x"), (F.col("sum") / (stats["n"] * stats["h"] * root)).alias("density")
+        "i", grid(F.col("i")).alias("x"), F.try_divide("sum", stats["n"] * stats["h"] * root).alias("density")
     )
 
 
+def pearson(a: str | Column, b: str | Column) -> Column:
+    """Pearson correlation as an aggregate; missing for a constant column, where ``corr`` raises."""
+    return F.try_divide(F.regr_sxy(a, b), F.sqrt(F.regr_sxx(a, b)) * F.sqrt(F.regr_syy(a, b)))
+
+
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlation of every two columns over the rows that have both."""
     pairs = list(combinations_with_replacement(cols, 2))
-    one = df.agg(*[F.corr(a, b).alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
+    one = df.agg(*[pearson(a, b).alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
     cells = [
         F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"_{i}").alias("corr"))
         for i, (x, y) in enumerate(pairs)

@@ -46,7 +46,7 @@ def chi2_independence(tbl: DataFrame, cols: Sequence[str] = ("neg", "valid")) ->
     freedom = (t["rows"] - 1) * (len(cols) - 1)
 
     def cell(c):
-        expected = row * t[c] / t["n"]
+        expected = F.try_divide(row * t[c], t["n"])
         gap = F.abs(F.col(c) - expected)
         gap = F.when(freedom == 1, gap - F.least(F.lit(0.5), gap)).otherwise(gap)
         return F.try_divide(gap * gap, expected)
@@ -82,7 +82,7 @@ def trend_test(tbl: DataFrame, weight: str = "fee_tier", centering: str = "plain
         F.sum((w - t["w"]) * (F.col("neg") - size * m / n)).alias("num"),
         F.sum(size * (w - t["w"]) * (w - t["w"])).alias("spread"),
     )
-    z = F.try_divide("num", F.sqrt(m * (n - m) * F.col("spread") / (n * (n - 1))))
+    z = F.try_divide("num", F.sqrt(F.try_divide(m * (n - m) * F.col("spread"), n * (n - 1))))
     return attach(lean, totals).select(z.alias("z")).withColumn("p", normal_p("z"))
 
 
