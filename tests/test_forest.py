@@ -101,6 +101,20 @@ def test_alerts_look_at_the_newest_row_of_each_pool(rows, model):
     assert out.where("is_anomaly and score < 0.6").count() == 0
 
 
+def test_scores_equal_a_walk_through_the_trees(rows, model):
+    nodes = model.nodes.toPandas().set_index(["tree", "node"]).to_dict("index")
+    points = rows.where("id % 199 = 0").orderBy("id").collect()
+    got = {r["id"]: r["score"] for r in M.score(rows, model).collect()}
+    for p in points:
+        total = 0.0
+        for tree in range(50):
+            n = nodes[(tree, 0)]
+            while n["feature"] >= 0:
+                n = nodes[(tree, n["left"] if p[FEATURES[n["feature"]]] <= n["split"] else n["right"])]
+            total += n["depth"] + M.average_path(n["size"])
+        assert got[p["id"]] == pytest.approx(2 ** (-(total / 50) / M.average_path(256)))
+
+
 def test_expected_path_lengths():
     assert [M.average_path(n) for n in (0, 1, 2)] == [0.0, 0.0, 1.0]
     assert M.average_path(256) == pytest.approx(10.2448, abs=1e-3)

@@ -346,6 +346,25 @@ def g7(spark, sf):
     return P.sample_n(X.wide(spark, sf).select("id", "volume_usd", "tvl_usd", "fees_usd", "tx_count"), 5000, ["id"])
 
 
+@query("g7_sample_size", f"""WITH {WIDE} SELECT least(5000, count(*)) AS n, least(5000, count(*)) AS ids, count(*) > 0 AS members FROM wide""")
+def g7_size(spark, sf):
+    """Exactly as many rows as asked for, no row twice, none from elsewhere."""
+    drawn = g7(spark, sf)
+    known = X.wide(spark, sf).select("id", F.lit(True).alias("_known"))
+    return drawn.join(known, "id", "left").agg(
+        F.count("*").alias("n"), F.count_distinct("id").alias("ids"), F.bool_and(F.col("_known")).alias("members")
+    )
+
+
+@query("d4_missing_days_by_pool", f"""WITH {POOL_HOURLY}, lim AS (
+  SELECT pool_id, min(CAST(hour_ts AS DATE)) AS lo, max(CAST(hour_ts AS DATE)) AS hi FROM pool_hourly GROUP BY 1), d AS (
+  SELECT pool_id, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS d FROM lim)
+SELECT pool_id, {days('d')} AS date FROM d WHERE (pool_id, d) NOT IN (SELECT (pool_id, CAST(hour_ts AS DATE)) FROM pool_hourly)""")
+def d4_by_pool(spark, sf):
+    df = J.missing_hours_by(X.pool_hourly(spark, sf), "hour_ts", ["pool_id"])
+    return df.where("complete").select("pool_id", day("date").alias("date"))
+
+
 # -- calendars -------------------------------------------------------------------------
 
 _START, _END = date(2023, 12, 25), date(2024, 2, 5)

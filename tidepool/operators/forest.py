@@ -173,29 +173,40 @@ def _arrays(nodes: pd.DataFrame, sample: int) -> dict:
         "width": width,
         "depth": int(nodes["depth"].max()),
         "norm": average_path(sample),
-        "feature": table(np.where(leaf, 0, nodes["feature"]), np.int32),
-        "split": table(nodes["split"], np.float64),
-        # a leaf leads to itself, so every row can take the same number of steps
-        "left": table(np.where(leaf, own, nodes["left"]), np.int32),
-        "right": table(np.where(leaf, own, nodes["right"]), np.int32),
+        "feature": table(np.where(leaf, 0, nodes["feature"]), np.intp),
+        # children are numbered together, so a step goes to the left child plus one if the
+        # value is above the split; a leaf leads to itself and nothing is above its split
+        "split": table(np.where(leaf, np.inf, nodes["split"]), np.float64),
+        "left": table(np.where(leaf, own, nodes["left"]), np.intp),
         "path": table(np.where(leaf, nodes["depth"] + beyond, 0.0), np.float64),
     }
 
 
 def _scores(forest: dict, x: np.ndarray) -> np.ndarray:
-    """2^(-mean path / expected path): near 1 is anomalous, below 0.5 is ordinary."""
+    """2^(-mean path / expected path): near 1 is anomalous, below 0.5 is ordinary.
+
+    All rows of a batch take one step at a time, into arrays that are made once.
+    """
     n = len(x)
     flat = np.ascontiguousarray(x).ravel()
-    base = np.arange(n) * x.shape[1]
-    total = np.zeros(n)
+    base = np.arange(n, dtype=np.intp) * x.shape[1]
+    node, at, child = (np.empty(n, dtype=np.intp) for _ in range(3))
+    value, cut, path, total = (np.zeros(n) for _ in range(4))
+    above = np.empty(n, dtype=bool)
     for tree in range(forest["trees"]):
         part = slice(tree * forest["width"], (tree + 1) * forest["width"])
-        feature, split, left, right = (forest[k][part] for k in ("feature", "split", "left", "right"))
-        node = np.zeros(n, dtype=np.int32)
+        feature, split, left, length = (forest[k][part] for k in ("feature", "split", "left", "path"))
+        node[:] = 0
         for _ in range(forest["depth"]):
-            below = flat[base + feature[node]] <= split[node]
-            node = np.where(below, left[node], right[node])
-        total += forest["path"][part][node]
+            np.take(feature, node, out=at, mode="clip")
+            np.add(at, base, out=at)
+            np.take(flat, at, out=value, mode="clip")
+            np.take(split, node, out=cut, mode="clip")
+            np.greater(value, cut, out=above)
+            np.take(left, node, out=child, mode="clip")
+            np.add(child, above, out=node)
+        np.take(length, node, out=path, mode="clip")
+        np.add(total, path, out=total)
     return np.exp2(-(total / forest["trees"]) / forest["norm"])
 
 
