@@ -11,7 +11,7 @@ QUERIES = entry.queries()
 ORACLES = entry.oracle_sql()
 
 # the only window over a whole frame: finished reports of at most a few hundred or thousand rows
-REPORTS = {"j9_pr_auc", "i5_i6_pairwise_holm"}
+REPORTS = {"i5_i6_pairwise_holm"}
 
 
 def test_every_twin_has_a_query():
@@ -37,4 +37,4 @@ def test_query(spark, duck, sf_dir, name):
     if name not in REPORTS:
         # a window that gathers everything in one task may only run over band counts
         gathered = re.findall(r"Window \[([^\n]*)\n[^\n]*Sort[^\n]*\n[^\n]*SinglePartition", plan)
-        assert all("_band0" in w for w in gathered), gathered
+        assert all("_band0" in w or "_b#" in w for w in gathered), gathered

@@ -95,14 +95,11 @@ def j9(spark, sf):
                      r("precision_at_k").alias("precision_at_k"), r("recall_at_k").alias("recall_at_k"))
 
 
-@query("j9_pr_auc", f"""{_SCORED}, pts AS (SELECT CAST(round(score * 1000) AS INTEGER) AS step, sum(y) AS pos, count(*) AS n
-  FROM (SELECT y, 1 / (1 + exp(-score / 100.0::DOUBLE)) AS score FROM scored WHERE score IS NOT NULL) GROUP BY 1), curve AS (
-  SELECT pos, sum(pos) OVER w AS tp, sum(n) OVER w AS seen, sum(pos) OVER () AS total FROM pts
-  WINDOW w AS (ORDER BY step DESC ROWS UNBOUNDED PRECEDING))
-SELECT {rs('sum(pos / total * tp / seen)')} AS pr_auc FROM curve""")
+@query("j9_pr_auc", f"""{_SCORED}, pts AS (SELECT score, sum(y) AS pos, count(*) AS n FROM scored WHERE score IS NOT NULL GROUP BY 1), curve AS (
+  SELECT pos, sum(pos) OVER w AS tp, sum(n) OVER w AS seen FROM pts WINDOW w AS (ORDER BY score DESC ROWS UNBOUNDED PRECEDING))
+SELECT {rs('sum(pos * tp / seen) / sum(pos)')} AS pr_auc FROM curve""")
 def j9_auc(spark, sf):
-    bounded = _scored(spark, sf).withColumn("score", 1 / (1 + F.exp(-F.col("score") / 100.0)))
-    return M.pr_auc(bounded).select(r("pr_auc").alias("pr_auc"))
+    return M.pr_auc(_scored(spark, sf)).select(r("pr_auc").alias("pr_auc"))
 
 
 @query("j10_anomaly_table")

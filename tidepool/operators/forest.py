@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tidepool.operators.attach import attach
-from tidepool.operators.quantiles import exact_quantiles
+from tidepool.operators.quantiles import exact_quantiles, log_band
 from tidepool.session import materialized
 
 SAMPLE = 256
@@ -333,16 +333,27 @@ def at_k(scored: DataFrame, k: int = 10, hour: str = "hour_ts", ties: Sequence[s
 
 
 def pr_auc(scored: DataFrame) -> DataFrame:
-    """Area under the precision-recall curve over ``bins`` score steps, as one row.
+    """Area under the precision-recall curve (average precision over all thresholds), as one row.
 
-    Scores are rounded to a thousandth and counted, so the curve is built from at most a
-    thousand points however many rows there are.
+    Rows are counted per distinct score. The running totals the curve needs are taken
+    first over narrow score bands, of which there are a bounded number, and then inside
+    each band, so that no task orders all scores.
     """
-    step = F.round(F.col("score") * 1000).cast("int")
-    points = scored.where("score is not null").groupBy(step.alias("step")).agg(
-        F.sum("y").alias("pos"), F.count("*").alias("n")
+    score = F.col("score")
+    banded = scored.where("score is not null").withColumn("_band", log_band(score, 16))
+    points = banded.groupBy("_band", "score").agg(F.sum("y").alias("pos"), F.count("*").alias("n"))
+    bands = banded.groupBy(F.col("_band").alias("_b")).agg(F.sum("y").alias("_pos"), F.count("*").alias("_n"))
+    above = Window.orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
+    start = bands.select(
+        "_b",
+        F.coalesce(F.sum("_pos").over(above), F.lit(0)).alias("_tp"),
+        F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_seen"),
     )
-    down = Window.orderBy(F.desc("step")).rowsBetween(Window.unboundedPreceding, 0)
-    curve = points.select("pos", F.sum("pos").over(down).alias("tp"), F.sum("n").over(down).alias("seen"))
-    total = points.agg(F.sum("pos")).scalar()
-    return curve.agg(F.sum(F.try_divide(F.col("pos"), total) * F.col("tp") / F.col("seen")).alias("pr_auc"))
+    inside = Window.partitionBy("_band").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
+    curve = points.join(start, F.col("_band") == F.col("_b")).select(
+        "pos",
+        (F.col("_tp") + F.sum("pos").over(inside)).alias("tp"),
+        (F.col("_seen") + F.sum("n").over(inside)).alias("seen"),
+    )
+    sums = curve.agg(F.sum(F.col("pos") * F.col("tp") / F.col("seen")).alias("area"), F.sum("pos").alias("total"))
+    return sums.select(F.try_divide("area", "total").alias("pr_auc"))

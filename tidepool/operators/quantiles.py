@@ -33,7 +33,7 @@ DIRECT_LIMIT = 1_000_000
 _LOG_SPAN = 800  # |ln| of any finite double is below this
 
 
-def _band(value: Column, resolution: int) -> Column:
+def log_band(value: Column, resolution: int) -> Column:
     """A whole number that never decreases as ``value`` grows."""
     magnitude = F.least(F.abs(value), F.lit(1.7e308))
     step = F.floor(F.log(magnitude) * resolution) + F.lit(_LOG_SPAN * resolution)
@@ -131,7 +131,7 @@ def _by_counting(rows: DataFrame, names: list[str], qs: Sequence[float], resolut
     picked = None
     for level, resolution in enumerate(resolutions):
         code = f"_band{level}"
-        rows = rows.withColumn(code, _band(F.col("_v"), resolution))
+        rows = rows.withColumn(code, log_band(F.col("_v"), resolution))
         if picked is None:
             hist = rows.groupBy(*group, code).agg(F.count("*").alias("_n"))
             picked = _pick(hist, group, code, None, qs)
