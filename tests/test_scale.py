@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidepool.operators.features import pool_features
-from tidepool.operators.frames import dedup_latest, ffill_bfill, last_rows
+from tidepool.operators.frames import dedup_latest, ffill_bfill, fitting_chunk, last_rows
 from tidepool.operators.labels import label_spikes
 from tidepool.operators.profile import histogram
 from tidepool.operators.quantiles import exact_quantiles
@@ -96,6 +96,15 @@ def test_chunked_windows_equal_whole_ones(spark, chunk_hours):
     assert one.exceptAll(two).count() == 0
 
 
+def test_chunk_length_fits_the_densest_series(spark):
+    df = gappy(spark, 5)
+    assert fitting_chunk(df, ["pool_id"], "hour_ts") == 90 * 86_400
+    day = df.groupBy("pool_id", F.to_date("hour_ts")).count().agg(F.max("count")).first()[0]
+    assert fitting_chunk(df, ["pool_id"], "hour_ts", most=day) == 86_400
+    assert fitting_chunk(df, ["pool_id"], "hour_ts", most=0) == 3600
+    assert fitting_chunk(df.limit(0), ["pool_id"], "hour_ts") == 90 * 86_400
+
+
 @pytest.mark.parametrize("chunk_hours", [1, 24, 24 * 30])
 def test_chunked_fill_equals_pandas(spark, chunk_hours):
     df = gappy(spark, 9).withColumn("tvl_usd", F.when(F.col("tvl_usd") > 2, F.col("tvl_usd")))

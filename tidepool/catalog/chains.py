@@ -80,12 +80,19 @@ _CHAINED = f"""WITH {LABELLED} SELECT dex, y, pool_id, {epochs('hour_ts')} AS ho
 
 @query("k4_run_stages", _CHAINED)
 def k4(spark, sf):
-    lines = X.raw_json(spark, sf)
-    first = R.land_raw(lines, datetime(2024, 2, 1))
-    stale = F.regexp_replace("value", '"volumeUSD":"[^"]*"', '"volumeUSD":"1.5"')
-    again = R.land_raw(lines.select(stale.alias("value"), "protocol"), datetime(2024, 1, 31))
-    landed = first.unionByName(again)
-    raw = {p: landed.where(F.col("protocol") == p).select("raw", "load_ts") for p in ("dexa", "dexb")}
+    """Landed files to labels. An earlier load of every hour had another volume, and some lines are cut off."""
+    folder = new_folder(spark, "landing")
+    lines = materialized(X.raw_json(spark, sf), "lines")
+    stale = lines.withColumn("value", F.regexp_replace("value", '"volumeUSD":"[^"]*"', '"volumeUSD":"1.5"'))
+    broken = lines.withColumn("value", F.substring("value", 1, 30))
+    raw = {}
+    for p in ("dexa", "dexb"):
+        loads = []
+        for name, part, at in (("old", stale.union(broken), datetime(2024, 1, 31)), ("new", lines, datetime(2024, 2, 1))):
+            path = f"{folder}/{p}/{name}_pool.jsonl"
+            part.where(F.col("protocol") == p).select("value").write.text(path)
+            loads.append(R.land_raw(R.read_lines(spark, path).select("value"), at))
+        raw[p] = loads[0].unionByName(loads[1])
     df = mart.run_stages(raw)["labelled"]
     return df.select("dex", "y", "pool_id", epoch("hour_ts").alias("hour_epoch"), "volume_usd", "tvl_usd", "vol_rate_24h",
                      "tvl_rate_24h", "vol_tvl_ratio", r("vol_ma_6h").alias("vol_ma_6h"), r("vol_ma_24h").alias("vol_ma_24h"))

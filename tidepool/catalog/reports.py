@@ -234,6 +234,7 @@ def e24(spark, sf):
     return P.kde(logs, "x").select("i", r("x").alias("x"), r("density").alias("density"))
 
 
+# The candidate scaling factors.
 FACTORS = {"1e6": 1e6, "1e12": 1e12, "1e18": 1e18, "2^96": 2.0**96, "2^128": 2.0**128}
 
 

@@ -16,7 +16,7 @@ from tidepool.functions import scalars as S
 from tidepool.operators import combine as J
 from tidepool.operators.features import change_rate, pct_change, pool_features, time_features
 from tidepool.operators.frames import (
-    error_flag, ffill_bfill, moving_avg, rolling_mean, rolling_std, row_frames,
+    error_flag, ffill_bfill, fitting_chunk, moving_avg, rolling_mean, rolling_std, row_frames,
 )
 from tidepool.operators.labels import label_spikes, pool_quantile
 
@@ -63,6 +63,15 @@ def f3(spark, sf):
     return _framed(spark, sf, 24)
 
 
+@query("f3_moving_avg_24_events", f"""SELECT event_id, {rs('avg(value) OVER (PARTITION BY event_type ORDER BY ts ROWS BETWEEN 23 PRECEDING AND CURRENT ROW)')} AS ma FROM events""")
+def f3_events(spark, sf):
+    """Few keys with very many rows each: a fifth of all events in every series."""
+    df = X.table(spark, sf, "events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), "value")
+    chunk = fitting_chunk(df, ["event_type"], "ts", most=2000)
+    framed = row_frames(df, ["event_type"], "ts", {"ma": moving_avg("value", 24)}, 24, chunk)
+    return framed.select("event_id", r("ma").alias("ma"))
+
+
 @query("f4_rolling_mean_24", f"WITH {EXPLORED} SELECT id, {rs('volume_ma24')} AS volume_ma24 FROM explored")
 def f4(spark, sf):
     df = row_frames(hours(spark, sf), ["pool_address"], "hour_ts", {"volume_ma24": rolling_mean("volume_usd", 24)}, 24)

@@ -1,4 +1,4 @@
-"""Feature sets of the mart and of the exploration notebooks' model."""
+"""Feature sets of the mart and of the exploration model."""
 
 from __future__ import annotations
 

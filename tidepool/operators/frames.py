@@ -21,6 +21,8 @@ from pyspark.sql.window import Window, WindowSpec
 
 HOURLY_CHUNK = 90 * 86_400  # at most 2 160 rows of a de-duplicated hourly series
 
+CHUNK_LENGTHS = (3600, 6 * 3600, 86_400, 7 * 86_400, 30 * 86_400, HOURLY_CHUNK)
+
 Frame = Callable[[WindowSpec], Column]
 
 
@@ -29,6 +31,23 @@ def time_chunk(ts: str, seconds: int) -> Column:
     return F.floor(F.unix_timestamp(F.col(ts).cast("timestamp")) / F.lit(seconds))
 
 
+def fitting_chunk(df: DataFrame, keys: Sequence[str], order: str, most: int = 1_000_000) -> int:
+    """The longest chunk, in seconds, that keeps every (key, chunk) at or below ``most`` rows.
+
+    For series that are not one row per hour. Rows are counted per key and hour, combined
+    before the shuffle, and one row of maxima comes back. An hour is the shortest answer.
+    """
+    hours = df.groupBy(*keys, time_chunk(order, 3600).alias("_hour")).agg(F.count("*").alias("_n"))
+    largest = {}
+    for length in CHUNK_LENGTHS:
+        period = F.floor(F.col("_hour") / F.lit(length // 3600))
+        sums = hours.groupBy(*keys, period.alias("_p")).agg(F.sum("_n").alias("_n"))
+        largest[length] = sums.agg(F.max("_n")).scalar()
+    found = df.sparkSession.range(1).select(*[n.alias(str(length)) for length, n in largest.items()]).first()
+    fitting = [length for length in CHUNK_LENGTHS if (found[str(length)] or 0) <= most]
+    return max(fitting, default=min(CHUNK_LENGTHS))
+
+
 def row_frames(
     df: DataFrame,
     keys: Sequence[str],
@@ -40,8 +59,9 @@ def row_frames(
     """Add the columns in ``frames``, each a function of the (keys, order) window.
 
     ``order`` must be unique within a key, as it is after de-duplication, and no frame may
-    reach back more than ``lookback`` rows or forward at all. ``chunk_seconds=None`` uses
-    one window per key, for keys known to be short.
+    reach back more than ``lookback`` rows or forward at all. The default chunk suits hourly
+    series; ``fitting_chunk`` finds one for denser data. ``chunk_seconds=None`` uses one
+    window per key, for keys known to be short.
     """
     if chunk_seconds is None:
         whole = Window.partitionBy(*keys).orderBy(order)

@@ -26,9 +26,10 @@ def run_stages(raw: dict[str, DataFrame], q: float = 0.9, dedup: bool = True, co
 
     Repeated loads of a pool-hour are reduced to the newest before any row-based window,
     because a repeated hour would shift every lag after it. Features are written once, as
-    the labels read them twice.
+    the labels read them twice. Lines that were no JSON are left out; keep them with
+    ``split_bad_records`` when landing.
     """
-    staged = union_protocols({name: stage_pool_hourly(df, col) for name, df in raw.items()})
+    staged = union_protocols({n: stage_pool_hourly(df.where(F.col(col).isNotNull()), col) for n, df in raw.items()})
     if dedup:
         staged = dedup_latest(staged, L.POOL_HOUR_KEY, "load_ts", ["dex", "volume_usd", "tvl_usd"])
     features = materialized(pool_features(staged.select(*FEATURE_INPUT)), "features")

@@ -39,6 +39,7 @@ RECORD = T.StructType(
 
 POOL_HOUR_KEY = ["pool_id", "hour_ts"]
 
+# Column names of the feed and of the tables made from it.
 STAGED = {
     "pool_id": "pool.id",
     "token0_id": "pool.token0.id",
@@ -80,12 +81,14 @@ METADATA = {
     },
 }
 
+# The thirteen measures that cleaning turns into numbers.
 NUMERIC = [
     "volume_usd", "tvl_usd", "fees_usd", "open_price", "high_price", "low_price",
     "close_price", "liquidity", "volume_token0", "volume_token1", "tx_count",
     "tick", "sqrt_price",
 ]
 
+# The model inputs.
 MART_FEATURES = [
     "tvl_usd", "volume_usd", "liquidity", "vol_rate_24h", "tvl_rate_24h",
     "vol_ma_6h", "vol_ma_24h", "vol_tvl_ratio",
