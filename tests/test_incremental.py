@@ -42,6 +42,14 @@ def test_incremental_features_equal_a_rebuild(hours, recent_days):
     assert same(rounded(mart.incremental_features(hours, target.limit(0))), rounded(pool_features(hours)))
 
 
+def test_tails_leave_out_hours_that_are_passed(hours):
+    features, tails = mart.features_from_tails(hours, hours.limit(0))
+    assert same(rounded(features), rounded(pool_features(hours)))
+    assert tails.groupBy("pool_id").count().agg(F.max("count")).first()[0] == 24
+    again, unchanged = mart.features_from_tails(hours, tails)
+    assert again.count() == 0 and same(unchanged, tails)
+
+
 def test_old_labels_are_not_revised_and_an_empty_target_gets_all(hours):
     source = pool_features(hours)
     assert mart.incremental_label(source, source.limit(0)).count() == hours.count()

@@ -66,6 +66,20 @@ def k2_features(spark, sf):
     return feature_columns_out(mart.incremental_features(source, source.where(F.col("hour_ts") < F.lit(_SPLIT))))
 
 
+@query("k2_features_from_tails", f"""WITH {FEATURES} SELECT {FEATURE_COLUMNS_SQL} FROM features WHERE hour_ts >= TIMESTAMP '2024-01-20'""")
+def k2_tails(spark, sf):
+    """Two batches after day 20, each computed from the tails the step before left behind."""
+    source = materialized(X.pool_hourly(spark, sf), "hours")
+    between = lambda a, b: source.where((F.col("hour_ts") >= F.lit(a)) & (F.col("hour_ts") < F.lit(b)))
+    steps = [datetime(2023, 1, 1), _SPLIT, datetime(2024, 1, 25), datetime(2030, 1, 1)]
+    tails, made = source.limit(0), []
+    for a, b in zip(steps, steps[1:]):
+        features, after = mart.features_from_tails(between(a, b), tails)
+        tails = materialized(after, "tails")
+        made.append(features)
+    return feature_columns_out(made[1].unionByName(made[2]))
+
+
 @query("k3_expect_not_null", f"""WITH {FEATURES}
 SELECT 'pool_id' AS "column", count(*) FILTER (pool_id IS NULL) AS violations FROM features
 UNION ALL SELECT 'hour_ts', count(*) FILTER (hour_ts IS NULL) FROM features

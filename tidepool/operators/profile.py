@@ -209,7 +209,8 @@ def pearson(a: str | Column, b: str | Column) -> Column:
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlation of every two columns over the rows that have both."""
     pairs = list(combinations_with_replacement(cols, 2))
-    one = df.agg(*[pearson(a, b).alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
+    with_itself = lambda c: F.when(F.var_pop(c) > 0, 1.0)
+    one = df.agg(*[(with_itself(a) if a == b else pearson(a, b)).alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
     cells = [
         F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"_{i}").alias("corr"))
         for i, (x, y) in enumerate(pairs)

@@ -14,6 +14,9 @@ Nothing but counts is shuffled until the last step, which sees the few rows that
 a very narrow band with an answer. Bands are monotone in the value, which is all the
 argument needs; ties and interpolation are then exact on the real values.
 
+The input is read once per step, up to five times for large groups, though one column wide;
+store the result of an expensive plan before asking for its quantiles.
+
 What is broadcast: the keys of large groups and their picked bands. There are at most
 (all rows / DIRECT_LIMIT) large groups and two bands per quantile in each, a million keys
 for 10^12 rows. Without large groups adaptive execution drops that half of the plan.

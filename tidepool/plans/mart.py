@@ -80,6 +80,23 @@ def incremental_features(source: DataFrame, target: DataFrame, recent_days: int
     return pool_features(before.unionByName(fresh)).where(F.col("hour_ts") > F.lit(newest))
 
 
+def features_from_tails(fresh: DataFrame, tails: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Features of an hourly batch from a small state table, and that table's next content.
+
+    ``tails`` holds the last 24 rows of every pool. An hourly run then reads that and the
+    batch, never the history. Hours a pool already has or has passed are left out, as in
+    the other incremental forms.
+    """
+    cols = tails.columns
+    newest = tails.groupBy(F.col("pool_id").alias("_pool")).agg(F.max("hour_ts").alias("_newest"))
+    ahead = fresh.join(newest, F.col("pool_id") == F.col("_pool"), "left").where(
+        F.col("_newest").isNull() | (F.col("hour_ts") > F.col("_newest"))
+    )
+    rows = tails.withColumn("_fresh", F.lit(False)).unionByName(ahead.select(*cols, F.lit(True).alias("_fresh")))
+    features = pool_features(rows).where("_fresh").drop("_fresh")
+    return features, last_rows(rows.drop("_fresh"), ["pool_id"], "hour_ts", LAG_ROWS)
+
+
 def incremental_label(
     source: DataFrame, target: DataFrame, q: float = 0.9, reprocess_from: Column | datetime | None = None
 ) -> DataFrame:
