@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidepool import fixtures as X
 from tidepool.catalog.registry import (
-    EXPLORED, LABELLED, POOL_EVENTS, POOL_HOURLY, WIDE, epoch, epochs, query, r, rs, sci, scis,
+    EXPLORED, LABELLED, POOL_EVENTS, POOL_HOURLY, WIDE, epoch, epochs, query, r, rs,
 )
 from tidepool.functions import scalars as S
 from tidepool.functions.json_fields import epoch_to_ts
@@ -120,13 +120,13 @@ def b25(spark, sf):
 
 
 @query("b26_ratios", f"""WITH {WIDE}
-SELECT id, volume_usd / nullif(tvl_usd, 0) AS strict, {scis('volume_usd / (tvl_usd + 1e-10::DOUBLE)')} AS eps,
-       {scis('tvl_usd / (volume_usd + 1e-9::DOUBLE)')} AS inverse FROM wide""")
+SELECT id, volume_usd / nullif(tvl_usd, 0) AS strict, volume_usd / (tvl_usd + 1e-10::DOUBLE) AS eps,
+       tvl_usd / (volume_usd + 1e-9::DOUBLE) AS inverse FROM wide""")
 def b26(spark, sf):
     v, t = F.col("volume_usd"), F.col("tvl_usd")
     return X.wide(spark, sf).select(
-        "id", S.ratio_or_null(v, t).alias("strict"), sci(S.ratio_eps(v, t)).alias("eps"),
-        sci(S.ratio_eps(t, v, 1e-9)).alias("inverse"),
+        "id", S.ratio_or_null(v, t).alias("strict"), S.ratio_eps(v, t).alias("eps"),
+        S.ratio_eps(t, v, 1e-9).alias("inverse"),
     )
 
 

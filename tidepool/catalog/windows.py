@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidepool import fixtures as X
 from tidepool.catalog.registry import (
     EXPLORED, FEATURE_COLUMNS_SQL, FEATURES, LABELLED, POOL_EVENTS, POOL_HOURLY, WIDE, epoch, epochs, feature_columns_out, query, r,
-    rs, scis, sci,
+    rs,
 )
 from tidepool.functions.json_fields import epoch_to_ts
 from tidepool.functions import scalars as S
@@ -132,13 +132,13 @@ def f11_chunked(spark, sf):
 
 @query("f12_time_features", f"""WITH {EXPLORED}
 SELECT id, {rs('volume_ma24')} AS volume_ma24, {rs('volume_deviation')} AS volume_deviation,
-       {rs('volume_volatility')} AS volume_volatility, {scis('volume_tvl_ratio')} AS volume_tvl_ratio,
+       {rs('volume_volatility')} AS volume_volatility, volume_tvl_ratio,
        {rs('price_change')} AS price_change FROM explored""")
 def f12(spark, sf):
     df = explored(spark, sf)
     return df.select(
         "id", r("volume_ma24").alias("volume_ma24"), r("volume_deviation").alias("volume_deviation"),
-        r("volume_volatility").alias("volume_volatility"), sci("volume_tvl_ratio").alias("volume_tvl_ratio"),
+        r("volume_volatility").alias("volume_volatility"), "volume_tvl_ratio",
         r("price_change").alias("price_change"),
     )
 
