@@ -72,22 +72,19 @@ class ShardWriter:
         self.held = [ids[whole:].copy()]
         self.n_held = len(ids) - whole
 
-    def add(self, doc_ids: pa.Array, encoded: list[bytes], end_id: int) -> None:
-        end = np.array([end_id], self.dtype)
-        sizes = np.empty(len(encoded), np.int64)
-        for i, raw in enumerate(encoded):
-            ids = np.frombuffer(raw, self.dtype)
-            sizes[i] = len(ids) + 1
-            self.held += [ids, end]
-            self.n_held += len(ids) + 1
-            if self.n_held >= self.length * BATCH:
-                self._flush(last=False)
+    def add(self, doc_ids: pa.Array, ids: np.ndarray, sizes: np.ndarray, end_id: int) -> None:
+        """Documents one after the other: their ids, and how many each has without its end."""
+        self.held.append(np.insert(ids, np.cumsum(sizes), end_id))
+        sizes = sizes + 1
+        self.n_held += len(self.held[-1])
+        if self.n_held >= self.length * BATCH:
+            self._flush(last=False)
         starts = self.n_tokens + np.cumsum(sizes) - sizes
         rows = pa.RecordBatch.from_arrays([doc_ids, pa.array(starts), pa.array(sizes)], names=["doc_id", "start", "n_tokens"])
         if self.index is None:
             self.index = pa.ipc.new_file(self.sinks[1], rows.schema)
         self.index.write_batch(rows)
-        self.n_docs += len(encoded)
+        self.n_docs += len(sizes)
         self.n_tokens += int(sizes.sum())
 
     def close(self) -> None:
@@ -116,7 +113,7 @@ def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int, id_c
         for batch in batches:
             if batch.num_rows:
                 writer = writer or ShardWriter(folder, task.partitionId(), task.taskAttemptId(), length, encode.dtype)
-                writer.add(batch.column("doc_id"), encode.encode(batch.column("text").to_pylist()), end_id)
+                writer.add(batch.column("doc_id"), *encode.encode(batch.column("text")), end_id)
         if writer:
             writer.close()
             yield pa.RecordBatch.from_pydict({"shard": [task.partitionId()], "n_docs": [writer.n_docs], "n_tokens": [writer.n_tokens]})
