@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidepool.llm.common import documents
+from tidepool.llm.packing import pack_documents
 from tidepool.llm.registry import ORACLES, QUERIES, query
+from tidepool.llm.secret_scan import scan_documents
+from tidepool.llm.simhash import near_duplicates
 from tidepool.llm.token_counts import token_counts
 from tidepool.llm.token_files import read_documents, write_token_files
 from tidepool.session import new_folder
@@ -22,7 +25,25 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(manifest)
 
 
+@query("op4_pack")
+def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document packed into sequences of 2048 tokens."""
+    return pack_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=0, capacity=2048)
+
+
+@query("op6_simhash")
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose fingerprints are linked at two or fewer differing bits."""
+    return near_duplicates(documents(spark, sf_dir), words=3, bits=2)
+
+
 @query("op7_token_counts")
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Number of SentencePiece tokens of every document."""
     return token_counts(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
+
+
+@query("op8_secrets")
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, from a ledger that starts empty."""
+    return scan_documents(documents(spark, sf_dir))
