@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidepool.llm.common import documents
+from tidepool.llm.imatch import fingerprints
 from tidepool.llm.packing import pack_documents
 from tidepool.llm.registry import ORACLES, QUERIES, query
 from tidepool.llm.secret_scan import scan_documents
@@ -31,6 +32,12 @@ def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=0, capacity=2048)
 
 
+@query("op5_imatch")
+def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I-Match fingerprints of every document and of its edited text."""
+    return fingerprints(documents(spark, sf_dir))
+
+
 @query("op6_simhash")
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose fingerprints are linked at two or fewer differing bits."""
