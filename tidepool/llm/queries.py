@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidepool.llm.common import documents
 from tidepool.llm.imatch import fingerprints
+from tidepool.llm.langid import identify, learn
 from tidepool.llm.packing import pack_documents
+from tidepool.llm.quality import judge, train
 from tidepool.llm.registry import ORACLES, QUERIES, query
 from tidepool.llm.secret_scan import scan_documents
 from tidepool.llm.simhash import near_duplicates
+from tidepool.llm.substring_dedup import dedup_substrings
 from tidepool.llm.token_counts import token_counts
 from tidepool.llm.token_files import read_documents, write_token_files
 from tidepool.session import new_folder
@@ -18,6 +22,15 @@ from tidepool.session import new_folder
 __all__ = ["ORACLES", "QUERIES"]
 
 
+@query("op1_substrings")
+def op1_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages that an earlier document holds, and every text without them."""
+    found = dedup_substrings(documents(spark, sf_dir).select("doc_id", "text", F.length("text").cast("long").alias("n_chars")))
+    listed = F.concat_ws(",", F.transform("removed", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))))
+    gone = F.col("n_chars") - F.length("text")
+    return found.select("doc_id", "n_chars", gone.alias("n_removed"), F.size("removed").alias("n_spans"), listed.alias("spans"), "text")
+
+
 @query("op2_token_files")
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, written as Arrow files and read back from them."""
@@ -54,3 +67,18 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document, from a ledger that starts empty."""
     return scan_documents(documents(spark, sf_dir))
+
+
+@query("op9_quality")
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every document and whether it is kept."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    judged = judge(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "probability")
+
+
+@query("op10_language")
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    docs = documents(spark, sf_dir)
+    return identify(docs, learn(docs))

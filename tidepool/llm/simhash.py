@@ -55,15 +55,16 @@ def fingerprint(text: str, words: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id`` and ``fp``, the fingerprint as a signed 64-bit number."""
+    """``doc_id``, ``th`` (hash of the text) and ``fp``, the fingerprint as a signed 64-bit number."""
     kind = docs.schema[id_col].dataType.simpleString()
-    given = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
+    text = whole_text(text_col)
+    given = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
 
     def make(batch: pa.RecordBatch) -> dict:
         found = np.array([fingerprint(t, words) for t in batch.column("text").to_pylist()], np.uint64)
-        return {"doc_id": batch.column("doc_id"), "fp": found.view(np.int64)}
+        return {"doc_id": batch.column("doc_id"), "th": batch.column("th"), "fp": found.view(np.int64)}
 
-    return map_batches(given, make, f"doc_id {kind}, fp bigint")
+    return map_batches(given, make, f"doc_id {kind}, th bigint, fp bigint")
 
 
 def _signed(x: int) -> int:
@@ -117,12 +118,31 @@ def components(pairs: DataFrame) -> DataFrame:
             return labels
 
 
-def near_duplicates(docs: DataFrame, words: int = 3, bits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id``, the smallest id of the group, for every row."""
-    marked = materialized(fingerprints(docs, words, id_col, text_col), "fingerprints")
+def _groups(marked: DataFrame, bits: int) -> DataFrame:
+    """``fp``, ``label`` of its group and ``component_id`` for every fingerprint of ``marked`` (doc_id, fp)."""
     fps = materialized(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     labels = components(links(fps.select("fp"), bits)).toDF("node", "label")
     grouped = fps.join(labels, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
     named = grouped.groupBy("label").agg(F.min("first").alias("component_id"))
-    by_fp = grouped.select("fp", "label").join(named, "label").select("fp", "component_id")
-    return marked.join(by_fp, "fp").select(F.col("doc_id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return grouped.select("fp", "label").join(named, "label").select("fp", "label", "component_id")
+
+
+def near_duplicates(docs: DataFrame, words: int = 3, bits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id``, the smallest id of the group, for every row."""
+    marked = materialized(fingerprints(docs, words, id_col, text_col).select("doc_id", "fp"), "fingerprints")
+    groups = _groups(marked, bits).select("fp", "component_id")
+    return marked.join(groups, "fp").select(F.col("doc_id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, words: int = 3, bits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each group with all its columns: the smallest id, null last, then the smallest hash of the text.
+
+    Of rows equal in id and text any one stays.
+    """
+    marked = materialized(fingerprints(docs, words, id_col, text_col), "fingerprints")
+    labelled = marked.join(_groups(marked.select("doc_id", "fp"), bits).select("fp", "label"), "fp")
+    first = F.struct(F.col("doc_id").isNull().alias("without"), F.col("doc_id").alias("id"), "th")
+    chosen = labelled.groupBy("label").agg(F.min(first).alias("k")).select(F.col("k.id").alias("_kid"), F.col("k.th").alias("_kth"))
+    rows = docs.withColumn("_th", F.xxhash64(whole_text(text_col)))
+    kept = rows.join(chosen, F.col(id_col).eqNullSafe(F.col("_kid")) & (F.col("_th") == F.col("_kth")), "left_semi")
+    return kept.dropDuplicates([id_col, "_th"]).select(*docs.columns)
