@@ -21,7 +21,7 @@ from tokenizers.pre_tokenizers import ByteLevel
 from tidepool.llm.common import per_process
 
 #: Parts kept per worker, and the longest part that is kept: bounds memory, never the result.
-KEPT_PARTS = 200_000
+KEPT_PARTS = 150_000
 KEPT_LENGTH = 40
 GROUP = 8 << 20
 
@@ -59,9 +59,9 @@ class PartEncoder:
                 self.plain = form
         self.line_feed, *marks = self._raw(["\n", ".", ","])
         self.marks = dict(zip(".,", marks, strict=True))
-        # two generations: what is still in use moves to the recent one before the older one goes
-        self.recent: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        # a part met again moves from the trial to those kept; a full trial is emptied, full kept ones are tried anew
+        self.kept: dict[str, bytes] = {}
+        self.trial: dict[str, bytes] = {}
 
     def _raw(self, texts: list[str]) -> list[bytes]:
         got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -76,7 +76,10 @@ class PartEncoder:
         rest = []
         tokenize, plain, code = self.tokenizer.model.tokenize, self.plain, self.code
         for i, w in enumerate(words):
-            if plain and _LETTERS.fullmatch(w):
+            bare = w[1:] if w[:1] == " " else w
+            if plain and bare.isascii() and bare.isalpha():
+                out[i] = array(code, [t.id for t in tokenize(plain(w))]).tobytes()
+            elif plain and _LETTERS.fullmatch(w):
                 out[i] = array(code, [t.id for t in tokenize(plain(w).translate(self.letters))]).tobytes()
             else:
                 rest.append(i)
@@ -134,32 +137,37 @@ class PartEncoder:
 
     def _lookup(self, words: list[str]) -> list[bytes]:
         """Ids of each part. A sentence end behind a letter is a word of its own, so only the letters are new."""
-        recent, older, marks = self.recent, self.older, self.marks
-        found = list(map(recent.get, words))
-        todo = []
-        for i, w in enumerate(words):
-            if found[i] is None:
-                ids = older.get(w)
-                if ids is None:
-                    mark = marks[w[-1]] if w[-1:] in marks and w[-2:-1].isalpha() and w[-2] < "Ā" else b""
-                    stem = w[:-1] if mark else w
-                    todo.append((i, w, stem, mark))
-                else:
-                    found[i] = recent[w] = ids
-        if not todo:
-            return found
-        stems = dict.fromkeys(x[2] for x in todo)
-        stems = {w: recent.get(w) or older.get(w) for w in stems}
+        kept, trial, marks = self.kept, self.trial, self.marks
+        found = list(map(kept.get, words))
+        todo, stems = [], {}
+        for i, ids in enumerate(found):
+            if ids is None:
+                w = words[i]
+                ids = trial.get(w)
+                if ids is not None:
+                    found[i] = kept[w] = ids
+                    continue
+                todo.append(i)
+                if w[-1:] in marks and w[-2:-1].isalpha() and w[-2] < "Ā":
+                    w = w[:-1]
+                stems[w] = kept.get(w) or trial.get(w)
         new = [w for w, ids in stems.items() if ids is None]
-        stems.update(zip(new, self._words(new), strict=True))
-        for i, w, stem, mark in todo:
-            ids = found[i] = stems[stem] + mark
+        for w, ids in zip(new, self._words(new), strict=True):
+            stems[w] = ids
             if len(w) <= KEPT_LENGTH:
-                recent[w] = ids
-                if mark:
-                    recent[stem] = stems[stem]
-        if len(recent) > KEPT_PARTS:
-            self.older, self.recent = recent, {}
+                trial[w] = ids
+        for i in todo:
+            w = words[i]
+            if w in stems:
+                found[i] = stems[w]
+            else:
+                ids = found[i] = stems[w[:-1]] + marks[w[-1]]
+                if len(w) <= KEPT_LENGTH:
+                    trial[w] = ids
+        if len(kept) > KEPT_PARTS:
+            self.kept, self.trial = {}, kept
+        elif len(trial) > 2 * KEPT_PARTS:
+            self.trial = {}
         return found
 
 

@@ -21,13 +21,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidepool.llm.common import map_batches
+from tidepool.llm.common import by_bytes, map_batches
 
 #: Labelled rows of each class that the model is fitted on, and the longest text among them.
 PER_CLASS = 1_000
-LONGEST = 50_000
+LONGEST = 20_000
 THRESHOLD = 0.5
 WINDOW = 8
+#: Characters that are scored at a time.
+GROUP = 500_000
 _BITS = 16
 _RUNS = (3, 5)
 # White space and symbols of the counts.
@@ -133,13 +135,13 @@ def fit(texts: list[str], good: np.ndarray, share: float, steps: int = 100, rate
         for kind, (text, feature, n) in enumerate(Texts(texts[at : at + 256]).features()):
             key, count = np.unique(text * (1 << _BITS) + feature, return_counts=True)
             text = key >> _BITS
-            rows.append(text + at)
-            cols.append((key & ((1 << _BITS) - 1)) + (kind << _BITS))
-            values.append(count / n[text])
+            rows.append((text + at).astype(np.int32))
+            cols.append(((key & ((1 << _BITS) - 1)) + (kind << _BITS)).astype(np.int32))
+            values.append((count / n[text]).astype(np.float32))
     row, col, value = (np.concatenate(x) for x in (rows, cols, values))
     # each kind of feature on one scale, so that the rows have a length of about one
     size = np.repeat(np.sqrt(np.bincount(col >> _BITS, value * value, kinds) / len(texts)) + 1e-12, 1 << _BITS)
-    value = value / size[col]
+    value = (value / size[col]).astype(np.float32)
     held = np.arange(len(texts)) % 5 == 4
     want = good.astype(float)
     weight = np.where(held, 0, np.where(good, 0.5 / max(1, (good & ~held).sum()), 0.5 / max(1, (~good & ~held).sum())))
@@ -199,9 +201,13 @@ def judge(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
     names = given.columns
 
     def score(batch: pa.RecordBatch) -> dict:
-        texts = Texts([t or "" for t in batch.column(text_col).to_pylist()])
-        out = {c: batch.column(c) for c in names} | texts.counts()
-        return out | {"probability": shared.value.probabilities(texts) if shared.value else np.ones(batch.num_rows)}
+        made: dict[str, list] = {c: [] for c in (*counted, "probability")}
+        for group in by_bytes([t or "" for t in batch.column(text_col).to_pylist()], GROUP):
+            texts = Texts(group)
+            for c, values in texts.counts().items():
+                made[c].append(values)
+            made["probability"].append(shared.value.probabilities(texts) if shared.value else np.ones(len(group)))
+        return {c: batch.column(c) for c in names} | {c: np.concatenate(x) if x else [] for c, x in made.items()}
 
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     scored = map_batches(given, score, kind).withColumn("base_failed", failed)

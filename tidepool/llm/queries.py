@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidepool.llm.common import documents
 from tidepool.llm.imatch import fingerprints
 from tidepool.llm.langid import identify, learn
+from tidepool.llm.nbest import nbest_digests
 from tidepool.llm.packing import pack_documents
 from tidepool.llm.quality import judge, train
 from tidepool.llm.registry import ORACLES, QUERIES, query
@@ -39,6 +40,12 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(manifest)
 
 
+@query("op3_nbest")
+def op3_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four best segmentations of every document."""
+    return nbest_digests(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), n_best=4)
+
+
 @query("op4_pack")
 def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into sequences of 2048 tokens."""
