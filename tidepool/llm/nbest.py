@@ -20,10 +20,12 @@ rows. Repeated rows stay. Other columns are not looked at. An empty table gives
 
 from __future__ import annotations
 
+import gc
 import heapq
 import math
 import zlib
 from array import array
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,12 +47,12 @@ GROUP = 4_000_000
 
 
 class Unit:
-    """Best path of a stretch of text, what the second best costs more, and the parts that it falls into."""
+    """Best path of a stretch of text that pieces do not leave, and what the second best costs more."""
 
-    __slots__ = ("ids", "score", "gap", "text", "parts", "ranked")
+    __slots__ = ("ids", "score", "gap", "text", "ranked")
 
-    def __init__(self, ids: bytes, score: float, gap: float, text: str, parts: tuple[Unit, ...] = ()):
-        self.ids, self.score, self.gap, self.text, self.parts = ids, score, gap, text, parts
+    def __init__(self, ids: bytes, score: float, gap: float, text: str):
+        self.ids, self.score, self.gap, self.text = ids, score, gap, text
         self.ranked: list[tuple[float, bytes]] | None = None
 
 
@@ -75,8 +77,10 @@ class Segmenter:
                 self.surface[i] = b""
         self.table = _Table(self.starts, self.pieces)
         self.pairs = np.sort(np.array([(ord(p[0]) << 21) | ord(p[1]) for p in self.joined], np.int64))
-        self.units: dict[str, Unit] = {}
-        self.trial: dict[str, Unit] = {}
+        # words met again move from the trial to those kept
+        self.kept: dict[str, tuple[Unit, ...]] = {}
+        self.trial: dict[str, tuple[Unit, ...]] = {}
+        self.parts: dict[str, Unit] = {}
 
     def edges(self, text: str) -> list[tuple[int, int, float]]:
         """(start, end, score) of every piece that matches, by start."""
@@ -172,62 +176,57 @@ class Segmenter:
         split = [self.words(t) for t in texts]
         wanted: set[str] = set()
         wanted.update(*split)
-        known, trial = self.units, self.trial
-        here: dict[str, Unit] = {}
+        kept, trial = self.kept, self.trial
+        here: dict[str, tuple[Unit, ...]] = {}
         new = []
         for w in wanted:
-            unit = known.get(w)
-            if unit is None:
-                unit = trial.get(w)
-                if unit is None:
+            units = kept.get(w)
+            if units is None:
+                units = trial.get(w)
+                if units is None:
                     new.append(w)
                     continue
-                known[w] = unit
-            here[w] = unit
-        self._solve_words(new, here)
-        if len(known) > KEPT_UNITS:
-            self.units, self.trial = {}, known
+                kept[w] = units
+            here[w] = units
+        if new:
+            solved = dict(zip(new, self._solve_words(new), strict=True))
+            here.update(solved)
+            trial.update({w: units for w, units in solved.items() if len(w) <= KEPT_LENGTH})
+        if len(kept) > KEPT_UNITS:
+            self.kept, self.trial = {}, kept
         elif len(trial) > 2 * KEPT_UNITS:
             self.trial = {}
-        return [list(map(here.__getitem__, words)) for words in split]
+        return [list(chain.from_iterable(map(here.__getitem__, words))) for words in split]
 
-    def _solve_words(self, words: list[str], here: dict[str, Unit]) -> None:
+    def _solve_words(self, words: list[str]) -> list[tuple[Unit, ...]]:
         """Cut words where no piece can cross and solve the parts that are new."""
-        if not words:
-            return
         joined = SPACE + SPACE.join(words)
         points = np.frombuffer(joined.encode("utf-32-le"), "<u4").astype(np.int64)
-        sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
-        ends = np.cumsum(sizes)
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
         pair = (points[:-1] << 21) | points[1:]
         at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
         cut = np.append(self.pairs[at] != pair, True) if len(self.pairs) else np.ones(len(points), bool)
         cut[ends - 1] = True
         stops = np.flatnonzero(cut) + 1
-        parts = [joined[i:j] for i, j in zip([0, *stops[:-1].tolist()], stops.tolist(), strict=True)]
-        solved: dict[str, Unit] = {}
+        places = stops.tolist()
+        parts = [joined[i:j] for i, j in zip([0, *places], places, strict=False)]
+        known = self.parts
+        solved = dict.fromkeys(parts)
         new = []
-        for part in set(parts):
-            unit = self.trial.get("\0" + part)  # beside the words, which stand without their space
+        for part in solved:
+            unit = known.get(part)
             if unit is None:
                 new.append(part)
             else:
                 solved[part] = unit
-        for part, unit in zip(new, self.solve_all(new), strict=True):
-            solved[part] = unit
-            self._keep(self.trial, "\0" + part, unit)
-        counts = np.searchsorted(stops, ends, side="right")
-        first, units, trial = 0, list(map(solved.__getitem__, parts)), self.trial
-        for word, last in zip(words, counts.tolist(), strict=True):
-            if last == first + 1:
-                unit = units[first]
-            else:
-                some = tuple(units[first:last])
-                unit = Unit(b"".join([p.ids for p in some]), sum([p.score for p in some]), min([p.gap for p in some]), "", some)
-            here[word] = unit
-            if len(word) <= KEPT_LENGTH:
-                trial[word] = unit
-            first = last
+        fresh = dict(zip(new, self.solve_all(new), strict=True))
+        solved.update(fresh)
+        known.update({p: u for p, u in fresh.items() if len(p) <= KEPT_LENGTH})
+        if len(known) > KEPT_UNITS:
+            self.parts = {}
+        units = list(map(solved.__getitem__, parts))
+        last = np.searchsorted(stops, ends, side="right").tolist()
+        return [tuple(units[i:j]) for i, j in zip([0, *last], last, strict=False)]
 
     def solve_all(self, texts: list[str]) -> list[Unit]:
         """``solve`` for many short texts at once: both passes go place by place over all texts."""
@@ -272,19 +271,19 @@ class Segmenter:
 
         def sweep(node: np.ndarray, other: np.ndarray, rounds: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             """Best value of every node, the edge it comes by, and each edge's value; ``rounds`` orders the nodes."""
-            order = np.lexsort((start, node, rounds))
-            edges_by = np.split(order, np.searchsorted(rounds[order], np.arange(1, SHORT + 1)))
+            order = np.argsort((rounds << 48) | (node << 8) | (255 - (end - start)))
             by, whole = np.zeros(len(points), np.int64), np.empty(len(start))
-            for group in edges_by:
+            for group in np.split(order, np.searchsorted(rounds[order], np.arange(1, SHORT + 1))):
                 if len(group):
-                    total = score[group] + value[other[group]]
-                    whole[group] = total
-                    firsts = np.flatnonzero(np.append(True, node[group][1:] != node[group][:-1]))
+                    total = whole[group] = score[group] + value[other[group]]
+                    reached = node[group]
+                    firsts = np.flatnonzero(np.append(True, reached[1:] != reached[:-1]))
                     top = np.maximum.reduceat(total, firsts)
-                    value[node[group[firsts]]] = top
+                    value[reached[firsts]] = top
                     winner = np.flatnonzero(total == np.repeat(top, np.diff(np.append(firsts, len(group)))))
-                    reached, which = np.unique(node[group[winner]], return_index=True)
-                    by[reached] = group[winner[which]]
+                    won = reached[winner]
+                    first = np.append(True, won[1:] != won[:-1])
+                    by[won[first]] = group[winner[first]]
             return value, by, whole
 
         value = np.full(len(points), -np.inf)
@@ -317,18 +316,10 @@ class Segmenter:
         made = zip(texts, ok.tolist(), total.tolist(), (total - second).tolist(), cuts, cuts[1:], strict=False)
         return [Unit(raw[i:j], t, gap, text) if fine else None for text, fine, t, gap, i, j in made]
 
-    @staticmethod
-    def _keep(where: dict[str, Unit], key: str, unit: Unit) -> None:
-        if len(key) <= KEPT_LENGTH:
-            where[key] = unit
-
     def ranked(self, unit: Unit, n_best: int) -> list[tuple[float, bytes]]:
         """The unit's own N best."""
-        if unit.ranked is None or len(unit.ranked) < n_best and len(unit.ranked) > 0 and not math.isinf(unit.gap):
-            if unit.parts:
-                unit.ranked = self._combined(list(unit.parts), n_best)
-            else:
-                unit.ranked = self.search(unit.text, n_best)
+        if unit.ranked is None or len(unit.ranked) < n_best and unit.gap != math.inf:
+            unit.ranked = self.search(unit.text, n_best)
         return unit.ranked[:n_best]
 
     def _combined(self, units: list[Unit], n_best: int) -> list[tuple[float, bytes]]:
@@ -357,8 +348,14 @@ class Segmenter:
     def nbest(self, texts: list[str], n_best: int) -> list[list[tuple[float, bytes]]]:
         """The ``n_best`` segmentations of each text: score, and ids as native 32-bit integers."""
         out = []
-        for group in by_bytes(texts, GROUP):
-            out.extend(self._combined(units, n_best) for units in self.units_of(group))
+        was = gc.isenabled()
+        gc.disable()  # there are no cycles here, and walking over all units kept costs a quarter of the time
+        try:
+            for group in by_bytes(texts, GROUP):
+                out.extend(self._combined(units, n_best) for units in self.units_of(group))
+        finally:
+            if was:
+                gc.enable()
         return out
 
     def same_text(self, a: np.ndarray, b: np.ndarray) -> bool:
