@@ -152,7 +152,7 @@ def fingerprints(docs: DataFrame, band: tuple[float, float] = BAND, id_col: str
 
     wanted = pairs.select(F.col("id").alias("for_id"), F.col("th").alias("for_th"), third.alias("need"), "next_id", "next_th")
     ahead = rows.join(wanted, (F.col("th") == F.col("next_th")) & F.col("id").eqNullSafe(F.col("next_id")))
-    tails = ahead.select("for_id", "for_th", "need", F.expr("substring(text, 1, need)").alias("tail")).alias("t")
+    tails = ahead.select("for_id", "for_th", "need", F.expr("substring(text, 1, need)").alias("tail")).dropDuplicates(["for_id", "for_th"])
     both = rows.join(tails, (F.col("th") == F.col("for_th")) & F.col("id").eqNullSafe(F.col("for_id")))
     n = F.length("text")
     edited = F.concat(F.expr("substring(text, 1, length(text) - need)"), F.col("tail"))

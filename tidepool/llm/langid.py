@@ -72,10 +72,12 @@ def automaton(text: list[int], width: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[new] = twin
         last = new
-    start = np.zeros(width, np.int32)
+    lost = len(step)  # behind a letter that the sample has not
+    start = np.full(width, lost, np.int32)
     for c, to in step[0].items():
         start[c] = to
-    table = np.tile(start * 2 + 1, (len(step), 1))
+    table = np.tile(start * 2 + 1, (lost + 1, 1))
+    table[0] = start * 2  # no phrase is open yet
     for state, steps in enumerate(step):
         for c, to in steps.items():
             table[state, c] = to * 2
@@ -97,8 +99,10 @@ class Languages:
         self.width = len(codes) + 2
         tables, base = [], 0
         for name in self.names:
+            # a letter outside the classes is left out of the sample's automaton and is a phrase of its own in a text
             table = automaton([codes.get(c, 0) for c in texts[name]], self.width)
-            table[:, 0] = 1  # an unknown letter is a phrase of its own
+            table[:, 0] = 2 * (len(table) - 1) + 1
+            table[0, 0] -= 1
             tables.append(table + 2 * base)
             base += len(table)
         self.starts = np.cumsum([0, *(len(t) for t in tables)])[:-1]

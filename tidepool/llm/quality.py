@@ -161,24 +161,40 @@ def fit(texts: list[str], good: np.ndarray, share: float, steps: int = 100, rate
 
 
 def _platt(score: np.ndarray, good: np.ndarray, mass: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a sigmoid by Newton's method; a little ridge keeps separable scores finite."""
+    """Slope and offset of a sigmoid by damped Newton steps; a ridge keeps separable scores finite."""
     if len(score) == 0 or good.all() or not good.any():
         return 1.0, 0.0
     x = np.stack([score, np.ones(len(score))], 1)
-    w = np.array([1.0, 0.0])
+    first, ridge = np.array([1.0, 0.0]), 1e-2
+
+    def loss(w: np.ndarray) -> float:
+        z = x @ w
+        return float(mass @ (np.logaddexp(0, z) - good * z) + ridge / 2 * ((w - first) ** 2).sum())
+
+    w = first
     for _ in range(50):
         p = _sigmoid(x @ w)
-        g = x.T @ (mass * (p - good)) + 1e-3 * (w - [1.0, 0.0])
-        h = (x * (mass * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
-        w = w - np.linalg.solve(h, g)
+        g = x.T @ (mass * (p - good)) + ridge * (w - first)
+        h = (x * (mass * p * (1 - p))[:, None]).T @ x + ridge * np.eye(2)
+        step, size = np.linalg.solve(h, g), 1.0
+        while size > 1e-6 and loss(w - size * step) > loss(w):
+            size /= 2
+        w = w - size * step
+        if size * np.abs(step).max() < 1e-9:
+            break
     return float(max(w[0], 1e-3)), float(w[1])
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", per_class: int = PER_CLASS) -> Model | None:
     """Fit on a bounded sample; None if a class is missing."""
     marked = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("good")).where("id IS NOT NULL AND good IN (0, 1)").groupBy("id").agg(F.max("good").alias("good"))
-    share = marked.agg(F.avg("good")).first()[0]
-    order = W.partitionBy("good").orderBy(F.xxhash64("id"), "id")
+    sizes = {r["good"]: r["n"] for r in marked.groupBy("good").agg(F.count("*").alias("n")).collect()}
+    share = sizes.get(1, 0) / max(1, sum(sizes.values()))
+    # the hash leaves about three times as many of each class as are wanted, so that no class meets in one task
+    part = F.pmod(F.xxhash64("id"), F.lit(1_000_000)) / 1_000_000
+    few = [(F.col("good") == good) & (part < 3 * per_class / n) for good, n in sizes.items()]
+    marked = marked.where(few[0] | few[-1]) if few else marked
+    order = W.partitionBy("good").orderBy(part, "id")
     known = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.length("text").between(1, LONGEST))
     ids = marked.join(known.select("id").distinct(), "id").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_class)
     sample = known.join(ids, "id").groupBy("id", "good").agg(F.min("text").alias("text"))
