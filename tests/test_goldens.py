@@ -236,16 +236,6 @@ def test_freshness(spark):
     assert mart.is_fresh(df.limit(0), hour(0)).first()["fresh"] is False
 
 
-def test_stl_finds_a_weekly_pattern():
-    import numpy as np
-
-    t = np.arange(84)
-    weekly = np.tile([0, 1, 4, 2, -3, -2, -2], 12)
-    trend, season = T.stl_series(100 + 0.5 * t + weekly, 7)
-    assert np.abs(season - weekly).max() < 0.05
-    assert np.abs(trend - (100 + 0.5 * t)).max() < 0.05
-
-
 def test_as_of_and_recent_bounds(spark):
     df = series(spark, [float(i) for i in range(5)])
     assert J.as_of(df, F.lit(hour(2))).first()["volume_usd"] == 2.0

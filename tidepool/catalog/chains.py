@@ -11,6 +11,7 @@ from tidepool.catalog.models import labelled as labelled_rows
 from tidepool.catalog.registry import (
     FEATURE_COLUMNS_SQL, FEATURES, LABELLED, POOL_HOURLY, WIDE, day, epoch, epochs, feature_columns_out, query, r, rs,
 )
+from tidepool.functions.moments import moment
 from tidepool.operators import forest as M
 from tidepool.operators.features import pool_features
 from tidepool.plans import mart
@@ -30,8 +31,8 @@ SELECT pool_id, {epochs('hour_ts')} AS hour_epoch,
 def _old_and_new(spark, sf):
     """A target up to day 20 and a batch from day 15 on, whose overlap corrects volumes."""
     df = X.pool_hourly(spark, sf).withColumn("day", day("hour_ts"))
-    old = df.where(F.col("hour_ts") < F.lit(_SPLIT))
-    new = df.where(F.col("hour_ts") >= F.lit(datetime(2024, 1, 15))).withColumn("volume_usd", F.col("volume_usd") + 1)
+    old = df.where(F.col("hour_ts") < moment(_SPLIT))
+    new = df.where(F.col("hour_ts") >= moment(datetime(2024, 1, 15))).withColumn("volume_usd", F.col("volume_usd") + 1)
     return old, new
 
 
@@ -55,7 +56,7 @@ def k1_days(spark, sf):
 WHERE hour_ts > (SELECT max(hour_ts) FROM labelled WHERE hour_ts < TIMESTAMP '2024-01-20')""")
 def k2(spark, sf):
     source = materialized(pool_features(X.pool_hourly(spark, sf)), "features")
-    target = source.where(F.col("hour_ts") < F.lit(_SPLIT))
+    target = source.where(F.col("hour_ts") < moment(_SPLIT))
     return feature_columns_out(mart.incremental_label(source, target), "y")
 
 
@@ -63,14 +64,14 @@ def k2(spark, sf):
 WHERE hour_ts > (SELECT max(hour_ts) FROM features WHERE hour_ts < TIMESTAMP '2024-01-20')""")
 def k2_features(spark, sf):
     source = materialized(X.pool_hourly(spark, sf), "hours")
-    return feature_columns_out(mart.incremental_features(source, source.where(F.col("hour_ts") < F.lit(_SPLIT))))
+    return feature_columns_out(mart.incremental_features(source, source.where(F.col("hour_ts") < moment(_SPLIT))))
 
 
 @query("k2_features_from_tails", f"""WITH {FEATURES} SELECT {FEATURE_COLUMNS_SQL} FROM features WHERE hour_ts >= TIMESTAMP '2024-01-20'""")
 def k2_tails(spark, sf):
     """Two batches after day 20, each computed from the tails the step before left behind."""
     source = materialized(X.pool_hourly(spark, sf), "hours")
-    between = lambda a, b: source.where((F.col("hour_ts") >= F.lit(a)) & (F.col("hour_ts") < F.lit(b)))
+    between = lambda a, b: source.where((F.col("hour_ts") >= moment(a)) & (F.col("hour_ts") < moment(b)))
     steps = [datetime(2023, 1, 1), _SPLIT, datetime(2024, 1, 25), datetime(2030, 1, 1)]
     tails, made = source.limit(0), []
     for a, b in zip(steps, steps[1:]):
@@ -112,6 +113,35 @@ def k4(spark, sf):
                      "tvl_rate_24h", "vol_tvl_ratio", r("vol_ma_6h").alias("vol_ma_6h"), r("vol_ma_24h").alias("vol_ma_24h"))
 
 
+# every hour on both exchanges under one pool id, loaded twice, and every seventh hour without a pool id
+_BOTH = f"""WITH {POOL_HOURLY}, twofold AS (
+  SELECT d.dex, CASE WHEN CAST(epoch(hour_ts) AS BIGINT) // 3600 % 7 = 0 THEN NULL ELSE pool_id END AS pool_id, hour_ts, volume_usd
+  FROM pool_hourly CROSS JOIN (VALUES ('dexa'), ('dexb')) d(dex))"""
+
+
+def _both(spark, sf):
+    """What ``run_stages`` makes of it; the copies loaded together differ in liquidity alone."""
+    hours = X.pool_hourly(spark, sf).withColumn("hour", epoch("hour_ts"))
+    lost = F.when(F.expr("hour div 3600 % 7") != 0, F.col("pool_id"))
+    body = lambda spread: F.to_json(F.struct(
+        F.struct(lost.alias("id")).alias("pool"), F.col("hour").alias("periodStartUnix"), F.col("volume_usd").cast("string").alias("volumeUSD"),
+        F.col("tvl_usd").cast("string").alias("tvlUSD"), (F.col("liquidity") + spread).cast("string").alias("liquidity")))
+    lines = hours.select(body(0).alias("value")).union(hours.where(lost.isNotNull()).select(body(1)))
+    return mart.run_stages({p: R.land_raw(lines, datetime(2024, 2, 1)) for p in ("dexa", "dexb")})
+
+
+@query("k4_run_stages_two_exchanges", f"""{_BOTH} SELECT dex, pool_id, {epochs('hour_ts')} AS hour_epoch, volume_usd FROM twofold""")
+def k4_both(spark, sf):
+    return _both(spark, sf)["features"].select("dex", "pool_id", epoch("hour_ts").alias("hour_epoch"), "volume_usd")
+
+
+@query("k3_violations_before_merging", f"""{_BOTH}
+SELECT 'pool_id' AS "column", count(*) FILTER (pool_id IS NULL) AS violations FROM twofold
+UNION ALL SELECT 'hour_ts', count(*) FILTER (hour_ts IS NULL) FROM twofold""")
+def k3_both(spark, sf):
+    return _both(spark, sf)["violations"]
+
+
 @query("k5_is_fresh", f"""WITH {POOL_HOURLY} SELECT {epochs('max(hour_ts)')} AS newest,
   max(hour_ts) >= TIMESTAMP '2024-01-30 20:00:00' AS fresh FROM pool_hourly""")
 def k5(spark, sf):
@@ -190,8 +220,8 @@ def l4(spark, sf):
     path, mark, folder = (new_folder(spark, n) for n in ("features", "mark", "hours"))
     handle = ST.features_batch(path)
     # two arrivals; the second is older in part, so stored rows after it change as well
-    late = F.col("hour_ts").between(F.lit(datetime(2024, 1, 10)), F.lit(datetime(2024, 1, 12))) | (
-        F.col("hour_ts") >= F.lit(_SPLIT)
+    late = F.col("hour_ts").between(moment(datetime(2024, 1, 10)), moment(datetime(2024, 1, 12))) | (
+        F.col("hour_ts") >= moment(_SPLIT)
     )
     for part in (base.where(~late), base.where(late)):
         part.write.mode("append").parquet(folder)

@@ -133,25 +133,6 @@ def i7(spark, sf):
                      *[r(c, 5).alias(c) for c in ("trend", "seasonal", "resid")])
 
 
-@query("i7_stl_by_pool")
-def i7_stl(spark, sf):
-    return T.stl(_daily(spark, sf, ["pool_id"]), ["pool_id"])
-
-
-@query("i7_stl_recomposes", f"""{_DAILY} SELECT pool_id, {days('d')} AS date, {rs('x', 4)} AS volume_usd, true AS whole
-FROM daily QUALIFY count(*) OVER (PARTITION BY pool_id) >= 14""")
-def i7_stl_sum(spark, sf):
-    """The three parts of every day add up to its value, for each series of two periods or more."""
-    parts = i7_stl(spark, sf).where("trend is not null")
-    whole = F.abs(F.col("trend") + F.col("seasonal") + F.col("resid") - F.col("volume_usd")) < 1e-6
-    return parts.select("pool_id", day("date").alias("date"), r("volume_usd", 4).alias("volume_usd"), whole.alias("whole"))
-
-
-@query("i7_stl_by_exchange")
-def i7_stl_all(spark, sf):
-    return T.stl(_daily(spark, sf, ["dex"]), ["dex"])
-
-
 @query("j1_standardize", f"""WITH {EXPLORED}, one AS (SELECT avg(volume_usd) AS mv, stddev_pop(volume_usd) AS sv, avg(tvl_usd) AS mt,
   stddev_pop(tvl_usd) AS st, avg(price_change) AS mp, stddev_pop(price_change) AS sp FROM explored)
 SELECT id, {rs('(volume_usd - mv) / sv')} AS volume_usd, {rs('(tvl_usd - mt) / st')} AS tvl_usd,

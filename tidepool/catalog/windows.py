@@ -13,6 +13,7 @@ from tidepool.catalog.registry import (
 )
 from tidepool.functions.json_fields import epoch_to_ts
 from tidepool.functions import scalars as S
+from tidepool.functions.moments import moment
 from tidepool.operators import combine as J
 from tidepool.operators.features import change_rate, pct_change, pool_features, time_features
 from tidepool.operators.frames import (
@@ -186,7 +187,7 @@ def e14(spark, sf):
 SELECT pool_id, {epochs('hour_ts')} AS hour_epoch, volume_usd, {rs('vol_ma_24h')} AS vol_ma_24h FROM features
 WHERE hour_ts <= TIMESTAMP '2024-01-20 12:30:00' ORDER BY hour_ts DESC, pool_id LIMIT 1""")
 def d3(spark, sf):
-    row = J.as_of(pool_features(X.pool_hourly(spark, sf)), F.lit(datetime(2024, 1, 20, 12, 30)))
+    row = J.as_of(pool_features(X.pool_hourly(spark, sf)), moment(datetime(2024, 1, 20, 12, 30)))
     return row.select("pool_id", epoch("hour_ts").alias("hour_epoch"), "volume_usd", r("vol_ma_24h").alias("vol_ma_24h"))
 
 
@@ -194,7 +195,7 @@ def d3(spark, sf):
 SELECT pool_id, {epochs('hour_ts')} AS hour_epoch, volume_usd FROM pool_hourly
 WHERE hour_ts <= TIMESTAMP '2024-01-20 12:30:00' QUALIFY row_number() OVER (PARTITION BY pool_id ORDER BY hour_ts DESC) = 1""")
 def d3_by_pool(spark, sf):
-    row = J.as_of(X.pool_hourly(spark, sf), F.lit(datetime(2024, 1, 20, 12, 30)), by=["pool_id"])
+    row = J.as_of(X.pool_hourly(spark, sf), moment(datetime(2024, 1, 20, 12, 30)), by=["pool_id"])
     return row.select("pool_id", epoch("hour_ts").alias("hour_epoch"), "volume_usd")
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidepool.functions.scalars import not_nan
+
 
 def json_str(col: Column, path: str, variant: bool = False) -> Column:
     """The value at ``path`` (``"pool.token0.id"``) as unquoted text."""
@@ -14,7 +16,8 @@ def json_str(col: Column, path: str, variant: bool = False) -> Column:
 
 
 def json_float(col: Column, path: str, variant: bool = False) -> Column:
-    return json_str(col, path, variant).try_cast("double")
+    """A number; the text NaN counts as missing."""
+    return not_nan(json_str(col, path, variant).try_cast("double"))
 
 
 def json_ts(col: Column, path: str, variant: bool = False) -> Column:

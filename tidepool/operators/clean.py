@@ -9,14 +9,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.functions import scalars as S
+from tidepool.functions.moments import moment
 from tidepool.operators.attach import attach
 from tidepool.operators.profile import pearson
 from tidepool.operators.quantiles import approx_quantile, exact_quantiles, quantile_row
 
 
 def to_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Cast the named columns to double; text that is no number becomes missing."""
-    return df.select(*[F.col(c).try_cast("double").alias(c) if c in cols else F.col(c) for c in df.columns])
+    """Cast the named columns to double; text that is no number, or says NaN, becomes missing."""
+    return df.select(*[S.not_nan(F.col(c).try_cast("double")).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def split_id(df: DataFrame, col: str = "id") -> DataFrame:
@@ -59,8 +60,7 @@ def null_negative(df: DataFrame, col: str = "tvl_usd") -> DataFrame:
 
 def recent(df: DataFrame, days: int, as_of: datetime | Column, ts: str = "hour_ts") -> DataFrame:
     """Rows of the last ``days`` days. The bound is a literal, so it prunes partitions and row groups."""
-    as_of = as_of if isinstance(as_of, Column) else F.lit(as_of)
-    return df.where(F.col(ts) >= as_of - F.make_dt_interval(days=F.lit(days)))
+    return df.where(F.col(ts) >= moment(as_of) - F.make_dt_interval(days=F.lit(days)))
 
 
 def between_dates(df: DataFrame, ts: str, start: date, end: date) -> DataFrame:
@@ -72,7 +72,7 @@ def between_dates(df: DataFrame, ts: str, start: date, end: date) -> DataFrame:
 
 def slice_interval(df: DataFrame, ts: str, end: Column | datetime, hours: int = 1) -> DataFrame:
     """Rows in [end - hours, end) in time order."""
-    end = end if isinstance(end, Column) else F.lit(end)
+    end = moment(end)
     start = end - F.make_dt_interval(hours=F.lit(hours))
     return df.where((F.col(ts) >= start) & (F.col(ts) < end)).orderBy(ts)
 

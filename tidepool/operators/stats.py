@@ -8,11 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tidepool.functions.probability import chi2_p, normal_p
@@ -156,79 +153,3 @@ def decompose(
         *by, ts, col, "phase", "trend", (F.col("_raw") - F.col("_mean")).alias("seasonal"),
         (x - F.col("trend") - (F.col("_raw") - F.col("_mean"))).alias("resid"),
     )
-
-
-# -- Loess decomposition ---------------------------------------------------------
-
-
-def _loess(y: np.ndarray, span: int, at: np.ndarray) -> np.ndarray:
-    """Local straight lines with tricube weights over the ``span`` nearest points."""
-    n = len(y)
-    x = np.arange(n, dtype=float)
-    q = min(span, n)
-    left = np.clip(np.ceil(at - (q - 1) / 2).astype(int), 0, n - q)
-    idx = left[:, None] + np.arange(q)
-    gap = np.abs(x[idx] - at[:, None])
-    reach = gap.max(axis=1) + (max(span - n, 0) // 2)
-    near = np.clip(gap / np.maximum(reach, 1e-12)[:, None], 0, 1)
-    w = (1 - near**3) ** 3
-    w[near >= 0.999] = 0.0
-    w[near <= 0.001] = 1.0
-    w /= w.sum(axis=1, keepdims=True)
-    centre = (w * x[idx]).sum(axis=1)
-    spread = (w * (x[idx] - centre[:, None]) ** 2).sum(axis=1)
-    slope_ok = np.sqrt(spread) > 0.001 * (n - 1)
-    lean = np.where(slope_ok, (at - centre) / np.where(spread > 0, spread, 1.0), 0.0)
-    w = w * (1 + lean[:, None] * (x[idx] - centre[:, None]))
-    return (w * y[idx]).sum(axis=1)
-
-
-def _moving_mean(y: np.ndarray, span: int) -> np.ndarray:
-    return np.convolve(y, np.full(span, 1.0 / span), mode="valid")
-
-
-def _odd(x: float) -> int:
-    n = int(np.ceil(x))
-    return n if n % 2 else n + 1
-
-
-def stl_series(y: np.ndarray, period: int = 7, seasonal: int = 7, passes: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """Trend and season of one series by repeated Loess smoothing (Cleveland et al., 1990)."""
-    n = len(y)
-    trend_span = _odd(1.5 * period / (1 - 1.5 / seasonal))
-    low_span = _odd(period + 1)
-    axis = np.arange(n, dtype=float)
-    trend = np.zeros(n)
-    season = np.zeros(n)
-    for _ in range(passes):
-        detrended = y - trend
-        cycle = np.empty(n + 2 * period)
-        for phase in range(period):
-            part = detrended[phase::period]
-            cycle[phase::period] = _loess(part, seasonal, np.arange(-1.0, len(part) + 1))
-        low = _moving_mean(_moving_mean(_moving_mean(cycle, period), period), 3)
-        season = cycle[period : n + period] - _loess(low, low_span, axis)
-        trend = _loess(y - season, trend_span, axis)
-    return trend, season
-
-
-def stl(
-    daily: DataFrame, by: Sequence[str], ts: str = "date", col: str = "volume_usd", period: int = 7, seasonal: int = 7
-) -> DataFrame:
-    """Loess decomposition of every series; a series shorter than two periods gets no parts.
-
-    Input is one row per series and day, so a group is as long as its calendar.
-    """
-    fields = [daily.schema[c] for c in (*by, ts, col)]
-    parts = [T.StructField(c, T.DoubleType()) for c in ("trend", "seasonal", "resid")]
-    schema = T.StructType([*fields, *parts])
-
-    def per_series(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(ts)
-        y = pdf[col].to_numpy(dtype=float)
-        if len(y) < 2 * period:
-            return pdf.assign(trend=None, seasonal=None, resid=None)
-        trend, season = stl_series(y, period, seasonal)
-        return pdf.assign(trend=trend, seasonal=season, resid=y - trend - season)
-
-    return daily.select(*by, ts, col).groupBy(*by).applyInPandas(per_series, schema)

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepool import schema as L
+from tidepool.functions.moments import micros, moment
 from tidepool.operators.clean import newer_than, recent
 from tidepool.operators.combine import as_of, union_protocols
 from tidepool.operators.features import LAG_ROWS, pool_features
@@ -21,20 +24,29 @@ from tidepool.sources.records import stage_pool_hourly
 FEATURE_INPUT = ["dex", "pool_id", "hour_ts", "tvl_usd", "volume_usd", "liquidity", "load_ts"]
 
 
-def run_stages(raw: dict[str, DataFrame], q: float = 0.9, dedup: bool = True, col: str = "raw") -> dict[str, DataFrame]:
+def run_stages(
+    raw: dict[str, DataFrame], q: float = 0.9, dedup: bool = True, col: str = "raw", keys: Sequence[str] = ("dex", *L.POOL_HOUR_KEY)
+) -> dict[str, DataFrame]:
     """Landed records by exchange -> staging, features and labelled features, in that order.
 
-    Repeated loads of a pool-hour are reduced to the newest before any row-based window,
-    because a repeated hour would shift every lag after it. Features are written once, as
+    Repeated loads of an exchange's pool-hour are reduced to the newest before any row-based
+    window, because a repeated hour would shift every lag after it. ``keys`` names what makes a
+    row; among copies loaded together all further columns decide, so the choice is the same
+    however the rows are dealt out. Rows that lack a key can't be copies of each other: all stay,
+    and ``violations`` counts them on the staged rows, before any is merged. Features are written once, as
     the labels read them twice. Lines that were no JSON are left out; keep them with
     ``split_bad_records`` when landing.
     """
     staged = union_protocols({n: stage_pool_hourly(df.where(F.col(col).isNotNull()), col) for n, df in raw.items()})
+    violations = expect_not_null(staged, [k for k in keys if k != "dex"])
     if dedup:
-        staged = dedup_latest(staged, L.POOL_HOUR_KEY, "load_ts", ["dex", "volume_usd", "tvl_usd"])
+        whole = reduce(and_, [F.col(k).isNotNull() for k in keys])
+        first = ["volume_usd", "tvl_usd"]
+        ties = first + sorted(c for c in staged.columns if c not in (*keys, "load_ts", *first))
+        staged = dedup_latest(staged.where(whole), keys, "load_ts", ties).unionByName(staged.where(~whole))
     features = materialized(pool_features(staged.select(*FEATURE_INPUT)), "features")
     labelled = label_spikes(features, q, unique_hours=dedup)
-    return {"staging": staged, "features": features, "labelled": labelled}
+    return {"staging": staged, "features": features, "labelled": labelled, "violations": violations}
 
 
 def preceding_rows(
@@ -45,10 +57,10 @@ def preceding_rows(
     Most pools have them within the last days, which a literal time bound reads alone. Only
     if some pool has fewer there is the older history read, and then for those pools.
     """
-    first = since.agg(F.min("since")).first()[0]
+    first = since.agg(micros(F.min("since"))).first()[0]
     if first is None:
         return known.limit(0)
-    edge = F.lit(first) - F.make_dt_interval(days=F.lit(recent_days))
+    edge = moment(first) - F.make_dt_interval(days=F.lit(recent_days))
     start = since.select(F.col("pool_id").alias("_pool"), F.col("since").alias("_since"))
 
     def before(part: DataFrame, starts: DataFrame) -> DataFrame:
@@ -71,13 +83,13 @@ def incremental_features(source: DataFrame, target: DataFrame, recent_days: int
     Row windows also need the 24 rows before a pool's first new one, however old they are;
     the filter on time comes after the windows.
     """
-    newest = target.agg(F.max("hour_ts")).first()[0]
+    newest = target.agg(micros(F.max("hour_ts"))).first()[0]
     if newest is None:
         return pool_features(source)
-    fresh = source.where(F.col("hour_ts") > F.lit(newest))
+    fresh = source.where(F.col("hour_ts") > moment(newest))
     since = fresh.groupBy("pool_id").agg(F.min("hour_ts").alias("since"))
     before = preceding_rows(source, since, LAG_ROWS, recent_days)
-    return pool_features(before.unionByName(fresh)).where(F.col("hour_ts") > F.lit(newest))
+    return pool_features(before.unionByName(fresh)).where(F.col("hour_ts") > moment(newest))
 
 
 def features_from_tails(fresh: DataFrame, tails: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -108,7 +120,7 @@ def incremental_label(
     if reprocess_from is None:
         fresh = newer_than(source, target)
     else:
-        fresh = source.where(F.col("hour_ts") >= reprocess_from)
+        fresh = source.where(F.col("hour_ts") >= moment(reprocess_from))
     return label_spikes(fresh, q, history=source, unique_hours=True)
 
 
@@ -122,9 +134,8 @@ def expect_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def is_fresh(df: DataFrame, hour: Column | datetime) -> DataFrame:
     """Whether the table has reached an hour, with the newest hour it has."""
-    hour = hour if isinstance(hour, Column) else F.lit(hour)
     newest = df.agg(F.max("hour_ts").alias("newest"))
-    return newest.select("newest", F.coalesce(F.col("newest") >= hour, F.lit(False)).alias("fresh"))
+    return newest.select("newest", F.coalesce(F.col("newest") >= moment(hour), F.lit(False)).alias("fresh"))
 
 
 def training_rows(labelled: DataFrame, as_of_ts: Column | datetime, days: int = 30) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepool import schema as L
+from tidepool.functions.moments import moment
+from tidepool.functions.scalars import not_nan
 from tidepool.functions.json_fields import epoch_to_ts, json_float, json_str, json_ts
 from tidepool.functions.scalars import hour_key
 
@@ -45,7 +47,7 @@ def write_jsonl(df: DataFrame, path: str) -> None:
 
 def land_raw(lines: DataFrame, now: Column | datetime | None = None, text: str = "value") -> DataFrame:
     """``raw`` (VARIANT) and ``load_ts`` for every line; other columns are kept."""
-    stamp = F.current_timestamp() if now is None else now if isinstance(now, Column) else F.lit(now)
+    stamp = F.current_timestamp() if now is None else moment(now)
     rest = [c for c in lines.columns if c != text]
     return lines.select(F.try_parse_json(text).alias("raw"), *rest, stamp.alias("load_ts"))
 
@@ -107,7 +109,7 @@ def stage_pool_hourly(raw: DataFrame, col: str = "raw", keep: Sequence[str] = ("
     return parsed.select(
         epoch_to_ts(F.col("r.periodStartUnix")).alias("hour_ts"),
         *[F.col(f"r.{p}").alias(n) for n, p in L.STAGED.items()],
-        *[F.col(f"r.{p}").try_cast("double").alias(n) for n, p in L.STAGED_MEASURES.items()],
+        *[not_nan(F.col(f"r.{p}").try_cast("double")).alias(n) for n, p in L.STAGED_MEASURES.items()],
         *keep,
     )
 
@@ -117,7 +119,7 @@ def clean_hourly(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return records.select(
         F.col("periodStartUnix").try_cast("bigint").alias("hour_ts"),
         F.col("id").cast("string").alias("id"),
-        *[F.col(p).try_cast("double").alias(n) for n, p in L.CLEAN_DOUBLES.items()],
+        *[not_nan(F.col(p).try_cast("double")).alias(n) for n, p in L.CLEAN_DOUBLES.items()],
         F.col("txCount").try_cast("bigint").alias("tx_count"),
         *keep,
     )

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tidepool import schema as L
+from tidepool.functions.moments import micros, moment
 from tidepool.operators.features import pool_features
 from tidepool.operators.forest import Forest, score
 from tidepool.operators.frames import dedup_latest
@@ -113,12 +114,12 @@ def _with_history(fresh: DataFrame, known: DataFrame, keys: Sequence[str]) -> Da
     """
     since = fresh.groupBy("pool_id").agg(F.min("hour_ts").alias("since"))
     before = preceding_rows(known, since)
-    first = since.agg(F.min("since")).first()[0]
+    first = since.agg(micros(F.min("since"))).first()[0]
     start = since.select(F.col("pool_id").alias("_pool"), F.col("since").alias("_since"))
     replaced = fresh.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
     same = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]
     after = (
-        known.where(F.col("hour_ts") >= F.lit(first))
+        known.where(F.col("hour_ts") >= moment(first))
         .join(start, F.col("pool_id") == F.col("_pool"))
         .where(F.col("hour_ts") >= F.col("_since"))
         .join(replaced, same, "left_anti")
