@@ -42,6 +42,10 @@ def _lowered(word: str) -> str:
     return word.strip().lower()
 
 
+def _strings(texts: pa.Array) -> list[str]:
+    return texts.to_numpy(zero_copy_only=False).tolist()  # several times faster than to_pylist
+
+
 class PartEncoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -114,7 +118,7 @@ class PartEncoder:
         spaced = pc.binary_join_element_wise(nothing, later.dictionary, space)
 
         whole = texts.filter(odd).to_pylist()
-        values = self._lookup(first.dictionary.to_pylist()) + self._lookup(spaced.to_pylist()) + self._raw(whole) + [self.line_feed, b""]
+        values = self._lookup(_strings(first.dictionary)) + self._lookup(_strings(spaced)) + self._raw(whole) + [self.line_feed, b""]
         feed = len(values) - 2
         # a place for each part, and one behind each line for its line feed
         sizes = np.diff(offsets)

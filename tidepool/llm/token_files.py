@@ -139,6 +139,7 @@ class ShardReader:
         self.file = pa.ipc.open_file(opened[0])
         self.index = pa.ipc.open_file(opened[1])
         self.length = self.file.schema.field("tokens").type.list_size
+        self.at, self.values = -1, None  # the batch read last
 
     def sequence(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and mask of sequence ``k`` of the shard."""
@@ -149,7 +150,10 @@ class ShardReader:
         """``n`` ids from place ``start`` of the shard."""
         step, found = self.length * BATCH, []
         while n:
-            values = self.file.get_batch(start // step).column("tokens").flatten().to_numpy(zero_copy_only=True)
+            if start // step != self.at:
+                self.at = start // step
+                self.values = self.file.get_batch(self.at).column("tokens").flatten().to_numpy(zero_copy_only=True)
+            values = self.values
             found.append(values[start % step : start % step + n])
             start, n = start + len(found[-1]), n - len(found[-1])
         return found[0] if len(found) == 1 else np.concatenate(found)
