@@ -38,22 +38,50 @@ from tidepool.llm.common import by_bytes, map_batches, per_process, whole_text
 SPACE = "▁"
 #: How far an uncovered character lies below the lowest score.
 UNKNOWN_PENALTY = 10.0
-#: Units kept per worker: bounds memory, never the result.
-KEPT_UNITS = 150_000
+#: Words kept per worker, and how many of them survive when there are more: bounds memory, never the result.
+KEPT_WORDS = 500_000
+SURVIVORS = 60_000
 KEPT_LENGTH = 40
-#: Texts of up to so many characters are solved together, and so many characters of text at a time.
+#: Texts of up to so many characters are solved together, so many places of them at a time.
 SHORT = 48
+PLACES = 200_000
+#: Characters of text whose new words are solved together.
 GROUP = 4_000_000
 
 
 class Unit:
     """Best path of a stretch of text that pieces do not leave, and what the second best costs more."""
 
-    __slots__ = ("ids", "score", "gap", "text", "ranked")
+    __slots__ = ("ids", "score", "gap")
 
-    def __init__(self, ids: bytes, score: float, gap: float, text: str):
-        self.ids, self.score, self.gap, self.text = ids, score, gap, text
-        self.ranked: list[tuple[float, bytes]] | None = None
+    def __init__(self, ids: bytes, score: float, gap: float):
+        self.ids, self.score, self.gap = ids, score, gap
+
+
+class _Growing:
+    """An array that grows at its end."""
+
+    def __init__(self, kind: type):
+        self.data, self.n = np.empty(1024, kind), 0
+
+    def add(self, more: np.ndarray) -> None:
+        need = self.n + len(more)
+        if need > len(self.data):
+            self.data = np.concatenate([self.data[: self.n], np.empty(need, self.data.dtype)])
+        self.data[self.n : need] = more
+        self.n = need
+
+
+class _Solved:
+    """Numbered units, and numbered words that are runs of units, in arrays."""
+
+    def __init__(self) -> None:
+        self.score, self.gap, self.first, self.size, self.ids = map(_Growing, (np.float64, np.float64, np.int64, np.int64, np.uint32))
+        self.texts: list[str] = []
+        self.members, self.word_first, self.word_size, self.uses = map(_Growing, (np.int64,) * 4)
+        self.words: dict[str, int] = {}
+        self.parts: dict[str, int] = {}
+        self.ranked: dict[int, list[tuple[float, bytes]]] = {}
 
 
 class Segmenter:
@@ -77,10 +105,7 @@ class Segmenter:
                 self.surface[i] = b""
         self.table = _Table(self.starts, self.pieces)
         self.pairs = np.sort(np.array([(ord(p[0]) << 21) | ord(p[1]) for p in self.joined], np.int64))
-        # words met again move from the trial to those kept
-        self.kept: dict[str, tuple[Unit, ...]] = {}
-        self.trial: dict[str, tuple[Unit, ...]] = {}
-        self.parts: dict[str, Unit] = {}
+        self.solved = _Solved()
 
     def edges(self, text: str) -> list[tuple[int, int, float]]:
         """(start, end, score) of every piece that matches, by start."""
@@ -126,7 +151,7 @@ class Segmenter:
             if (i, j) not in best and ahead[i] + rest > second:
                 second = ahead[i] + rest
         ids = array("I", [x for i, j in path for x in self.piece_ids(text[i:j])])
-        return Unit(ids.tobytes(), ahead[n], ahead[n] - second, text)
+        return Unit(ids.tobytes(), ahead[n], ahead[n] - second)
 
     def search(self, text: str, n_best: int) -> list[tuple[float, bytes]]:
         """Backward A*: the next best (score, ids) until there are ``n_best``."""
@@ -171,35 +196,40 @@ class Segmenter:
             words = [*joined, gap + words[-1]]
         return words
 
-    def units_of(self, texts: list[str]) -> list[list[Unit]]:
-        """Solved units of each text; what is new in any of them is solved together."""
+    def units_of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of all texts' units, and how many each text has; what is new in any text is solved together."""
+        self._forget()
         split = [self.words(t) for t in texts]
-        wanted: set[str] = set()
-        wanted.update(*split)
-        kept, trial = self.kept, self.trial
-        here: dict[str, tuple[Unit, ...]] = {}
-        new = []
-        for w in wanted:
-            units = kept.get(w)
-            if units is None:
-                units = trial.get(w)
-                if units is None:
-                    new.append(w)
-                    continue
-                kept[w] = units
-            here[w] = units
-        if new:
-            solved = dict(zip(new, self._solve_words(new), strict=True))
-            here.update(solved)
-            trial.update({w: units for w, units in solved.items() if len(w) <= KEPT_LENGTH})
-        if len(kept) > KEPT_UNITS:
-            self.kept, self.trial = {}, kept
-        elif len(trial) > 2 * KEPT_UNITS:
-            self.trial = {}
-        return [list(chain.from_iterable(map(here.__getitem__, words))) for words in split]
-
-    def _solve_words(self, words: list[str]) -> list[tuple[Unit, ...]]:
-        """Cut words where no piece can cross and solve the parts that are new."""
+        words = list(chain.from_iterable(split))
+        numbers = list(map(self.solved.words.get, words))
+        missing = [k for k, number in enumerate(numbers) if number is None]
+        if missing:
+            new = dict.fromkeys([words[k] for k in missing])
+            self._learn(new)
+            for k in missing:
+                numbers[k] = new[words[k]]
+        known = self.solved
+        word = np.array(numbers, np.int64)
+        known.uses.data[: known.uses.n] += np.bincount(word, minlength=known.uses.n)
+        size = known.word_size.data[word]
+        units = known.members.data[_ranges(known.word_first.data[word], size)]
+        ends = np.concatenate([[0], np.cumsum(size)])[np.cumsum([0, *map(len, split)])]
+        return units, np.diff(ends)
+
+    def _forget(self) -> None:
+        """Beyond the bound only the words used most stay, and are solved again."""
+        old = self.solved
+        if max(len(old.words), len(old.parts), old.score.n // 2, old.ids.n // 8) > KEPT_WORDS:
+            uses = old.uses.data
+            often = sorted([w for w, k in old.words.items() if uses[k] > 2], key=lambda w: -uses[old.words[w]])[:SURVIVORS]
+            self.solved = _Solved()
+            self._learn(dict.fromkeys(often))
+
+    def _learn(self, words: dict[str, int | None]) -> None:
+        """Cut new words where no piece can cross, solve the parts that are new, and number the words."""
+        if not words:
+            return
+        known = self.solved
         joined = SPACE + SPACE.join(words)
         points = np.frombuffer(joined.encode("utf-32-le"), "<u4").astype(np.int64)
         ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
@@ -210,149 +240,178 @@ class Segmenter:
         stops = np.flatnonzero(cut) + 1
         places = stops.tolist()
         parts = [joined[i:j] for i, j in zip([0, *places], places, strict=False)]
-        known = self.parts
-        solved = dict.fromkeys(parts)
-        new = []
-        for part in solved:
-            unit = known.get(part)
-            if unit is None:
-                new.append(part)
-            else:
-                solved[part] = unit
-        fresh = dict(zip(new, self.solve_all(new), strict=True))
-        solved.update(fresh)
-        known.update({p: u for p, u in fresh.items() if len(p) <= KEPT_LENGTH})
-        if len(known) > KEPT_UNITS:
-            self.parts = {}
-        units = list(map(solved.__getitem__, parts))
-        last = np.searchsorted(stops, ends, side="right").tolist()
-        return [tuple(units[i:j]) for i, j in zip([0, *last], last, strict=False)]
+        last = np.searchsorted(stops, ends, side="right")
+        size = np.diff(last, prepend=0)
+
+        # a part that is a whole word is new with it, others may be known
+        numbers: list[int | None] = [None] * len(parts)
+        shared = np.flatnonzero(np.repeat(size > 1, size)).tolist()
+        new = dict.fromkeys([parts[k] for k in shared])
+        for part in new:
+            new[part] = known.parts.get(part)
+        fresh = [part for part, number in new.items() if number is None]
+        new.update(zip(fresh, range(known.score.n, known.score.n + len(fresh)), strict=True))
+        for k in shared:
+            numbers[k] = new[parts[k]]
+        whole = np.flatnonzero(np.repeat(size == 1, size)).tolist()
+        for k, number in zip(whole, range(known.score.n + len(fresh), known.score.n + len(fresh) + len(whole)), strict=True):
+            numbers[k] = number
+        known.parts.update({p: new[p] for p in fresh if len(p) <= KEPT_LENGTH})
+        texts = fresh + [parts[k] for k in whole]
+        score, gap, first, length, ids = self._solve(texts)
+        known.first.add(first + known.ids.n)
+        for kept, more in ((known.score, score), (known.gap, gap), (known.size, length), (known.ids, ids)):
+            kept.add(more)
+        known.texts += texts
+
+        number = known.word_first.n
+        words.update(zip(words, range(number, number + len(words)), strict=True))
+        known.words.update({w: k for w, k in words.items() if len(w) <= KEPT_LENGTH})
+        known.word_first.add(known.members.n + last - size)
+        known.word_size.add(size)
+        known.uses.add(np.zeros(len(words), np.int64))
+        known.members.add(np.array(numbers, np.int64))
 
     def solve_all(self, texts: list[str]) -> list[Unit]:
-        """``solve`` for many short texts at once: both passes go place by place over all texts."""
-        short = [k for k, t in enumerate(texts) if len(t) <= SHORT]
-        out: list[Unit | None] = [None] * len(texts)
-        for at in range(0, len(short), 50_000):
-            some = short[at : at + 50_000]
-            for k, unit in zip(some, self._solve_short([texts[k] for k in some]), strict=True):
-                out[k] = unit
-        return [unit or self.solve(text) for unit, text in zip(out, texts, strict=True)]
-
-    def _solve_short(self, texts: list[str]) -> list[Unit | None]:
-        """None for a text with an uncovered character."""
-        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-        base = np.cumsum(sizes + 1) - sizes - 1  # a place more than characters for each text
-        points = np.zeros(int((sizes + 1).sum()), np.uint64)
-        inside = np.ones(len(points), bool)
-        inside[base + sizes] = False
-        points[inside] = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4")
-        stop = np.repeat(base + sizes, sizes + 1)
-        rel = np.arange(len(points)) - np.repeat(base, sizes + 1)
+        """``solve`` for many texts, the short ones together."""
+        score, gap, first, size, ids = self._solve(texts)
+        return [Unit(ids[i : i + n].tobytes(), s, g) for s, g, i, n in zip(score.tolist(), gap.tolist(), first.tolist(), size.tolist(), strict=True)]
 
+    def _solve(self, texts: list[str]) -> tuple[np.ndarray, ...]:
+        """Score, gap, first id and number of ids of each text, and the ids."""
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        score, gap = np.zeros(len(texts)), np.zeros(len(texts))
+        first, size = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+        order = np.argsort(-sizes, kind="stable")
+        at = int(np.searchsorted(-sizes[order], -SHORT))
+        alone, found, held = order[:at].tolist(), [np.zeros(0, np.uint32)], 0
+        while at < len(order):
+            some = order[at : at + max(1, PLACES // max(1, int(sizes[order[at]])))]
+            at += len(some)
+            ok, score[some], gap[some], ids, n = self._solve_short([texts[k] for k in some.tolist()], sizes[some])
+            alone += some[~ok].tolist()
+            first[some], size[some] = held + np.cumsum(n) - n, n
+            found.append(ids)
+            held += len(ids)
+        for k in alone:
+            unit = self.solve(texts[k])
+            ids = np.frombuffer(unit.ids, np.uint32)
+            score[k], gap[k], first[k], size[k] = unit.score, unit.gap, held, len(ids)
+            found.append(ids)
+            held += len(ids)
+        return score, gap, first, size, np.concatenate(found)
+
+    def _solve_short(self, texts: list[str], sizes: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Both passes over texts of falling sizes, place by place for all texts; not ok is a text with an uncovered character."""
+        n, width = len(texts), int(sizes[0])
+        inside = np.arange(width)[:, None] < sizes
+        points = np.zeros((n, width), np.uint64)
+        points[inside.T] = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4")
+        flat = points.T.ravel()  # place by place: a step of n is the next character
+
+        # score and id of the piece of each length from each place
         alive = np.flatnonzero(inside)
         key = np.zeros(len(alive), np.uint64)
-        starts, ends, scores, ids = [], [], [], []
-        length = 0
+        scores, idents = [], []
         while len(alive):
-            key = _mix(key, points[alive + length])
-            length += 1
-            found, score, ident = self.table.look(key)
+            key = _mix(key, flat[alive + len(scores) * n])
+            found, value, ident = self.table.look(key)
             piece = found & (ident >= 0)
-            starts.append(alive[piece])
-            ends.append(alive[piece] + length)
-            scores.append(score[piece])
-            ids.append(ident[piece])
-            on = found & (alive + length < stop[alive])
-            alive, key = alive[on], key[on]
-        single = np.zeros(len(points), bool)
-        single[starts[0]] = True
-        uncovered = np.unique(np.repeat(np.arange(len(texts)), sizes + 1)[inside & ~single])
-        start, end, score, ident = (np.concatenate(x) for x in (starts, ends, scores, ids))
-
-        def sweep(node: np.ndarray, other: np.ndarray, rounds: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            """Best value of every node, the edge it comes by, and each edge's value; ``rounds`` orders the nodes."""
-            order = np.argsort((rounds << 48) | (node << 8) | (255 - (end - start)))
-            by, whole = np.zeros(len(points), np.int64), np.empty(len(start))
-            for group in np.split(order, np.searchsorted(rounds[order], np.arange(1, SHORT + 1))):
-                if len(group):
-                    total = whole[group] = score[group] + value[other[group]]
-                    reached = node[group]
-                    firsts = np.flatnonzero(np.append(True, reached[1:] != reached[:-1]))
-                    top = np.maximum.reduceat(total, firsts)
-                    value[reached[firsts]] = top
-                    winner = np.flatnonzero(total == np.repeat(top, np.diff(np.append(firsts, len(group)))))
-                    won = reached[winner]
-                    first = np.append(True, won[1:] != won[:-1])
-                    by[won[first]] = group[winner[first]]
-            return value, by, whole
-
-        value = np.full(len(points), -np.inf)
-        value[base] = 0
-        ahead, by, _ = sweep(end, start, rel[end] - 1, value)
-        value = np.full(len(points), -np.inf)
-        value[base + sizes] = 0
-        _, _, rest = sweep(start, end, SHORT - 1 - rel[start], value)
-        at, text, path = base + sizes, np.arange(len(texts)), []
-        ok = np.ones(len(texts), bool)
-        ok[uncovered] = False
-        at, text = at[ok], text[ok]
-        on_best = np.zeros(len(start), bool)
-        while len(at):
-            edge = by[at]
-            on_best[edge] = True
-            path.append((text, ident[edge]))
-            at = start[edge]
-            more = at > base[text]
-            at, text = at[more], text[more]
-        owner = np.concatenate([t for t, _ in path[::-1]]) if path else np.empty(0, np.int64)
-        order = np.argsort(owner, kind="stable")
-        best = (np.concatenate([i for _, i in path[::-1]]) if path else np.empty(0)).astype(np.uint32)[order]
-        cuts = np.searchsorted(owner[order], np.arange(len(texts) + 1))
-        total = np.where(ok, ahead[base + sizes], 0.0)
-        through = np.where(on_best, -np.inf, ahead[start] + rest)
-        second = np.full(len(texts), -np.inf)
-        np.maximum.at(second, np.repeat(np.arange(len(texts)), sizes + 1)[start], through)
-        raw, cuts = best.tobytes(), (cuts * 4).tolist()
-        made = zip(texts, ok.tolist(), total.tolist(), (total - second).tolist(), cuts, cuts[1:], strict=False)
-        return [Unit(raw[i:j], t, gap, text) if fine else None for text, fine, t, gap, i, j in made]
-
-    def ranked(self, unit: Unit, n_best: int) -> list[tuple[float, bytes]]:
+            scores.append(np.full(width * n, -np.inf))
+            idents.append(np.zeros(width * n, np.uint32))
+            scores[-1][alive[piece]] = value[piece]
+            idents[-1][alive[piece]] = ident[piece]
+            on = alive + len(scores) * n
+            found &= on < width * n
+            found[found] = inside.ravel()[on[found]]
+            alive, key = alive[found], key[found]
+        longest = len(scores)
+        score = np.stack(scores).reshape(longest, width, n)
+        ok = ((score[0] > -np.inf) | ~inside).all(axis=0)
+
+        ahead = np.full((width + 1, n), -np.inf)
+        ahead[0] = 0
+        by = np.zeros((width + 1, n), np.int64)
+        for j in range(1, width + 1):
+            m = int(np.searchsorted(-sizes, -j, side="right"))
+            for length in range(min(j, longest), 0, -1):  # a tie goes to the longer last piece
+                total = ahead[j - length, :m] + score[length - 1, j - length, :m]
+                better = total > ahead[j, :m]
+                np.copyto(ahead[j, :m], total, where=better)
+                np.copyto(by[j, :m], length, where=better)
+        back = np.full((width + 1, n), -np.inf)
+        back[sizes, np.arange(n)] = 0
+        for i in range(width - 1, -1, -1):
+            for length in range(1, min(longest, width - i) + 1):
+                np.maximum(back[i], score[length - 1, i] + back[i + length], out=back[i])
+
+        # the best path from its end; its edges are taken out to find the second best
+        ident = np.stack(idents).reshape(longest, width, n)
+        at, text, path = sizes.copy(), np.flatnonzero(ok), []
+        while len(text):
+            length = by[at[text], text]
+            at[text] -= length
+            path.append((text, ident[length - 1, at[text], text]))
+            score[length - 1, at[text], text] = -np.inf
+            text = text[at[text] > 0]
+        owner = np.concatenate([t for t, _ in path[::-1]]) if path else np.zeros(0, np.int64)
+        ids = np.concatenate([i for _, i in path[::-1]]) if path else np.zeros(0, np.uint32)
+        second = np.full(n, -np.inf)
+        for length in range(1, longest + 1):
+            through = ahead[: width + 1 - length] + (score[length - 1, : width + 1 - length] + back[length:])
+            np.maximum(second, through.max(axis=0), out=second)
+        best = np.where(ok, ahead[sizes, np.arange(n)], 0.0)
+        return ok, best, best - second, ids[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=n)
+
+    def ranked(self, unit: int, n_best: int) -> list[tuple[float, bytes]]:
         """The unit's own N best."""
-        if unit.ranked is None or len(unit.ranked) < n_best and unit.gap != math.inf:
-            unit.ranked = self.search(unit.text, n_best)
-        return unit.ranked[:n_best]
-
-    def _combined(self, units: list[Unit], n_best: int) -> list[tuple[float, bytes]]:
-        total = sum([u.score for u in units])
-        gaps = [u.gap for u in units]
-        limit = sorted(gaps)[: n_best - 1]
-        near = sorted([(gap, -k) for k, gap in enumerate(gaps) if gap <= limit[-1] and gap != math.inf])[: n_best - 1] if limit else []
+        known = self.solved
+        found = known.ranked.get(unit)
+        if found is None or len(found) < n_best and known.gap.data[unit] != math.inf:
+            found = known.ranked[unit] = self.search(known.texts[unit], n_best)
+        return found[:n_best]
+
+    def _combined(self, units: np.ndarray, ids: bytes, ends: np.ndarray, n_best: int) -> list[tuple[float, bytes]]:
+        """The N best of a text from its units, the ids of its best path and where each unit's ids end in them."""
+        gaps = self.solved.gap.data[units]
+        total = float(self.solved.score.data[units].sum())
+        few = min(n_best - 1, len(gaps))
+        near: list[int] = []
+        if few:
+            low = np.flatnonzero((gaps <= np.partition(gaps, few - 1)[few - 1]) & (gaps != math.inf))
+            near = sorted(low[np.lexsort((-low, gaps[low]))][:few].tolist())
         # (cost, changes): a change is a unit's place and its other ids
         best: list[tuple[float, tuple[int, ...], tuple]] = [(0.0, (), ())]
-        for k in sorted(-k for _, k in near):
-            options = self.ranked(units[k], n_best)
+        for k in near:
+            options = self.ranked(int(units[k]), n_best)
             top = options[0][0]
             grown = [(cost + top - score, (*ranks, r), (*changes, (k, ids)) if r else changes) for cost, ranks, changes in best for r, (score, ids) in enumerate(options)]
             best = sorted(grown, key=lambda x: x[:2])[:n_best]
-        plain = [u.ids for u in units]
         out = []
         for cost, _, changes in best:
-            ids = plain
-            if changes:
-                ids = plain.copy()
-                for k, other in changes:
-                    ids[k] = other
-            out.append((total - cost, b"".join(ids)))
+            done, made = 0, []
+            for k, other in changes:
+                made += [ids[done : 4 * int(ends[k])], other]
+                done = 4 * int(ends[k + 1])
+            out.append((total - cost, b"".join([*made, ids[done:]])))
         return out
 
     def nbest(self, texts: list[str], n_best: int) -> list[list[tuple[float, bytes]]]:
         """The ``n_best`` segmentations of each text: score, and ids as native 32-bit integers."""
         out = []
         was = gc.isenabled()
-        gc.disable()  # there are no cycles here, and walking over all units kept costs a quarter of the time
+        gc.disable()  # there are no cycles here, and walking over all words kept takes long
         try:
             for group in by_bytes(texts, GROUP):
-                out.extend(self._combined(units, n_best) for units in self.units_of(group))
+                units, sizes = self.units_of(group)
+                known = self.solved
+                length = known.size.data[units]
+                ids = known.ids.data[_ranges(known.first.data[units], length)]
+                ends = np.concatenate([[0], np.cumsum(length)])
+                stops = np.cumsum(sizes).tolist()
+                for i, j in zip([0, *stops], stops, strict=False):
+                    start, stop = int(ends[i]), int(ends[j])
+                    out.append(self._combined(units[i:j], ids[start:stop].tobytes(), ends[i : j + 1] - start, n_best))
         finally:
             if was:
                 gc.enable()
@@ -371,6 +430,12 @@ class Segmenter:
         return raw.removeprefix(b" ").decode(errors="replace")
 
 
+def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """``size`` numbers from each ``first`` on, one range after the other."""
+    ends = np.cumsum(size)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + size, size)
+
+
 def _common(a: np.ndarray, b: np.ndarray) -> int:
     """How many ids are equal from the start."""
     n = min(len(a), len(b))
@@ -391,12 +456,12 @@ class _Table:
     def __init__(self, starts: set[str], pieces: dict[str, tuple[int, float]]):
         texts = sorted(starts)
         keys = np.zeros(len(texts), np.uint64)
-        points = [np.frombuffer(t.encode("utf-32-le"), "<u4").astype(np.uint64) for t in texts]
-        for k, p in enumerate(points):
-            key = np.zeros(1, np.uint64)
-            for j in range(len(p)):
-                key = _mix(key, p[j : j + 1])
-            keys[k] = key[0]
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        first = np.cumsum(sizes) - sizes
+        points = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4").astype(np.uint64)
+        for j in range(int(sizes.max(initial=0))):
+            longer = np.flatnonzero(sizes > j)
+            keys[longer] = _mix(keys[longer], points[first[longer] + j])
         if len(np.unique(keys)) < len(keys):
             raise ValueError("two beginnings of pieces have one hash")
         self.keys = np.zeros(1 << self.BITS, np.uint64)
