@@ -155,3 +155,47 @@ def test_stages_replace_an_older_load(spark):
     assert [r["y"] for r in rows] == [0] * 27 + [1] * 3
     assert rows[25]["vol_rate_24h"] == 24.0 and rows[24]["vol_rate_24h"] is None
     assert {r["violations"] for r in mart.expect_not_null(parts["features"], ["pool_id", "hour_ts"]).collect()} == {0}
+
+
+def test_an_upsert_lost_in_its_swap_is_finished_by_the_next(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    make = lambda rows: spark.createDataFrame(rows, "k int, v int, day string")
+    TB.upsert_days(make([(1, 1, "d1"), (2, 1, "d1"), (3, 1, "d2")]), path, ["k", "day"])
+
+    def lost(merged, target, day):
+        """The day's files are gone and the new ones have not come."""
+        for f in (tmp_path / "t" / "day=d1").iterdir():
+            f.unlink()
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(TB, "_swap", lost)
+        with pytest.raises(RuntimeError, match="lost"):
+            TB.upsert_days(make([(2, 9, "d1")]), path, ["k", "day"])
+    TB.upsert_days(make([(1, 5, "d1")]), path, ["k", "day"])
+    now = sorted((r["k"], r["v"], r["day"]) for r in spark.read.parquet(path).collect())
+    assert now == [(1, 5, "d1"), (2, 9, "d1"), (3, 1, "d2")]
+
+
+def test_the_newest_copy_stays_whatever_batch_brings_it(spark, tmp_path):
+    path = str(tmp_path / "features")
+    columns = "dex string, pool_id string, hour_ts timestamp, volume_usd double, tvl_usd double, liquidity double, load_ts timestamp"
+    make = lambda *rows: spark.createDataFrame([("dexa", "p", f"2024-01-0{d} 00:00:00", v, 1.0, 1.0, f"2024-02-0{n} 00:00:00") for d, v, n in rows], columns.replace("timestamp", "string")).withColumns({c: F.col(c).cast("timestamp") for c in ("hour_ts", "load_ts")})
+    handle = ST.features_batch(path)
+    handle(make((1, 500.0, 1), (1, 2.0, 2), (2, 7.0, 2)), 0)
+    handle(make((1, 900.0, 1), (3, 4.0, 3)), 1)  # an older copy arrives later
+    handle(make((2, 8.0, 4)), 2)
+    got = [(r["volume_usd"], r["vol_ma_6h"]) for r in spark.read.parquet(path).orderBy("hour_ts").collect()]
+    assert [v for v, _ in got] == [2.0, 8.0, 4.0]
+    assert got[2][1] == pytest.approx(14 / 3)
+    with pytest.raises(ValueError, match="load_ts"):
+        handle(make((4, 1.0, 1)).drop("load_ts"), 3)
+
+
+def test_recent_rows_are_read_from_their_days_alone(spark, hours, tmp_path):
+    path = str(tmp_path / "t")
+    hours.withColumn("day", F.date_format("hour_ts", "yyyy-MM-dd")).where("month(hour_ts) = 3").write.partitionBy("day").parquet(path)
+    edge = F.lit("1995-01-01").cast("timestamp")
+    plan = mart.day_between(spark.read.parquet(path), "day", edge, None)._jdf.queryExecution().executedPlan().toString()
+    filters = next(line for line in plan.splitlines() if "PartitionFilters" in line)
+    assert "1995-01-01" in filters.split("PartitionFilters:")[1].split("PushedFilters")[0]

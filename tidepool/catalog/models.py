@@ -115,6 +115,35 @@ def j11(spark, sf):
     return M.top_scored(scored, 20, 0.5, ["pool_id", "hour_ts"]).select("pool_id", "hour_ts", "score")
 
 
+@query("j10_anomaly_table_by_ratio", f"""{_SCORED} SELECT pool_id, {epochs('hour_ts')} AS hour_epoch,
+  CASE WHEN score > 0.5 THEN -1 ELSE 1 END AS label FROM scored""")
+def j10_ratio(spark, sf):
+    """Labels from the stand-in score."""
+    found = M.with_label(_scored(spark, sf).withColumn("is_anomaly", F.col("score") > 0.5))
+    return found.select("pool_id", epoch("hour_ts").alias("hour_epoch"), "label")
+
+
+@query("j11_top_scored_by_ratio", f"""{_SCORED} SELECT pool_id, {epochs('hour_ts')} AS hour_epoch, {rs('score')} AS score
+FROM (SELECT * FROM scored WHERE score >= 0.5 ORDER BY score DESC, pool_id, hour_ts LIMIT 20)""")
+def j11_ratio(spark, sf):
+    top = M.top_scored(_scored(spark, sf), 20, 0.5, ["pool_id", "hour_ts"])
+    return top.select("pool_id", epoch("hour_ts").alias("hour_epoch"), r("score").alias("score"))
+
+
+@query("j8_train_and_register", f"""WITH {LABELLED} SELECT pool_id, {epochs('hour_ts')} AS hour_epoch, true AS same FROM labelled""")
+def j8_register(spark, sf):
+    """Two versions trained and registered; rows scored by the alias agree with the newer model, whose mean score is logged."""
+    rows = materialized(labelled(spark, sf), "labelled")
+    path = new_folder(spark, "models")
+    mart.train_and_register(rows, path, 1, datetime(2024, 1, 20), trees=5, seed=1)
+    model = mart.train_and_register(rows, path, 2, datetime(2024, 1, 31), trees=20)
+    want = M.score(rows, model).select(F.col("pool_id").alias("p"), F.col("hour_ts").alias("h"), F.col("score").alias("s"))
+    both = mart.score_from_alias(rows, path).join(want, (F.col("pool_id") == F.col("p")) & (F.col("hour_ts") == F.col("h")))
+    mean = spark.read.parquet(f"{path}/version=2/metrics").where("name = 'mean_anomaly_score'").agg(F.max("value")).scalar()
+    agrees = F.col("score").eqNullSafe(F.col("s")) & mean.between(0, 1)
+    return both.select("pool_id", epoch("hour_ts").alias("hour_epoch"), agrees.alias("same"))
+
+
 # -- what can be said about the forest in SQL -------------------------------------------
 
 _COMPLETE = ("vol_rate_24h IS NOT NULL AND tvl_rate_24h IS NOT NULL AND vol_ma_24h IS NOT NULL "

@@ -43,8 +43,8 @@ def minus(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def only_top(df: DataFrame, top: DataFrame, key: str = "pool_address") -> DataFrame:
-    """Rows whose key is among the k keys of ``top``. k is the caller's limit, hence the broadcast."""
-    return df.join(F.broadcast(top.select(key)), key, "left_semi")
+    """Rows whose key is among the k keys of ``top``; the planner broadcasts it if its size allows."""
+    return df.join(top.select(key), key, "left_semi")
 
 
 def as_of(df: DataFrame, t: Column, ts: str = "hour_ts", by: Sequence[str] = (), ties: Sequence[str] = ("pool_id",)):

@@ -12,9 +12,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +27,7 @@ from tidepool.operators.quantiles import exact_quantiles, log_band
 from tidepool.session import materialized
 
 SAMPLE = 256
+THINNED = 4.0
 AUTO_THRESHOLD = 0.5  # the cut for "contamination auto" on the paper's score
 
 NODE_SCHEMA = T.StructType(
@@ -50,6 +53,11 @@ class Forest:
     # per-feature replacement for missing values; empty means "a missing value has no score"
     fill: dict[str, float] = field(default_factory=dict)
 
+    @cached_property
+    def shipped(self) -> Broadcast:
+        """The nodes as arrays on every executor, sent once per model: at most trees * (2 * sample - 1) rows."""
+        return self.nodes.sparkSession.sparkContext.broadcast(_arrays(self.nodes.toPandas(), self.sample))
+
 
 def average_path(n: float) -> float:
     """Mean depth of an unsuccessful search in a binary search tree of n keys."""
@@ -64,13 +72,17 @@ def average_path(n: float) -> float:
 
 
 def tree_samples(
-    df: DataFrame, features: Sequence[str], key: Sequence[str], trees: int, seed: int, sample: int = SAMPLE
+    df: DataFrame, features: Sequence[str], key: Sequence[str], trees: int, seed: int, sample: int = SAMPLE,
+    thinned: float = THINNED,
 ) -> DataFrame:
-    """``tree``, ``key`` hash and features: for each tree a uniform sample without replacement."""
+    """``tree``, ``key`` hash and features: for each tree a uniform sample without replacement.
+
+    The trees draw from ``thinned`` samples' worth of rows per tree, chosen by hash from all rows.
+    """
     rows = df.select(F.xxhash64(*key).alias("_key"), *[F.col(c).cast("double").alias(c) for c in features])
-    wanted = 4.0 * sample * trees
+    wanted = thinned * sample * trees
     total = rows.agg(F.count("*").cast("double").alias("n"))
-    # one pass over everything: keep about four samples' worth of rows per tree, by hash
+    # one pass over everything
     thin = attach(rows, total).where(_uniform(F.xxhash64("_key", F.lit(seed))) * F.col("_one.n") < wanted)
     # each kept row asks every tree; one and a half samples per tree makes a shortfall negligible
     kept = F.least(F.col("_one.n"), F.lit(wanted))
@@ -118,8 +130,12 @@ def fit_forest(
     seed: int = 42,
     sample: int = SAMPLE,
     null_policy: str = "drop",
+    thinned: float = THINNED,
 ) -> Forest:
-    """Fit on the rows of ``df``; ``null_policy`` drops incomplete rows or fills them with medians."""
+    """Fit on the rows of ``df``; ``null_policy`` drops incomplete rows or fills them with medians.
+
+    ``sample`` rows go into a tree, drawn from at most ``thinned * sample * trees`` rows in all.
+    """
     features = tuple(features)
     fill: dict[str, float] = {}
     if null_policy == "median":
@@ -133,7 +149,7 @@ def fit_forest(
     else:
         raise ValueError(f"unknown null_policy {null_policy!r}")
 
-    picked = tree_samples(rows, features, key, trees, seed, sample)
+    picked = tree_samples(rows, features, key, trees, seed, sample, thinned)
     limit = math.ceil(math.log2(max(sample, 2)))
     names = list(features)
 
@@ -212,9 +228,7 @@ def _scores(forest: dict, x: np.ndarray) -> np.ndarray:
 
 def score(df: DataFrame, model: Forest, out: str = "score") -> DataFrame:
     """Add the anomaly score, larger meaning more anomalous; missing where a feature is missing."""
-    spark = df.sparkSession
-    nodes = model.nodes.toPandas()  # at most trees * (2 * sample - 1) rows
-    forest = spark.sparkContext.broadcast(_arrays(nodes, model.sample))
+    forest = model.shipped
     inputs = [
         F.coalesce(F.col(c).cast("double"), F.lit(model.fill[c])) if c in model.fill else F.col(c).cast("double")
         for c in model.features
@@ -275,14 +289,16 @@ def top_scored(df: DataFrame, n: int, threshold: float = 0.0, ties: Sequence[str
 # -- storage ---------------------------------------------------------------------
 
 
-def save_model(model: Forest, path: str, version: int, alias: str | None = None) -> None:
-    """Write nodes and settings under ``path/version=N`` and point ``alias`` to that version."""
+def save_model(model: Forest, path: str, version: int, alias: str | None = None, metrics: dict[str, float] | None = None) -> None:
+    """Write nodes, settings and metrics under ``path/version=N`` and point ``alias`` to that version."""
     spark = model.nodes.sparkSession
     folder = f"{path}/version={version}"
     model.nodes.coalesce(1).write.mode("errorifexists").parquet(f"{folder}/nodes")
     settings = [(list(model.features), model.sample, model.threshold, model.fill)]
     layout = "features array<string>, sample int, threshold double, fill map<string, double>"
     spark.createDataFrame(settings, layout).coalesce(1).write.mode("errorifexists").parquet(f"{folder}/settings")
+    logged = spark.createDataFrame(sorted((metrics or {}).items()), "name string, value double")
+    logged.coalesce(1).write.mode("errorifexists").parquet(f"{folder}/metrics")
     if alias:
         set_alias(spark, path, alias, version)
 
@@ -340,7 +356,7 @@ def pr_auc(scored: DataFrame) -> DataFrame:
     each band, so that no task orders all scores.
     """
     score = F.col("score")
-    banded = scored.where("score is not null").withColumn("_band", log_band(score, 16))
+    banded = scored.where("score is not null").withColumn("_band", log_band(score, 1024))
     points = banded.groupBy("_band", "score").agg(F.sum("y").alias("pos"), F.count("*").alias("n"))
     bands = banded.groupBy(F.col("_band").alias("_b")).agg(F.sum("y").alias("_pos"), F.count("*").alias("_n"))
     above = Window.orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)

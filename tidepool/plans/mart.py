@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 from datetime import datetime
 from functools import reduce
 from operator import and_
@@ -15,7 +16,7 @@ from tidepool.functions.moments import micros, moment
 from tidepool.operators.clean import newer_than, recent
 from tidepool.operators.combine import as_of, union_protocols
 from tidepool.operators.features import LAG_ROWS, pool_features
-from tidepool.operators.forest import Forest, score
+from tidepool.operators.forest import Forest, fit_forest, load_model, save_model, score
 from tidepool.operators.frames import dedup_latest, last_rows
 from tidepool.operators.labels import label_spikes
 from tidepool.session import materialized
@@ -50,12 +51,13 @@ def run_stages(
 
 
 def preceding_rows(
-    known: DataFrame, since: DataFrame, rows: int = LAG_ROWS, recent_days: int = 7
+    known: DataFrame, since: DataFrame, rows: int = LAG_ROWS, recent_days: int = 7, day: str | None = None
 ) -> DataFrame:
     """The last ``rows`` stored rows of each pool before its ``since`` (columns pool_id, since).
 
     Most pools have them within the last days, which a literal time bound reads alone. Only
     if some pool has fewer there is the older history read, and then for those pools.
+    ``day`` names a partition column with the hours' days (yyyy-MM-dd), so that only these are opened.
     """
     first = since.agg(micros(F.min("since"))).first()[0]
     if first is None:
@@ -67,15 +69,25 @@ def preceding_rows(
         mine = part.join(starts, F.col("pool_id") == F.col("_pool")).where(F.col("hour_ts") < F.col("_since"))
         return last_rows(mine.select(*known.columns), ["pool_id"], "hour_ts", rows)
 
-    near = materialized(before(known.where(F.col("hour_ts") >= edge), start), "recent-rows")
+    opened = day_between(known, day, edge, None)
+    near = materialized(before(opened.where(F.col("hour_ts") >= edge), start), "recent-rows")
     full = near.groupBy(F.col("pool_id").alias("_full")).agg(F.count("*").alias("_n")).where(F.col("_n") >= rows)
     short = start.join(full, F.col("_pool") == F.col("_full"), "left_anti")
     if short.isEmpty():
         return near
-    far = before(known.where(F.col("hour_ts") < edge), short)
+    far = before(day_between(known, day, None, edge).where(F.col("hour_ts") < edge), short)
     return last_rows(near.unionByName(far), ["pool_id"], "hour_ts", rows)
 
 
+def day_between(df: DataFrame, day: str | None, first: Column | None, last: Column | None) -> DataFrame:
+    """Rows of the day partitions from that of ``first`` to that of ``last``; all without a partition column."""
+    for bound, after in ((first, True), (last, False)):
+        if day is not None and bound is not None:
+            edge, at = F.date_format(bound, "yyyy-MM-dd"), F.col(day).cast("string")
+            df = df.where(at >= edge if after else at <= edge)
+    return df
+
+
 def incremental_features(source: DataFrame, target: DataFrame, recent_days: int = 7) -> DataFrame:
     """Features of hours newer than the target's newest, equal to those of a full rebuild.
 
@@ -110,18 +122,20 @@ def features_from_tails(fresh: DataFrame, tails: DataFrame) -> tuple[DataFrame,
 
 
 def incremental_label(
-    source: DataFrame, target: DataFrame, q: float = 0.9, reprocess_from: Column | datetime | None = None
+    source: DataFrame, target: DataFrame, q: float = 0.9, reprocess_from: Column | datetime | None = None,
+    unique_hours: bool = False,
 ) -> DataFrame:
     """Labels for hours newer than the target's newest; thresholds come from all history.
 
     Labels that were written stay as they were. Late hours at or before the newest are
-    left out, unless ``reprocess_from`` names the hour to start again from.
+    left out, unless ``reprocess_from`` names the hour to start again from. ``unique_hours``
+    states that ``source`` has one row per pool and hour, which saves counting the pools' sizes.
     """
     if reprocess_from is None:
         fresh = newer_than(source, target)
     else:
         fresh = source.where(F.col("hour_ts") >= moment(reprocess_from))
-    return label_spikes(fresh, q, history=source, unique_hours=True)
+    return label_spikes(fresh, q, history=source, unique_hours=unique_hours)
 
 
 def expect_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -142,6 +156,24 @@ def training_rows(labelled: DataFrame, as_of_ts: Column | datetime, days: int =
     return recent(labelled, days, as_of_ts)
 
 
+def train_and_register(
+    labelled: DataFrame, path: str, version: int, as_of_ts: Column | datetime, days: int = 30,
+    features: Sequence[str] = tuple(L.MART_FEATURES), alias: str = "production", trees: int = 200, seed: int = 42,
+) -> Forest:
+    """Fit on the last ``days``, log the mean score of those rows, store a version and point the alias to it."""
+    rows = materialized(training_rows(labelled, as_of_ts, days), "training")
+    model = fit_forest(rows, features, trees=trees, seed=seed)
+    model = replace(model, nodes=materialized(model.nodes, "nodes"))
+    mean = score(rows, model).agg(F.avg("score").alias("mean")).first()["mean"]
+    save_model(model, path, version, alias, {} if mean is None else {"mean_anomaly_score": mean})
+    return model
+
+
+def score_from_alias(df: DataFrame, path: str, alias: str = "production", threshold: float | None = None) -> DataFrame:
+    """Rows scored by the version that the alias points to."""
+    return score_batch(df, load_model(df.sparkSession, path, alias), threshold)
+
+
 def alerts(df: DataFrame, model: Forest, threshold: float = 0.6, at: Column | None = None) -> DataFrame:
     """Newest row of every pool, scored: ``pool_id``, ``hour_ts``, ``score``, ``is_anomaly``.
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidepool.session import new_folder
 
@@ -64,11 +65,14 @@ def upsert(target: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
 def upsert_days(new: DataFrame, path: str, keys: Sequence[str], day: str = "day") -> None:
     """Upsert into a parquet table partitioned by ``day``, reading and writing only touched days.
 
-    The merged days are first written to the shared folder and then swapped in by dynamic
-    partition overwrite. A job lost at any point leaves either the old or the new day, and
-    running it again gives the same result.
+    The merged days are first written to the shared folder, then noted in a table of one row
+    beside the target, and then swapped in by dynamic partition overwrite. A job lost before the
+    note leaves the old days. One lost in the swap may leave days missing, which the next call or
+    ``finish_upsert`` puts in place from the noted copy before anything is read. Keep
+    the shared folder's tables at least until then.
     """
     spark = new.sparkSession
+    finish_upsert(spark, path, new.schema, day)
     staged = new_folder(spark, "upsert")
     new.write.partitionBy(day).parquet(f"{staged}/new")
     batch = spark.read.schema(new.schema).parquet(f"{staged}/new").select(*new.columns)
@@ -80,11 +84,35 @@ def upsert_days(new: DataFrame, path: str, keys: Sequence[str], day: str = "day"
         return
     old = spark.read.schema(new.schema).parquet(path).where(F.col(day).isin(days))
     upsert(old.select(*new.columns), batch, keys).write.partitionBy(day).parquet(f"{staged}/merged")
-    merged = spark.read.schema(new.schema).parquet(f"{staged}/merged").select(*new.columns)
+    _note(spark, path, f"{staged}/merged")
+    finish_upsert(spark, path, new.schema, day)
+
+
+def finish_upsert(spark: SparkSession, path: str, schema: StructType, day: str = "day") -> None:
+    """Swap in the merged days that an upsert noted and did not finish; nothing to do otherwise."""
+    if not exists(spark, _notes(path)):
+        return
+    noted = spark.read.schema("merged string").parquet(_notes(path)).where("merged IS NOT NULL").first()
+    if noted is None:
+        return
+    _swap(spark.read.schema(schema).parquet(noted["merged"]).select(*schema.names), path, day)
+    _note(spark, path, None)
+
+
+def _swap(merged: DataFrame, path: str, day: str) -> None:
     swap = merged.hint("rebalance", day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     swap.partitionBy(day).parquet(path)
 
 
+def _notes(path: str) -> str:
+    return f"{path.rstrip('/')}__upsert"
+
+
+def _note(spark: SparkSession, path: str, merged: str | None) -> None:
+    """One row in one file, so the note is there whole or not at all."""
+    spark.range(1).select(F.lit(merged).cast("string").alias("merged")).coalesce(1).write.mode("overwrite").parquet(_notes(path))
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a parquet table has been written to ``path``."""
     try:

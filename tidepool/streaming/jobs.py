@@ -11,16 +11,16 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidepool import schema as L
 from tidepool.functions.moments import micros, moment
 from tidepool.operators.features import pool_features
 from tidepool.operators.forest import Forest, score
 from tidepool.operators.frames import dedup_latest
-from tidepool.plans.mart import preceding_rows
+from tidepool.plans.mart import day_between, preceding_rows
 from tidepool.session import materialized
-from tidepool.sources.tables import exists, upsert_days
+from tidepool.sources.tables import exists, finish_upsert, upsert_days
 
 
 def ingest_stream(spark: SparkSession, folder: str, max_files: int = 10_000) -> DataFrame:
@@ -86,26 +86,48 @@ def features_batch(path: str, keys: Sequence[str] = tuple(L.POOL_HOUR_KEY)) -> C
     Row windows do not exist on streams. Each batch is joined with the history its pools
     need, the plain feature function runs, and the changed days are upserted. A batch that
     is repeated after a failure gives the same table.
+
+    With ``load_ts`` the newest copy of an hour stays, whatever batch brings it. Without it the
+    later batch counts as newer, and the larger volume within a batch; a table holds batches of one kind.
     """
     base = ["dex", "pool_id", "hour_ts", "volume_usd", "tvl_usd", "liquidity"]
 
     def handle(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        newest = "load_ts" if "load_ts" in batch.columns else "hour_ts"
+        dated = "load_ts" in batch.columns
+        cols = [*base, "load_ts"] if dated else base
         # stored first, because the batch is used several times below
-        fresh = materialized(dedup_latest(batch, keys, newest, ["volume_usd", "tvl_usd"]).select(*base), "batch")
-        if fresh.isEmpty():
-            return
+        newest = "load_ts" if dated else "hour_ts"
+        fresh = materialized(dedup_latest(batch, keys, newest, ["volume_usd", "tvl_usd"]).select(*cols), "batch")
         if not exists(spark, path):
             made = pool_features(fresh)
         else:
-            known = spark.read.parquet(path).select(*base)
+            finish_upsert(spark, path, StructType([*pool_features(fresh).schema.fields, StructField("day", StringType())]))
+            stored = spark.read.parquet(path)
+            if ("load_ts" in stored.columns) != dated:
+                raise ValueError(f"batches with and without load_ts can't share the table {path}")
+            known = stored.select(*cols, "day")
+            if dated:
+                fresh = materialized(_not_older(fresh, known, keys), "batch")
+            if fresh.isEmpty():
+                return
             made = _with_history(fresh, known, keys)
         upsert_days(made.withColumn("day", F.date_format("hour_ts", "yyyy-MM-dd")), path, keys)
 
     return handle
 
 
+def _not_older(fresh: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of the batch of which no later load is stored; only the batch's days are read."""
+    first, last = fresh.agg(micros(F.min("hour_ts")), micros(F.max("hour_ts"))).first()
+    if first is None:
+        return fresh
+    held = day_between(known, "day", moment(first), moment(last))
+    held = held.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("load_ts").alias("_stored"))
+    same = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]
+    return fresh.join(held, [*same, F.col("_stored") > F.col("load_ts")], "left_anti")
+
+
 def _with_history(fresh: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Features of the batch's rows and of the rows after them, given what is stored.
 
@@ -113,13 +135,14 @@ def _with_history(fresh: DataFrame, known: DataFrame, keys: Sequence[str]) -> Da
     a pool's first touched hour on is computed again, behind the 24 rows before it.
     """
     since = fresh.groupBy("pool_id").agg(F.min("hour_ts").alias("since"))
-    before = preceding_rows(known, since)
+    before = preceding_rows(known, since, day="day")
     first = since.agg(micros(F.min("since"))).first()[0]
     start = since.select(F.col("pool_id").alias("_pool"), F.col("since").alias("_since"))
     replaced = fresh.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
     same = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]
     after = (
-        known.where(F.col("hour_ts") >= moment(first))
+        day_between(known, "day", moment(first), None)
+        .where(F.col("hour_ts") >= moment(first))
         .join(start, F.col("pool_id") == F.col("_pool"))
         .where(F.col("hour_ts") >= F.col("_since"))
         .join(replaced, same, "left_anti")
