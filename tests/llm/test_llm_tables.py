@@ -256,6 +256,31 @@ def test_substrings(spark, odd, empty):
     assert rows.where("text IS NULL").count() == 1 and substring_dedup.dedup_substrings(empty).count() == 0
 
 
+def test_substrings_are_passages_of_one_earlier_document(spark):
+    rng = np.random.default_rng(7)
+    vocabulary = ["".join(rng.choice(list("abcdefghiklmnoprstuä"), rng.integers(2, 9))) for _ in range(20_000)]
+
+    def prose(n):
+        return " ".join(rng.choice(vocabulary, n))
+
+    over, under, lines, tail = prose(51), prose(50), [prose(20) for _ in range(4)], prose(51)
+    texts = {
+        1: f"{prose(9)} {over} {prose(9)} {under} {prose(9)}",
+        2: f"{prose(30)} {lines[0]} {prose(30)}",
+        3: f"{prose(30)} {lines[1]} {prose(30)}",
+        4: f"{prose(30)} {lines[2]} {prose(30)} {lines[3]}",
+        5: f"{prose(12)} {under} {prose(12)}",  # 50 words: too few
+        6: f"{prose(12)} {' '.join(lines)} {prose(12)}",  # 80 words in a row, no two lines in one document
+        7: f"{prose(12)}\n{over}\n{prose(12)}",
+        8: f"{prose(12)} {tail}",
+        9: tail,
+        10: f"{over}  {tail}",
+    }
+    made = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    got = {r["doc_id"]: [texts[r["doc_id"]][s["start"] : s["end"]] for s in r["removed"]] for r in substring_dedup.dedup_substrings(made).collect()}
+    assert got == {k: [] for k in texts} | {7: [over], 9: [tail], 10: [f"{over}  {tail}"]}
+
+
 def test_chunks_resist_shifts():
     rng = np.random.default_rng(3)
     text = bytes(rng.integers(97, 123, 20_000).astype(np.uint8))

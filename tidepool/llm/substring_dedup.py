@@ -1,14 +1,14 @@
-"""Substring de-duplication by content-defined chunks.
+"""Substring de-duplication: passages of ``min_words`` words or more that one earlier document holds.
 
-A gear rolling hash over the last 16 bytes proposes cuts; a cut is taken where it leaves at least
-``SMALLEST`` bytes, or at the least hash of ``LARGEST`` bytes without one. Cuts depend on the bytes around them alone, so an insertion shifts the chunks behind
-it but does not change them. Chunks are compared by digest over the whole corpus. A chunk is a repeat
-if a document with a smaller id holds it; runs of adjoining repeats with at least ``min_words`` whole words
-are removed, so the first document keeps a passage and common phrases stay everywhere.
+A passage is a stretch of text from the start of a word to the end of one, equal character by character; words
+stand between white space. Every word that lies in a stretch of ``min_words`` words found whole in a document
+with a smaller id is removed, so the first document keeps a passage, shorter common phrases stay everywhere, and
+the borders are those of the common text, to the word.
 
-The first and last words of a passage share a chunk with what stands around it and do not count. With
-chunks of about 32 bytes a run is some 8 words shorter than its passage, hence the default of 25 words
-for passages of over 50.
+Search: each stretch of ``min_words`` words is represented by the least hash among its parts of half as many
+words (winnowing). Equal stretches have equal representatives whatever stands around them, and neighbours mostly
+share theirs, so there is about one for every 14 words. Check: only stretches whose representative occurs in
+several documents are themselves compared over the corpus, by a digest of their characters.
 
 Null texts stay null, empty ones empty. Null ids come after all others. Rows with equal ids are one
 document: they never make each other's passages repeats, and each loses what earlier documents hold. Repeats
@@ -26,16 +26,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepool.llm.common import map_batches, whole_text
+from tidepool.session import materialized
 
+#: The fewest words of a passage: over 50.
+MIN_WORDS = 51
 SMALLEST, LARGEST = 16, 256
 #: One in so many places is a proposed cut.
 SPACING = 16
 _GEAR = np.random.default_rng(16).integers(0, 1 << 16, 256).astype(np.uint16)
-_PACK = 1 << 10
+_SPACE = np.array([chr(c).isspace() for c in range(0x3001)] + [False])
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+_MIX = np.uint64(0xBF58476D1CE4E5B9)
+#: Factors of the rolling hash: a number and its inverse modulo 2^64.
+_STEP = 0xD1342543DE82EF95
+_BACK = pow(_STEP, -1, 1 << 64)
 
 
 def cuts(data: np.ndarray, offsets: np.ndarray) -> list[list[int]]:
-    """Ends of the chunks of each text; ``data`` holds the texts' bytes one after the other."""
+    """Ends of content-defined chunks of each text; ``data`` holds the texts' bytes one after the other. The search does not use them."""
     h = _GEAR[data]
     for k in (1, 2, 4, 8):  # sums over 2, 4, 8 and 16 bytes
         h[k:] = h[k:] + (h[:-k] << np.uint16(k))
@@ -59,84 +67,138 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> list[list[int]]:
     return out
 
 
-def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A row per chunk: ``id``, ``th`` (hash of the text), ``pos`` (first character and length) and ``digest``."""
-    kind = docs.schema[id_col].dataType.simpleString()
-    text = whole_text(text_col)
-    given = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
-
-    def cut(batch: pa.RecordBatch) -> dict:
-        texts = [t.encode() for t in batch.column("text").to_pylist()]
-        joined = b"".join(texts)
-        data = np.frombuffer(joined, np.uint8)
-        offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
-        ends = cuts(data, offsets)
-        n = np.array([len(e) for e in ends], np.int64)
-        stop = np.array([x for e in ends for x in e], np.int64)
-        row = np.repeat(np.arange(len(n)), n)
-        start = np.append(0, stop[:-1]) if len(stop) else stop
-        start = np.maximum(start, offsets[row])
-        digest = xxhash.xxh64_intdigest
-        digests = np.array([digest(joined[i:j]) for i, j in zip(start.tolist(), stop.tolist(), strict=True)], np.uint64)
-        chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-        first = chars[start] - chars[offsets[row]]
-        taken = pa.array(row)
-        return {"id": batch.column("id").take(taken), "th": batch.column("th").take(taken), "pos": first * _PACK + (chars[stop] - chars[start]), "digest": digests.view(np.int64)}
-
-    return map_batches(given, cut, f"id {kind}, th bigint, pos bigint, digest bigint")
-
-
-def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id``, ``th`` and ``places``: the chunks of a text that a document with a smaller id holds."""
-    found = chunks(docs, id_col, text_col)
-    first = found.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.max(F.col("id").isNull()).alias("some_null"))
-    shared = first.where((F.col("first") < F.col("last")) | (F.col("first").isNotNull() & F.col("some_null"))).select(F.col("digest").alias("same"), "first")
-    later = found.join(shared, F.col("digest") == F.col("same")).where((F.col("id") > F.col("first")) | F.col("id").isNull())
-    return later.groupBy("id", "th").agg(F.collect_list("pos").alias("places"))
+def words(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of a text, and where its words start and end."""
+    points = np.frombuffer(text.encode("utf-32-le"), "<u4")
+    space = np.concatenate([[True], _SPACE[np.minimum(points, len(_SPACE) - 1)], [True]])
+    edge = np.diff(space.astype(np.int8))
+    return points, np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the rolling hash's factor and of its inverse."""
+    both = []
+    for factor in (_STEP, _BACK):
+        out = np.full(n, factor, np.uint64)
+        out[:1] = 1
+        both.append(np.cumprod(out, dtype=np.uint64))
+    return both[0], both[1]
+
+
+def representatives(points: np.ndarray, starts: np.ndarray, ends: np.ndarray, min_words: int, factors: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """For the stretch of ``min_words`` words at each word, the least hash of its parts of half as many words."""
+    if len(starts) < min_words:
+        return np.zeros(0, np.int64)
+    part = (min_words + 1) // 2
+    values = (points.astype(np.uint64) + np.uint64(1)) * _ODD
+    values ^= values >> np.uint64(29)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * factors[0][: len(values)], dtype=np.uint64)])
+    first = starts[: len(starts) - part + 1]
+    h = (total[ends[part - 1 :]] - total[first]) * factors[1][first]
+    for shift in (30, 27):
+        h = (h ^ (h >> np.uint64(shift))) * _MIX
+    size, want = 1, min_words - part + 1
+    while size < want:  # least of ever wider windows
+        step = min(size, want - size)
+        h = np.minimum(h[:-step], h[step:])
+        size += step
+    return h.view(np.int64)
+
+
+def _longest(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    return powers(max((len(t) for t in texts), default=0))
+
+
+def shared_marks(rows: DataFrame, min_words: int) -> DataFrame:
+    """``id``, ``th`` and ``marks``: the representatives in a text that other documents have too."""
+
+    def find(batch: pa.RecordBatch) -> dict:
+        texts = batch.column("text").to_pylist()
+        factors = _longest(texts)
+        found = [np.unique(representatives(*words(t), min_words, factors)) for t in texts]
+        taken = pa.array(np.repeat(np.arange(len(texts)), [len(f) for f in found]))
+        marks = np.concatenate(found) if found else np.zeros(0, np.int64)
+        return {"id": batch.column("id").take(taken), "th": batch.column("th").take(taken), "mark": marks}
+
+    kind = rows.schema["id"].dataType.simpleString()
+    marks = map_batches(rows, find, f"id {kind}, th bigint, mark bigint")
+    held = marks.groupBy(F.col("mark").alias("same")).agg(F.min("id").alias("first"), F.max("id").alias("last"), F.max(F.col("id").isNull()).alias("some_null"))
+    several = (F.col("first") < F.col("last")) | (F.col("first").isNotNull() & F.col("some_null"))
+    shared = marks.join(held.where(several), F.col("mark") == F.col("same"))
+    return shared.groupBy("id", "th").agg(F.collect_set("mark").alias("marks"))
+
+
+def repeats(rows: DataFrame, min_words: int) -> DataFrame:
+    """``id``, ``th`` and ``places``: the words at which a stretch starts that a document with a smaller id holds."""
+
+    def compare(batch: pa.RecordBatch) -> dict:
+        texts = batch.column("text").to_pylist()
+        factors = _longest(texts)
+        taken, places, digests = [], [], []
+        for k, (text, marks) in enumerate(zip(texts, batch.column("marks").to_pylist(), strict=True)):
+            points, starts, ends = words(text)
+            at = np.flatnonzero(np.isin(representatives(points, starts, ends, min_words, factors), np.array(marks, np.int64)))
+            taken += [k] * len(at)
+            places += at.tolist()
+            bounds = zip(starts[at].tolist(), ends[at + min_words - 1].tolist(), strict=True)
+            digests += [xxhash.xxh64_intdigest(text[i:j].encode()) for i, j in bounds]
+        order = pa.array(taken, pa.int64())
+        return {"id": batch.column("id").take(order), "th": batch.column("th").take(order), "place": places, "digest": np.array(digests, np.uint64).view(np.int64)}
+
+    kind = rows.schema["id"].dataType.simpleString()
+    found = map_batches(rows, compare, f"id {kind}, th bigint, place int, digest bigint")
+    first = found.groupBy(F.col("digest").alias("same")).agg(F.min("id").alias("first")).where(F.col("first").isNotNull())
+    later = found.join(first, F.col("digest") == F.col("same")).where((F.col("id") > F.col("first")) | F.col("id").isNull())
+    return later.groupBy("id", "th").agg(F.collect_set("place").alias("places"))
 
 
 def spans(text: str, places: list[int], min_words: int) -> list[tuple[int, int]]:
-    """Runs of adjoining chunks as whole words, if they are long enough."""
-    out = []
+    """The stretches at ``places`` as pairs of characters, those that touch or overlap as one."""
+    _, starts, ends = words(text)
     runs: list[list[int]] = []
-    for pos in sorted(set(places)):
-        start, size = divmod(pos, _PACK)
-        if runs and runs[-1][1] == start:
-            runs[-1][1] = start + size
+    for place in sorted(places):
+        if runs and place <= runs[-1][1]:
+            runs[-1][1] = place + min_words
         else:
-            runs.append([start, start + size])
-    for start, end in runs:
-        while 0 < start < end and not (text[start - 1].isspace() or text[start].isspace()):
-            start += 1
-        while start < end < len(text) and not (text[end - 1].isspace() or text[end].isspace()):
-            end -= 1
-        if len(text[start:end].split()) >= min_words:
-            out.append((start, end))
-    return out
+            runs.append([place, place + min_words])
+    return [(int(starts[a]), int(ends[b - 1])) for a, b in runs]
 
 
-def dedup_substrings(docs: DataFrame, min_words: int = 25, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_substrings(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows with repeated passages taken out of the text, and ``removed``: their places as pairs of characters."""
-    found = repeats(docs, id_col, text_col).withColumnsRenamed({"id": "_rid", "th": "_rth", "places": "_places"})
     given = docs.drop("removed")
-    rows = given.withColumn("_th", F.xxhash64(whole_text(text_col)))
-    joined = rows.join(found, F.col(id_col).eqNullSafe(F.col("_rid")) & (F.col("_th") == F.col("_rth")), "left").select(*given.columns, "_places")
+    names = given.columns
+    text = whole_text(text_col)
+    keys = [F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), text.alias("text")]
+    rows = given.withColumn("_th", F.xxhash64(text))
+
+    def beside(left: DataFrame, found: DataFrame, values: str) -> DataFrame:
+        right = found.select(F.col("id").alias("_rid"), F.col("th").alias("_rth"), F.col(values).alias(f"_{values}"))
+        return left.join(right, F.col(id_col).eqNullSafe(F.col("_rid")) & (F.col("_th") == F.col("_rth")), "left").drop("_rid", "_rth")
+
+    # read twice: the texts that share something with others are compared, the others are done
+    marked = materialized(beside(rows, shared_marks(given.select(*keys), min_words), "marks"), "marked")
+    some = marked.where(F.col("_marks").isNotNull())
+    found = repeats(some.select(*keys, F.col("_marks").alias("marks")), min_words)
+    placed = beside(some, found, "places")
     span = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
     kind = T.StructType([*given.schema.fields, T.StructField("removed", span)])
-    names = given.columns
+    none = F.array().cast(span).alias("removed")
 
     def cut(batch: pa.RecordBatch) -> dict:
         texts, places = batch.column(text_col).to_pylist(), batch.column("_places").to_pylist()
         out = {c: batch.column(c) for c in names}
         gone, left = [], []
-        for text, some in zip(texts, places, strict=True):
-            cut_out = spans(text, some, min_words) if some and text else []
+        for text, at_words in zip(texts, places, strict=True):
+            cut_out = spans(text, at_words, min_words)
             at, kept = 0, []
             for start, end in cut_out:
                 kept.append(text[at:start])
                 at = end
-            left.append("".join(kept) + text[at:] if cut_out else text)
+            left.append("".join(kept) + text[at:])
             gone.append([{"start": a, "end": b} for a, b in cut_out])
         return out | {text_col: left, "removed": gone}
 
-    return map_batches(joined, cut, kind)
+    whole = marked.where(F.col("_marks").isNull()).select(*names, none)
+    unique = placed.where(F.col("_places").isNull()).select(*names, none)
+    return whole.unionByName(unique).unionByName(map_batches(placed.where(F.col("_places").isNotNull()).select(*names, "_places"), cut, kind))
