@@ -199,6 +199,22 @@ def test_imatch(spark, sf_dir, docs, odd, empty):
     assert imatch.fingerprints(empty).count() == 0
 
 
+def test_imatch_copies_leave_the_lexicon_alone(spark):
+    rng = np.random.default_rng(11)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    texts = [" ".join(rng.choice(vocabulary, 60)) for _ in range(300)]
+    near = texts[0].split()
+    near[5], near[40] = "changed", "twice"
+    rows = list(enumerate([*texts, " ".join(near)] + [texts[0]] * 150))
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    once = table.where("doc_id <= 300")
+    slots = [imatch.lexicon(t, (0.001, 0.1)).first()["slots"] for t in (table, once)]
+    assert [sorted(x) for x in slots[0]] == [sorted(x) for x in slots[1]] and any(slots[0])
+    got = {r["doc_id"]: r for r in imatch.fingerprints(table).collect()}
+    # documents follow each other by descending id: the near copy comes after the last copy
+    assert got[301]["near_next"] > 0.5 and got[300]["fingerprint"] != got[301]["fingerprint"]
+
+
 def _base(text):
     kinds = [("assign", r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 6), ("access", "AKIA[A-Z0-9]+", 0, 20), ("hex", "[0-9a-f]+", 0, 24)]
     found = [(m.start(), k, n, m.end()) for k, (n, p, g, least) in enumerate(kinds) for m in re.finditer(p, text, re.ASCII) if len(m[g]) >= least]

@@ -1,8 +1,8 @@
 """I-Match fingerprints with randomised lexicons, in SQL functions alone.
 
 Terms are runs of letters and digits, lower-cased. The lexicon holds the terms whose inverse document
-frequency over all rows lies in a band. A term that occurs in a share f of the rows takes up at least
-f of the rows' distinct terms, so a band that ends at the share f holds at most (mean number of
+frequency over all distinct texts lies in a band, so that copies of a text cannot push its terms out. A term that
+occurs in a share f of the texts takes up at least f of the texts' distinct terms, so a band that ends at the share f holds at most (mean number of
 distinct terms) / f terms, however large the corpus; this bounds what is sent to every task.
 
 A document's distinct terms of the lexicon are sorted, thinned to several random sub-lexicons of
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from tidepool.llm.common import whole_text
 from tidepool.session import materialized
 
-#: Shares of rows between which a lexicon term's document frequency lies (idf between 2.3 and 6.9).
+#: Shares of distinct texts between which a lexicon term's document frequency lies (idf between 2.3 and 6.9).
 BAND = (0.001, 0.1)
 #: A sub-lexicon of density step r keeps a term if r given bits of its hash are zero.
 DENSITIES = (2, 4, 6, 8, 10)
@@ -55,8 +55,10 @@ def term_hashes(text: Column) -> Column:
 def lexicon(docs: DataFrame, band: tuple[float, float] = BAND, text_col: str = "text") -> DataFrame:
     """One row: ``slots``, an array of arrays that holds each lexicon term at its hash modulo the size."""
     text = whole_text(text_col)
-    total = docs.agg(F.count(F.lit(1)).alias("n")).scalar()
-    counts = docs.select(F.explode(F.array_distinct(words(text))).alias("w")).groupBy(F.xxhash64("w").alias("h")).agg(F.count(F.lit(1)).alias("df"))
+    th = F.xxhash64(text)
+    total = docs.agg(F.count_distinct(th).alias("n")).scalar()
+    texts = docs.select(th.alias("th"), text.alias("text")).dropDuplicates(["th"])
+    counts = texts.select(F.explode(F.array_distinct(words(F.col("text")))).alias("w")).groupBy(F.xxhash64("w").alias("h")).agg(F.count(F.lit(1)).alias("df"))
     kept = counts.where((F.col("df") >= F.lit(band[0]) * total) & (F.col("df") <= F.lit(band[1]) * total))
     slot = F.pmod("h", F.lit(_SLOTS)).alias("slot")
     held = kept.groupBy(slot).agg(F.collect_list("h").alias("hs"))
