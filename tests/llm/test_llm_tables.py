@@ -215,6 +215,17 @@ def test_imatch_copies_leave_the_lexicon_alone(spark):
     assert got[301]["near_next"] > 0.5 and got[300]["fingerprint"] != got[301]["fingerprint"]
 
 
+def test_imatch_few_terms(spark):
+    # each text has one lexicon term, in two texts of 2000, beside words of its own
+    rows = [(k, f"own{k} also{k} term{k // 2}") for k in range(2000)]
+    got = imatch.fingerprints(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert not any(set(r["fingerprint"]) == {"-"} for r in got)
+    words_of = {}
+    for r in got:
+        words_of.setdefault(r["fingerprint"], set()).add(rows[r["doc_id"]][1].split()[2])
+    assert all(len(terms) == 1 for terms in words_of.values())
+
+
 def _base(text):
     kinds = [("assign", r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 6), ("access", "AKIA[A-Z0-9]+", 0, 20), ("hex", "[0-9a-f]+", 0, 24)]
     found = [(m.start(), k, n, m.end()) for k, (n, p, g, least) in enumerate(kinds) for m in re.finditer(p, text, re.ASCII) if len(m[g]) >= least]

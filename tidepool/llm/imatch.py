@@ -8,8 +8,8 @@ distinct terms) / f terms, however large the corpus; this bounds what is sent to
 A document's distinct terms of the lexicon are sorted, thinned to several random sub-lexicons of
 several densities, and each non-empty selection is hashed. Two fingerprints are alike by the share of
 equal hashes among the selections that are not empty in both, taken at the density where it is largest.
-A document without any term of the lexicon hashes all its distinct words instead, so that equal texts,
-and only such with the same words, agree.
+A document whose selections are all empty, having few terms of the lexicon or none, hashes all its distinct words
+instead, so that equal texts, and only such with the same words, agree.
 
 Null texts count as empty; all empty texts agree with each other. Repeated rows stay; rows equal in
 id and text are one document in the order of documents. Documents follow each other by descending id,
@@ -92,7 +92,8 @@ def signatures(text: Column, slots: Column) -> Column:
 
     def of_terms(all_terms: Column) -> Column:
         known = F.filter(all_terms, lambda h: F.array_contains(F.get(slots, F.pmod(h, F.lit(_SLOTS)).cast("int")), h))
-        return _let(known, lambda t: F.when(F.size(t) > 0, F.transform(thinned(t), hashed)).otherwise(instead(all_terms)))
+        some = _let(known, lambda t: F.transform(thinned(t), hashed))
+        return _let(some, lambda s: F.when(F.exists(s, lambda x: x.isNotNull()), s).otherwise(instead(all_terms)))
 
     return _let(term_hashes(text), of_terms)
 
