@@ -382,6 +382,29 @@ def test_cross_parsing_counts_longest_phrases():
         assert list(got) == [phrases(text, sample[n]) for n in ("a", "b")]
 
 
+def test_languages_of_many_letters():
+    rng = np.random.default_rng(5)
+
+    def text(first, n, size, known={}):
+        known = known.setdefault(first, ["".join(map(chr, first + rng.integers(0, n, 4))) for _ in range(300)])
+        return " ".join(rng.choice(known, size))
+
+    scripts = {"el": (0x3B1, 17), "ja": (0x3041, 80), "ru": (0x430, 32), "zh": (0x4E00, 2000), "zz": (0x4E00 + 2000, 2000)}
+    samples = {n: text(*at, 2000) for n, at in scripts.items()}
+    languages = langid.Languages(samples)
+    names, scores = languages.predict([text(*at, 60) for at in scripts.values()] + ["\u0e01\u0e02\u0e03"])
+    assert names == [*scripts, "und"] and (scores[:-1] > 0.7).all() and scores[-1] == 0
+    for n, sample in samples.items():
+        given = sample[100:140] + sample[7:30] + sample[900:960]
+        size, at = 0, 0
+        while at < len(given):
+            end = at + 1
+            while end < len(given) and given[at : end + 1] in sample:
+                end += 1
+            at, size = end, size + 1
+        assert languages.phrases([languages.encode(given)])[0][languages.names.index(n)] == size
+
+
 def test_pipeline(spark, sf_dir):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     docs = table = spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -5,14 +5,14 @@ longest phrases that occur in the language's sample; few phrases mean that the t
 the sample is. The number of phrases, times the bits to point into the sample, per character estimates the
 cross entropy, and the language with the smallest wins (ties: the smaller name).
 
-An automaton is a table of next states with a mark where a phrase ends, so many stretches of text walk through it
-at once. Texts are walked in stretches of ``STRETCH`` characters; a phrase ends with its stretch, in every
+An automaton knows every letter of its sample: a table holds the next states for the letters most common in it, with a
+mark where a phrase ends, and sorted pairs of state and letter hold those for the others, so many stretches of text walk through it at once. Texts are walked in stretches of ``STRETCH`` characters; a phrase ends with its stretch, in every
 language alike, and a text of any length is read whole.
 
 The sample is bounded: of each language, whole texts in the order of a hash of their id, up to ``SAMPLE``
 characters and at least one text (of which then only so much is used to build the automaton). Rows of the
-held-out third, null ids, null texts and null languages teach nothing. Null texts, texts without a letter and all
-texts if nothing could be learned are ``und`` with score 0. Repeated rows stay. Other columns are not looked at. An
+held-out third, null ids, null texts and null languages teach nothing. Null texts, texts without a letter that some
+sample has and all texts if nothing could be learned are ``und`` with score 0. Repeated rows stay. Other columns are not looked at. An
 empty table gives an empty result.
 """
 
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import math
 import unicodedata
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ SAMPLE = 30_000
 #: Texts of each language that the sample is taken from.
 SAMPLE_TEXTS = 200
 STRETCH = 256
-#: Letters that the automata tell apart; others are one class.
+#: Letters of a language that its table has columns for; the transitions by all others are looked up.
 LETTERS = 60
 
 
@@ -42,8 +43,12 @@ def clean(text: str) -> str:
     return " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split())
 
 
-def automaton(text: list[int], width: int) -> np.ndarray:
-    """Table of state x letter -> 2 * next state + 1 if a phrase ends before the letter. State 0 is the start.
+def automaton(text: list[int], letters: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``table``, ``start``, ``keys`` and ``to``; text and letters are numbers below ``letters``, 0 is in no text.
+
+    ``table`` is state x letter -> 2 * next state + 1 if a phrase ends before the letter, for the letters up to
+    ``LETTERS``; ``start`` is the state after each letter at the start. Sorted ``keys`` are state * ``letters`` + letter
+    of the transitions by further letters, ``to`` the states they lead to. State 0 is the start.
 
     Suffix automaton by Blumer's construction: states are classes of substrings with the same ends.
     """
@@ -73,40 +78,39 @@ def automaton(text: list[int], width: int) -> np.ndarray:
                 link[q] = link[new] = twin
         last = new
     lost = len(step)  # behind a letter that the sample has not
-    start = np.full(width, lost, np.int32)
+    start = np.full(letters, lost, np.int32)
     for c, to in step[0].items():
         start[c] = to
-    table = np.tile(start * 2 + 1, (lost + 1, 1))
-    table[0] = start * 2  # no phrase is open yet
+    width = min(letters, LETTERS + 1)
+    table = np.tile(start[:width] * 2 + 1, (lost + 1, 1))
+    table[0] = start[:width] * 2  # no phrase is open yet
+    rare = []
     for state, steps in enumerate(step):
         for c, to in steps.items():
-            table[state, c] = to * 2
-    return table
+            if c < width:
+                table[state, c] = to * 2
+            else:
+                rare.append((state * letters + c, to))
+    rare.sort()
+    return table, start, np.array([k for k, _ in rare], np.int64), np.array([to for _, to in rare], np.int32)
 
 
 class Languages:
     def __init__(self, samples: dict[str, str]):
         self.names = sorted(samples)
         texts = {name: clean(samples[name])[:SAMPLE] for name in self.names}
-        common: dict[str, int] = {}
-        for text in texts.values():
-            for c in text:
-                common[c] = common.get(c, 0) + 1
-        kept = sorted(common, key=lambda c: (-common[c], c))[:LETTERS]
         # class 0: a letter that no sample has, class 1: anything else
-        codes = {c: k + 2 for k, c in enumerate(c for c in kept if c != " ")} | {" ": 1}
-        self.codes = codes
-        self.width = len(codes) + 2
-        tables, base = [], 0
+        self.codes = {" ": 1} | {c: k + 2 for k, c in enumerate(sorted(set("".join(texts.values())) - {" "}))}
+        self.kind = np.min_scalar_type(len(self.codes) + 1)
+        self.automata = []
         for name in self.names:
-            # a letter outside the classes is left out of the sample's automaton and is a phrase of its own in a text
-            table = automaton([codes.get(c, 0) for c in texts[name]], self.width)
-            table[:, 0] = 2 * (len(table) - 1) + 1
-            table[0, 0] -= 1
-            tables.append(table + 2 * base)
-            base += len(table)
-        self.starts = np.cumsum([0, *(len(t) for t in tables)])[:-1]
-        self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
+            counts = Counter(texts[name])
+            # the language's own numbers: the commonest letters first, 0 for those its sample has not
+            own = {c: k + 1 for k, c in enumerate(sorted(counts, key=lambda c: (-counts[c], c)))}
+            number = np.zeros(len(self.codes) + 1, np.int32)
+            for c, k in own.items():
+                number[self.codes[c]] = k
+            self.automata.append((number, len(own) + 1, *automaton([own[c] for c in texts[name]], len(own) + 1)))
         self.bits = np.array([math.log2(max(2, len(texts[n]))) for n in self.names])
 
     def encode(self, text: str) -> np.ndarray:
@@ -120,7 +124,7 @@ class Languages:
     def classes(self) -> np.ndarray:
         """Class of each code point."""
         if "_classes" not in self.__dict__:
-            found = np.ones(0x110000, np.uint8)
+            found = np.ones(0x110000, self.kind)
             for point in range(0x110000):
                 if unicodedata.category(chr(point))[0] == "L":
                     found[point] = self.codes.get(chr(point), 0)
@@ -131,7 +135,7 @@ class Languages:
         """Number of phrases, text x language."""
         n = np.array([-(-len(t) // STRETCH) for t in texts])
         owner = np.repeat(np.arange(len(texts)), n)
-        lanes = np.zeros((len(owner), STRETCH), np.uint8)
+        lanes = np.zeros((len(owner), STRETCH), self.kind)
         sizes = np.zeros(len(owner), np.int64)
         at = 0
         for t, k in zip(texts, n.tolist(), strict=True):
@@ -142,17 +146,28 @@ class Languages:
                 sizes[at + k - 1] = len(t) - (k - 1) * STRETCH
             at += k
         order = np.argsort(-sizes, kind="stable")
-        letters = np.ascontiguousarray(lanes[order].T).astype(np.int32)
+        letters = np.ascontiguousarray(lanes[order].T)
         going = np.searchsorted(-sizes[order], -np.arange(STRETCH), side="left")  # lanes longer than k
         counts = np.zeros((len(texts), len(self.names)), np.int64)
-        for k, start in enumerate(self.starts):
-            state = np.full(len(owner), start, np.int32)
+        for k, (number, size, table, start, keys, nexts) in enumerate(self.automata):
+            flat, width = table.ravel(), table.shape[1]
+            state = np.zeros(len(owner), np.int32)
             ended = np.zeros(len(owner), np.int32)
             for j in range(STRETCH):
                 m = going[j]
                 if not m:
                     break
-                to = self.table[state[:m] * self.width + letters[j, :m]]
+                letter = number[letters[j, :m]]
+                if len(keys):
+                    to = flat[state[:m] * width + np.minimum(letter, width - 1)]
+                    rare = np.flatnonzero(letter >= width)
+                    if len(rare):
+                        at, c = state[rare], letter[rare]
+                        key = at.astype(np.int64) * size + c
+                        place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+                        to[rare] = np.where(keys[place] == key, nexts[place] * 2, start[c] * 2 + (at > 0))
+                else:
+                    to = flat[state[:m] * width + letter]
                 ended[:m] += to & 1
                 state[:m] = to >> 1
             # an ended phrase is counted where the next begins, so each stretch has one more
@@ -161,7 +176,7 @@ class Languages:
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         coded = [self.encode(t or "") for t in texts]
-        some = np.array([bool(len(c)) and bool((c != 1).any()) for c in coded], bool)
+        some = np.array([bool((c > 1).any()) for c in coded], bool)
         if not self.names:
             return ["und"] * len(texts), np.zeros(len(texts))
         cost = self.phrases(coded) * self.bits
