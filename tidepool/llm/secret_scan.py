@@ -49,10 +49,17 @@ BASE_RULES = (
     Rule("access", 1, r"AKIA[A-Z0-9]+", 0, 20, ("akia",)),
     Rule("hex", 1, r"[0-9a-f]+", 0, 24),
 )
+# A private key to the END line of its kind; if there is none before the next BEGIN, over the header fields and base64 lines that follow.
+_EOL = r"(?:[\x20\t]*(?:\\r|\r)?(?:\\n|\n))"
+_PRIVATE = (
+    r"-----BEGIN ([A-Z ]*)PRIVATE KEY-----"
+    r"(?:(?:(?!-----BEGIN )[\s\S])*?-----END \1PRIVATE KEY-----"
+    rf"|(?:{_EOL}+[A-Za-z-]+:\x20[^\r\n\\]*)*(?:{_EOL}+[A-Za-z0-9+/]{{40,}}={{0,2}})*(?:{_EOL}[A-Za-z0-9+/]+={{0,2}}(?=[\x20\t]*(?:[\r\n\\\"']|\Z)))?)"
+)
 # Public formats of further credentials.
 RULES = (
     *BASE_RULES,
-    Rule("private", 1, r"-----BEGIN [A-Z ]*PRIVATE KEY-----", hints=("private key-----",)),
+    Rule("private", 2, _PRIVATE, hints=("private key-----",)),
     Rule("github", 1, r"gh[pousr]_[A-Za-z0-9]+", 0, 40, ("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
     Rule("slack", 1, r"xox[abprs]-[A-Za-z0-9-]+", 0, 15, ("xox",)),
     Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", hints=("eyj",)),
