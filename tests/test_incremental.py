@@ -50,6 +50,27 @@ def test_tails_leave_out_hours_that_are_passed(hours):
     assert again.count() == 0 and same(unchanged, tails)
 
 
+def test_late_hours_come_out_and_can_be_reprocessed(hours):
+    cut = hours.agg(F.percentile_approx(F.unix_timestamp("hour_ts"), 0.5)).first()[0]
+    old = hours.where(F.unix_timestamp("hour_ts") <= cut)
+    slow = hours.agg(F.min("pool_id")).first()[0]
+    start = old.where(F.col("pool_id") == slow).agg(F.percentile_approx("hour_ts", 0.8)).first()[0]
+    late = (F.col("pool_id") == slow) & (F.col("hour_ts") >= F.lit(start)) & (F.unix_timestamp("hour_ts") <= cut)
+    target = old.where(~late)
+    assert same(mart.late_hours(hours, target), hours.where(late)) and hours.where(late).count() > 0
+    want = rounded(pool_features(hours).where(F.col("hour_ts") >= F.lit(start)))
+    assert same(rounded(mart.incremental_features(hours, target, reprocess_from=F.lit(start))), want)
+
+    held = old.where(late).agg(F.max("hour_ts")).first()[0]
+    _, tails = mart.features_from_tails(old.where(~late | (F.col("hour_ts") == F.lit(held))), hours.limit(0))
+    assert same(mart.late_for_tails(old.where(late), tails), old.where(late & (F.col("hour_ts") < F.lit(held))))
+    again, after = mart.features_from_tails(hours, tails, F.lit(start), hours)
+    assert same(rounded(again), want)
+    assert same(after, mart.features_from_tails(hours, hours.limit(0))[1])
+    with pytest.raises(ValueError):
+        mart.features_from_tails(hours, tails, F.lit(start))
+
+
 def test_old_labels_are_not_revised_and_an_empty_target_gets_all(hours):
     source = pool_features(hours)
     assert mart.incremental_label(source, source.limit(0)).count() == hours.count()

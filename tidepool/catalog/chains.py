@@ -81,6 +81,17 @@ def k2_tails(spark, sf):
     return feature_columns_out(made[1].unionByName(made[2]))
 
 
+@query("k2_late_hours", f"""WITH {POOL_HOURLY}
+SELECT {_BASE} FROM pool_hourly WHERE hour_ts >= TIMESTAMP '2024-01-15' AND hour_ts < TIMESTAMP '2024-01-18' AND floor(volume_usd) % 3 = 0""")
+def k2_late(spark, sf):
+    """Hours that arrive after the target has newer ones."""
+    source = materialized(X.pool_hourly(spark, sf), "hours")
+    span = (F.col("hour_ts") >= moment(datetime(2024, 1, 15))) & (F.col("hour_ts") < moment(datetime(2024, 1, 18)))
+    late = F.coalesce(span & (F.floor("volume_usd") % 3 == 0), F.lit(False))
+    target = source.where((F.col("hour_ts") < moment(_SPLIT)) & ~late)
+    return mart.late_hours(source.where(F.col("hour_ts") < moment(_SPLIT)), target).select("pool_id", epoch("hour_ts").alias("hour_epoch"), "volume_usd")
+
+
 @query("k3_expect_not_null", f"""WITH {FEATURES}
 SELECT 'pool_id' AS "column", count(*) FILTER (pool_id IS NULL) AS violations FROM features
 UNION ALL SELECT 'hour_ts', count(*) FILTER (hour_ts IS NULL) FROM features

@@ -88,39 +88,74 @@ def day_between(df: DataFrame, day: str | None, first: Column | None, last: Colu
     return df
 
 
-def incremental_features(source: DataFrame, target: DataFrame, recent_days: int = 7) -> DataFrame:
+def incremental_features(
+    source: DataFrame, target: DataFrame, recent_days: int = 7, reprocess_from: Column | datetime | None = None,
+) -> DataFrame:
     """Features of hours newer than the target's newest, equal to those of a full rebuild.
 
     The newest hour is read first, so the new rows come from a scan with a literal bound.
     Row windows also need the 24 rows before a pool's first new one, however old they are;
-    the filter on time comes after the windows.
+    the filter on time comes after the windows. Late hours at or before the newest are left out and
+    listed by ``late_hours``, unless ``reprocess_from`` names the hour to start again from.
     """
     newest = target.agg(micros(F.max("hour_ts"))).first()[0]
     if newest is None:
         return pool_features(source)
-    fresh = source.where(F.col("hour_ts") > moment(newest))
+    new = F.col("hour_ts") > moment(newest) if reprocess_from is None else F.col("hour_ts") >= moment(reprocess_from)
+    fresh = source.where(new)
     since = fresh.groupBy("pool_id").agg(F.min("hour_ts").alias("since"))
     before = preceding_rows(source, since, LAG_ROWS, recent_days)
-    return pool_features(before.unionByName(fresh)).where(F.col("hour_ts") > moment(newest))
+    return pool_features(before.unionByName(fresh)).where(new)
+
+
+def late_hours(source: DataFrame, target: DataFrame) -> DataFrame:
+    """Rows of ``source`` that ``incremental_features`` leaves out: at or before the target's newest hour, but not in it."""
+    newest = target.agg(micros(F.max("hour_ts"))).first()[0]
+    if newest is None:
+        return source.limit(0)
+    return _not_in(source.where(F.col("hour_ts") <= moment(newest)), target)
+
+
+def _not_in(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows whose pool and hour ``known`` has not."""
+    have = known.select(F.col("pool_id").alias("_pool"), F.col("hour_ts").alias("_hour"))
+    return rows.join(have, F.col("pool_id").eqNullSafe(F.col("_pool")) & F.col("hour_ts").eqNullSafe(F.col("_hour")), "left_anti")
 
 
-def features_from_tails(fresh: DataFrame, tails: DataFrame) -> tuple[DataFrame, DataFrame]:
+def features_from_tails(
+    fresh: DataFrame, tails: DataFrame, reprocess_from: Column | datetime | None = None, history: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
     """Features of an hourly batch from a small state table, and that table's next content.
 
     ``tails`` holds the last 24 rows of every pool. An hourly run then reads that and the
     batch, never the history. Hours a pool already has or has passed are left out, as in
-    the other incremental forms.
+    the other incremental forms; ``late_for_tails`` lists those it has passed. With ``reprocess_from`` the hours from there on
+    are computed again: ``fresh`` holds all of them, and ``history`` the rows before, from which the tails are taken anew.
     """
     cols = tails.columns
-    newest = tails.groupBy(F.col("pool_id").alias("_pool")).agg(F.max("hour_ts").alias("_newest"))
-    ahead = fresh.join(newest, F.col("pool_id") == F.col("_pool"), "left").where(
-        F.col("_newest").isNull() | (F.col("hour_ts") > F.col("_newest"))
-    )
+    if reprocess_from is not None:
+        if history is None:
+            raise ValueError("reprocess_from needs the history: tails hold the last rows of a pool only")
+        start = moment(reprocess_from)
+        tails = last_rows(history.where(F.col("hour_ts") < start).select(*cols), ["pool_id"], "hour_ts", LAG_ROWS)
+        fresh = fresh.where(F.col("hour_ts") >= start)
+    ahead = _with_newest(fresh, tails).where(F.col("_newest").isNull() | (F.col("hour_ts") > F.col("_newest")))
     rows = tails.withColumn("_fresh", F.lit(False)).unionByName(ahead.select(*cols, F.lit(True).alias("_fresh")))
     features = pool_features(rows).where("_fresh").drop("_fresh")
     return features, last_rows(rows.drop("_fresh"), ["pool_id"], "hour_ts", LAG_ROWS)
 
 
+def late_for_tails(fresh: DataFrame, tails: DataFrame) -> DataFrame:
+    """Rows of a batch that ``features_from_tails`` leaves out, but for hours that the tails hold."""
+    passed = _with_newest(fresh, tails).where(F.col("hour_ts") <= F.col("_newest"))
+    return _not_in(passed.select(*fresh.columns), tails)
+
+
+def _with_newest(fresh: DataFrame, tails: DataFrame) -> DataFrame:
+    newest = tails.groupBy(F.col("pool_id").alias("_pool")).agg(F.max("hour_ts").alias("_newest"))
+    return fresh.join(newest, F.col("pool_id") == F.col("_pool"), "left")
+
+
 def incremental_label(
     source: DataFrame, target: DataFrame, q: float = 0.9, reprocess_from: Column | datetime | None = None,
     unique_hours: bool = False,
