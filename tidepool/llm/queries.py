@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.llm.common import documents
+from tidepool.llm import filter_audit
 from tidepool.llm.imatch import fingerprints
 from tidepool.llm.langid import identify, learn
 from tidepool.llm.nbest import nbest_digests
@@ -89,3 +90,12 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document."""
     docs = documents(spark, sf_dir)
     return identify(docs, learn(docs))
+
+
+@query("op13_filter_audit")
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove in each of their 120 orders, by language."""
+    return filter_audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+ORACLES["op13_filter_audit"] = filter_audit.ORACLE
