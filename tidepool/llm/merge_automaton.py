@@ -174,8 +174,8 @@ class MergeAutomaton:
         return out[::-1]
 
 
-class AutomatonEncoder(PartEncoder):
-    """Whole texts in Arrow, with a part between white space encoded once per worker."""
+class Vocabulary:
+    """What a tokenizer's file says, and the labels of its ids."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
@@ -186,17 +186,40 @@ class AutomatonEncoder(PartEncoder):
         if any(t[k] for t in added for k in ("single_word", "lstrip", "rstrip", "normalized")):
             raise ValueError("only plain special tokens are known")
         vocab, letter = model["vocab"], byte_letters()
-        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
-        special = {t["content"]: t["id"] for t in added}
-        labels = {i: bytes(letter[c] for c in s) for s, i in vocab.items() if s not in special}
-        self.automaton = MergeAutomaton(labels, [(vocab[a], vocab[b], vocab[a + b]) for a, b in pairs])
-        labels |= {i: s.encode() for s, i in special.items()}
+        self.special = {t["content"]: t["id"] for t in added}
+        pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
+        self.merges = [(vocab[a], vocab[b], vocab[a + b]) for a, b in pairs]
+        self.labels = {i: bytes(letter[c] for c in s) for s, i in vocab.items() if s not in self.special}
+
+
+class Decoder:
+    """Arc labels in arrays; without the automaton, as its states do not matter for them."""
+
+    def __init__(self, path: str):
+        vocabulary = Vocabulary(path)
+        labels = vocabulary.labels | {i: s.encode() for s, i in vocabulary.special.items()}
         every = [labels.get(i, b"") for i in range(max(labels) + 1)]
-        self.label_bytes = np.frombuffer(b"".join(every), np.uint8)
-        self.label_sizes = np.array([len(s) for s in every])
-        self.label_starts = np.cumsum(self.label_sizes) - self.label_sizes
-        self.special_ids = special
-        self.cut = re.compile("(" + "|".join(re.escape(s) for s in sorted(special, key=len, reverse=True)) + ")") if special else None
+        self.bytes = np.frombuffer(b"".join(every), np.uint8)
+        self.sizes = np.array([len(s) for s in every])
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        """The labels of ``ids``, one after the other."""
+        n = self.sizes[ids]
+        ends = np.cumsum(n)
+        places = np.repeat(self.starts[ids] - (ends - n), n) + np.arange(ends[-1] if len(ids) else 0)
+        return self.bytes[places].tobytes()
+
+
+class AutomatonEncoder(PartEncoder):
+    """Whole texts in Arrow, with a part between white space encoded once per worker."""
+
+    def __init__(self, path: str):
+        vocabulary = Vocabulary(path)
+        self.automaton = MergeAutomaton(vocabulary.labels, vocabulary.merges)
+        self.special_ids = vocabulary.special
+        longest_first = sorted(self.special_ids, key=len, reverse=True)
+        self.cut = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if longest_first else None
         super().__init__(path)
 
     def _ids(self, text: str) -> list[int]:
@@ -218,18 +241,15 @@ class AutomatonEncoder(PartEncoder):
         encode, dtype, one = self.automaton.encode, self.dtype, _LETTERS.fullmatch
         return [np.array(encode(w.encode()) if one(w) else self._ids(w), dtype).tobytes() for w in words]
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        """The labels of ``ids``, one after the other."""
-        n = self.label_sizes[ids]
-        ends = np.cumsum(n)
-        places = np.repeat(self.label_starts[ids] - (ends - n), n) + np.arange(ends[-1] if len(ids) else 0)
-        return self.label_bytes[places].tobytes()
-
 
 def automaton(path: str) -> AutomatonEncoder:
     return per_process(("automaton", path), lambda: AutomatonEncoder(path))
 
 
+def decoder(path: str) -> Decoder:
+    return per_process(("arc labels", path), lambda: Decoder(path))
+
+
 def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col`` and ``ids``, little-endian unsigned 32-bit numbers one after the other."""
     given = docs.select(F.col(id_col).alias("key"), whole_text(text_col).alias("text"))
@@ -247,8 +267,8 @@ def decode_documents(encoded: DataFrame, path: str, id_col: str = "doc_id") -> D
     given = encoded.select(F.col(id_col).alias("key"), "ids")
 
     def decode(batch: pa.RecordBatch) -> dict:
-        made = automaton(path)
-        texts = [made.decode(np.frombuffer(b or b"", "<u4")).decode("utf-8", "replace") for b in batch.column("ids").to_pylist()]
+        emit = decoder(path).decode
+        texts = [emit(np.frombuffer(b or b"", "<u4")).decode("utf-8", "replace") for b in batch.column("ids").to_pylist()]
         return {"key": batch.column("key"), "ids": batch.column("ids"), "text": texts}
 
     return map_batches(given, decode, f"key {encoded.schema[id_col].dataType.simpleString()}, ids binary, text string").withColumnRenamed("key", id_col)
