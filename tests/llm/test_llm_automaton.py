@@ -9,10 +9,11 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Row
 from tokenizers import Tokenizer
 
 from tidepool.llm import merge_automaton
-from tidepool.llm.merge_automaton import AutomatonEncoder, Decoder, MergeAutomaton, decode_documents, encode_documents
+from tidepool.llm.merge_automaton import AutomatonEncoder, Decoder, MergeAutomaton, decode_documents, encode_documents, round_trip
 from tidepool.llm.queries import QUERIES
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -76,10 +77,11 @@ def test_automaton_equals_merging(picks, words):
 
 def test_difficult_rows(spark, tokenizer):
     docs = spark.createDataFrame([(i, t, lang, b"x", 1) for i, t, lang in ROWS], "doc_id bigint, text string, lang string, ids binary, key int")
-    got = decode_documents(encode_documents(docs, PATH), PATH).collect()
+    got = round_trip(docs, PATH).collect()
     want = [(i, np.array(tokenizer.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes(), t or "") for i, t, _ in ROWS]
     assert sorted(map(str, ((r["doc_id"], bytes(r["ids"]), r["text"]) for r in got))) == sorted(map(str, want))
-    assert decode_documents(encode_documents(docs.where("doc_id = -1"), PATH), PATH).count() == 0
+    assert sorted(map(str, decode_documents(encode_documents(docs, PATH), PATH).collect())) == sorted(str(Row(doc_id=i, text=t)) for i, _, t in want)
+    assert round_trip(docs.where("doc_id = -1"), PATH).count() == 0
 
 
 def test_query_on_the_table(spark, sf_dir, tokenizer):

@@ -26,17 +26,19 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Callable
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.llm.common import map_batches, per_process, whole_text
 from tidepool.llm.encoders import PartEncoder
 
 #: Places of the table that a worker keeps; a full table is begun anew. Bounds memory, never the result.
-KEPT_PLACES = 300_000
+KEPT_PLACES = 150_000
 START = 0
 _LETTERS = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
@@ -250,25 +252,36 @@ def decoder(path: str) -> Decoder:
     return per_process(("arc labels", path), lambda: Decoder(path))
 
 
+def _buffers(ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    data, ends = ids.astype("<u4").tobytes(), np.cumsum(sizes) * 4
+    return [data[a:b] for a, b in zip(ends - sizes * 4, ends, strict=True)]
+
+
+def _texts(emit: Decoder, buffers: list[bytes | None]) -> list[str]:
+    return [emit.decode(np.frombuffer(b or b"", "<u4")).decode("utf-8", "replace") for b in buffers]
+
+
+def _mapped(df: DataFrame, id_col: str, given: Column, fn: Callable[[pa.Array], dict[str, Any]], results: str) -> DataFrame:
+    rows = df.select(F.col(id_col).alias("key"), given.alias("given"))
+    schema = f"key {df.schema[id_col].dataType.simpleString()}, {results}"
+    return map_batches(rows, lambda batch: {"key": batch.column("key"), **fn(batch.column("given"))}, schema).withColumnRenamed("key", id_col)
+
+
 def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col`` and ``ids``, little-endian unsigned 32-bit numbers one after the other."""
-    given = docs.select(F.col(id_col).alias("key"), whole_text(text_col).alias("text"))
+    return _mapped(docs, id_col, whole_text(text_col), lambda texts: {"ids": _buffers(*automaton(path).encode(texts))}, "ids binary")
 
-    def encode(batch: pa.RecordBatch) -> dict:
-        ids, sizes = automaton(path).encode(batch.column("text"))
-        data, ends = ids.astype("<u4").tobytes(), np.cumsum(sizes) * 4
-        return {"key": batch.column("key"), "ids": [data[a:b] for a, b in zip(ends - sizes * 4, ends, strict=True)]}
 
-    return map_batches(given, encode, f"key {docs.schema[id_col].dataType.simpleString()}, ids binary").withColumnRenamed("key", id_col)
+def decode_documents(encoded: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
+    """``id_col`` and the ``text`` of ``ids``; ids beyond the vocabulary are an error, null ids an empty text."""
+    return _mapped(encoded, id_col, F.col("ids"), lambda ids: {"text": _texts(decoder(path), ids.to_pylist())}, "text string")
 
 
-def decode_documents(encoded: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
-    """``id_col``, ``ids`` as given and their ``text``; ids beyond the vocabulary are an error, null ids an empty text."""
-    given = encoded.select(F.col(id_col).alias("key"), "ids")
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id_col``, ``ids`` and the ``text`` that they decode to, in one pass: a worker then holds a batch once."""
 
-    def decode(batch: pa.RecordBatch) -> dict:
-        emit = decoder(path).decode
-        texts = [emit(np.frombuffer(b or b"", "<u4")).decode("utf-8", "replace") for b in batch.column("ids").to_pylist()]
-        return {"key": batch.column("key"), "ids": batch.column("ids"), "text": texts}
+    def both(texts: pa.Array) -> dict:
+        ids = _buffers(*automaton(path).encode(texts))
+        return {"ids": ids, "text": _texts(decoder(path), ids)}
 
-    return map_batches(given, decode, f"key {encoded.schema[id_col].dataType.simpleString()}, ids binary, text string").withColumnRenamed("key", id_col)
+    return _mapped(docs, id_col, whole_text(text_col), both, "ids binary, text string")

@@ -10,7 +10,7 @@ from tidepool.llm.common import documents
 from tidepool.llm import filter_audit
 from tidepool.llm.imatch import fingerprints
 from tidepool.llm.langid import identify, learn
-from tidepool.llm.merge_automaton import decode_documents, encode_documents
+from tidepool.llm.merge_automaton import round_trip
 from tidepool.llm.nbest import nbest_digests
 from tidepool.llm.packing import pack_documents
 from tidepool.llm.quality import judge, train
@@ -96,8 +96,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_automaton")
 def op11_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document by the tokenization automaton, and the text that they decode to."""
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    done = decode_documents(encode_documents(documents(spark, sf_dir), path), path)
+    done = round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
     n_tokens = (F.octet_length("ids") / 4).cast("long")
     return done.select("doc_id", n_tokens.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
 
