@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.llm.common import documents
-from tidepool.llm import filter_audit
+from tidepool.llm import burst_trie, filter_audit
 from tidepool.llm.imatch import fingerprints
 from tidepool.llm.langid import identify, learn
 from tidepool.llm.merge_automaton import round_trip
@@ -101,10 +101,17 @@ def op11_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", n_tokens.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
 
 
+@query("op12_trie")
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of all conversations, rebuilt on their families' first turns."""
+    return burst_trie.conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 @query("op13_filter_audit")
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What five filters remove in each of their 120 orders, by language."""
     return filter_audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+ORACLES["op12_trie"] = burst_trie.ORACLE
 ORACLES["op13_filter_audit"] = filter_audit.ORACLE
