@@ -6,6 +6,7 @@ import hashlib
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -327,17 +328,70 @@ def test_substrings_are_passages_of_one_earlier_document(spark):
     assert got == {k: [] for k in texts} | {7: [over], 9: [tail], 10: [f"{over}  {tail}"]}
 
 
-def test_chunks_resist_shifts():
-    rng = np.random.default_rng(3)
-    text = bytes(rng.integers(97, 123, 20_000).astype(np.uint8))
-    shifted = text[:5000] + b"inserted" + text[5000:]
-
-    def pieces(x):
-        (ends,) = substring_dedup.cuts(np.frombuffer(x, np.uint8), np.array([0, len(x)]))
-        assert ends[-1] == len(x) and all(b - a <= substring_dedup.LARGEST for a, b in zip([0, *ends], ends, strict=False))
-        return {x[a:b] for a, b in zip([0, *ends], ends, strict=False)}
-
-    assert len(pieces(text) - pieces(shifted)) <= 4
+def _brute_passages(rows, min_words):
+    """Spans of every row: all stretches of words, by their own characters."""
+    listed = []
+    for i, text in rows:
+        _, starts, ends = substring_dedup.words(text or "")
+        listed.append((i, text, [text[a:b] for a, b in zip(starts, ends[min_words - 1 :], strict=False)] if text else []))
+    last = 1 << 62
+    first = {}
+    for i, _, stretches in listed:
+        for x in stretches:
+            first[x] = min(first.get(x, last), last if i is None else i)
+    return [(i, substring_dedup.spans(t, [k for k, x in enumerate(st) if first[x] < (last if i is None else i)], min_words) if t else []) for i, t, st in listed]
+
+
+def test_substrings_query_against_all_stretches(spark, sf_dir):
+    larger = Path(sf_dir).parent / "sf0.01"
+    sf_dir = str(larger) if larger.is_dir() else sf_dir
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    want = {i: ",".join(f"{a}:{b}" for a, b in spans) for i, spans in _brute_passages(docs, substring_dedup.MIN_WORDS)}
+    got = {r["doc_id"]: r["spans"] for r in QUERIES["op1_substrings"](spark, sf_dir).collect()}
+    assert got == want and any(want.values())
+
+
+@pytest.mark.parametrize("min_words", [2, 5, 9, 51])
+def test_substrings_of_few_words_against_all_stretches(spark, monkeypatch, min_words):
+    """Few different words, so that chunks repeat by chance; every key of two rows is hot."""
+    monkeypatch.setattr(substring_dedup, "HOT_ROWS", 2)
+    rng = np.random.default_rng(min_words)
+    common = [" ".join(rng.choice(list("abcdefgh"), 120)) for _ in range(3)]
+    rows = []
+    for i in range(60):
+        a, n = int(rng.integers(0, 60)), int(rng.integers(1, 60))
+        piece = " ".join(common[i % 3].split(" ")[a : a + n])
+        rows.append((i // 2 if i < 8 else i, " ".join(rng.choice(list("abcdefgh"), rng.integers(0, 30))) + (" " if i % 4 else "\n") + piece + " x y"))
+    rows += [(None, rows[20][1]), (None, "same " * 200), (70, "same " * 130 + "end"), (71, None), (72, "")]
+    got = substring_dedup.dedup_substrings(spark.createDataFrame(rows, "doc_id bigint, text string"), min_words)
+    found = sorted(((r["doc_id"], r["text"], [(s["start"], s["end"]) for s in r["removed"]]) for r in got.collect()), key=str)
+
+    def without(text, spans):
+        for a, b in reversed(spans):
+            text = text[:a] + text[b:]
+        return text
+
+    brute = _brute_passages(rows, min_words)
+    assert found == sorted(((i, without(t, spans), spans) for (i, spans), (_, t) in zip(brute, rows, strict=True)), key=str)
+
+
+@pytest.mark.parametrize("min_words", [2, 3, 8, 17, 51, 200])
+def test_equal_stretches_hold_an_equal_chunk(min_words):
+    """The bound: at least one whole chunk lies where the cuts cannot depend on what stands around; insertions change nothing."""
+    rng = np.random.default_rng(min_words)
+    for kinds in (2, 1000):
+        for _ in range(40):
+            passage = " ".join(map(str, rng.integers(0, kinds, min_words)))
+            around = [" ".join(map(str, rng.integers(0, kinds, k))) for k in rng.integers(0, 40, 4)]
+            texts = [f"{around[0]} {passage} {around[1]}".strip(), f"{around[2]} {passage} {around[3]}".strip()]
+            cut = [substring_dedup.Chunks(t, min_words, substring_dedup.powers(max(map(len, texts)))) for t in texts]
+            shared = np.intersect1d(cut[0].digests, cut[1].digests)
+            for t, c in zip(texts, cut, strict=True):
+                assert (np.diff(c.cuts) <= c.window).all()
+                place = t[: t.index(passage)].count(" ")
+                lo = np.searchsorted(c.cuts, place + c.memory + c.window - 2)
+                hi = np.searchsorted(c.cuts, place + min_words - c.window, side="right") - 1
+                assert hi > lo and place in c.stretches(shared)
 
 
 def _counts(text):

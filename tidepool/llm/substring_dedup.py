@@ -5,10 +5,15 @@ stand between white space. Every word that lies in a stretch of ``min_words`` wo
 with a smaller id is removed, so the first document keeps a passage, shorter common phrases stay everywhere, and
 the borders are those of the common text, to the word.
 
-Search: each stretch of ``min_words`` words is represented by the least hash among its parts of half as many
-words (winnowing). Equal stretches have equal representatives whatever stands around them, and neighbours mostly
-share theirs, so there is about one for every 14 words. Check: only stretches whose representative occurs in
-several documents are themselves compared over the corpus, by a digest of their characters.
+Search: texts are cut into chunks of words by their content. A gear hash rolls over the words (each word's hash is its gear
+value) and forgets a word after ``memory`` more; of every ``window`` places in a row, the first one of the least hash is
+a cut. So a chunk has at most ``window`` words, and whether a place is a cut depends on the words near it alone: inside a
+passage that two texts share, all cuts are the same but for ``memory`` + ``window`` words at its start and ``window`` at its end,
+whatever was inserted elsewhere. ``shape`` chooses both so short that a stretch of ``min_words`` words always holds at
+least one whole chunk there. Chunks are de-duplicated by digest over the corpus. Check: only stretches all of whose
+inner chunks occur in several documents are themselves compared, by a digest of 128 bits of their characters.
+
+A chunk or stretch that very many rows hold is joined without a shuffle by it: there are at most ``HOT_KEYS`` of these.
 
 Null texts stay null, empty ones empty. Null ids come after all others. Rows with equal ids are one
 document: they never make each other's passages repeats, and each loses what earlier documents hold. Repeats
@@ -30,10 +35,8 @@ from tidepool.session import materialized
 
 #: The fewest words of a passage: over 50.
 MIN_WORDS = 51
-SMALLEST, LARGEST = 16, 256
-#: One in so many places is a proposed cut.
-SPACING = 16
-_GEAR = np.random.default_rng(16).integers(0, 1 << 16, 256).astype(np.uint16)
+#: A key of more than so many rows, and more than one in ``HOT_KEYS`` of all rows, is hot.
+HOT_ROWS, HOT_KEYS = 10_000, 200_000
 _SPACE = np.array([chr(c).isspace() for c in range(0x3001)] + [False])
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -42,31 +45,6 @@ _STEP = 0xD1342543DE82EF95
 _BACK = pow(_STEP, -1, 1 << 64)
 
 
-def cuts(data: np.ndarray, offsets: np.ndarray) -> list[list[int]]:
-    """Ends of content-defined chunks of each text; ``data`` holds the texts' bytes one after the other. The search does not use them."""
-    h = _GEAR[data]
-    for k in (1, 2, 4, 8):  # sums over 2, 4, 8 and 16 bytes
-        h[k:] = h[k:] + (h[:-k] << np.uint16(k))
-    whole = np.append((data & 0xC0) != 0x80, True)  # never cut inside a character
-    h[~whole[1:]] = (1 << 16) - 1
-    ends = np.flatnonzero(h < (1 << 16) // SPACING) + 1
-    bounds = np.searchsorted(ends, offsets)
-    out = []
-    for k in range(len(offsets) - 1):
-        last, stop, found = int(offsets[k]), int(offsets[k + 1]), []
-        for end in [*ends[bounds[k] : bounds[k + 1]].tolist(), stop]:
-            while end - last > LARGEST:  # no cut proposed: at the least hash, so that monotonous text is cut alike too
-                last += SMALLEST + int(h[last + SMALLEST - 1 : last + LARGEST].argmin())
-                found.append(last)
-            if end - last >= SMALLEST:
-                found.append(end)
-                last = end
-        if last < stop:
-            found.append(stop)
-        out.append(found)
-    return out
-
-
 def words(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Code points of a text, and where its words start and end."""
     points = np.frombuffer(text.encode("utf-32-le"), "<u4")
@@ -85,47 +63,109 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return both[0], both[1]
 
 
-def representatives(points: np.ndarray, starts: np.ndarray, ends: np.ndarray, min_words: int, factors: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """For the stretch of ``min_words`` words at each word, the least hash of its parts of half as many words."""
-    if len(starts) < min_words:
-        return np.zeros(0, np.int64)
-    part = (min_words + 1) // 2
-    values = (points.astype(np.uint64) + np.uint64(1)) * _ODD
-    values ^= values >> np.uint64(29)
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * factors[0][: len(values)], dtype=np.uint64)])
-    first = starts[: len(starts) - part + 1]
-    h = (total[ends[part - 1 :]] - total[first]) * factors[1][first]
+def shape(min_words: int) -> tuple[int, int]:
+    """Words that the gear hash remembers, and places of which one is a cut.
+
+    Inside a stretch the places from ``memory + window - 2`` to ``min_words - window`` have the same cuts in every text.
+    They are at least twice ``window``, so two cuts are among them, and a whole chunk between these.
+    """
+    if min_words < 2:
+        raise ValueError("a passage has two words at least")
+    memory = min(6, max(1, min_words // 8))
+    return memory, max(1, (min_words + 3 - memory) // 4)
+
+
+class Chunks:
+    """Content-defined chunks of one text: ``cuts`` are words, ``digests`` belong to the chunks between neighbouring cuts."""
+
+    def __init__(self, text: str, min_words: int, factors: tuple[np.ndarray, np.ndarray]):
+        points, self.starts, self.ends = words(text)
+        self.min_words = min_words
+        self.memory, self.window = shape(min_words)
+        self.cuts, self.digests = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if len(self.starts) < min_words:
+            return
+        values = (points.astype(np.uint64) + np.uint64(1)) * _ODD
+        values ^= values >> np.uint64(29)
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * factors[0][: len(values)], dtype=np.uint64)])
+
+        def hashed(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+            return _mixed((total[ends] - total[starts]) * factors[1][starts])
+
+        gear, shift = hashed(self.starts, self.ends), -(-64 // self.memory)
+        n = len(gear) - self.memory + 1
+        rolled = np.zeros(n, np.uint64)
+        for k in range(self.memory):  # the word k places back has been shifted k times
+            rolled += gear[self.memory - 1 - k :][:n] << np.uint64(k * shift)
+        self.cuts = _least(_mixed(rolled), self.window) + self.memory - 1
+        self.digests = hashed(self.starts[self.cuts[:-1]], self.ends[self.cuts[1:] - 1]).view(np.int64)
+
+    def stretches(self, shared: np.ndarray) -> np.ndarray:
+        """Words at which a stretch begins whose inner chunks are all in ``shared``."""
+        if not len(self.digests):
+            return np.zeros(0, np.int64)
+        at = np.arange(len(self.starts) - self.min_words + 1)
+        first = np.searchsorted(self.cuts, at + self.memory + self.window - 2)
+        last = np.searchsorted(self.cuts, at + self.min_words - self.window, side="right") - 1
+        common = np.concatenate([[0], np.cumsum(np.isin(self.digests, shared))])
+        return at[common[last] - common[first] == last - first]
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
     for shift in (30, 27):
         h = (h ^ (h >> np.uint64(shift))) * _MIX
-    size, want = 1, min_words - part + 1
-    while size < want:  # least of ever wider windows
-        step = min(size, want - size)
-        h = np.minimum(h[:-step], h[step:])
-        size += step
-    return h.view(np.int64)
+    return h
+
+
+def _least(h: np.ndarray, window: int) -> np.ndarray:
+    """Places that hold the first of the least values among some ``window`` places in a row."""
+    n = len(h) - window + 1
+    value, place = h[:n].copy(), np.arange(n)
+    for k in range(1, window):
+        less = h[k : k + n] < value
+        value[less] = h[k : k + n][less]
+        place[less] = np.flatnonzero(less) + k
+    return np.unique(place)
 
 
 def _longest(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return powers(max((len(t) for t in texts), default=0))
 
 
-def shared_marks(rows: DataFrame, min_words: int) -> DataFrame:
-    """``id``, ``th`` and ``marks``: the representatives in a text that other documents have too."""
+def joined(rows: DataFrame, held: DataFrame, key: str) -> DataFrame:
+    """Inner join of ``rows`` with the keys in ``held`` (``same``, the number ``n`` of their rows, and more); hot keys split up."""
+    held = materialized(held, "held")
+    hot_from = max(HOT_ROWS, (held.agg(F.sum("n")).first()[0] or 0) // HOT_KEYS)
+    more = [c for c in held.columns if c not in ("same", "n")]
+    hot = held.where(F.col("n") > hot_from).select(F.col("same").alias("_hot"), *(F.col(c).alias(f"_hot_{c}") for c in more))
+    cold = held.where(F.col("n") <= hot_from).select(F.col("same"), F.lit(False).alias("_is_hot"), *more)
+    known = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")  # fewer than HOT_KEYS rows, as their counts add up
+    known = known.withColumn("_is_hot", F.col("_hot").isNotNull())
+    # hot rows are done: they are dealt out by what they are, and find nothing
+    spread = F.xxhash64("id", "th")
+    if rows.schema[key].dataType == T.BinaryType():
+        spread = F.unhex(F.hex(spread))
+    known = known.withColumn("same", F.when(F.col("_is_hot"), spread).otherwise(F.col(key)))
+    found = known.join(cold.withColumn("_found", F.lit(True)), ["same", "_is_hot"], "left").where(F.col("_is_hot") | F.col("_found"))
+    return found.select(*rows.columns, *(F.coalesce(F.col(c), F.col(f"_hot_{c}")).alias(c) for c in more))
+
+
+def shared_chunks(rows: DataFrame, min_words: int) -> DataFrame:
+    """``id``, ``th`` and ``chunks``: digests of the chunks of a text that other documents have too."""
 
     def find(batch: pa.RecordBatch) -> dict:
         texts = batch.column("text").to_pylist()
         factors = _longest(texts)
-        found = [np.unique(representatives(*words(t), min_words, factors)) for t in texts]
+        found = [np.unique(Chunks(t, min_words, factors).digests) for t in texts]
         taken = pa.array(np.repeat(np.arange(len(texts)), [len(f) for f in found]))
-        marks = np.concatenate(found) if found else np.zeros(0, np.int64)
-        return {"id": batch.column("id").take(taken), "th": batch.column("th").take(taken), "mark": marks}
+        chunks = np.concatenate(found) if found else np.zeros(0, np.int64)
+        return {"id": batch.column("id").take(taken), "th": batch.column("th").take(taken), "chunk": chunks}
 
     kind = rows.schema["id"].dataType.simpleString()
-    marks = map_batches(rows, find, f"id {kind}, th bigint, mark bigint")
-    held = marks.groupBy(F.col("mark").alias("same")).agg(F.min("id").alias("first"), F.max("id").alias("last"), F.max(F.col("id").isNull()).alias("some_null"))
+    chunks = map_batches(rows, find, f"id {kind}, th bigint, chunk bigint")
+    held = chunks.groupBy(F.col("chunk").alias("same")).agg(F.min("id").alias("first"), F.max("id").alias("last"), F.max(F.col("id").isNull()).alias("some_null"), F.count("*").alias("n"))
     several = (F.col("first") < F.col("last")) | (F.col("first").isNotNull() & F.col("some_null"))
-    shared = marks.join(held.where(several), F.col("mark") == F.col("same"))
-    return shared.groupBy("id", "th").agg(F.collect_set("mark").alias("marks"))
+    return joined(chunks, held.where(several).select("same", "n"), "chunk").groupBy("id", "th").agg(F.collect_set("chunk").alias("chunks"))
 
 
 def repeats(rows: DataFrame, min_words: int) -> DataFrame:
@@ -135,20 +175,20 @@ def repeats(rows: DataFrame, min_words: int) -> DataFrame:
         texts = batch.column("text").to_pylist()
         factors = _longest(texts)
         taken, places, digests = [], [], []
-        for k, (text, marks) in enumerate(zip(texts, batch.column("marks").to_pylist(), strict=True)):
-            points, starts, ends = words(text)
-            at = np.flatnonzero(np.isin(representatives(points, starts, ends, min_words, factors), np.array(marks, np.int64)))
+        for k, (text, shared) in enumerate(zip(texts, batch.column("chunks").to_pylist(), strict=True)):
+            cut = Chunks(text, min_words, factors)
+            at = cut.stretches(np.array(shared, np.int64))
             taken += [k] * len(at)
             places += at.tolist()
-            bounds = zip(starts[at].tolist(), ends[at + min_words - 1].tolist(), strict=True)
-            digests += [xxhash.xxh64_intdigest(text[i:j].encode()) for i, j in bounds]
+            bounds = zip(cut.starts[at].tolist(), cut.ends[at + min_words - 1].tolist(), strict=True)
+            digests += [xxhash.xxh3_128_digest(text[i:j].encode()) for i, j in bounds]
         order = pa.array(taken, pa.int64())
-        return {"id": batch.column("id").take(order), "th": batch.column("th").take(order), "place": places, "digest": np.array(digests, np.uint64).view(np.int64)}
+        return {"id": batch.column("id").take(order), "th": batch.column("th").take(order), "place": places, "digest": digests}
 
     kind = rows.schema["id"].dataType.simpleString()
-    found = map_batches(rows, compare, f"id {kind}, th bigint, place int, digest bigint")
-    first = found.groupBy(F.col("digest").alias("same")).agg(F.min("id").alias("first")).where(F.col("first").isNotNull())
-    later = found.join(first, F.col("digest") == F.col("same")).where((F.col("id") > F.col("first")) | F.col("id").isNull())
+    found = map_batches(rows, compare, f"id {kind}, th bigint, place int, digest binary")
+    first = found.groupBy(F.col("digest").alias("same")).agg(F.min("id").alias("first"), F.count("*").alias("n"))
+    later = joined(found, first.where("n > 1 AND first IS NOT NULL"), "digest").where((F.col("id") > F.col("first")) | F.col("id").isNull())
     return later.groupBy("id", "th").agg(F.collect_set("place").alias("places"))
 
 
@@ -177,9 +217,9 @@ def dedup_substrings(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str =
         return left.join(right, F.col(id_col).eqNullSafe(F.col("_rid")) & (F.col("_th") == F.col("_rth")), "left").drop("_rid", "_rth")
 
     # read twice: the texts that share something with others are compared, the others are done
-    marked = materialized(beside(rows, shared_marks(given.select(*keys), min_words), "marks"), "marked")
-    some = marked.where(F.col("_marks").isNotNull())
-    found = repeats(some.select(*keys, F.col("_marks").alias("marks")), min_words)
+    marked = materialized(beside(rows, shared_chunks(given.select(*keys), min_words), "chunks"), "marked")
+    some = marked.where(F.col("_chunks").isNotNull())
+    found = repeats(some.select(*keys, F.col("_chunks").alias("chunks")), min_words)
     placed = beside(some, found, "places")
     span = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
     kind = T.StructType([*given.schema.fields, T.StructField("removed", span)])
@@ -199,6 +239,6 @@ def dedup_substrings(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str =
             gone.append([{"start": a, "end": b} for a, b in cut_out])
         return out | {text_col: left, "removed": gone}
 
-    whole = marked.where(F.col("_marks").isNull()).select(*names, none)
+    whole = marked.where(F.col("_chunks").isNull()).select(*names, none)
     unique = placed.where(F.col("_places").isNull()).select(*names, none)
     return whole.unionByName(unique).unionByName(map_batches(placed.where(F.col("_places").isNotNull()).select(*names, "_places"), cut, kind))
