@@ -332,7 +332,7 @@ def _brute_passages(rows, min_words):
     """Spans of every row: all stretches of words, by their own characters."""
     listed = []
     for i, text in rows:
-        _, starts, ends = substring_dedup.words(text or "")
+        starts, ends = substring_dedup.words(text or "")
         listed.append((i, text, [text[a:b] for a, b in zip(starts, ends[min_words - 1 :], strict=False)] if text else []))
     last = 1 << 62
     first = {}
@@ -383,15 +383,16 @@ def test_equal_stretches_hold_an_equal_chunk(min_words):
         for _ in range(40):
             passage = " ".join(map(str, rng.integers(0, kinds, min_words)))
             around = [" ".join(map(str, rng.integers(0, kinds, k))) for k in rng.integers(0, 40, 4)]
-            texts = [f"{around[0]} {passage} {around[1]}".strip(), f"{around[2]} {passage} {around[3]}".strip()]
-            cut = [substring_dedup.Chunks(t, min_words, substring_dedup.powers(max(map(len, texts)))) for t in texts]
-            shared = np.intersect1d(cut[0].digests, cut[1].digests)
-            for t, c in zip(texts, cut, strict=True):
-                assert (np.diff(c.cuts) <= c.window).all()
-                place = t[: t.index(passage)].count(" ")
-                lo = np.searchsorted(c.cuts, place + c.memory + c.window - 2)
-                hi = np.searchsorted(c.cuts, place + min_words - c.window, side="right") - 1
-                assert hi > lo and place in c.stretches(shared)
+            texts = [f"{around[0]} {passage} {around[1]}", f"{around[2]} {passage} {around[3]}"]
+            one, two, both = (substring_dedup.Chunks(t, min_words) for t in (texts[:1], texts[1:], ["", "a b", *texts]))
+            for c, k, text in ((one, 0, texts[0]), (two, 0, texts[1]), (both, 2, texts[0]), (both, 3, texts[1])):
+                mine = c.cuts[c.text[c.cuts] == k]
+                assert (np.diff(mine) <= c.window).all()
+                place = int(c.first[c.text == k][0]) + len(text[: text.index(passage)].split())
+                inner = (mine >= place + c.memory + c.window - 2) & (mine <= place + min_words - c.window)
+                assert inner.sum() > c.run
+                rep = c.reps[c.at == place]
+                assert len(rep) == 1 and rep[0] in one.reps and rep[0] in two.reps
 
 
 def _counts(text):

@@ -6,12 +6,13 @@ with a smaller id is removed, so the first document keeps a passage, shorter com
 the borders are those of the common text, to the word.
 
 Search: texts are cut into chunks of words by their content. A gear hash rolls over the words (each word's hash is its gear
-value) and forgets a word after ``memory`` more; of every ``window`` places in a row, the first one of the least hash is
-a cut. So a chunk has at most ``window`` words, and whether a place is a cut depends on the words near it alone: inside a
+value) and forgets a word after ``memory`` more; of every ``window`` places in a row, those of the least hash are
+cuts. So a chunk has at most ``window`` words, and whether a place is a cut depends on the words near it alone: inside a
 passage that two texts share, all cuts are the same but for ``memory`` + ``window`` words at its start and ``window`` at its end,
-whatever was inserted elsewhere. ``shape`` chooses both so short that a stretch of ``min_words`` words always holds at
-least one whole chunk there. Chunks are de-duplicated by digest over the corpus. Check: only stretches all of whose
-inner chunks occur in several documents are themselves compared, by a digest of 128 bits of their characters.
+whatever was inserted elsewhere. ``shape`` chooses both so short that a stretch of ``min_words`` words always holds a
+whole run of ``run`` chunks there. A stretch stands for the least digest among its runs of chunks, equal stretches for
+equal ones, neighbours mostly for the same. These are de-duplicated by digest over the corpus. Check: only stretches whose
+run occurs in several documents are themselves compared, by a digest of 128 bits of their characters.
 
 A chunk or stretch that very many rows hold is joined without a shuffle by it: there are at most ``HOT_KEYS`` of these.
 
@@ -23,6 +24,10 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+from functools import reduce
+from operator import and_
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -30,13 +35,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidepool.llm.common import map_batches, whole_text
+from tidepool.llm.common import by_bytes, map_batches, whole_text
 from tidepool.session import materialized
 
 #: The fewest words of a passage: over 50.
 MIN_WORDS = 51
 #: A key of more than so many rows, and more than one in ``HOT_KEYS`` of all rows, is hot.
 HOT_ROWS, HOT_KEYS = 10_000, 200_000
+#: Characters of the texts that are cut together.
+GROUP = 500_000
 _SPACE = np.array([chr(c).isspace() for c in range(0x3001)] + [False])
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -45,12 +52,16 @@ _STEP = 0xD1342543DE82EF95
 _BACK = pow(_STEP, -1, 1 << 64)
 
 
-def words(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Code points of a text, and where its words start and end."""
-    points = np.frombuffer(text.encode("utf-32-le"), "<u4")
+def edges(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of some code points start and end."""
     space = np.concatenate([[True], _SPACE[np.minimum(points, len(_SPACE) - 1)], [True]])
     edge = np.diff(space.astype(np.int8))
-    return points, np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    return np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+
+
+def words(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a text start and end."""
+    return edges(np.frombuffer(text.encode("utf-32-le"), "<u4"))
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -63,52 +74,17 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return both[0], both[1]
 
 
-def shape(min_words: int) -> tuple[int, int]:
-    """Words that the gear hash remembers, and places of which one is a cut.
+def shape(min_words: int) -> tuple[int, int, int]:
+    """Words that the gear hash remembers, places of which one is a cut, and chunks in a run.
 
     Inside a stretch the places from ``memory + window - 2`` to ``min_words - window`` have the same cuts in every text.
-    They are at least twice ``window``, so two cuts are among them, and a whole chunk between these.
+    They are at least ``run + 1`` times ``window``, so as many cuts are among them, and a whole run between these.
     """
     if min_words < 2:
         raise ValueError("a passage has two words at least")
-    memory = min(6, max(1, min_words // 8))
-    return memory, max(1, (min_words + 3 - memory) // 4)
-
-
-class Chunks:
-    """Content-defined chunks of one text: ``cuts`` are words, ``digests`` belong to the chunks between neighbouring cuts."""
-
-    def __init__(self, text: str, min_words: int, factors: tuple[np.ndarray, np.ndarray]):
-        points, self.starts, self.ends = words(text)
-        self.min_words = min_words
-        self.memory, self.window = shape(min_words)
-        self.cuts, self.digests = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        if len(self.starts) < min_words:
-            return
-        values = (points.astype(np.uint64) + np.uint64(1)) * _ODD
-        values ^= values >> np.uint64(29)
-        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * factors[0][: len(values)], dtype=np.uint64)])
-
-        def hashed(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-            return _mixed((total[ends] - total[starts]) * factors[1][starts])
-
-        gear, shift = hashed(self.starts, self.ends), -(-64 // self.memory)
-        n = len(gear) - self.memory + 1
-        rolled = np.zeros(n, np.uint64)
-        for k in range(self.memory):  # the word k places back has been shifted k times
-            rolled += gear[self.memory - 1 - k :][:n] << np.uint64(k * shift)
-        self.cuts = _least(_mixed(rolled), self.window) + self.memory - 1
-        self.digests = hashed(self.starts[self.cuts[:-1]], self.ends[self.cuts[1:] - 1]).view(np.int64)
-
-    def stretches(self, shared: np.ndarray) -> np.ndarray:
-        """Words at which a stretch begins whose inner chunks are all in ``shared``."""
-        if not len(self.digests):
-            return np.zeros(0, np.int64)
-        at = np.arange(len(self.starts) - self.min_words + 1)
-        first = np.searchsorted(self.cuts, at + self.memory + self.window - 2)
-        last = np.searchsorted(self.cuts, at + self.min_words - self.window, side="right") - 1
-        common = np.concatenate([[0], np.cumsum(np.isin(self.digests, shared))])
-        return at[common[last] - common[first] == last - first]
+    memory = min(5, max(1, min_words // 10))
+    run = 4 if min_words >= 20 else 1
+    return memory, max(1, (min_words + 3 - memory) // (run + 3)), run
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -117,84 +93,141 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def _least(h: np.ndarray, window: int) -> np.ndarray:
-    """Places that hold the first of the least values among some ``window`` places in a row."""
-    n = len(h) - window + 1
-    value, place = h[:n].copy(), np.arange(n)
-    for k in range(1, window):
-        less = h[k : k + n] < value
-        value[less] = h[k : k + n][less]
-        place[less] = np.flatnonzero(less) + k
-    return np.unique(place)
-
+def _sliding(h: np.ndarray, window: int, choose: np.ufunc) -> np.ndarray:
+    """``choose`` over every ``window`` values in a row, by ever wider windows."""
+    size = 1
+    while size < window:
+        step = min(size, window - size)
+        h = choose(h[:-step], h[step:])
+        size += step
+    return h
 
-def _longest(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    return powers(max((len(t) for t in texts), default=0))
 
+class Chunks:
+    """Content-defined chunks of texts. Places are words, counted over all of them; ``reps`` belong to the stretches ``at``."""
+
+    def __init__(self, texts: list[str], min_words: int):
+        memory, window, run = self.memory, self.window, self.run = shape(min_words)
+        points = np.frombuffer(" ".join(texts).encode("utf-32-le"), "<u4")
+        self.starts, self.ends = edges(points)
+        n = len(self.starts)
+        first = np.searchsorted(self.starts, np.cumsum([0, *(len(t) + 1 for t in texts)]))
+        self.text = np.repeat(np.arange(len(texts)), np.diff(first))
+        self.first = first[self.text]
+        left = first[self.text + 1] - np.arange(n)
+        self.at = np.flatnonzero(left >= min_words)
+        # bytes before each code point, for the digests
+        self.bytes = np.concatenate([[0], np.cumsum(1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000))])
+        self.cuts, self.reps = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if not len(self.at):
+            return
+        up, down = powers(len(points) + 1)
+        values = (points.astype(np.uint64) + np.uint64(1)) * _ODD
+        values ^= values >> np.uint64(29)
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * up[:-1], dtype=np.uint64)])
 
-def joined(rows: DataFrame, held: DataFrame, key: str) -> DataFrame:
-    """Inner join of ``rows`` with the keys in ``held`` (``same``, the number ``n`` of their rows, and more); hot keys split up."""
+        def hashed(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+            return _mixed((total[ends] - total[starts]) * down[starts])
+
+        gear, shift = hashed(self.starts, self.ends), -(-64 // memory)
+        rolled = gear.copy()
+        for k in range(1, memory):  # the word k places back has been shifted k times
+            rolled[k:] += gear[:-k] << np.uint64(k * shift)
+        h = _mixed(rolled) | np.uint64(1)
+        least = _sliding(h, window, np.minimum)
+        whole = (np.arange(n) - self.first >= memory - 1) & (left >= window)  # windows of one text
+        edge = np.zeros(window - 1, np.uint64)
+        of_windows = _sliding(np.concatenate([edge, np.where(whole[: len(least)], least, np.uint64(0)), edge]), window, np.maximum)
+        self.cuts = np.flatnonzero(of_windows == h)
+        # at the end a sentinel, so that every stretch's range of runs has an end
+        runs = np.append(hashed(self.starts[self.cuts[:-run]], self.ends[self.cuts[run:] - 1]), np.uint64(0))
+        low = np.searchsorted(self.cuts, self.at + memory + window - 2)
+        high = np.searchsorted(self.cuts, self.at + min_words - window, side="right") - run
+        self.reps = np.minimum.reduceat(runs, np.stack([low, high], axis=1).ravel())[::2].view(np.int64)
+
+    def marks(self) -> tuple[np.ndarray, np.ndarray]:
+        """Texts and the runs that stand for their stretches, each once."""
+        text = self.text[self.at]
+        new = np.concatenate([[True], (self.reps[1:] != self.reps[:-1]) | (text[1:] != text[:-1])])[: len(text)]
+        text, reps = text[new], self.reps[new]
+        order = np.lexsort((reps, text))
+        text, reps = text[order], reps[order]
+        once = np.concatenate([[True], (reps[1:] != reps[:-1]) | (text[1:] != text[:-1])])[: len(text)]
+        return text[once], reps[once]
+
+
+def grouped(texts: list[str], min_words: int) -> Iterator[tuple[int, list[str], Chunks]]:
+    """Chunks of neighbouring texts together, with the number of texts before them."""
+    before = 0
+    for group in by_bytes(texts, GROUP):
+        yield before, group, Chunks(group, min_words)
+        before += len(group)
+
+
+def joined(rows: DataFrame, held: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join of ``rows`` with ``held``: ``keys``, the number ``n`` of rows that have them, and more; hot keys are split up."""
     held = materialized(held, "held")
     hot_from = max(HOT_ROWS, (held.agg(F.sum("n")).first()[0] or 0) // HOT_KEYS)
-    more = [c for c in held.columns if c not in ("same", "n")]
-    hot = held.where(F.col("n") > hot_from).select(F.col("same").alias("_hot"), *(F.col(c).alias(f"_hot_{c}") for c in more))
-    cold = held.where(F.col("n") <= hot_from).select(F.col("same"), F.lit(False).alias("_is_hot"), *more)
-    known = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")  # fewer than HOT_KEYS rows, as their counts add up
-    known = known.withColumn("_is_hot", F.col("_hot").isNotNull())
+    more = [c for c in held.columns if c not in (*keys, "n")]
+    hot = held.where(F.col("n") > hot_from).select(F.lit(True).alias("_hot"), *(F.col(c).alias(f"_hot_{c}") for c in (*keys, *more)))
+    cold = held.where(F.col("n") <= hot_from).select(*keys, F.lit(False).alias("_is_hot"), F.lit(True).alias("_found"), *more)
+    # fewer than HOT_KEYS rows, as their counts add up
+    known = rows.join(F.broadcast(hot), reduce(and_, [F.col(k) == F.col(f"_hot_{k}") for k in keys]), "left")
+    known = known.withColumn("_is_hot", F.coalesce("_hot", F.lit(False)))
     # hot rows are done: they are dealt out by what they are, and find nothing
-    spread = F.xxhash64("id", "th")
-    if rows.schema[key].dataType == T.BinaryType():
-        spread = F.unhex(F.hex(spread))
-    known = known.withColumn("same", F.when(F.col("_is_hot"), spread).otherwise(F.col(key)))
-    found = known.join(cold.withColumn("_found", F.lit(True)), ["same", "_is_hot"], "left").where(F.col("_is_hot") | F.col("_found"))
-    return found.select(*rows.columns, *(F.coalesce(F.col(c), F.col(f"_hot_{c}")).alias(c) for c in more))
+    known = known.withColumn(keys[0], F.when(F.col("_is_hot"), F.xxhash64("id", "th")).otherwise(F.col(keys[0])))
+    found = known.join(cold, [*keys, "_is_hot"], "left").where(F.col("_is_hot") | F.col("_found"))
+    return found.select("id", "th", *(c for c in rows.columns if c not in ("id", "th", *keys)), *(F.coalesce(F.col(f"_hot_{c}"), F.col(c)).alias(c) for c in (*keys, *more)))
 
 
 def shared_chunks(rows: DataFrame, min_words: int) -> DataFrame:
-    """``id``, ``th`` and ``chunks``: digests of the chunks of a text that other documents have too."""
+    """``id``, ``th`` and ``chunks``: digests of the runs of chunks of a text that other documents have too."""
 
     def find(batch: pa.RecordBatch) -> dict:
-        texts = batch.column("text").to_pylist()
-        factors = _longest(texts)
-        found = [np.unique(Chunks(t, min_words, factors).digests) for t in texts]
-        taken = pa.array(np.repeat(np.arange(len(texts)), [len(f) for f in found]))
-        chunks = np.concatenate(found) if found else np.zeros(0, np.int64)
-        return {"id": batch.column("id").take(taken), "th": batch.column("th").take(taken), "chunk": chunks}
+        taken, chunks = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for before, _, c in grouped(batch.column("text").to_pylist(), min_words):
+            text, reps = c.marks()
+            taken.append(before + text)
+            chunks.append(reps)
+        order = pa.array(np.concatenate(taken))
+        return {"id": batch.column("id").take(order), "th": batch.column("th").take(order), "chunk": np.concatenate(chunks)}
 
     kind = rows.schema["id"].dataType.simpleString()
     chunks = map_batches(rows, find, f"id {kind}, th bigint, chunk bigint")
-    held = chunks.groupBy(F.col("chunk").alias("same")).agg(F.min("id").alias("first"), F.max("id").alias("last"), F.max(F.col("id").isNull()).alias("some_null"), F.count("*").alias("n"))
+    held = chunks.groupBy("chunk").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.max(F.col("id").isNull()).alias("some_null"), F.count("*").alias("n"))
     several = (F.col("first") < F.col("last")) | (F.col("first").isNotNull() & F.col("some_null"))
-    return joined(chunks, held.where(several).select("same", "n"), "chunk").groupBy("id", "th").agg(F.collect_set("chunk").alias("chunks"))
+    return joined(chunks, held.where(several).select("chunk", "n"), ["chunk"]).groupBy("id", "th").agg(F.collect_set("chunk").alias("chunks"))
 
 
 def repeats(rows: DataFrame, min_words: int) -> DataFrame:
     """``id``, ``th`` and ``places``: the words at which a stretch starts that a document with a smaller id holds."""
 
     def compare(batch: pa.RecordBatch) -> dict:
-        texts = batch.column("text").to_pylist()
-        factors = _longest(texts)
-        taken, places, digests = [], [], []
-        for k, (text, shared) in enumerate(zip(texts, batch.column("chunks").to_pylist(), strict=True)):
-            cut = Chunks(text, min_words, factors)
-            at = cut.stretches(np.array(shared, np.int64))
-            taken += [k] * len(at)
-            places += at.tolist()
-            bounds = zip(cut.starts[at].tolist(), cut.ends[at + min_words - 1].tolist(), strict=True)
-            digests += [xxhash.xxh3_128_digest(text[i:j].encode()) for i, j in bounds]
-        order = pa.array(taken, pa.int64())
-        return {"id": batch.column("id").take(order), "th": batch.column("th").take(order), "place": places, "digest": digests}
+        listed = batch.column("chunks")
+        shared = np.unique(listed.flatten().to_numpy()) if len(listed) else np.zeros(0, np.int64)
+        taken, places, digests = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
+        for before, texts, c in grouped(batch.column("text").to_pylist(), min_words):
+            at = c.at[np.isin(c.reps, shared)]
+            taken.append(before + c.text[at])
+            places.append(at - c.first[at])
+            data = memoryview(" ".join(texts).encode())
+            bounds = zip(c.bytes[c.starts[at]].tolist(), c.bytes[c.ends[at + min_words - 1]].tolist(), strict=True)
+            digests += [xxhash.xxh3_128_digest(data[i:j]) for i, j in bounds]
+        order = pa.array(np.concatenate(taken))
+        halves = np.frombuffer(b"".join(digests), ">i8").astype(np.int64).reshape(-1, 2)
+        spots = {"place": np.concatenate(places), "high": halves[:, 0], "low": halves[:, 1]}
+        return {"id": batch.column("id").take(order), "th": batch.column("th").take(order), **spots}
 
     kind = rows.schema["id"].dataType.simpleString()
-    found = map_batches(rows, compare, f"id {kind}, th bigint, place int, digest binary")
-    first = found.groupBy(F.col("digest").alias("same")).agg(F.min("id").alias("first"), F.count("*").alias("n"))
-    later = joined(found, first.where("n > 1 AND first IS NOT NULL"), "digest").where((F.col("id") > F.col("first")) | F.col("id").isNull())
+    found = map_batches(rows, compare, f"id {kind}, th bigint, place int, high bigint, low bigint")
+    first = found.groupBy("high", "low").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+    later = joined(found, first.where("n > 1 AND first IS NOT NULL"), ["high", "low"]).where((F.col("id") > F.col("first")) | F.col("id").isNull())
     return later.groupBy("id", "th").agg(F.collect_set("place").alias("places"))
 
 
 def spans(text: str, places: list[int], min_words: int) -> list[tuple[int, int]]:
     """The stretches at ``places`` as pairs of characters, those that touch or overlap as one."""
-    _, starts, ends = words(text)
+    starts, ends = words(text)
     runs: list[list[int]] = []
     for place in sorted(places):
         if runs and place <= runs[-1][1]:
