@@ -164,8 +164,11 @@ def grouped(texts: list[str], min_words: int) -> Iterator[tuple[int, list[str],
         before += len(group)
 
 
-def joined(rows: DataFrame, held: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner join of ``rows`` with ``held``: ``keys``, the number ``n`` of rows that have them, and more; hot keys are split up."""
+def joined(rows: DataFrame, held: DataFrame, keys: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """Inner join of ``rows`` with ``held``: ``keys``, the number ``n`` of rows that have them, and more; hot keys are split up.
+
+    Of the keys, those to ``keep`` are in the result.
+    """
     held = materialized(held, "held")
     hot_from = max(HOT_ROWS, (held.agg(F.sum("n")).first()[0] or 0) // HOT_KEYS)
     more = [c for c in held.columns if c not in (*keys, "n")]
@@ -173,11 +176,11 @@ def joined(rows: DataFrame, held: DataFrame, keys: Sequence[str]) -> DataFrame:
     cold = held.where(F.col("n") <= hot_from).select(*keys, F.lit(False).alias("_is_hot"), F.lit(True).alias("_found"), *more)
     # fewer than HOT_KEYS rows, as their counts add up
     known = rows.join(F.broadcast(hot), reduce(and_, [F.col(k) == F.col(f"_hot_{k}") for k in keys]), "left")
-    known = known.withColumn("_is_hot", F.coalesce("_hot", F.lit(False)))
+    known = known.withColumn("_is_hot", F.coalesce("_hot", F.lit(False))).drop("_hot", *(f"_hot_{k}" for k in keys if k not in keep))
     # hot rows are done: they are dealt out by what they are, and find nothing
     known = known.withColumn(keys[0], F.when(F.col("_is_hot"), F.xxhash64("id", "th")).otherwise(F.col(keys[0])))
     found = known.join(cold, [*keys, "_is_hot"], "left").where(F.col("_is_hot") | F.col("_found"))
-    return found.select("id", "th", *(c for c in rows.columns if c not in ("id", "th", *keys)), *(F.coalesce(F.col(f"_hot_{c}"), F.col(c)).alias(c) for c in (*keys, *more)))
+    return found.select("id", "th", *(c for c in rows.columns if c not in ("id", "th", *keys)), *(F.coalesce(F.col(f"_hot_{c}"), F.col(c)).alias(c) for c in (*keep, *more)))
 
 
 def shared_chunks(rows: DataFrame, min_words: int) -> DataFrame:
@@ -196,7 +199,7 @@ def shared_chunks(rows: DataFrame, min_words: int) -> DataFrame:
     chunks = map_batches(rows, find, f"id {kind}, th bigint, chunk bigint")
     held = chunks.groupBy("chunk").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.max(F.col("id").isNull()).alias("some_null"), F.count("*").alias("n"))
     several = (F.col("first") < F.col("last")) | (F.col("first").isNotNull() & F.col("some_null"))
-    return joined(chunks, held.where(several).select("chunk", "n"), ["chunk"]).groupBy("id", "th").agg(F.collect_set("chunk").alias("chunks"))
+    return joined(chunks, held.where(several).select("chunk", "n"), ["chunk"], ["chunk"]).groupBy("id", "th").agg(F.collect_set("chunk").alias("chunks"))
 
 
 def repeats(rows: DataFrame, min_words: int) -> DataFrame:
@@ -250,9 +253,11 @@ def dedup_substrings(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str =
         return left.join(right, F.col(id_col).eqNullSafe(F.col("_rid")) & (F.col("_th") == F.col("_rth")), "left").drop("_rid", "_rth")
 
     # read twice: the texts that share something with others are compared, the others are done
-    marked = materialized(beside(rows, shared_chunks(given.select(*keys), min_words), "chunks"), "marked")
+    # as a written table numbers its rows for good, the number takes the place of the hash
+    marked = beside(rows, shared_chunks(given.select(*keys), min_words), "chunks").withColumn("_th", F.monotonically_increasing_id())
+    marked = materialized(marked, "marked")
     some = marked.where(F.col("_chunks").isNotNull())
-    found = repeats(some.select(*keys, F.col("_chunks").alias("chunks")), min_words)
+    found = repeats(some.select(F.col(id_col).alias("id"), F.col("_th").alias("th"), text.alias("text"), F.col("_chunks").alias("chunks")), min_words)
     placed = beside(some, found, "places")
     span = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
     kind = T.StructType([*given.schema.fields, T.StructField("removed", span)])
