@@ -146,6 +146,87 @@ def k4_both(spark, sf):
     return _both(spark, sf)["features"].select("dex", "pool_id", epoch("hour_ts").alias("hour_epoch"), "volume_usd")
 
 
+# both exchanges under one pool id, with volumes of their own; windows and thresholds must keep to one of them
+_PAIR = f"""WITH {POOL_HOURLY}, pair AS (
+  SELECT d.dex, pool_id, hour_ts, CASE WHEN d.dex = 'dexa' THEN volume_usd ELSE volume_usd * 50 + 7 END AS volume_usd,
+         CASE WHEN d.dex = 'dexa' THEN tvl_usd ELSE tvl_usd + 2 END AS tvl_usd
+  FROM pool_hourly CROSS JOIN (VALUES ('dexa'), ('dexb')) d(dex)), made AS (
+  SELECT dex, pool_id, {epochs('hour_ts')} AS hour_epoch, hour_ts,
+    CASE WHEN volume_usd <> 0 AND lag(volume_usd, 24) OVER w <> 0 THEN volume_usd / lag(volume_usd, 24) OVER w - 1 END AS vol_rate_24h,
+    CASE WHEN tvl_usd <> 0 AND lag(tvl_usd, 24) OVER w <> 0 THEN tvl_usd / lag(tvl_usd, 24) OVER w - 1 END AS tvl_rate_24h,
+    {rs('avg(volume_usd) OVER (w ROWS 5 PRECEDING)')} AS vol_ma_6h, {rs('avg(volume_usd) OVER (w ROWS 23 PRECEDING)')} AS vol_ma_24h,
+    CASE WHEN tvl_usd <> 0 THEN volume_usd / tvl_usd END AS vol_tvl_ratio
+  FROM pair WINDOW w AS (PARTITION BY dex, pool_id ORDER BY hour_ts))"""
+_PAIR_COLUMNS = "dex, pool_id, hour_epoch, vol_rate_24h, tvl_rate_24h, vol_ma_6h, vol_ma_24h, vol_tvl_ratio"
+
+
+def _pair(spark, sf):
+    hours = X.pool_hourly(spark, sf).drop("dex")
+    second = F.col("dex") == "dexb"
+    pair = hours.withColumn("dex", F.explode(F.array(F.lit("dexa"), F.lit("dexb"))))
+    pair = pair.withColumn("volume_usd", F.when(second, F.col("volume_usd") * 50 + 7).otherwise(F.col("volume_usd")))
+    pair = pair.withColumn("tvl_usd", F.when(second, F.col("tvl_usd") + 2).otherwise(F.col("tvl_usd")))
+    return materialized(pair.select("dex", "pool_id", "hour_ts", "volume_usd", "tvl_usd", "liquidity"), "pair")
+
+
+def _pair_out(df):
+    means = [r(c).alias(c) for c in ("vol_ma_6h", "vol_ma_24h")]
+    return df.select("dex", "pool_id", epoch("hour_ts").alias("hour_epoch"), "vol_rate_24h", "tvl_rate_24h", *means, "vol_tvl_ratio")
+
+
+@query("k4_features_two_exchanges", f"{_PAIR} SELECT {_PAIR_COLUMNS} FROM made")
+def k4_pair(spark, sf):
+    """The chain from landed lines, with rows that lack a pool beside them."""
+    hours = _pair(spark, sf)
+    text = {"volumeUSD": "volume_usd", "tvlUSD": "tvl_usd", "liquidity": "liquidity"}
+    body = F.to_json(F.struct(F.struct(F.col("pool_id").alias("id")).alias("pool"), epoch("hour_ts").alias("periodStartUnix"),
+                              *[F.col(c).cast("string").alias(n) for n, c in text.items()]))
+    lost = F.to_json(F.struct(epoch("hour_ts").alias("periodStartUnix"), F.lit("12345").alias("volumeUSD")))
+    raw = {}
+    for p in ("dexa", "dexb"):
+        mine = hours.where(F.col("dex") == p)
+        raw[p] = R.land_raw(mine.select(body.alias("value")).union(mine.select(lost)), datetime(2024, 2, 1))
+    return _pair_out(mart.run_stages(raw)["features"].where("pool_id is not null"))
+
+
+_PAIR_AFTER = f"{_PAIR} SELECT {_PAIR_COLUMNS} FROM made WHERE hour_ts >= TIMESTAMP '2024-01-20'"
+
+
+@query("k2_incremental_features_two_exchanges", _PAIR_AFTER)
+def k2_pair(spark, sf):
+    """The hours from day 20 on, again, behind the rows before them."""
+    hours = _pair(spark, sf)
+    old = hours.where(F.col("hour_ts") < moment(datetime(2024, 1, 25)))
+    return _pair_out(mart.incremental_features(hours, old, reprocess_from=_SPLIT))
+
+
+@query("k2_features_from_tails_two_exchanges", _PAIR_AFTER)
+def k2_tails_pair(spark, sf):
+    """Tails that have gone past day 20, taken anew from the history."""
+    hours = _pair(spark, sf)
+    _, tails = mart.features_from_tails(hours.where(F.col("hour_ts") < moment(datetime(2024, 1, 25))), hours.limit(0))
+    return _pair_out(mart.features_from_tails(hours, tails, _SPLIT, hours)[0])
+
+
+@query("l4_features_two_exchanges", f"{_PAIR} SELECT {_PAIR_COLUMNS} FROM made")
+def l4_pair(spark, sf):
+    """The stream's table after two arrivals, the second with late hours and with rows that lack a pool."""
+    hours = _pair(spark, sf)
+    path, mark, folder = (new_folder(spark, n) for n in ("features", "mark", "hours"))
+    late = F.col("hour_ts").between(moment(datetime(2024, 1, 10)), moment(datetime(2024, 1, 12))) | (F.col("hour_ts") >= moment(_SPLIT))
+    lost = hours.where(late).withColumn("pool_id", F.lit(None).cast("string"))
+    for part in (hours.where(~late), hours.where(late).unionByName(lost)):
+        part.write.mode("append").parquet(folder)
+        ST.run_available(ST.table_stream(spark, folder, hours.schema), mark, each=ST.features_batch(path))
+    return _pair_out(spark.read.parquet(path))
+
+
+@query("k4_unkeyed", f"""{_BOTH} SELECT dex, {epochs('hour_ts')} AS hour_epoch, volume_usd FROM twofold WHERE pool_id IS NULL""")
+def k4_unkeyed(spark, sf):
+    """Rows that belong to no series."""
+    return _both(spark, sf)["unkeyed"].select("dex", epoch("hour_ts").alias("hour_epoch"), "volume_usd")
+
+
 @query("k3_violations_before_merging", f"""{_BOTH}
 SELECT 'pool_id' AS "column", count(*) FILTER (pool_id IS NULL) AS violations FROM twofold
 UNION ALL SELECT 'hour_ts', count(*) FILTER (hour_ts IS NULL) FROM twofold""")

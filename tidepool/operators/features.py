@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidepool import schema as L
 from tidepool.functions import scalars as S
 from tidepool.operators.frames import (
     HOURLY_CHUNK,
@@ -97,6 +100,27 @@ def pool_features(
     return made.select(*carried, *new, *tail)
 
 
+def has_keys(keys: Sequence[str]) -> Column:
+    """Whether a row belongs to a series: no part of its key is missing."""
+    return reduce(and_, [F.col(k).isNotNull() for k in keys])
+
+
+def series_features(
+    df: DataFrame, keys: Sequence[str] = tuple(L.SERIES_KEY), order: str = "hour_ts", chunk_seconds: int | None = HOURLY_CHUNK
+) -> DataFrame:
+    """``pool_features`` of every series; all rows stay.
+
+    A row that lacks a part of its key, or its hour, has no known rows before it: it stays out of the windows
+    and its change rates and averages are missing.
+    """
+    whole = has_keys([*keys, order])
+    made = pool_features(df.where(whole), keys, order, chunk_seconds)
+    ratio = S.ratio_or_null(F.col("volume_usd"), F.col("tvl_usd"))
+    lone = df.where(~whole).withColumn("vol_tvl_ratio", ratio)
+    absent = [f for f in made.schema.fields if f.name not in lone.columns]
+    return made.unionByName(lone.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in absent]))
+
+
 def time_features(
     df: DataFrame,
     keys: Sequence[str] = ("pool_address",),

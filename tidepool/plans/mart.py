@@ -5,8 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import replace
 from datetime import datetime
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +13,7 @@ from tidepool import schema as L
 from tidepool.functions.moments import micros, moment
 from tidepool.operators.clean import newer_than, recent
 from tidepool.operators.combine import as_of, union_protocols
-from tidepool.operators.features import LAG_ROWS, pool_features
+from tidepool.operators.features import LAG_ROWS, has_keys, series_features
 from tidepool.operators.forest import Forest, fit_forest, load_model, save_model, score
 from tidepool.operators.frames import dedup_latest, last_rows
 from tidepool.operators.labels import label_spikes
@@ -33,27 +31,32 @@ def run_stages(
     Repeated loads of an exchange's pool-hour are reduced to the newest before any row-based
     window, because a repeated hour would shift every lag after it. ``keys`` names what makes a
     row; among copies loaded together all further columns decide, so the choice is the same
-    however the rows are dealt out. Rows that lack a key can't be copies of each other: all stay,
-    and ``violations`` counts them on the staged rows, before any is merged. Features are written once, as
-    the labels read them twice. Lines that were no JSON are left out; keep them with
+    however the rows are dealt out. ``keys`` without the hour are a series: windows and thresholds keep to it.
+    Rows that lack a key can't be copies of each other: all stay, without windows and without a
+    label, ``unkeyed`` lists them and ``violations`` counts them on the staged rows, before any is merged. Staged
+    rows and features are written once, as they are read several times. Lines that were no JSON are left out; keep them with
     ``split_bad_records`` when landing.
     """
     staged = union_protocols({n: stage_pool_hourly(df.where(F.col(col).isNotNull()), col) for n, df in raw.items()})
+    staged = materialized(staged, "staged")  # parsed once, read for the counts, the merging and the rows without a key
     violations = expect_not_null(staged, [k for k in keys if k != "dex"])
+    whole = has_keys(keys)
+    unkeyed = staged.where(~whole)
     if dedup:
-        whole = reduce(and_, [F.col(k).isNotNull() for k in keys])
         first = ["volume_usd", "tvl_usd"]
         ties = first + sorted(c for c in staged.columns if c not in (*keys, "load_ts", *first))
         staged = dedup_latest(staged.where(whole), keys, "load_ts", ties).unionByName(staged.where(~whole))
-    features = materialized(pool_features(staged.select(*FEATURE_INPUT)), "features")
-    labelled = label_spikes(features, q, unique_hours=dedup)
-    return {"staging": staged, "features": features, "labelled": labelled, "violations": violations}
+    series = [k for k in keys if k != "hour_ts"]
+    features = materialized(series_features(staged.select(*FEATURE_INPUT), series), "features")
+    labelled = label_spikes(features, q, by=series, unique_hours=dedup)
+    return {"staging": staged, "features": features, "labelled": labelled, "violations": violations, "unkeyed": unkeyed}
 
 
 def preceding_rows(
-    known: DataFrame, since: DataFrame, rows: int = LAG_ROWS, recent_days: int = 7, day: str | None = None
+    known: DataFrame, since: DataFrame, rows: int = LAG_ROWS, recent_days: int = 7, day: str | None = None,
+    series: Sequence[str] = tuple(L.SERIES_KEY),
 ) -> DataFrame:
-    """The last ``rows`` stored rows of each pool before its ``since`` (columns pool_id, since).
+    """The last ``rows`` stored rows of each series before its ``since`` (the columns of ``series``, and since).
 
     Most pools have them within the last days, which a literal time bound reads alone. Only
     if some pool has fewer there is the older history read, and then for those pools.
@@ -63,20 +66,26 @@ def preceding_rows(
     if first is None:
         return known.limit(0)
     edge = moment(first) - F.make_dt_interval(days=F.lit(recent_days))
-    start = since.select(F.col("pool_id").alias("_pool"), F.col("since").alias("_since"))
+    start, same = renamed_keys(since, series, F.col("since").alias("_since"))
 
     def before(part: DataFrame, starts: DataFrame) -> DataFrame:
-        mine = part.join(starts, F.col("pool_id") == F.col("_pool")).where(F.col("hour_ts") < F.col("_since"))
-        return last_rows(mine.select(*known.columns), ["pool_id"], "hour_ts", rows)
+        mine = part.join(starts, same).where(F.col("hour_ts") < F.col("_since"))
+        return last_rows(mine.select(*known.columns), series, "hour_ts", rows)
 
     opened = day_between(known, day, edge, None)
     near = materialized(before(opened.where(F.col("hour_ts") >= edge), start), "recent-rows")
-    full = near.groupBy(F.col("pool_id").alias("_full")).agg(F.count("*").alias("_n")).where(F.col("_n") >= rows)
-    short = start.join(full, F.col("_pool") == F.col("_full"), "left_anti")
+    full = near.groupBy(*series).agg(F.count("*").alias("_n")).where(F.col("_n") >= rows)
+    short = start.join(full, same, "left_anti")
     if short.isEmpty():
         return near
     far = before(day_between(known, day, None, edge).where(F.col("hour_ts") < edge), short)
-    return last_rows(near.unionByName(far), ["pool_id"], "hour_ts", rows)
+    return last_rows(near.unionByName(far), series, "hour_ts", rows)
+
+
+def renamed_keys(df: DataFrame, keys: Sequence[str], *more: Column) -> tuple[DataFrame, list[Column]]:
+    """The keys of ``df`` under names of their own, beside ``more``, and the conditions that they equal a row's keys."""
+    side = df.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *more)
+    return side, [F.col(k) == F.col(f"_key_{k}") for k in keys]
 
 
 def day_between(df: DataFrame, day: str | None, first: Column | None, last: Column | None) -> DataFrame:
@@ -90,45 +99,50 @@ def day_between(df: DataFrame, day: str | None, first: Column | None, last: Colu
 
 def incremental_features(
     source: DataFrame, target: DataFrame, recent_days: int = 7, reprocess_from: Column | datetime | None = None,
+    series: Sequence[str] = tuple(L.SERIES_KEY), day: str | None = None,
 ) -> DataFrame:
     """Features of hours newer than the target's newest, equal to those of a full rebuild.
 
     The newest hour is read first, so the new rows come from a scan with a literal bound.
     Row windows also need the 24 rows before a pool's first new one, however old they are;
-    the filter on time comes after the windows. Late hours at or before the newest are left out and
+    the filter on time comes after the windows. ``day`` names a partition column of the source with the
+    hours' days, so that only the days needed are opened. Late hours at or before the newest are left out and
     listed by ``late_hours``, unless ``reprocess_from`` names the hour to start again from.
     """
     newest = target.agg(micros(F.max("hour_ts"))).first()[0]
     if newest is None:
-        return pool_features(source)
+        return series_features(source, series)
     new = F.col("hour_ts") > moment(newest) if reprocess_from is None else F.col("hour_ts") >= moment(reprocess_from)
-    fresh = source.where(new)
-    since = fresh.groupBy("pool_id").agg(F.min("hour_ts").alias("since"))
-    before = preceding_rows(source, since, LAG_ROWS, recent_days)
-    return pool_features(before.unionByName(fresh)).where(new)
+    start = moment(newest) if reprocess_from is None else moment(reprocess_from)
+    fresh = day_between(source, day, start, None).where(new)
+    since = fresh.groupBy(*series).agg(F.min("hour_ts").alias("since"))
+    before = preceding_rows(source, since, LAG_ROWS, recent_days, day, series)
+    return series_features(before.unionByName(fresh), series).where(new)
 
 
-def late_hours(source: DataFrame, target: DataFrame) -> DataFrame:
+def late_hours(source: DataFrame, target: DataFrame, series: Sequence[str] = tuple(L.SERIES_KEY)) -> DataFrame:
     """Rows of ``source`` that ``incremental_features`` leaves out: at or before the target's newest hour, but not in it."""
     newest = target.agg(micros(F.max("hour_ts"))).first()[0]
     if newest is None:
         return source.limit(0)
-    return _not_in(source.where(F.col("hour_ts") <= moment(newest)), target)
+    return _not_in(source.where(F.col("hour_ts") <= moment(newest)), target, series)
 
 
-def _not_in(rows: DataFrame, known: DataFrame) -> DataFrame:
-    """Rows whose pool and hour ``known`` has not."""
-    have = known.select(F.col("pool_id").alias("_pool"), F.col("hour_ts").alias("_hour"))
-    return rows.join(have, F.col("pool_id").eqNullSafe(F.col("_pool")) & F.col("hour_ts").eqNullSafe(F.col("_hour")), "left_anti")
+def _not_in(rows: DataFrame, known: DataFrame, series: Sequence[str]) -> DataFrame:
+    """Rows whose series and hour ``known`` has not."""
+    keys = [*series, "hour_ts"]
+    have, _ = renamed_keys(known, keys)
+    return rows.join(have, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys], "left_anti")
 
 
 def features_from_tails(
     fresh: DataFrame, tails: DataFrame, reprocess_from: Column | datetime | None = None, history: DataFrame | None = None,
+    series: Sequence[str] = tuple(L.SERIES_KEY),
 ) -> tuple[DataFrame, DataFrame]:
     """Features of an hourly batch from a small state table, and that table's next content.
 
-    ``tails`` holds the last 24 rows of every pool. An hourly run then reads that and the
-    batch, never the history. Hours a pool already has or has passed are left out, as in
+    ``tails`` holds the last 24 rows of every series. An hourly run then reads that and the
+    batch, never the history. Rows without a key enter no tail. Hours a pool already has or has passed are left out, as in
     the other incremental forms; ``late_for_tails`` lists those it has passed. With ``reprocess_from`` the hours from there on
     are computed again: ``fresh`` holds all of them, and ``history`` the rows before, from which the tails are taken anew.
     """
@@ -137,28 +151,29 @@ def features_from_tails(
         if history is None:
             raise ValueError("reprocess_from needs the history: tails hold the last rows of a pool only")
         start = moment(reprocess_from)
-        tails = last_rows(history.where(F.col("hour_ts") < start).select(*cols), ["pool_id"], "hour_ts", LAG_ROWS)
+        tails = last_rows(history.where(has_keys(series) & (F.col("hour_ts") < start)).select(*cols), series, "hour_ts", LAG_ROWS)
         fresh = fresh.where(F.col("hour_ts") >= start)
-    ahead = _with_newest(fresh, tails).where(F.col("_newest").isNull() | (F.col("hour_ts") > F.col("_newest")))
+    ahead = _with_newest(fresh, tails, series).where(F.col("_newest").isNull() | (F.col("hour_ts") > F.col("_newest")))
     rows = tails.withColumn("_fresh", F.lit(False)).unionByName(ahead.select(*cols, F.lit(True).alias("_fresh")))
-    features = pool_features(rows).where("_fresh").drop("_fresh")
-    return features, last_rows(rows.drop("_fresh"), ["pool_id"], "hour_ts", LAG_ROWS)
+    features = series_features(rows, series).where("_fresh").drop("_fresh")
+    return features, last_rows(rows.where(has_keys(series)).drop("_fresh"), series, "hour_ts", LAG_ROWS)
 
 
-def late_for_tails(fresh: DataFrame, tails: DataFrame) -> DataFrame:
+def late_for_tails(fresh: DataFrame, tails: DataFrame, series: Sequence[str] = tuple(L.SERIES_KEY)) -> DataFrame:
     """Rows of a batch that ``features_from_tails`` leaves out, but for hours that the tails hold."""
-    passed = _with_newest(fresh, tails).where(F.col("hour_ts") <= F.col("_newest"))
-    return _not_in(passed.select(*fresh.columns), tails)
+    passed = _with_newest(fresh, tails, series).where(F.col("hour_ts") <= F.col("_newest"))
+    return _not_in(passed.select(*fresh.columns), tails, series)
 
 
-def _with_newest(fresh: DataFrame, tails: DataFrame) -> DataFrame:
-    newest = tails.groupBy(F.col("pool_id").alias("_pool")).agg(F.max("hour_ts").alias("_newest"))
-    return fresh.join(newest, F.col("pool_id") == F.col("_pool"), "left")
+def _with_newest(fresh: DataFrame, tails: DataFrame, series: Sequence[str]) -> DataFrame:
+    newest = tails.groupBy(*series).agg(F.max("hour_ts").alias("_newest"))
+    side, same = renamed_keys(newest, series, F.col("_newest"))
+    return fresh.join(side, same, "left").drop(*[f"_key_{k}" for k in series])
 
 
 def incremental_label(
     source: DataFrame, target: DataFrame, q: float = 0.9, reprocess_from: Column | datetime | None = None,
-    unique_hours: bool = False,
+    unique_hours: bool = False, series: Sequence[str] = tuple(L.SERIES_KEY),
 ) -> DataFrame:
     """Labels for hours newer than the target's newest; thresholds come from all history.
 
@@ -170,7 +185,7 @@ def incremental_label(
         fresh = newer_than(source, target)
     else:
         fresh = source.where(F.col("hour_ts") >= moment(reprocess_from))
-    return label_spikes(fresh, q, history=source, unique_hours=unique_hours)
+    return label_spikes(fresh, q, by=series, history=source, unique_hours=unique_hours)
 
 
 def expect_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:

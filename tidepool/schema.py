@@ -38,6 +38,8 @@ RECORD = T.StructType(
 )
 
 POOL_HOUR_KEY = ["pool_id", "hour_ts"]
+#: What makes a series: two exchanges may use one pool id.
+SERIES_KEY = ["dex", "pool_id"]
 
 # Column names of the feed and of the tables made from it.
 STAGED = {

@@ -15,10 +15,10 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tidepool import schema as L
 from tidepool.functions.moments import micros, moment
-from tidepool.operators.features import pool_features
+from tidepool.operators.features import has_keys, pool_features
 from tidepool.operators.forest import Forest, score
 from tidepool.operators.frames import dedup_latest
-from tidepool.plans.mart import day_between, preceding_rows
+from tidepool.plans.mart import day_between, preceding_rows, renamed_keys
 from tidepool.session import materialized
 from tidepool.sources.tables import exists, finish_upsert, upsert_days
 
@@ -80,29 +80,36 @@ def sessions(df: DataFrame, ts: str = "ts", pool: str = "pool_id", gap: str = "6
     return spells.select(pool, "start", "end", "rows")
 
 
-def features_batch(path: str, keys: Sequence[str] = tuple(L.POOL_HOUR_KEY)) -> Callable[[DataFrame, int], None]:
+def features_batch(path: str, keys: Sequence[str] = ("dex", *L.POOL_HOUR_KEY)) -> Callable[[DataFrame, int], None]:
     """A batch handler that keeps a table of row-based features up to date at ``path``.
 
     Row windows do not exist on streams. Each batch is joined with the history its pools
     need, the plain feature function runs, and the changed days are upserted. A batch that
     is repeated after a failure gives the same table.
 
+    ``keys`` name a row, without the hour a series. Rows that lack a part of the key have no place in
+    a series and can't be told from each other: they go, all of them, to a table beside (``unkeyed``), by batch.
+
     With ``load_ts`` the newest copy of an hour stays, whatever batch brings it. Without it the
     later batch counts as newer, and the larger volume within a batch; a table holds batches of one kind.
     """
     base = ["dex", "pool_id", "hour_ts", "volume_usd", "tvl_usd", "liquidity"]
 
-    def handle(batch: DataFrame, _: int) -> None:
+    series = [k for k in keys if k != "hour_ts"]
+
+    def handle(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         dated = "load_ts" in batch.columns
         cols = [*base, "load_ts"] if dated else base
         # stored first, because the batch is used several times below
         newest = "load_ts" if dated else "hour_ts"
-        fresh = materialized(dedup_latest(batch, keys, newest, ["volume_usd", "tvl_usd"]).select(*cols), "batch")
+        whole = has_keys(keys)
+        batch.where(~whole).select(*cols).write.mode("overwrite").parquet(f"{unkeyed(path)}/batch={number}")
+        fresh = materialized(dedup_latest(batch.where(whole), keys, newest, ["volume_usd", "tvl_usd"]).select(*cols), "batch")
         if not exists(spark, path):
-            made = pool_features(fresh)
+            made = pool_features(fresh, series)
         else:
-            finish_upsert(spark, path, StructType([*pool_features(fresh).schema.fields, StructField("day", StringType())]))
+            finish_upsert(spark, path, StructType([*pool_features(fresh, series).schema.fields, StructField("day", StringType())]))
             stored = spark.read.parquet(path)
             if ("load_ts" in stored.columns) != dated:
                 raise ValueError(f"batches with and without load_ts can't share the table {path}")
@@ -111,12 +118,17 @@ def features_batch(path: str, keys: Sequence[str] = tuple(L.POOL_HOUR_KEY)) -> C
                 fresh = materialized(_not_older(fresh, known, keys), "batch")
             if fresh.isEmpty():
                 return
-            made = _with_history(fresh, known, keys)
+            made = _with_history(fresh, known, keys, series)
         upsert_days(made.withColumn("day", F.date_format("hour_ts", "yyyy-MM-dd")), path, keys)
 
     return handle
 
 
+def unkeyed(path: str) -> str:
+    """Where ``features_batch`` puts rows that lack a part of their key."""
+    return f"{path.rstrip('/')}__unkeyed"
+
+
 def _not_older(fresh: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of the batch of which no later load is stored; only the batch's days are read."""
     first, last = fresh.agg(micros(F.min("hour_ts")), micros(F.max("hour_ts"))).first()
@@ -128,29 +140,29 @@ def _not_older(fresh: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataF
     return fresh.join(held, [*same, F.col("_stored") > F.col("load_ts")], "left_anti")
 
 
-def _with_history(fresh: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _with_history(fresh: DataFrame, known: DataFrame, keys: Sequence[str], series: Sequence[str]) -> DataFrame:
     """Features of the batch's rows and of the rows after them, given what is stored.
 
     A late or corrected hour changes the 24 rows that follow it, so every stored row from
     a pool's first touched hour on is computed again, behind the 24 rows before it.
     """
-    since = fresh.groupBy("pool_id").agg(F.min("hour_ts").alias("since"))
-    before = preceding_rows(known, since, day="day")
+    since = fresh.groupBy(*series).agg(F.min("hour_ts").alias("since"))
+    before = preceding_rows(known, since, day="day", series=series)
     first = since.agg(micros(F.min("since"))).first()[0]
-    start = since.select(F.col("pool_id").alias("_pool"), F.col("since").alias("_since"))
+    start, of_series = renamed_keys(since, series, F.col("since").alias("_since"))
     replaced = fresh.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
     same = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]
     after = (
         day_between(known, "day", moment(first), None)
         .where(F.col("hour_ts") >= moment(first))
-        .join(start, F.col("pool_id") == F.col("_pool"))
+        .join(start, of_series)
         .where(F.col("hour_ts") >= F.col("_since"))
         .join(replaced, same, "left_anti")
     )
     cols = fresh.columns
-    made = pool_features(before.select(*cols).unionByName(after.select(*cols)).unionByName(fresh))
-    changed = made.join(start, F.col("pool_id") == F.col("_pool")).where("hour_ts >= _since")
-    return changed.drop("_pool", "_since")
+    made = pool_features(before.select(*cols).unionByName(after.select(*cols)).unionByName(fresh), series)
+    changed = made.join(start, of_series).where("hour_ts >= _since")
+    return changed.drop("_since", *[f"_key_{k}" for k in series])
 
 
 def alert_batch(model: Forest, path: str, threshold: float = 0.6) -> Callable[[DataFrame, int], None]:
