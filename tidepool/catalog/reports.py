@@ -402,6 +402,35 @@ def d5_by_pool(spark, sf):
     return _hours_out(J.missing_hours_by(X.pool_hourly(spark, sf), "hour_ts", ["pool_id"]), "pool_id")
 
 
+# every pool with a broken stamp beside its hours: one row more in a report, not a grid up to it
+_BROKEN = "TIMESTAMP '9999-12-31 05:00:00'"
+_FIRST_DAY, _LAST_DAY = date(2024, 1, 2), date(2024, 1, 29)
+
+
+def _with_broken(spark, sf):
+    hours = X.pool_hourly(spark, sf).select("pool_id", "hour_ts")
+    return hours.unionByName(hours.groupBy("pool_id").agg(F.expr(_BROKEN).alias("hour_ts")))
+
+
+@query("d5_missing_spans_by_pool", f"""WITH {POOL_HOURLY}, n AS (
+  SELECT pool_id, hour_ts, lead(hour_ts) OVER (PARTITION BY pool_id ORDER BY hour_ts) AS after FROM pool_hourly
+  WHERE CAST(hour_ts AS DATE) BETWEEN DATE '2024-01-02' AND DATE '2024-01-29')
+SELECT pool_id, {epochs('hour_ts')} + 3600 AS first_epoch, {epochs('after')} - 3600 AS last_epoch, ({epochs('after')} - {epochs('hour_ts')}) // 3600 - 1 AS hours
+FROM n WHERE after > hour_ts + INTERVAL 1 HOUR""")
+def d5_spans(spark, sf):
+    spans = J.missing_spans(_with_broken(spark, sf), "hour_ts", ["pool_id"], _FIRST_DAY, _LAST_DAY)
+    return spans.select("pool_id", epoch("first").alias("first_epoch"), epoch("last").alias("last_epoch"), "hours")
+
+
+@query("d5_outside_range", f"""WITH {POOL_HOURLY}, b AS (
+  SELECT pool_id, hour_ts FROM pool_hourly UNION ALL SELECT DISTINCT pool_id, {_BROKEN} FROM pool_hourly)
+SELECT pool_id, count(*) AS "rows", {epochs('min(hour_ts)')} AS earliest, {epochs('max(hour_ts)')} AS latest FROM b
+WHERE CAST(hour_ts AS DATE) NOT BETWEEN DATE '2024-01-02' AND DATE '2024-01-29' GROUP BY pool_id""")
+def d5_outside(spark, sf):
+    found = J.outside_range(_with_broken(spark, sf), "hour_ts", ["pool_id"], _FIRST_DAY, _LAST_DAY)
+    return found.select("pool_id", "rows", epoch("earliest").alias("earliest"), epoch("latest").alias("latest"))
+
+
 @query("d6_dense_counts", f"""WITH {WIDE} SELECT CAST(h AS INTEGER) AS hour, count(id) AS count FROM range(24) t(h)
 LEFT JOIN (SELECT id, (hour_ts // 3600 + 9) % 24 AS lh FROM wide WHERE tvl_usd < 0) ON lh = h GROUP BY 1""")
 def d6(spark, sf):

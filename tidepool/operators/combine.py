@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # -- joins and set operations --------------------------------------------------
@@ -101,6 +101,54 @@ def missing_hours_by(df: DataFrame, ts: str, by: Sequence[str]) -> DataFrame:
     return listed.where(F.size("hours") > 0).withColumn("complete", F.size("hours") == 24)
 
 
+def missing_spans(df: DataFrame, ts: str, by: Sequence[str], start: date, end: date) -> DataFrame:
+    """Hours that a series lacks between its first and last one, as spans: ``first``, ``last`` and ``hours``.
+
+    A gap is one row, however long it is. Only stamps from ``start`` to ``end`` (both days whole) count, so
+    that a series has at most as many distinct hours as that range; ``outside_range`` reports the others.
+    """
+    inside = df.where(F.to_date(ts).between(F.lit(start), F.lit(end)))
+    hours = inside.select(*by, F.date_trunc("hour", F.col(ts).cast("timestamp")).alias("_hour")).distinct()
+    after = F.lead("_hour").over(Window.partitionBy(*by).orderBy("_hour"))
+    lacking = ((F.unix_timestamp("_next") - F.unix_timestamp("_hour")) / 3600 - 1).cast("bigint")
+    hour = F.expr("interval 1 hour")
+    gaps = hours.withColumn("_next", after).withColumn("hours", lacking).where("hours > 0")
+    return gaps.select(*by, (F.col("_hour") + hour).alias("first"), (F.col("_next") - hour).alias("last"), "hours")
+
+
+def outside_range(df: DataFrame, ts: str, by: Sequence[str], start: date, end: date) -> DataFrame:
+    """Series with stamps before ``start`` or after ``end``, or without one: ``rows`` of them, ``earliest`` and ``latest``."""
+    inside = F.coalesce(F.to_date(ts).between(F.lit(start), F.lit(end)), F.lit(False))
+    return df.where(~inside).groupBy(*by).agg(F.count("*").alias("rows"), F.min(ts).alias("earliest"), F.max(ts).alias("latest"))
+
+
+#: Intervals of a series that are merged in one window.
+MERGED_TOGETHER = 4096
+
+
+def merge_intervals(df: DataFrame, by: Sequence[str], first: str, last: str, gap: Column, place: Column, sums: Sequence[str]) -> DataFrame:
+    """Intervals of a series that lie at most ``gap`` apart as one, with ``sums`` added up.
+
+    Two levels. Intervals, disjoint and in order of ``place``, a whole number, are merged within the (series, chunk of places)
+    that they fall in. What lies between a chunk's first and last merged interval is done; only those two
+    can reach into another chunk, and they alone are put in order along the series.
+    """
+    added = [F.min(first).alias(first), F.max(last).alias(last), *[F.sum(c).alias(c) for c in sums]]
+
+    def merged(rows: DataFrame, keys: list[str]) -> DataFrame:
+        order = Window.partitionBy(*keys).orderBy(first)
+        opens = F.when(F.col(first) <= F.lag(last).over(order) + gap, 0).otherwise(1)
+        numbered = rows.withColumn("_opens", opens).withColumn("_spell", F.sum("_opens").over(order))
+        return numbered.groupBy(*keys, "_spell").agg(*added)
+
+    within = [*by, "_chunk"]
+    spells = merged(df.withColumn("_chunk", F.floor(place / MERGED_TOGETHER)), within)
+    spells = spells.withColumn("_last", F.max("_spell").over(Window.partitionBy(*within)))
+    inner = (F.col("_spell") > 1) & (F.col("_spell") < F.col("_last"))
+    out = [*by, first, last, *sums]
+    return spells.where(inner).select(*out).unionByName(merged(spells.where(~inner).select(*out), list(by)).select(*out))
+
+
 def _hour_lists(gaps: DataFrame, keys: Sequence[str]) -> DataFrame:
     lists = gaps.groupBy(*keys).agg(F.sort_array(F.collect_set("hour")).alias("hours"))
     return lists.withColumn("complete", F.size("hours") == 24)

@@ -15,6 +15,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tidepool import schema as L
 from tidepool.functions.moments import micros, moment
+from tidepool.operators.combine import merge_intervals
 from tidepool.operators.features import has_keys, pool_features
 from tidepool.operators.forest import Forest, score
 from tidepool.operators.frames import dedup_latest
@@ -70,8 +71,14 @@ def rollup_stream(
 
 
 def sessions(df: DataFrame, ts: str = "ts", pool: str = "pool_id", gap: str = "6 hours", delay: str = "1 hour") -> DataFrame:
-    """Spells of activity per pool, closed by a gap. Works on batch frames and on streams."""
-    source = df.withWatermark(ts, delay) if df.isStreaming else df
+    """Spells of activity per pool, closed by a gap. Works on batch frames and on streams.
+
+    A batch never brings a pool's rows together: rows of one span of the gap's length are one interval
+    (a combining aggregate), and the intervals are merged in two levels. Rows without a time are in no spell.
+    """
+    if not df.isStreaming:
+        return _batch_sessions(df, ts, pool, gap)
+    source = df.withWatermark(ts, delay)
     # Start and end are aggregates on purpose: a filter on the window column itself would be
     # pushed below the merging of sessions and cut sessions short.
     spells = source.groupBy(F.session_window(ts, gap), pool).agg(
@@ -124,6 +131,17 @@ def features_batch(path: str, keys: Sequence[str] = ("dex", *L.POOL_HOUR_KEY)) -
     return handle
 
 
+def _batch_sessions(df: DataFrame, ts: str, pool: str, gap: str) -> DataFrame:
+    length = F.expr(f"unix_micros(timestamp_seconds(0) + interval {gap})")
+    at = F.unix_micros(F.col(ts).cast("timestamp"))
+    spans = df.where(F.col(ts).isNotNull()).select(F.col(pool).alias("pool"), at.alias("at"), length.alias("gap"))
+    spans = spans.withColumn("place", F.expr("(at - pmod(at, gap)) div gap"))
+    found = spans.groupBy("pool", "place").agg(F.min("at").alias("first"), F.max("at").alias("last"), F.count("*").alias("rows"))
+    merged = merge_intervals(found, ["pool"], "first", "last", length, F.col("place"), ["rows"])
+    times = [F.timestamp_micros("first").alias("start"), (F.timestamp_micros("last") + F.expr(f"interval {gap}")).alias("end")]
+    return merged.select(F.col("pool").alias(pool), *times, "rows")
+
+
 def unkeyed(path: str) -> str:
     """Where ``features_batch`` puts rows that lack a part of their key."""
     return f"{path.rstrip('/')}__unkeyed"
