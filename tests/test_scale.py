@@ -44,7 +44,21 @@ def test_quantiles_of_close_values_take_the_finer_bands(spark):
     values = 1.0 + np.arange(4000) * 1e-12  # all in one coarse and in one fine band
     df, pdf = frame(spark, np.random.default_rng(2).permutation(values), ["g"] * 4000)
     check_quantiles(df, pdf, direct_limit=0)
-    check_quantiles(df, pdf, direct_limit=0, resolutions=(4,))
+    check_quantiles(df, pdf, direct_limit=0, most=3)
+
+
+def test_quantiles_do_not_show_the_size_of_a_group(spark):
+    """Bit by bit the same below and above the limit, for values one part in 10^9 apart, very far apart, and infinite."""
+    rng = np.random.default_rng(9)
+    near = 12_345.678 * (1 + rng.permutation(3000) * 1e-9)
+    far = np.concatenate([[-np.inf, np.inf, -1.7e308, 1.7e308, 5e-324, 0.0], np.exp(rng.normal(0, 200, 900)), -np.exp(rng.normal(0, 90, 300))])
+    df, _ = frame(spark, np.concatenate([near, far]), ["near"] * len(near) + ["far"] * len(far))
+    qs = [0.013, 0.1, 1 / 3, 0.5, 0.9, 0.987]
+    whole, *others = (
+        {(r["g"], r["q"]): r["value"] for r in exact_quantiles(df, "x", qs, ["g"], **how).collect()}
+        for how in ({"direct_limit": None}, {}, {"direct_limit": 2000}, {"direct_limit": 0}, {"direct_limit": 100, "most": 5})
+    )
+    assert len(whole) == 12 and all(o == whole for o in others)
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -60,7 +74,7 @@ def test_quantiles_by_counting_match_any_input(spark, rows):
     two = {(r["g"], r["q"]): r["value"] for r in exact_quantiles(df, "x", QS, ["g"], direct_limit=None).collect()}
     assert one.keys() == two.keys()
     for k in one:
-        assert one[k] == pytest.approx(two[k], rel=1e-9, abs=1e-30)
+        assert one[k] == two[k]  # to the last digit
 
 
 def test_whole_column_quantiles_either_way(spark):

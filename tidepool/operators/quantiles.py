@@ -8,18 +8,17 @@ use ``percentile``; in larger ones the order statistics are found by counting:
 1. count values per (group, coarse logarithmic band); the counts are combined before
    the shuffle and each group has at most a few thousand bands;
 2. running totals over the bands show which band holds each wanted rank;
-3. rows in those bands only are counted again in finer bands, and at last value by value.
+3. a band of one value is the answer. One of up to ``most`` rows is counted value by value.
+   Any other is split into ``PARTS`` equal parts between its least and largest value, and so on: a
+   split always parts these two, so it goes on until every answer is found, however close the values lie.
 
-Nothing but counts is shuffled until the last step, which sees the few rows that share
-a very narrow band with an answer. Bands are monotone in the value, which is all the
-argument needs; ties and interpolation are then exact on the real values.
+Both ways weigh the two neighbouring values by the same formula, so the size of a group shows in no digit.
+Ties and interpolation are exact on the real values. No window sees more than ``most`` rows.
 
-The input is read once per step, up to five times for large groups, though one column wide;
-store the result of an expensive plan before asking for its quantiles.
-
-What is broadcast: the keys of large groups and their picked bands. There are at most
-(all rows / DIRECT_LIMIT) large groups and two bands per quantile in each, a million keys
-for 10^12 rows. Without large groups adaptive execution drops that half of the plan.
+Rows of a band that is split again are written once a level, one column wide; the input is read for
+the groups' sizes, for the bands and for the rows in them. Store the result of an expensive plan before
+asking for its quantiles. The keys of large groups and the picked bands are written as tables, and their real size decides
+how they are joined.
 """
 
 from __future__ import annotations
@@ -30,8 +29,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# Bands per unit of ln(|value|): about 28 % wide, then about one part in a million.
-RESOLUTIONS = (4, 4 << 18)
+from tidepool.session import materialized
+
+# Bands per unit of ln(|value|): about 28 % wide.
+RESOLUTION = 4
+#: Parts of a band that is split.
+PARTS = 1024
 DIRECT_LIMIT = 1_000_000
 _LOG_SPAN = 800  # |ln| of any finite double is below this
 
@@ -44,45 +47,24 @@ def log_band(value: Column, resolution: int) -> Column:
 
 
 def _ranks(total: Column, qs: Sequence[float]) -> Column:
-    """For each quantile the two neighbouring 0-based ranks and the weight between them."""
+    """For each quantile the two neighbouring 0-based ranks and the place between them."""
     entries = []
     for i, q in enumerate(qs):
         at = F.lit(float(q)) * (total - 1)
         for side, rank in ((0, F.floor(at)), (1, F.ceil(at))):
-            entries.append(
-                F.struct(
-                    F.lit(i).alias("q"),
-                    F.lit(side).alias("side"),
-                    rank.cast("bigint").alias("rank"),
-                    (at - F.floor(at)).alias("frac"),
-                )
-            )
+            entries.append(F.struct(F.lit(i).alias("q"), F.lit(side).alias("side"), rank.cast("bigint").alias("rank"), at.alias("at")))
     return F.array(*entries)
 
 
 def _inside(wanted: Column, before: Column, count: Column) -> Column:
     """Those wanted ranks that fall in this band, counted from the band's start."""
     hit = F.filter(wanted, lambda t: (t["rank"] >= before) & (t["rank"] < before + count))
-    return F.transform(
-        hit,
-        lambda t: F.struct(
-            t["q"].alias("q"),
-            t["side"].alias("side"),
-            (t["rank"] - before).alias("rank"),
-            t["frac"].alias("frac"),
-        ),
-    )
-
-
-def _pick(hist: DataFrame, group: list[str], order: str, wanted: Column | None, qs) -> DataFrame:
-    running = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    hist = hist.withColumn("_before", F.coalesce(F.sum("_n").over(running), F.lit(0)))
-    if wanted is None:
-        whole = Window.partitionBy(*group)
-        hist = hist.withColumn("_wanted", _ranks(F.sum("_n").over(whole), qs))
-    return hist.withColumn("_wanted", _inside(F.col("_wanted"), F.col("_before"), F.col("_n"))).where(
-        F.size("_wanted") > 0
-    )
+    return F.transform(hit, lambda t: F.struct(t["q"].alias("q"), t["side"].alias("side"), (t["rank"] - before).alias("rank"), t["at"].alias("at")))
+
+
+def _between(low: Column, high: Column, at: Column) -> Column:
+    """The formula of ``percentile``, with its order of operations."""
+    return F.when(low == high, low).otherwise((F.ceil(at) - at) * low + (at - F.floor(at)) * high)
 
 
 def exact_quantiles(
@@ -91,13 +73,13 @@ def exact_quantiles(
     qs: Sequence[float],
     by: Sequence[str] = (),
     direct_limit: int | None = DIRECT_LIMIT,
-    resolutions: Sequence[int] = RESOLUTIONS,
+    most: int = DIRECT_LIMIT,
 ) -> DataFrame:
     """Linearly interpolated quantiles of the present values, one row per group and quantile.
 
     Columns: ``by``, ``q`` (position in ``qs``) and ``value``. Groups without any value are absent.
     ``direct_limit=None`` skips counting the groups. It is meant for callers whose key bounds
-    a group, such as one row per pool and hour.
+    a group, such as one row per pool and hour. Bands of more than ``most`` rows are split.
     """
     col = F.col(col) if isinstance(col, str) else col
     value = F.when(~F.isnan(col.cast("double")), col.cast("double"))
@@ -108,19 +90,15 @@ def exact_quantiles(
         found = _direct(rows, names, qs)
         return found.select(*[F.col(n).alias(b) for n, b in zip(names, by)], "q", "value")
 
-    if names:
-        sizes = rows.groupBy(*names).agg(F.count("*").alias("_n")).where(F.col("_n") > direct_limit)
-        large = F.broadcast(sizes.select(*[F.col(n).alias(f"{n}_p") for n in names]))
-        same = [F.col(n).eqNullSafe(F.col(f"{n}_p")) for n in names]
-        small_rows = rows.join(large, same, "left_anti")
-        large_rows = rows.join(large, same, "left_semi")
+    sizes = rows.groupBy(*names).agg(F.count("*").alias("_n"))
+    large = materialized(sizes.where(F.col("_n") > direct_limit), "large-groups")
+    if large.isEmpty():
+        found = _direct(rows, names, qs)
     else:
-        total = rows.agg(F.count("*")).scalar()
-        small_rows = rows.where(total <= direct_limit)
-        large_rows = rows.where(total > direct_limit)
-
-    counted = _by_counting(large_rows, names, qs, resolutions)
-    found = _direct(small_rows, names, qs).unionByName(counted)
+        keys = large.select(*[F.col(n).alias(f"{n}_p") for n in names], F.lit(True).alias("_large"))
+        same = [F.col(n).eqNullSafe(F.col(f"{n}_p")) for n in names]
+        counted = _by_counting(rows.join(keys, same, "left_semi") if names else rows, names, qs, most)
+        found = _direct(rows.join(keys, same, "left_anti"), names, qs).unionByName(counted) if names else counted
     return found.select(*[F.col(n).alias(b) for n, b in zip(names, by)], "q", "value")
 
 
@@ -129,40 +107,50 @@ def _direct(rows: DataFrame, names: list[str], qs: Sequence[float]) -> DataFrame
     return found.select(*names, F.posexplode("_values").alias("q", "value"))
 
 
-def _by_counting(rows: DataFrame, names: list[str], qs: Sequence[float], resolutions: Sequence[int]) -> DataFrame:
-    group = list(names)
-    picked = None
-    for level, resolution in enumerate(resolutions):
-        code = f"_band{level}"
-        rows = rows.withColumn(code, log_band(F.col("_v"), resolution))
-        if picked is None:
-            hist = rows.groupBy(*group, code).agg(F.count("*").alias("_n"))
-            picked = _pick(hist, group, code, None, qs)
-        else:
-            hist = _within(rows, picked, group).groupBy(*group, "_wanted", code)
-            picked = _pick(hist.agg(F.count("*").alias("_n")), group, code, F.col("_wanted"), qs)
-        group = [*names, code]
-        picked = picked.select(*group, "_wanted")
-
-    last = _within(rows, picked, group).groupBy(*group, "_wanted", "_v")
-    found = _pick(last.agg(F.count("*").alias("_n")), group, "_v", F.col("_wanted"), qs)
-    found = found.select(*names, F.col("_v"), F.explode("_wanted").alias("_t"))
-    out = found.groupBy(*names, F.col("_t.q").alias("q")).agg(
-        F.max(F.when(F.col("_t.side") == 0, F.col("_v"))).alias("_lo"),
-        F.max(F.when(F.col("_t.side") == 1, F.col("_v"))).alias("_hi"),
-        F.max("_t.frac").alias("_frac"),
-    )
-    between = F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).otherwise(
-        F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_frac")
-    )
-    return out.select(*names, "q", between.alias("value"))
-
-
-def _within(rows: DataFrame, picked: DataFrame, group: list[str]) -> DataFrame:
-    """Rows in the picked bands. A missing group key is a group like any other."""
-    side = picked.select(*[F.col(g).alias(f"{g}_p") for g in group], "_wanted")
-    match = [F.col(g).eqNullSafe(F.col(f"{g}_p")) for g in group]
-    return rows.join(F.broadcast(side), match).drop(*[f"{g}_p" for g in group])
+def _by_counting(rows: DataFrame, names: list[str], qs: Sequence[float], most: int) -> DataFrame:
+    v, far = F.col("_v"), F.lit(2 * _LOG_SPAN * RESOLUTION).cast("bigint")
+    band = F.when(v == float("inf"), far).when(v == float("-inf"), -far).otherwise(log_band(v, RESOLUTION))
+    rows, group, wanted = rows.withColumn("_band", band), list(names), None
+    answers = []
+    while True:
+        hist = rows.groupBy(*group, *([wanted] if wanted else []), "_band").agg(F.count("*").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+        order = Window.partitionBy(*group).orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
+        hist = hist.withColumn("_before", F.coalesce(F.sum("_n").over(order), F.lit(0)))
+        if wanted is None:
+            hist = hist.withColumn("_wanted", _ranks(F.sum("_n").over(Window.partitionBy(*group)), qs))
+        picked = hist.withColumn("_wanted", _inside(F.col("_wanted"), F.col("_before"), F.col("_n"))).where(F.size("_wanted") > 0)
+        picked = materialized(picked.withColumn("_new", F.monotonically_increasing_id()), "bands")
+        answers.append(picked.where(F.col("_low") == F.col("_high")).select(*names, F.explode("_wanted").alias("_t"), F.col("_low").alias("_v")))
+        several = picked.where(F.col("_low") < F.col("_high"))
+        if several.isEmpty():
+            break
+        held = _within(rows, several, [*group, "_band"], names)
+        few = held.where(F.col("_size") <= most).groupBy(*names, "_id", "_wanted", "_v").agg(F.count("*").alias("_n"))
+        order = Window.partitionBy("_id").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+        few = few.withColumn("_before", F.coalesce(F.sum("_n").over(order), F.lit(0)))
+        few = few.withColumn("_wanted", _inside(F.col("_wanted"), F.col("_before"), F.col("_n")))
+        answers.append(few.select(*names, F.explode("_wanted").alias("_t"), "_v"))
+        if several.where(F.col("_n") > most).isEmpty():
+            break
+        # the share of the way from the least to the largest value never falls as values grow
+        share = (v - F.col("_low")) / (F.col("_high") - F.col("_low"))
+        split = held.where(F.col("_size") > most).withColumn("_band", F.least(F.floor(share * PARTS), F.lit(PARTS - 1)))
+        rows = materialized(split.select(*names, "_id", "_wanted", "_band", "_v"), "band-rows")
+        group, wanted = [*names, "_id"], "_wanted"
+
+    found = answers[0]
+    for more in answers[1:]:
+        found = found.unionByName(more)
+    side = lambda k: F.max(F.when(F.col("_t.side") == k, F.col("_v")))
+    out = found.groupBy(*names, F.col("_t.q").alias("q")).agg(side(0).alias("_lo"), side(1).alias("_hi"), F.max("_t.at").alias("_at"))
+    return out.select(*names, "q", _between(F.col("_lo"), F.col("_hi"), F.col("_at")).alias("value"))
+
+
+def _within(rows: DataFrame, picked: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
+    """Rows in the picked bands, with the bands' bounds. A missing group key is a group like any other."""
+    side = picked.select(*[F.col(k).alias(f"{k}_p") for k in keys], "_new", F.col("_wanted").alias("_left"), "_low", "_high", F.col("_n").alias("_size"))
+    match = [F.col(k).eqNullSafe(F.col(f"{k}_p")) for k in keys]
+    return rows.join(side, match).select(*names, "_v", F.col("_new").alias("_id"), F.col("_left").alias("_wanted"), "_low", "_high", "_size")
 
 
 def quantile_row(
