@@ -11,8 +11,10 @@ language alike, and a text of any length is read whole.
 
 The sample is bounded: of each language, whole texts in the order of a hash of their id, up to ``SAMPLE``
 characters and at least one text (of which then only so much is used to build the automaton). Rows of the
-held-out third, null ids, null texts and null languages teach nothing. Null texts, texts without a letter that some
-sample has and all texts if nothing could be learned are ``und`` with score 0. Repeated rows stay. Other columns are not looked at. An
+held-out third, null ids, null texts and null languages teach nothing. Null texts, texts without a
+letter and all texts if nothing could be learned are ``und`` with score 0. Letters that no sample has are a phrase each
+in every language, so a text of such letters alone goes to the language with the shortest pointers (the smallest
+sample, then the smaller name) with a score of about one in the number of languages. Repeated rows stay. Other columns are not looked at. An
 empty table gives an empty result.
 """
 
@@ -176,7 +178,7 @@ class Languages:
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         coded = [self.encode(t or "") for t in texts]
-        some = np.array([bool((c > 1).any()) for c in coded], bool)
+        some = np.array([bool((c != 1).any()) for c in coded], bool)
         if not self.names:
             return ["und"] * len(texts), np.zeros(len(texts))
         cost = self.phrases(coded) * self.bits

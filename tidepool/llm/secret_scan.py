@@ -7,7 +7,8 @@ text, whenever and under whatever id they came. A rule that gets a new version i
 
 Null texts count as empty. Repeated rows stay, a text is scanned once however often it occurs (rows
 equal in id and text may be scanned together). Other columns are carried, but for those named as the
-result's, which are replaced. An empty table gives an empty result.
+result's, which are replaced. Very long texts are scanned and redacted whole, in time that grows with their
+length and number of findings. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -152,19 +153,28 @@ def scan_documents(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule
     return found.select(F.col("doc_id").alias(id_col), *counts, F.sha2(listed, 256).alias("base_sha256"), _listed(F.col("found")).alias("spans"))
 
 
+def blotted(text: str | None, spans: list[tuple[int, int]], mark: str) -> str | None:
+    """The text with sorted spans replaced; its pieces are joined once, so the time is that of reading it."""
+    if not spans:
+        return text
+    pieces, at = [], 0
+    for start, end in spans:
+        if start >= at:
+            pieces += (text[at:start], mark)
+        at = max(at, end)
+    return "".join(pieces) + text[at:]
+
+
 def redact(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """The rows with every found span replaced by ``mark``; overlapping spans become one. Null texts stay null."""
     ledger = ledger or new_folder(docs.sparkSession, "ledger")
     update_ledger(docs, ledger, rules, id_col, text_col)
-    text = F.col(text_col)
-
-    def over(done, s):
-        start = F.greatest(s["start"], done["at"])
-        gap = F.substring(text, done["at"] + 1, F.greatest(s["start"] - done["at"], F.lit(0)))
-        longer = F.concat(done["out"], gap, F.when(s["start"] >= done["at"], F.lit(mark)).otherwise(F.lit("")))
-        return F.struct(longer.alias("out"), F.greatest(start, s["end"]).alias("at"))
-
-    begin = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    clean = F.aggregate("found", begin, over, lambda done: F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text))))
-    found = findings(docs, ledger, rules, text_col)
-    return found.withColumn(text_col, F.when(F.size("found") > 0, clean).otherwise(text)).select(*docs.columns)
+    given = docs.withColumnRenamed("found", "_found")  # a column of theirs stays theirs
+    names = given.columns
+
+    def cut(batch: pa.RecordBatch) -> dict:
+        pairs = zip(batch.column(text_col).to_pylist(), batch.column("found").to_pylist(), strict=True)
+        return {c: batch.column(c) for c in names} | {text_col: [blotted(text, [(s["start"], s["end"]) for s in spans], mark) for text, spans in pairs]}
+
+    found = findings(given, ledger, rules, text_col).select(*names, "found")
+    return map_batches(found, cut, given.schema).toDF(*docs.columns)
