@@ -1,6 +1,6 @@
 """Upserts, incremental builds and streams equal a full rebuild."""
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +10,7 @@ from tidepool.operators import forest as M
 from tidepool.operators.features import pool_features
 from tidepool.operators.labels import label_spikes
 from tidepool.plans import mart
+from tidepool.session import new_folder
 from tidepool.sources import records as R
 from tidepool.sources import tables as TB
 from tidepool.streaming import jobs as ST
@@ -220,3 +221,18 @@ def test_recent_rows_are_read_from_their_days_alone(spark, hours, tmp_path):
     plan = mart.day_between(spark.read.parquet(path), "day", edge, None)._jdf.queryExecution().executedPlan().toString()
     filters = next(line for line in plan.splitlines() if "PartitionFilters" in line)
     assert "1995-01-01" in filters.split("PartitionFilters:")[1].split("PushedFilters")[0]
+
+
+def test_stream_table_keeps_exchanges_and_lists_rows_without_a_key(spark):
+    """Two exchanges with one pool id, and rows without a pool: none is lost or merged with another."""
+    start = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    rows = [(dex, pool, start + timedelta(hours=h), v + h, 1.0, 1.0) for dex, v in (("dexa", 1.0), ("dexb", 100.0)) for pool in ("p", None) for h in range(3)]
+    batch = spark.createDataFrame(rows, "dex string, pool_id string, hour_ts timestamp, volume_usd double, tvl_usd double, liquidity double")
+    path = new_folder(spark, "features")
+    ST.features_batch(path)(batch, 0)
+    ST.features_batch(path)(batch, 0)  # repeated after a failure
+    made = spark.read.parquet(path)
+    assert {(r["dex"], r["volume_usd"], r["vol_ma_6h"]) for r in made.collect()} == {
+        (dex, v + h, v + h / 2) for dex, v in (("dexa", 1.0), ("dexb", 100.0)) for h in range(3)
+    }
+    assert spark.read.parquet(ST.unkeyed(path)).count() == 6
