@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidepool import schema as L
 from tidepool.functions import scalars as S
 from tidepool.functions.json_fields import json_float, json_str, json_ts
-from tidepool.functions.probability import chi2_upper, normal_two_sided
+from tidepool.functions.probability import chi2_p, normal_p
 from tidepool.operators import clean as C
 from tidepool.operators import combine as J
 from tidepool.operators import profile as P
@@ -79,13 +79,26 @@ def test_uniform_hours_golden(spark):
     assert out["p"] == pytest.approx(0.581, abs=5e-4)
 
 
-def test_tail_probabilities():
-    assert normal_two_sided(1.959963984540054) == pytest.approx(0.05)
-    assert chi2_upper(3.841458820694124, 1) == pytest.approx(0.05)
-    assert chi2_upper(36.41502850180731, 24) == pytest.approx(0.05)
-    assert chi2_upper(0.0, 3) == 1.0
-    for x in (0.3, 2.0, 17.5, 80.0):  # two degrees of freedom have a closed form
-        assert chi2_upper(x, 2) == pytest.approx(math.exp(-x / 2), rel=1e-12)
+def _even_tail(x, df):
+    """The finite sum that an even number of degrees of freedom has."""
+    logs = [i * math.log(x / 2) - x / 2 - math.lgamma(i + 1) for i in range(df // 2)]
+    top = max(logs)
+    return math.exp(top) * math.fsum(math.exp(v - top) for v in logs)
+
+
+def test_tail_probabilities(spark):
+    zs = [0.0, 1e-9, 0.3, 1.7, 1.959963984540054, 5.0, 8.2, 30.0, -2.0]
+    found = spark.createDataFrame([(z,) for z in zs], "z double").select("z", normal_p("z").alias("p")).collect()
+    for z, p in found:
+        assert p == pytest.approx(math.erfc(abs(z) / math.sqrt(2)), rel=1e-11)
+    odd = spark.createDataFrame([(3.841458820694124, 1), (36.41502850180731, 24), (7.814727903251179, 3)], "x double, df int")
+    assert [r["p"] for r in odd.select(chi2_p("x", "df").alias("p")).collect()] == pytest.approx([0.05] * 3)
+    cases = [(x * df, df) for df in (2, 4, 10, 50, 2000, 20_000) for x in (0.1, 0.5, 0.97, 1.0, 1.03, 2.0)]
+    even = spark.createDataFrame(cases, "x double, df int").select("x", "df", chi2_p("x", "df").alias("p"))
+    for x, df, p in even.collect():
+        assert p == pytest.approx(_even_tail(x, df), rel=1e-9, abs=1e-300)
+    edges = spark.createDataFrame([(0.0, 3), (None, 3), (float("nan"), 3), (1.0, 0), (1.0, None), (float("inf"), 3)], "x double, df int")
+    assert [r["p"] for r in edges.select(chi2_p("x", "df").alias("p")).collect()] == [1.0, None, None, None, None, 0.0]
 
 
 def test_negative_rate_golden(spark):

@@ -27,9 +27,27 @@ def i1(spark, sf):
     return T.chi2_uniform(_local_hours(spark, sf)).select(r("chi2").alias("chi2"), "df")
 
 
-@query("i1_chi2_uniform_p")
+def _q(a: str, x: str) -> str:
+    """Q(a, x) in SQL: one minus the lower tail, as one sum over x^(a + n) e^-x / gamma(a + n + 1)."""
+    terms = f"range(CAST({x} + 20 * sqrt({x}) + 200 AS BIGINT))"
+    lower = f"list_sum(list_transform({terms}, lambda n: exp(({a} + n) * ln({x}) - ({x}) - lgamma({a} + n + 1))))"
+    return f"CASE WHEN {x} <= 0 THEN 1 WHEN {x} > 20 * ({a} + 50) THEN 0 ELSE greatest(1 - {lower}, 0) END"
+
+
+def _p(q_of: str) -> str:
+    return rs(q_of, 9)
+
+
+_Z_P = _p(_q("0.5::DOUBLE", "(z * z / 2)"))
+_CHI2_P = _p(_q("(df / 2.0::DOUBLE)", "(chi2 / 2)"))
+_I1 = f"""WITH {WIDE}, c AS (SELECT h, count(id) AS o FROM range(24) t(h)
+  LEFT JOIN (SELECT id, (hour_ts // 3600 + 9) % 24 AS lh FROM wide WHERE tvl_usd < 0) ON lh = h GROUP BY 1), test AS (
+  SELECT sum(pow(o - e, 2) / e) AS chi2, CAST(count(*) - 1 AS BIGINT) AS df FROM c, (SELECT avg(o) AS e FROM c))"""
+
+
+@query("i1_chi2_uniform_p", f"{_I1} SELECT {rs('chi2')} AS chi2, df, {_CHI2_P} AS p FROM test")
 def i1_p(spark, sf):
-    return T.chi2_uniform(_local_hours(spark, sf))
+    return T.chi2_uniform(_local_hours(spark, sf)).select(r("chi2").alias("chi2"), "df", r("p", 9).alias("p"))
 
 
 def _table(spark, sf):
@@ -49,6 +67,12 @@ def i2(spark, sf):
     return T.chi2_independence(_table(spark, sf)).select(r("chi2").alias("chi2"), "df", "n")
 
 
+@query("i2_chi2_independence_p", f"""{_TABLE}, test AS (SELECT chi2, CAST(k - 1 AS INTEGER) AS df FROM chi, tot)
+SELECT df, {_CHI2_P} AS p FROM test""")
+def i2_p(spark, sf):
+    return T.chi2_independence(_table(spark, sf)).select("df", r("p", 9).alias("p"))
+
+
 _TWO = f"""WITH {POOL_EVENTS}, tbl AS (SELECT fee_tier >= 500 AS high, count(*) FILTER (tvl_usd < 0) AS neg,
   count(*) FILTER (NOT tvl_usd < 0) AS valid FROM pool_events GROUP BY 1), tot AS (
   SELECT sum(neg) AS m, sum(valid) AS v, sum(neg + valid) AS n FROM tbl), gap AS (
@@ -78,22 +102,34 @@ def i4(spark, sf):
     return T.trend_test(_table(spark, sf)).select(r("z").alias("z"))
 
 
+@query("i4_trend_test_p", _TREND.format(table=_TABLE, mean="avg(fee_tier)", z=_Z).replace("WITH", "WITH test AS (WITH", 1) + f""")
+SELECT {rs('z')} AS z, {_Z_P} AS p FROM test""")
+def i4_p(spark, sf):
+    return T.trend_test(_table(spark, sf)).select(r("z").alias("z"), r("p", 9).alias("p"))
+
+
 @query("i4_trend_test_weighted", _TREND.format(
     table=_TABLE, mean="sum(fee_tier * (neg + valid)) / sum(neg + valid)", z=rs(_Z)))
 def i4_weighted(spark, sf):
     return T.trend_test(_table(spark, sf), centering="weighted").select(r("z").alias("z"))
 
 
-@query("i5_pairwise_z", f"""{_TABLE}, p AS (SELECT a.fee_tier AS a, b.fee_tier AS b, a.neg AS x, a.neg + a.valid AS nx,
-  b.neg AS y, b.neg + b.valid AS ny FROM tbl a JOIN tbl b ON a.fee_tier < b.fee_tier)
-SELECT a, b, {rs('(x / nx - y / ny) / sqrt((x + y) / (nx + ny) * (1 - (x + y) / (nx + ny)) * (1 / nx + 1 / ny))')} AS z FROM p""")
+_PAIRS = f"""{_TABLE}, p AS (SELECT a.fee_tier AS a, b.fee_tier AS b, a.neg AS x, a.neg + a.valid AS nx,
+  b.neg AS y, b.neg + b.valid AS ny FROM tbl a JOIN tbl b ON a.fee_tier < b.fee_tier), test AS (
+  SELECT a, b, (x / nx - y / ny) / sqrt((x + y) / (nx + ny) * (1 - (x + y) / (nx + ny)) * (1 / nx + 1 / ny)) AS z FROM p)"""
+
+
+@query("i5_pairwise_z", f"{_PAIRS} SELECT a, b, {rs('z')} AS z, {_Z_P} AS p FROM test")
 def i5(spark, sf):
-    return T.pairwise_z(_table(spark, sf)).select("a", "b", r("z").alias("z"))
+    return T.pairwise_z(_table(spark, sf)).select("a", "b", r("z").alias("z"), r("p", 9).alias("p"))
 
 
-@query("i5_i6_pairwise_holm")
+@query("i5_i6_pairwise_holm", f"""{_PAIRS}, tail AS (SELECT a, b, {_Z_P} AS p FROM test), s AS (
+  SELECT *, p * (count(*) OVER () - row_number() OVER (ORDER BY p, a, b) + 1) AS step FROM tail)
+SELECT a, b, p, {rs('least(1, max(step) OVER (ORDER BY p, a, b ROWS UNBOUNDED PRECEDING))', 7)} AS p_adj FROM s""")
 def i5_holm(spark, sf):
-    return T.holm(T.pairwise_z(_table(spark, sf))).orderBy("p_adj", "a", "b")
+    tests = T.pairwise_z(_table(spark, sf)).select("a", "b", r("p", 9).alias("p"))
+    return T.holm(tests).select("a", "b", "p", r("p_adj", 7).alias("p_adj"))
 
 
 @query("i6_holm", f"""WITH {POOL_EVENTS}, t AS (SELECT pool_id, fee_tier, (count(*) FILTER (tvl_usd < 0) + 1) / (3.0::DOUBLE * count(*)) AS p
