@@ -168,6 +168,16 @@ def c4_approx(spark, sf):
     return C.cut_above_quantile(X.wide(spark, sf).select("id", "volume_usd"), "volume_usd", approx=True)
 
 
+@query("c4_cut_approx_error", f"WITH {WIDE} SELECT count(*) AS n, true AS near FROM wide")
+def c4_error(spark, sf):
+    """The approximate cut keeps the share asked for, within one in ten thousand rows and the ties at the limit."""
+    rows = X.wide(spark, sf).select("id", "volume_usd")
+    limit = C.cut_above_quantile(rows, "volume_usd", approx=True).agg(F.max("volume_usd")).scalar()
+    low, high, n = F.count_if(F.col("volume_usd") < limit), F.count_if(F.col("volume_usd") <= limit), F.count("*")
+    slack = n / 10_000 + 1
+    return rows.agg(n.alias("n"), ((low <= 0.999 * n + slack) & (high >= 0.999 * n - slack)).alias("near"))
+
+
 @query("c5_drop_missing", f"""WITH {EXPLORED}
 SELECT id, {rs('volume_deviation')} AS volume_deviation, {rs('price_change')} AS price_change FROM explored
 WHERE volume_deviation IS NOT NULL AND price_change IS NOT NULL""")

@@ -49,7 +49,11 @@ def label_spikes(
     join: a small table is broadcast and the rows are not shuffled at all; a large one is
     merged, and adaptive execution splits a hot pool.
     """
-    found = pool_quantile(history if history is not None else df, q, col, by, approx, unique_hours)
+    return label_by(df, pool_quantile(history if history is not None else df, q, col, by, approx, unique_hours), col, by)
+
+
+def label_by(df: DataFrame, found: DataFrame, col: str = "volume_usd", by: Sequence[str] = ("pool_id",)) -> DataFrame:
+    """``label_spikes`` with the thresholds at hand (``by`` and ``value``). Rows without a key are left out."""
     limits = materialized(found, "thresholds")
     side = limits.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(by)], F.col("value").alias("_limit"))
     same = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(by)]

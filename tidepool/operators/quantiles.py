@@ -46,7 +46,13 @@ def log_band(value: Column, resolution: int) -> Column:
     return F.when(value > 0, step).when(value < 0, -step).otherwise(F.lit(0).cast("bigint"))
 
 
-def _ranks(total: Column, qs: Sequence[float]) -> Column:
+def value_band(value: Column) -> Column:
+    """The coarse band of any double that is a number; the infinities have bands of their own."""
+    far = F.lit(2 * _LOG_SPAN * RESOLUTION).cast("bigint")
+    return F.when(value == float("inf"), far).when(value == float("-inf"), -far).otherwise(log_band(value, RESOLUTION))
+
+
+def wanted_ranks(total: Column, qs: Sequence[float]) -> Column:
     """For each quantile the two neighbouring 0-based ranks and the place between them."""
     entries = []
     for i, q in enumerate(qs):
@@ -56,7 +62,7 @@ def _ranks(total: Column, qs: Sequence[float]) -> Column:
     return F.array(*entries)
 
 
-def _inside(wanted: Column, before: Column, count: Column) -> Column:
+def picked_ranks(wanted: Column, before: Column, count: Column) -> Column:
     """Those wanted ranks that fall in this band, counted from the band's start."""
     hit = F.filter(wanted, lambda t: (t["rank"] >= before) & (t["rank"] < before + count))
     return F.transform(hit, lambda t: F.struct(t["q"].alias("q"), t["side"].alias("side"), (t["rank"] - before).alias("rank"), t["at"].alias("at")))
@@ -108,8 +114,7 @@ def _direct(rows: DataFrame, names: list[str], qs: Sequence[float]) -> DataFrame
 
 
 def _by_counting(rows: DataFrame, names: list[str], qs: Sequence[float], most: int) -> DataFrame:
-    v, far = F.col("_v"), F.lit(2 * _LOG_SPAN * RESOLUTION).cast("bigint")
-    band = F.when(v == float("inf"), far).when(v == float("-inf"), -far).otherwise(log_band(v, RESOLUTION))
+    v, band = F.col("_v"), value_band(F.col("_v"))
     rows, group, wanted = rows.withColumn("_band", band), list(names), None
     answers = []
     while True:
@@ -117,8 +122,8 @@ def _by_counting(rows: DataFrame, names: list[str], qs: Sequence[float], most: i
         order = Window.partitionBy(*group).orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
         hist = hist.withColumn("_before", F.coalesce(F.sum("_n").over(order), F.lit(0)))
         if wanted is None:
-            hist = hist.withColumn("_wanted", _ranks(F.sum("_n").over(Window.partitionBy(*group)), qs))
-        picked = hist.withColumn("_wanted", _inside(F.col("_wanted"), F.col("_before"), F.col("_n"))).where(F.size("_wanted") > 0)
+            hist = hist.withColumn("_wanted", wanted_ranks(F.sum("_n").over(Window.partitionBy(*group)), qs))
+        picked = hist.withColumn("_wanted", picked_ranks(F.col("_wanted"), F.col("_before"), F.col("_n"))).where(F.size("_wanted") > 0)
         picked = materialized(picked.withColumn("_new", F.monotonically_increasing_id()), "bands")
         answers.append(picked.where(F.col("_low") == F.col("_high")).select(*names, F.explode("_wanted").alias("_t"), F.col("_low").alias("_v")))
         several = picked.where(F.col("_low") < F.col("_high"))
@@ -128,7 +133,7 @@ def _by_counting(rows: DataFrame, names: list[str], qs: Sequence[float], most: i
         few = held.where(F.col("_size") <= most).groupBy(*names, "_id", "_wanted", "_v").agg(F.count("*").alias("_n"))
         order = Window.partitionBy("_id").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
         few = few.withColumn("_before", F.coalesce(F.sum("_n").over(order), F.lit(0)))
-        few = few.withColumn("_wanted", _inside(F.col("_wanted"), F.col("_before"), F.col("_n")))
+        few = few.withColumn("_wanted", picked_ranks(F.col("_wanted"), F.col("_before"), F.col("_n")))
         answers.append(few.select(*names, F.explode("_wanted").alias("_t"), "_v"))
         if several.where(F.col("_n") > most).isEmpty():
             break
@@ -141,6 +146,11 @@ def _by_counting(rows: DataFrame, names: list[str], qs: Sequence[float], most: i
     found = answers[0]
     for more in answers[1:]:
         found = found.unionByName(more)
+    return answers_by_group(found, names)
+
+
+def answers_by_group(found: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Quantiles from the values found at the wanted ranks (``_t``, ``_v``)."""
     side = lambda k: F.max(F.when(F.col("_t.side") == k, F.col("_v")))
     out = found.groupBy(*names, F.col("_t.q").alias("q")).agg(side(0).alias("_lo"), side(1).alias("_hi"), F.max("_t.at").alias("_at"))
     return out.select(*names, "q", _between(F.col("_lo"), F.col("_hi"), F.col("_at")).alias("value"))
@@ -169,3 +179,30 @@ def quantile_row(
 def approx_quantile(df: DataFrame, col: str, q: float, by: Sequence[str], accuracy: int = 10_000) -> DataFrame:
     """Sketch-based quantile: bounded state, and the answer is one of the values."""
     return df.groupBy(*by).agg(F.percentile_approx(col, q, accuracy).alias("value"))
+
+
+# -- stored sketches -----------------------------------------------------------------
+
+#: The size of a sketch. Its rank error is about 2.3 / k^0.9 of the rows, 1.3 % here.
+SKETCH_K = 200
+
+
+def daily_sketches(df: DataFrame, col: str, by: Sequence[str], ts: str = "hour_ts", k: int = SKETCH_K) -> DataFrame:
+    """One sketch per group and day, to be stored: ``by``, ``day`` (yyyy-MM-dd), ``n`` and ``sketch``.
+
+    A sketch is a few kilobytes whatever its rows, and is combined before the shuffle. Values that are missing or
+    no number are left out, and days without any value are absent.
+    """
+    value = F.col(col).cast("double")
+    rows = df.where(value.isNotNull() & ~F.isnan(value)).select(*by, F.date_format(ts, "yyyy-MM-dd").alias("day"), value.alias("_v"))
+    return rows.groupBy(*by, "day").agg(F.count("*").alias("n"), F.kll_sketch_agg_double("_v", F.lit(k)).alias("sketch"))
+
+
+def quantiles_from_sketches(sketches: DataFrame, qs: dict[str, float], by: Sequence[str], k: int = SKETCH_K) -> DataFrame:
+    """Approximate quantiles over any days of stored sketches, one column per entry of ``qs``, beside ``n``.
+
+    An answer is one of the values. It is exact, the discrete quantile, as long as a group has at most ``k`` rows.
+    """
+    merged = sketches.groupBy(*by).agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch", F.lit(k)).alias("_all"))
+    wide = [F.kll_sketch_get_quantile_double("_all", F.lit(float(q))).alias(name) for name, q in qs.items()]
+    return merged.select(*by, "n", *wide)
