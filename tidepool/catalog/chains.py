@@ -13,11 +13,13 @@ from tidepool.catalog.registry import (
 )
 from tidepool.functions.moments import moment
 from tidepool.operators import forest as M
+from tidepool.operators import ledger
 from tidepool.operators.features import pool_features
 from tidepool.plans import mart
 from tidepool.schema import MART_FEATURES
 from tidepool.session import materialized, new_folder
 from tidepool.sources import records as R
+from tidepool.sources import snapshots as SN
 from tidepool.sources import tables as TB
 from tidepool.streaming import jobs as ST
 
@@ -60,6 +62,52 @@ def k2(spark, sf):
     return feature_columns_out(mart.incremental_label(source, target), "y")
 
 
+_FROM_LEDGER = f"""WITH {LABELLED}, part AS (SELECT pool_id, hour_ts, volume_usd,
+  CASE WHEN hour_ts < TIMESTAMP '2024-01-10' THEN TIMESTAMP '2024-01-10' WHEN hour_ts < TIMESTAMP '2024-01-20' THEN TIMESTAMP '2024-01-20'
+       ELSE TIMESTAMP '2100-01-01' END AS step FROM features), limits AS (
+  SELECT p.pool_id, p.step, quantile_cont(f.volume_usd, 0.9) AS cut FROM (SELECT DISTINCT pool_id, step FROM part) p
+  JOIN features f ON f.pool_id = p.pool_id AND f.hour_ts < p.step GROUP BY 1, 2)
+SELECT pool_id, {epochs('hour_ts')} AS hour_epoch, volume_usd, CASE WHEN volume_usd >= cut THEN 1 ELSE 0 END AS y
+FROM part JOIN limits USING (pool_id, step)"""
+
+
+@query("k2_label_from_ledger", _FROM_LEDGER)
+def k2_ledger(spark, sf):
+    """Three arrivals, each labelled against all that had come by then; a correction is added and taken back on the way."""
+    hours = materialized(X.pool_hourly(spark, sf).select("dex", "pool_id", "hour_ts", "volume_usd"), "hours")
+    path, out = new_folder(spark, "ledger"), []
+    edges = [datetime(2000, 1, 1), datetime(2024, 1, 10), _SPLIT, datetime(2100, 1, 1)]
+    wrong = hours.where("pmod(hash(pool_id), 3) = 0").withColumn("volume_usd", F.col("volume_usd") * 3 + 1)
+    wrong = wrong.where(F.col("hour_ts") < moment(edges[1]))
+    ledger.append_rows(wrong, path, 0, "volume_usd", ["dex", "pool_id"])
+    for n, (first, last) in enumerate(zip(edges, edges[1:]), 1):
+        part = hours.where((F.col("hour_ts") >= moment(first)) & (F.col("hour_ts") < moment(last)))
+        out.append(mart.label_from_ledger(part, path, n, withdrawn=wrong if n == 1 else None))
+    made = out[0].unionByName(out[1]).unionByName(out[2])
+    return made.select("pool_id", epoch("hour_ts").alias("hour_epoch"), "volume_usd", "y")
+
+
+@query("k1_snapshot_upsert", _UPSERTED)
+def k1_snapshot(spark, sf):
+    old, new = _old_and_new(spark, sf)
+    path = new_folder(spark, "snapshots")
+    SN.upsert_snapshot(old, path, ["pool_id", "hour_ts"])
+    SN.upsert_snapshot(new, path, ["pool_id", "hour_ts"])
+    return SN.read_snapshot(spark, path, old.schema).select("pool_id", epoch("hour_ts").alias("hour_epoch"), "volume_usd")
+
+
+@query("k1_snapshot_earlier", f"""WITH {POOL_HOURLY} SELECT pool_id, {epochs('hour_ts')} AS hour_epoch, volume_usd FROM pool_hourly
+WHERE hour_ts >= TIMESTAMP '2024-01-12' AND hour_ts < TIMESTAMP '2024-01-18'""")
+def k1_earlier(spark, sf):
+    """Six days of the first version, after the second has replaced half of them."""
+    old, new = _old_and_new(spark, sf)
+    path = new_folder(spark, "snapshots")
+    SN.upsert_snapshot(old, path, ["pool_id", "hour_ts"])
+    SN.upsert_snapshot(new, path, ["pool_id", "hour_ts"])
+    days = SN.read_snapshot(spark, path, old.schema, version=1, first="2024-01-12", last="2024-01-17")
+    return days.select("pool_id", epoch("hour_ts").alias("hour_epoch"), "volume_usd")
+
+
 @query("k2_incremental_features", f"""WITH {FEATURES} SELECT {FEATURE_COLUMNS_SQL} FROM features
 WHERE hour_ts > (SELECT max(hour_ts) FROM features WHERE hour_ts < TIMESTAMP '2024-01-20')""")
 def k2_features(spark, sf):

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tidepool.operators.attach import attach
-from tidepool.operators.quantiles import exact_quantiles, log_band
+from tidepool.operators.quantiles import exact_quantiles
 from tidepool.session import materialized
 
 SAMPLE = 256
@@ -268,8 +268,12 @@ def flag(
     the random draw, so standardised and plain columns are both fine as input.
     """
     rows = df.dropna(subset=list(features))
-    model = fit_forest(rows, features, key, trees, seed)
-    scored = materialized(score(rows, model), "scored")
+    return flag_by(rows, fit_forest(rows, features, key, trees, seed), contamination)
+
+
+def flag_by(rows: DataFrame, model: Forest, contamination: float | str = 0.01) -> DataFrame:
+    """``flag`` with a model at hand: the share ``contamination`` of the scored rows is anomalous."""
+    scored = materialized(score(rows, model).where("score is not null"), "scored")
     if contamination == "auto":
         cut = F.lit(AUTO_THRESHOLD)
     else:
@@ -348,25 +352,31 @@ def at_k(scored: DataFrame, k: int = 10, hour: str = "hour_ts", ties: Sequence[s
     )
 
 
-def pr_auc(scored: DataFrame) -> DataFrame:
+def pr_auc(scored: DataFrame, most: int = 1_000_000) -> DataFrame:
     """Area under the precision-recall curve (average precision over all thresholds), as one row.
 
-    Rows are counted per distinct score. The running totals the curve needs are taken
-    first over narrow score bands, of which there are a bounded number, and then inside
-    each band, so that no task orders all scores.
+    Rows are counted per distinct score, with a partial count before the shuffle, so a very common score is one point.
+    The points are dealt to score ranges of about ``most`` points each, whose bounds Spark samples from
+    the points themselves: the number of ranges grows with the points, however close together they lie.
+    The running totals of the curve are taken over the ranges' totals first and then inside each range.
+    Rows without a score are left out.
     """
-    score = F.col("score")
-    banded = scored.where("score is not null").withColumn("_band", log_band(score, 1024))
-    points = banded.groupBy("_band", "score").agg(F.sum("y").alias("pos"), F.count("*").alias("n"))
-    bands = banded.groupBy(F.col("_band").alias("_b")).agg(F.sum("y").alias("_pos"), F.count("*").alias("_n"))
-    above = Window.orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
-    start = bands.select(
-        "_b",
+    score = F.col("score").cast("double")
+    points = scored.where(score.isNotNull() & ~F.isnan(score)).groupBy(score.alias("score"))
+    points = materialized(points.agg(F.sum("y").alias("pos"), F.count("*").alias("n")), "score-points")
+    ranges = max(1, math.ceil(points.count() / most))
+    # written before it is used twice: the place of a bound must be the same for totals and points
+    dealt = points.repartitionByRange(ranges, F.desc("score")).withColumn("_range", F.spark_partition_id())
+    dealt = materialized(dealt, "score-ranges")
+    totals = dealt.groupBy("_range").agg(F.sum("pos").alias("_pos"), F.sum("n").alias("_n"))
+    above = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    start = totals.select(
+        F.col("_range").alias("_b"),
         F.coalesce(F.sum("_pos").over(above), F.lit(0)).alias("_tp"),
         F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_seen"),
     )
-    inside = Window.partitionBy("_band").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
-    curve = points.join(start, F.col("_band") == F.col("_b")).select(
+    inside = Window.partitionBy("_range").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
+    curve = dealt.join(start, F.col("_range") == F.col("_b")).select(
         "pos",
         (F.col("_tp") + F.sum("pos").over(inside)).alias("tp"),
         (F.col("_seen") + F.sum("n").over(inside)).alias("seen"),

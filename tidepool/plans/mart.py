@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 
 from tidepool import schema as L
 from tidepool.functions.moments import micros, moment
+from tidepool.operators import ledger
 from tidepool.operators.clean import newer_than, recent
 from tidepool.operators.combine import as_of, union_protocols
 from tidepool.operators.features import LAG_ROWS, has_keys, series_features
 from tidepool.operators.forest import Forest, fit_forest, load_model, save_model, score
 from tidepool.operators.frames import dedup_latest, last_rows
-from tidepool.operators.labels import label_spikes
+from tidepool.operators.labels import label_by, label_spikes
 from tidepool.session import materialized
 from tidepool.sources.records import stage_pool_hourly
 
@@ -188,6 +189,20 @@ def incremental_label(
     return label_spikes(fresh, q, by=series, history=source, unique_hours=unique_hours)
 
 
+def label_from_ledger(
+    fresh: DataFrame, path: str, batch: int, q: float = 0.9, col: str = "volume_usd",
+    series: Sequence[str] = tuple(L.SERIES_KEY), withdrawn: DataFrame | None = None,
+) -> DataFrame:
+    """Labels of a batch against all history, which is not read: its order statistics lie in the ledger at ``path``.
+
+    The batch enters the ledger first, under its number, so its own values count. ``withdrawn`` holds rows
+    as they were added before, which the batch corrects. Equal to ``incremental_label`` at every step.
+    """
+    ledger.append_rows(fresh, path, batch, col, series, withdrawn)
+    limits = ledger.quantiles(fresh.sparkSession, path, [q], series, of=fresh).drop("q")
+    return label_by(fresh, limits, col, series)
+
+
 def expect_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``column`` and ``violations``, one row per checked column, all in one pass."""
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
@@ -237,6 +252,20 @@ def alerts(df: DataFrame, model: Forest, threshold: float = 0.6, at: Column | No
     return scored.select("pool_id", "hour_ts", "score", hit.alias("is_anomaly"))
 
 
+def newest_rows(known: DataFrame, fresh: DataFrame, by: Sequence[str] = ("pool_id",)) -> DataFrame:
+    """The newest row of every series, from the rows kept so far and a batch of features.
+
+    Kept as a table of one row a series, it is all that ``alerts`` has to read: an hourly run never
+    opens the history. Among rows of one hour that of the batch stays. Rows without a key are left out.
+    """
+    cols = known.columns
+    rows = known.withColumn("_later", F.lit(0)).unionByName(fresh.select(*cols).withColumn("_later", F.lit(1)))
+    rest = [c for c in cols if c not in by]
+    whole = rows.where(" and ".join(f"`{k}` is not null" for k in by))
+    newest = whole.groupBy(*by).agg(F.max_by(F.struct(*rest), F.struct("hour_ts", "_later")).alias("_row"))
+    return newest.select(*[F.col(c) if c in by else F.col("_row")[c].alias(c) for c in cols])
+
+
 def score_batch(df: DataFrame, model: Forest, threshold: float | None = None) -> DataFrame:
     """Score any rows that carry the features, whatever the case of their column names."""
     lowered = df.toDF(*[c.lower() for c in df.columns])
