@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidepool import fixtures as X
 from tidepool.catalog.models import labelled as labelled_rows
+from tidepool.catalog.sources import CLEAN_SQL, META_SQL
 from tidepool.catalog.registry import (
     FEATURE_COLUMNS_SQL, FEATURES, LABELLED, POOL_HOURLY, WIDE, day, epoch, epochs, feature_columns_out, query, r, rs,
 )
@@ -22,6 +23,7 @@ from tidepool.sources import records as R
 from tidepool.sources import snapshots as SN
 from tidepool.sources import tables as TB
 from tidepool.streaming import jobs as ST
+from tidepool.streaming import keyed_state as KS
 
 _BASE = f"pool_id, {epochs('hour_ts')} AS hour_epoch, volume_usd"
 _SPLIT = datetime(2024, 1, 20)
@@ -54,6 +56,28 @@ def k1_days(spark, sf):
     return spark.read.parquet(path).select("pool_id", epoch("hour_ts").alias("hour_epoch"), "volume_usd")
 
 
+def _wide_build(spark, sf):
+    """Every record three times: an older load with another volume, the newest, and the newest again."""
+    lines = materialized(X.raw_json(spark, sf), "lines")
+    stale = lines.withColumn("value", F.regexp_replace("value", '"volumeUSD":"[^"]*"', '"volumeUSD":"1.5"'))
+    at = lambda df, when: df.withColumn("load_ts", moment(when))
+    new = at(lines, datetime(2024, 2, 2))
+    return mart.build_wide(R.as_records(at(stale, datetime(2024, 2, 1)).unionByName(new).unionByName(new)))
+
+
+@query("d1_wide_table", f"""WITH {WIDE} SELECT {CLEAN_SQL.replace(' id,', '')}, protocol, epoch(TIMESTAMP '2024-02-02')::BIGINT AS load_epoch, {META_SQL} FROM wide""")
+def d1_wide(spark, sf):
+    """Flattening, keeping the newest load, cleaning, metadata and their join as one plan, with all columns."""
+    return _wide_build(spark, sf)["wide"].withColumn("load_epoch", epoch("load_ts")).drop("load_ts")
+
+
+@query("d1_wide_by_protocol", f"""WITH {WIDE} SELECT protocol, CASE WHEN protocol = 'dexa' THEN fee_tier END AS fee_tier,
+  count(*) AS n, {rs('sum(volume_usd)', 2)} AS volume_usd FROM wide GROUP BY 1, 2""")
+def d1_by_protocol(spark, sf):
+    wide = _wide_build(spark, sf)["wide"]
+    return wide.groupBy("protocol", "fee_tier").agg(F.count("*").alias("n"), r(F.sum("volume_usd"), 2).alias("volume_usd"))
+
+
 @query("k2_incremental_label", f"""WITH {LABELLED} SELECT y, {FEATURE_COLUMNS_SQL} FROM labelled
 WHERE hour_ts > (SELECT max(hour_ts) FROM labelled WHERE hour_ts < TIMESTAMP '2024-01-20')""")
 def k2(spark, sf):
@@ -269,6 +293,22 @@ def l4_pair(spark, sf):
     return _pair_out(spark.read.parquet(path))
 
 
+@query("l4_features_keyed_state", f"{_PAIR} SELECT {_PAIR_COLUMNS} FROM made")
+def l4_state(spark, sf):
+    """The same arrivals with the rows of each series held as keyed state; of the rows sent for an hour the last counts."""
+    hours = _pair(spark, sf).withColumn("load_ts", moment(datetime(2024, 2, 1)))
+    out, mark, folder = (new_folder(spark, n) for n in ("features", "mark", "hours"))
+    late = F.col("hour_ts").between(moment(datetime(2024, 1, 10)), moment(datetime(2024, 1, 12))) | (F.col("hour_ts") >= moment(_SPLIT))
+    wrong = hours.where(~late & (F.hour("hour_ts") == 7)).withColumn("volume_usd", F.col("volume_usd") * 2 + 1)
+    wrong = wrong.withColumn("load_ts", moment(datetime(2024, 1, 31)))
+    first = hours.where(~late & (F.hour("hour_ts") != 7)).unionByName(wrong)
+    for part in (first, hours.where(late).unionByName(hours.where(~late & (F.hour("hour_ts") == 7)))):
+        part.write.mode("append").parquet(folder)
+        stream = KS.keyed_features(ST.table_stream(spark, folder, hours.schema), lateness_hours=24 * 62)
+        KS.run(stream, mark, out)
+    return _pair_out(KS.latest(spark.read.parquet(out).where("not passed")))
+
+
 @query("k4_unkeyed", f"""{_BOTH} SELECT dex, {epochs('hour_ts')} AS hour_epoch, volume_usd FROM twofold WHERE pool_id IS NULL""")
 def k4_unkeyed(spark, sf):
     """Rows that belong to no series."""

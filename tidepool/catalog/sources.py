@@ -222,21 +222,21 @@ def b6(spark, sf):
     return out
 
 
-_CLEAN = ("hour_ts, id, volume_usd, tvl_usd, liquidity, volume_token0, volume_token1, fees_usd, open_price, "
+CLEAN_SQL = ("hour_ts, id, volume_usd, tvl_usd, liquidity, volume_token0, volume_token1, fees_usd, open_price, "
           "high_price, low_price, close_price, tx_count, tick, sqrt_price, token0_price, token1_price")
 
 
-@query("b7_clean_hourly", f"WITH {WIDE} SELECT {_CLEAN}, protocol FROM wide")
+@query("b7_clean_hourly", f"WITH {WIDE} SELECT {CLEAN_SQL}, protocol FROM wide")
 def b7(spark, sf):
     return R.clean_hourly(R.as_records(X.raw_json(spark, sf)), ["protocol"])
 
 
-_META = f"""id, {_TIER} AS fee_tier, lower(token0_symbol) AS token0_id, token0_symbol, 'Token ' || token0_symbol AS token0_name,
+META_SQL = f"""id, {_TIER} AS fee_tier, lower(token0_symbol) AS token0_id, token0_symbol, 'Token ' || token0_symbol AS token0_name,
  '18' AS token0_decimals, lower(token1_symbol) AS token1_id, token1_symbol, 'Token ' || token1_symbol AS token1_name,
  '18' AS token1_decimals"""
 
 
-@query("b8_pool_metadata", f"WITH {WIDE} SELECT DISTINCT {_META} FROM wide")
+@query("b8_pool_metadata", f"WITH {WIDE} SELECT DISTINCT {META_SQL} FROM wide")
 def b8(spark, sf):
     lines = X.raw_json(spark, sf)
     return R.pool_metadata(R.as_records(lines.unionByName(lines)))
@@ -261,7 +261,7 @@ def c1(spark, sf):
 
 @query("d1_with_pool", f"""WITH {WIDE}
 SELECT c.id, c.hour_ts, c.volume_usd, m.fee_tier, m.token0_symbol, m.token1_symbol
-FROM wide c LEFT JOIN (SELECT DISTINCT {_META} FROM wide WHERE tvl_usd >= 0) m USING (id)""")
+FROM wide c LEFT JOIN (SELECT DISTINCT {META_SQL} FROM wide WHERE tvl_usd >= 0) m USING (id)""")
 def d1(spark, sf):
     records = materialized(R.as_records(X.raw_json(spark, sf)), "records")
     meta = R.pool_metadata(records.where(F.col("tvlUSD").cast("double") >= 0))

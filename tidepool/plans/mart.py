@@ -13,13 +13,13 @@ from tidepool import schema as L
 from tidepool.functions.moments import micros, moment
 from tidepool.operators import ledger
 from tidepool.operators.clean import newer_than, recent
-from tidepool.operators.combine import as_of, union_protocols
+from tidepool.operators.combine import as_of, union_protocols, with_pool
 from tidepool.operators.features import LAG_ROWS, has_keys, series_features
 from tidepool.operators.forest import Forest, fit_forest, load_model, save_model, score
 from tidepool.operators.frames import dedup_latest, last_rows
 from tidepool.operators.labels import label_by, label_spikes
 from tidepool.session import materialized
-from tidepool.sources.records import stage_pool_hourly
+from tidepool.sources.records import clean_hourly, pool_metadata, stage_pool_hourly
 
 FEATURE_INPUT = ["dex", "pool_id", "hour_ts", "tvl_usd", "volume_usd", "liquidity", "load_ts"]
 
@@ -53,6 +53,26 @@ def run_stages(
     return {"staging": staged, "features": features, "labelled": labelled, "violations": violations, "unkeyed": unkeyed}
 
 
+def build_wide(records: DataFrame, keep: Sequence[str] = ("protocol", "load_ts")) -> dict[str, DataFrame]:
+    """Parsed records -> ``clean``, ``metadata`` and ``wide``, the table that exploration starts from.
+
+    Of repeated loads of a record (``id`` and ``periodStartUnix``) the newest stays; among copies loaded
+    together the other fields decide. ``clean`` is typed, ``metadata`` has the distinct pool attributes of a
+    record id, and ``wide`` joins both by id. A record without an id or hour can't be told from others: all of them stay in
+    ``clean`` and, without an id, get no attributes. An id with several attribute sets has a row for each, as the metadata has.
+    The merged records are written once, since all three tables come from them.
+    """
+    key = ["id", "periodStartUnix"]
+    flat = records.select(*key, *[c for c in records.columns if c not in key])
+    whole = has_keys(key)
+    ties = ["volumeUSD", "tvlUSD"]
+    ties += sorted(c for c in flat.columns if c not in (*key, "load_ts", *ties))
+    kept = dedup_latest(flat.where(whole), key, "load_ts", ties).unionByName(flat.where(~whole))
+    kept = materialized(kept, "merged-records")
+    clean, meta = clean_hourly(kept, keep), pool_metadata(kept)
+    return {"clean": clean, "metadata": meta, "wide": with_pool(clean, meta)}
+
+
 def preceding_rows(
     known: DataFrame, since: DataFrame, rows: int = LAG_ROWS, recent_days: int = 7, day: str | None = None,
     series: Sequence[str] = tuple(L.SERIES_KEY),
