@@ -368,10 +368,10 @@ def pr_auc(scored: DataFrame, most: int = 1_000_000) -> DataFrame:
     # written before it is used twice: the place of a bound must be the same for totals and points
     dealt = points.repartitionByRange(ranges, F.desc("score")).withColumn("_range", F.spark_partition_id())
     dealt = materialized(dealt, "score-ranges")
-    totals = dealt.groupBy("_range").agg(F.sum("pos").alias("_pos"), F.sum("n").alias("_n"))
-    above = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = dealt.groupBy(F.col("_range").alias("_b")).agg(F.sum("pos").alias("_pos"), F.sum("n").alias("_n"))
+    above = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     start = totals.select(
-        F.col("_range").alias("_b"),
+        "_b",
         F.coalesce(F.sum("_pos").over(above), F.lit(0)).alias("_tp"),
         F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_seen"),
     )
