@@ -6,6 +6,8 @@
 3. The fitted counts are rounded and filled with exact lengths, as far as there are documents; the last
    length of a pattern is the one that fills the sequence. What is left is placed by best fit, longest first: into the smallest gap that holds it, else into a new
    sequence. Equal lengths are placed together, so the work depends on ``capacity``, not on documents.
+   Patterns may use up lengths that best fit needs, so smaller shares of the fitted counts are tried too, and
+   the plan with the fewest sequences stays: never more than best fit makes alone.
 4. The plan says which ranks of each length go where. A document's rank among those of its length is its
    rank in its task plus the number of such documents in earlier tasks, so no length meets in one task.
 
@@ -37,6 +39,8 @@ from tidepool.session import materialized
 
 #: Bins of the histogram for the fit.
 BINS = 256
+#: Shares of the fitted counts that are tried, none last; the first with the fewest sequences is the plan.
+SHARES = (1.0, 0.75, 0.5, 0.25, 0.125, 0.0)
 
 
 def patterns(bins: int) -> np.ndarray:
@@ -101,6 +105,10 @@ class Filling:
             self.gaps.setdefault(gap, []).append((content, times))
             self.open[gap] = True
 
+    @property
+    def sequences(self) -> int:
+        return sum(times for kinds in self.gaps.values() for _, times in kinds)
+
     def use(self, bins: list[int], times: int, width: int) -> None:
         """Fill a pattern of bins, longest first: the longest of each bin, and last what fills the gap exactly."""
         *others, last = sorted(bins, reverse=True)
@@ -148,7 +156,6 @@ def plan(counts: dict[int, int], capacity: int, bins: int = BINS) -> list[tuple[
     """Rows (length, first rank, rank after the last, first sequence, sequences, offset)."""
     width = -(-capacity // min(bins, capacity))
     bins = -(-capacity // width)
-    filling = Filling(counts, capacity)
     binned = np.zeros(bins)
     for length, n in counts.items():
         if length < capacity:
@@ -156,12 +163,20 @@ def plan(counts: dict[int, int], capacity: int, bins: int = BINS) -> list[tuple[
     forms = patterns(bins)
     # a pattern of two or three bins, used as often as all documents of a bin allow
     fitted = nnls(forms, binned / max(binned.sum(), 1)) * binned.sum()
-    for k in np.argsort(-fitted, kind="stable"):
-        if (times := int(np.rint(fitted[k]))) < 1:
+    least = -(-sum(length * n for length, n in counts.items()) // capacity)
+    filling = None
+    for share in SHARES:
+        tried = Filling(counts, capacity)
+        for k in np.argsort(-fitted, kind="stable"):
+            if (times := int(np.rint(share * fitted[k]))) < 1:
+                break
+            tried.use([int(b) + 1 for b in np.flatnonzero(forms[:, k]) for _ in range(int(forms[b, k]))], times, width)
+        for length in range(capacity, 0, -1):
+            tried.best_fit(length)
+        if filling is None or tried.sequences < filling.sequences:
+            filling = tried
+        if filling.sequences == least:
             break
-        filling.use([int(b) + 1 for b in np.flatnonzero(forms[:, k]) for _ in range(int(forms[b, k]))], times, width)
-    for length in range(capacity, 0, -1):
-        filling.best_fit(length)
 
     rows, rank, sequence = [], Counter(), 0
     for gap in sorted(filling.gaps):
@@ -203,7 +218,7 @@ def place(pieces: DataFrame, capacity: int, length_col: str = "length") -> DataF
     tasks = materialized(tasks.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0).cast("long"))), "lengths")
     counts = {r[0]: r[1] for r in tasks.groupBy("_length").agg(F.sum("_n")).collect()}  # at most ``capacity`` rows
     slots = spark.createDataFrame(plan(counts, capacity), "_len bigint, _first bigint, _after bigint, _sequence bigint, _times bigint, _offset bigint")
-    ranked = numbered.join(tasks.drop("_n"), (length == F.col("_length")) & (F.col("_task") == F.col("_t")), "left")
+    ranked = numbered.join(tasks.drop("_n").hint("merge"), (length == F.col("_length")) & (F.col("_task") == F.col("_t")), "left")
     rank = F.col("_before") + F.col("_rank")
     placed = ranked.join(F.broadcast(slots), (F.col("_length") == F.col("_len")) & (rank >= F.col("_first")) & (rank < F.col("_after")), "left")
     since = rank - F.col("_first")
