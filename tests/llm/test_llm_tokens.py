@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -12,8 +14,9 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidepool.llm.encoders import PartEncoder
-from tidepool.llm.nbest import SPACE, Segmenter, decode_ids, encode_nbest
-from tidepool.llm.packing import nnls, patterns
+from tidepool.llm.nbest import SPACE, Segmenter, decode_ids, encode_nbest, nbest_digests
+from tidepool.llm.packing import Filling, nnls, patterns, plan
+from tidepool.llm.queries import QUERIES
 
 PIECE = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -66,6 +69,49 @@ def test_nbest_against_all_segmentations(model):
         assert all(model.decode(list(i)) == text.replace(SPACE, " ") for i in ids)
 
 
+def _best_scores(model, text, n_best):
+    """Scores of the ``n_best`` segmentations of a whole text, by the best scores up to each place."""
+    marked = SPACE + text.replace(" ", SPACE) if text else ""
+    best = [[0.0]] + [[] for _ in marked]
+    for i, j, score in model.edges(marked):
+        best[j] = sorted(best[j] + [x + score for x in best[i]], reverse=True)[:n_best]
+    return best[-1]
+
+
+def test_nbest_query_against_whole_texts(spark, sf_dir, model):
+    got = {}
+    for r in QUERIES["op3_nbest"](spark, sf_dir).collect():
+        got.setdefault(r["doc_id"], {})[r["rank"]] = r
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()}
+    assert got.keys() == texts.keys()
+    for doc, text in texts.items():
+        want = _best_scores(model, text, 4)
+        rows = [got[doc][k] for k in range(len(want))]
+        assert len(got[doc]) == len(want) and [r["score"] for r in rows] == pytest.approx(want, rel=1e-12)
+        assert all(r["round_trip"] for r in rows)
+
+
+def test_equal_scores_and_long_stretches(spark, model):
+    for n in (1, 7, 90, 1001):
+        text = SPACE + "a" * n
+        got = model.search(text, 6)
+        assert [s for s, _ in got] == _best_scores(model, "a" * n, 6) and len({i for _, i in got}) == len(got)
+        lengths = [[-len(model.surface[k]) for k in np.frombuffer(i, np.uint32)[::-1]] for _, i in got]
+        assert sorted(zip([-s for s, _ in got], lengths, strict=True)) == list(zip([-s for s, _ in got], lengths, strict=True))
+    rows = nbest_digests(spark.createDataFrame([(1, "a" * 1_000_000), (2, "b" * 300_000)], "doc_id bigint, text string"), PIECE, 4).collect()
+    assert len(rows) == 8 and len({(r["doc_id"], r["ids_crc32"]) for r in rows}) == 8 and all(r["round_trip"] for r in rows)
+
+
+def test_memory_of_a_stretch_grows_with_its_length(model):
+    peaks = []
+    for n in (40_000, 160_000):
+        tracemalloc.start()
+        model.search(SPACE + "a" * n, 4)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] < 5 * peaks[0] and peaks[1] < 1000 * 160_000
+
+
 def test_texts_together_and_alone(model):
     words = ["there", "Reoush.", "x" * 70, "Über", "中文", "a\nb"]
     assert [(u.ids, u.score, u.gap) for u in model.solve_all(words)] == [(u.ids, u.score, u.gap) for u in map(model.solve, words)]
@@ -93,3 +139,19 @@ def test_nnls_and_patterns():
     y = nnls(a, b)
     gain = a.T @ (b - a @ y)
     assert (y >= 0).all() and gain.max() < 1e-6 and abs(gain[y > 0]).max(initial=0) < 1e-6
+
+
+def test_patterns_never_cost_sequences():
+    rng = np.random.default_rng(5)
+    for capacity, spread in ((40, 3), (100, 30), (2048, 400), (2048, 4000)):
+        lengths = np.clip(rng.exponential(spread, 4000).astype(int) + 1, 1, capacity)
+        counts = Counter(lengths.tolist())
+        rows = plan(counts, capacity)
+        alone = Filling(counts, capacity)
+        for length in range(capacity, 0, -1):
+            alone.best_fit(length)
+        assert max(first + n for *_, first, n, _ in rows) <= alone.sequences
+        placed = Counter()
+        for length, low, high, *_ in rows:
+            placed[length] += high - low
+        assert placed == counts

@@ -14,6 +14,8 @@ differ in the N best of a text, and the search runs for those alone.
 Order: higher score first. Within a unit equal scores are ordered by the lengths of the pieces from the end,
 longer first; in a text by the ranks of its units from the start, lower first.
 
+A very long stretch that no cut divides is one unit: its time and memory grow with its length alone.
+
 Null and empty texts have one segmentation, without pieces. Texts with fewer than N segmentations have fewer
 rows. Repeated rows stay. Other columns are not looked at. An empty table gives an empty result.
 """
@@ -21,10 +23,10 @@ rows. Repeated rows stay. Other columns are not looked at. An empty table gives
 from __future__ import annotations
 
 import gc
-import heapq
 import math
 import zlib
 from array import array
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -49,6 +51,11 @@ PLACES = 200_000
 GROUP = 4_000_000
 
 
+#: An edge of the lattice, and how many are walked at a time.
+EDGE = np.dtype([("start", np.int32), ("end", np.int32), ("score", np.float64)])
+WALKED = 100_000
+
+
 class Unit:
     """Best path of a stretch of text that pieces do not leave, and what the second best costs more."""
 
@@ -58,6 +65,21 @@ class Unit:
         self.ids, self.score, self.gap = ids, score, gap
 
 
+class _Open:
+    """A path from the end: score of its best whole path, lengths of its pieces, where it stands and its own score."""
+
+    __slots__ = ("total", "sizes", "at", "behind")
+
+    def __init__(self, total: float, sizes: np.ndarray, at: int, behind: float):
+        self.total, self.sizes, self.at, self.behind = total, sizes, at, behind
+
+    def __lt__(self, other: _Open) -> bool:
+        if self.total != other.total:
+            return self.total > other.total
+        k = _common(self.sizes, other.sizes)
+        return k < min(len(self.sizes), len(other.sizes)) and bool(self.sizes[k] > other.sizes[k])
+
+
 class _Growing:
     """An array that grows at its end."""
 
@@ -107,9 +129,9 @@ class Segmenter:
         self.pairs = np.sort(np.array([(ord(p[0]) << 21) | ord(p[1]) for p in self.joined], np.int64))
         self.solved = _Solved()
 
-    def edges(self, text: str) -> list[tuple[int, int, float]]:
+    def edges(self, text: str) -> Iterator[tuple[int, int, float]]:
         """(start, end, score) of every piece that matches, by start."""
-        pieces, starts, n, out = self.pieces, self.starts, len(text), []
+        pieces, starts, n = self.pieces, self.starts, len(text)
         for i in range(n):
             single = False
             for j in range(i + 1, n + 1):
@@ -117,66 +139,94 @@ class Segmenter:
                 if part not in starts:
                     break
                 if part in pieces:
-                    out.append((i, j, pieces[part][1]))
+                    yield i, j, pieces[part][1]
                     single = single or j == i + 1
             if not single:
-                out.append((i, i + 1, self.unknown_score))
-        return out
+                yield i, i + 1, self.unknown_score
 
     def piece_ids(self, part: str) -> list[int]:
         if part in self.pieces:
             return [self.pieces[part][0]]
         return [self.bytes[b] for b in part.encode()] if self.fallback else [self.unknown]
 
+    def _forward(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The edges, the best score of every place from the start, and where the last piece of that path starts."""
+        edges = np.fromiter(self.edges(text), EDGE)
+        ahead = array("d", [0.0]) + array("d", [-math.inf]) * len(text)
+        last = array("q", [0]) * (len(text) + 1)
+        for some in _parts(edges):
+            for i, j, score in some.tolist():  # a tie goes to the longer last piece, which starts earlier
+                total = ahead[i] + score
+                if total > ahead[j]:
+                    ahead[j], last[j] = total, i
+        return edges, np.frombuffer(ahead), np.frombuffer(last, np.int64)
+
+    def _written(self, text: str, sizes: np.ndarray) -> bytes:
+        """Ids of the pieces with these lengths from the end."""
+        ends = np.cumsum(sizes[::-1]).tolist()
+        return array("I", [x for i, j in zip([0, *ends], ends, strict=False) for x in self.piece_ids(text[i:j])]).tobytes()
+
     def solve(self, text: str) -> Unit:
         """Best path and the cost of the second best, by a pass in each direction."""
-        edges, n = self.edges(text), len(text)
-        ahead = [0.0] + [-math.inf] * n
-        last = [0] * (n + 1)
-        for i, j, score in edges:  # a tie goes to the longer last piece, which starts earlier
-            if ahead[i] + score > ahead[j]:
-                ahead[j], last[j] = ahead[i] + score, i
-        path, j = [], n
-        while j:
-            path.append((last[j], j))
-            j = last[j]
-        path.reverse()
-        back = [-math.inf] * n + [0.0]
-        second = -math.inf
-        best = set(path)
-        for i, j, score in reversed(edges):
-            rest = score + back[j]
-            if rest > back[i]:
-                back[i] = rest
-            if (i, j) not in best and ahead[i] + rest > second:
-                second = ahead[i] + rest
-        ids = array("I", [x for i, j in path for x in self.piece_ids(text[i:j])])
-        return Unit(ids.tobytes(), ahead[n], ahead[n] - second)
+        edges, ahead, last = self._forward(text)
+        n = len(text)
+        places = _way(last, n)
+        back = array("d", [-math.inf]) * n + array("d", [0.0])
+        for some in reversed(list(_parts(edges))):
+            for i, j, score in reversed(some.tolist()):
+                rest = score + back[j]
+                if rest > back[i]:
+                    back[i] = rest
+        on = np.zeros(n + 1, bool)
+        on[places] = True
+        start, end = edges["start"], edges["end"]
+        off = ~on[end] | (last[end] != start)
+        through = ahead[start] + (edges["score"] + np.frombuffer(back)[end])
+        second = float(through[off].max(initial=-math.inf))
+        return Unit(self._written(text, -np.diff(places)), float(ahead[n]), float(ahead[n]) - second)
 
     def search(self, text: str, n_best: int) -> list[tuple[float, bytes]]:
-        """Backward A*: the next best (score, ids) until there are ``n_best``."""
-        edges, n = self.edges(text), len(text)
-        ahead = [0.0] + [-math.inf] * n
-        into: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
-        for i, j, score in edges:
-            ahead[j] = max(ahead[j], ahead[i] + score)
-            into[j].append((i, score))
+        """Backward A*: the next best (score, ids) until there are ``n_best``.
+
+        The forward scores are exact, so what is taken from the open list goes straight on to the start, and every
+        edge beside that way opens another path, whose score is known. Each open path leads to a different
+        segmentation, so only as many stay open as are still wanted: memory is a few numbers an edge.
+        """
+        edges, ahead, last = self._forward(text)
+        n = len(text)
+        start, end, score = edges["start"], edges["end"], edges["score"]
         found: list[tuple[float, bytes]] = []
-        taken = [0] * (n + 1)
-        heap = [(-ahead[n], (), n, 0.0)]  # score of the whole path, negated lengths from the end, place, score so far
-        while heap and len(found) < n_best:
-            total, sizes, at, behind = heapq.heappop(heap)
-            if taken[at] == n_best:  # better ways on from here have filled the list
-                continue
-            taken[at] += 1
-            if at == 0:
-                place, ids = 0, array("I")
-                for size in reversed(sizes):
-                    ids.extend(self.piece_ids(text[place : place - size]))
-                    place -= size
-                found.append((-total, ids.tobytes()))
-            for i, score in into[at]:
-                heapq.heappush(heap, (-(ahead[i] + score + behind), (*sizes, i - at), i, behind + score))
+        opened = [_Open(float(ahead[n]), np.zeros(0, np.int64), n, 0.0)]
+        while opened and len(found) < n_best:
+            path = opened.pop(0)
+            places = _way(last, path.at)
+            sizes = np.concatenate([path.sizes, -np.diff(places)])
+            # scores from the end up to each place of the way
+            depth = np.full(n + 1, -1)
+            depth[places] = np.arange(len(places))
+            beside = np.flatnonzero(depth[end] >= 0)
+            taken = last[end[beside]] == start[beside]
+            steps = np.zeros(len(places))
+            steps[depth[end[beside[taken]]] + 1] = score[beside[taken]]
+            steps[0] = path.behind
+            behind = np.cumsum(steps)
+            found.append((float(behind[-1]), self._written(text, sizes)))
+            if not (wanted := n_best - len(found)):
+                break
+            beside = beside[~taken]
+            total = ahead[start[beside]] + score[beside] + behind[depth[end[beside]]]
+            if len(beside) > wanted:
+                high = total >= np.partition(total, -wanted)[-wanted]
+                beside, total = beside[high], total[high]
+            # equal scores: a longer piece than the way's stands before all that follow the way further, a shorter one after them
+            at = depth[end[beside]]
+            size = (end[beside] - start[beside]).astype(np.int64)
+            shorter = size < (end[beside] - last[end[beside]])
+            for k in np.lexsort((-size, np.where(shorter, -at, at), shorter, -total))[:wanted].tolist():
+                d = int(at[k])
+                passed = np.append(sizes[: len(path.sizes) + d], size[k])
+                opened.append(_Open(float(total[k]), passed, int(start[beside[k]]), float(behind[d] + score[beside[k]])))
+            opened = sorted(opened)[:wanted]
         return found
 
     def words(self, text: str) -> list[str]:
@@ -436,6 +486,19 @@ def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + size, size)
 
 
+def _parts(edges: np.ndarray) -> Iterator[np.ndarray]:
+    return (edges[k : k + WALKED] for k in range(0, len(edges), WALKED))
+
+
+def _way(last: np.ndarray, at: int) -> np.ndarray:
+    """Places of the best path from ``at`` back to the start."""
+    places, before = [at], memoryview(last)
+    while at:
+        at = before[at]
+        places.append(at)
+    return np.array(places, np.int64)
+
+
 def _common(a: np.ndarray, b: np.ndarray) -> int:
     """How many ids are equal from the start."""
     n = min(len(a), len(b))
