@@ -33,12 +33,16 @@ def whole_text(text: str | Column = "text") -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
+def _kept() -> dict:
+    return sys.modules.setdefault("_tidepool_worker", types.ModuleType("_tidepool_worker")).__dict__.setdefault("kept", {})
+
+
 def per_process(key: Any, build: Callable[[], Any]) -> Any:
-    """``build()`` once per Python worker; tasks of one worker share it.
+    """``build()`` once per Python worker; tasks of one worker share it until it works for another operator.
 
     Functions travel to the workers by value, so a module global would be fresh in every task.
     """
-    kept = sys.modules.setdefault("_tidepool_worker", types.ModuleType("_tidepool_worker")).__dict__
+    kept = _kept()
     if key not in kept:
         kept[key] = build()
     return kept[key]
@@ -51,6 +55,11 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, Any]], s
     arrow = to_arrow_schema(kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # a worker outlives its operator: what another one kept would only take memory
+        kept = _kept()
+        if kept.get("operator") != fn.__module__:
+            kept.clear()
+            kept["operator"] = fn.__module__
         for batch in batches:
             got = fn(batch)
             yield pa.RecordBatch.from_arrays([pa.array(got[f.name], type=f.type) for f in arrow], schema=arrow)
