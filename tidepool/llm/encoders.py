@@ -23,7 +23,7 @@ from tidepool.llm.common import per_process
 #: Parts kept per worker, and the longest part that is kept: bounds memory, never the result.
 KEPT_PARTS = 150_000
 KEPT_LENGTH = 40
-GROUP = 8 << 20
+GROUP = 2 << 20
 
 _WHITE = "[\\x09-\\x0D\\x1C-\\x20\\x85\\xA0\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]"
 _UNEVEN = f"[ \\n]{_WHITE}|{_WHITE}[ \\n]|\\A{_WHITE}|{_WHITE}\\z"
