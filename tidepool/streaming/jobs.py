@@ -22,6 +22,7 @@ from tidepool.operators.frames import dedup_latest
 from tidepool.plans.mart import day_between, preceding_rows, renamed_keys
 from tidepool.session import materialized
 from tidepool.sources.tables import exists, finish_upsert, upsert_days
+from tidepool.streaming.keyed_state import PROVIDER
 
 
 def ingest_stream(spark: SparkSession, folder: str, max_files: int = 10_000) -> DataFrame:
@@ -61,10 +62,16 @@ def rollup_stream(
     """Windowed sums and means per pool; rows later than the watermark are dropped.
 
     A sliding window is a span of time, so it equals the row-based moving average only for
-    pools without gaps. State is one running sum per open window and pool.
+    pools without gaps. State is one running sum per open window and pool, held in RocksDB on disk: a first run over
+    a long history has every window open at once.
+
+    A row is in several windows, so rows are dealt out by pool and hour before the windows are made. The sums that a task
+    begins are then its share of all, whatever the files' sizes.
     """
+    df.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
     window = F.window(ts, size, slide) if slide else F.window(ts, size)
-    rolled = df.withWatermark(ts, delay).groupBy(window, pool).agg(
+    dealt = df.withWatermark(ts, delay).repartition(F.col(pool), F.date_trunc("hour", F.col(ts).cast("timestamp")))
+    rolled = dealt.groupBy(window, pool).agg(
         F.sum(col).alias("sum"), F.count(col).alias("count"), F.avg(col).alias("mean")
     )
     return rolled.select(F.col("window.start").alias("start"), F.col("window.end").alias("end"), pool, "sum", "count", "mean")
