@@ -126,9 +126,14 @@ def clean_hourly(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 
 def pool_metadata(records: DataFrame) -> DataFrame:
-    """Distinct pool attributes per record id, of records that have a pool."""
-    known = records.where(F.col("pool").isNotNull())
-    return known.select("id", *[F.col(p).alias(n) for n, p in L.METADATA.items()]).distinct()
+    """Distinct pool attributes per record id, of records that have a pool.
+
+    Whether a pool is there is an aggregate, not a filter: a filter would be moved below the parsing of the
+    records, which would then be made and parsed twice.
+    """
+    attributes = [F.col(p).alias(n) for n, p in L.METADATA.items()]
+    rows = records.select("id", *attributes, F.col("pool").isNotNull().alias("_pool"))
+    return rows.groupBy("id", *L.METADATA).agg(F.max("_pool").alias("_pool")).where("_pool").drop("_pool")
 
 
 # -- landed files --------------------------------------------------------------------
