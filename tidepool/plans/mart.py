@@ -38,8 +38,11 @@ def run_stages(
     rows and features are written once, as they are read several times. Lines that were no JSON are left out; keep them with
     ``split_bad_records`` when landing.
     """
-    staged = union_protocols({n: stage_pool_hourly(df.where(F.col(col).isNotNull()), col) for n, df in raw.items()})
-    staged = materialized(staged, "staged")  # parsed once, read for the counts, the merging and the rows without a key
+    # Parsed once, read for the counts, the merging and the rows without a key. Lines that were no JSON are left out
+    # behind the write: a filter before it would parse every line a second time.
+    marked = {n: df.withColumn("_json", F.col(col).isNotNull()) for n, df in raw.items()}
+    staged = union_protocols({n: stage_pool_hourly(df, col, ["load_ts", "_json"]) for n, df in marked.items()})
+    staged = materialized(staged, "staged").where("_json").drop("_json")
     violations = expect_not_null(staged, [k for k in keys if k != "dex"])
     whole = has_keys(keys)
     unkeyed = staged.where(~whole)

@@ -57,6 +57,13 @@ STAGED_MEASURES = {
     "close": "close",
 }
 
+#: The same fields as they lie in a record.
+STAGED_RECORD = (
+    "struct<periodStartUnix string, pool struct<id string, token0 struct<id string>, token1 struct<id string>>, "
+    + ", ".join(f"{p} string" for p in STAGED_MEASURES.values())
+    + ">"
+)
+
 CLEAN_DOUBLES = {
     "volume_usd": "volumeUSD",
     "tvl_usd": "tvlUSD",

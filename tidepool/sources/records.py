@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tidepool import schema as L
 from tidepool.functions.moments import moment
 from tidepool.functions.scalars import not_nan
-from tidepool.functions.json_fields import epoch_to_ts, json_float, json_str, json_ts
+from tidepool.functions.json_fields import epoch_to_ts
 from tidepool.functions.scalars import hour_key
 
 # -- JSONL files -----------------------------------------------------------------
@@ -95,17 +95,10 @@ def flatten(df: DataFrame, sep: str = "_") -> DataFrame:
 
 
 def stage_pool_hourly(raw: DataFrame, col: str = "raw", keep: Sequence[str] = ("load_ts",)) -> DataFrame:
-    """Eleven typed fields of each record. Text is parsed once per row, VARIANT is read by path."""
+    """Eleven typed fields of each record. Text is parsed once per row, a VARIANT's fields are read in one go."""
     kind = raw.schema[col].dataType
-    if isinstance(kind, T.VariantType):
-        r = F.col(col)
-        return raw.select(
-            json_ts(r, "periodStartUnix", True).alias("hour_ts"),
-            *[json_str(r, p, True).alias(n) for n, p in L.STAGED.items()],
-            *[json_float(r, p, True).alias(n) for n, p in L.STAGED_MEASURES.items()],
-            *keep,
-        )
-    parsed = raw.select(F.from_json(col, L.RECORD).alias("r"), *keep)
+    read = F.try_variant_get(col, "$", L.STAGED_RECORD) if isinstance(kind, T.VariantType) else F.from_json(col, L.RECORD)
+    parsed = raw.select(read.alias("r"), *keep)
     return parsed.select(
         epoch_to_ts(F.col("r.periodStartUnix")).alias("hour_ts"),
         *[F.col(f"r.{p}").alias(n) for n, p in L.STAGED.items()],
