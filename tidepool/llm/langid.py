@@ -30,12 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import map_batches, per_process
+from tidepool.llm.common import by_bytes, map_batches, per_process
 
 SAMPLE = 30_000
 #: Texts of each language that the sample is taken from.
 SAMPLE_TEXTS = 200
 STRETCH = 256
+#: Characters of the texts that are parsed together.
+GROUP = 1 << 20
 #: Letters of a language that its table has columns for; the transitions by all others are looked up.
 LETTERS = 60
 
@@ -177,7 +179,12 @@ class Languages:
         return counts
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        coded = [self.encode(t or "") for t in texts]
+        """Language and score of each text, by groups of ``GROUP`` characters, whose codes and lanes alone are held."""
+        made = [self._predict(group) for group in by_bytes([t or "" for t in texts], GROUP)]
+        return [name for names, _ in made for name in names], np.concatenate([np.zeros(0), *[scores for _, scores in made]])
+
+    def _predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
+        coded = [self.encode(t) for t in texts]
         some = np.array([bool((c != 1).any()) for c in coded], bool)
         if not self.names:
             return ["und"] * len(texts), np.zeros(len(texts))
