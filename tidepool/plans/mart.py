@@ -99,7 +99,7 @@ def preceding_rows(
     opened = day_between(known, day, edge, None)
     near = materialized(before(opened.where(F.col("hour_ts") >= edge), start), "recent-rows")
     full = near.groupBy(*series).agg(F.count("*").alias("_n")).where(F.col("_n") >= rows)
-    short = start.join(full, same, "left_anti")
+    short = materialized(start.join(full, same, "left_anti"), "short-series")
     if short.isEmpty():
         return near
     far = before(day_between(known, day, None, edge).where(F.col("hour_ts") < edge), short)

@@ -65,7 +65,8 @@ def upsert(target: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
 def upsert_days(new: DataFrame, path: str, keys: Sequence[str], day: str = "day") -> None:
     """Upsert into a parquet table partitioned by ``day``, reading and writing only touched days.
 
-    The merged days are first written to the shared folder, then noted in a table of one row
+    A first call writes its days alone. Later the merged days are first written to the shared folder, as plain
+    rows, since only the target is read by day, then noted in a table of one row
     beside the target, and then swapped in by dynamic partition overwrite. A job lost before the
     note leaves the old days. One lost in the swap may leave days missing, which the next call or
     ``finish_upsert`` puts in place from the noted copy before anything is read. Keep
@@ -73,17 +74,17 @@ def upsert_days(new: DataFrame, path: str, keys: Sequence[str], day: str = "day"
     """
     spark = new.sparkSession
     finish_upsert(spark, path, new.schema, day)
+    if not exists(spark, path):
+        new.hint("rebalance", day).write.mode("append").partitionBy(day).parquet(path)
+        return
     staged = new_folder(spark, "upsert")
-    new.write.partitionBy(day).parquet(f"{staged}/new")
-    batch = spark.read.schema(new.schema).parquet(f"{staged}/new").select(*new.columns)
+    new.write.parquet(f"{staged}/new")
+    batch = spark.read.schema(new.schema).parquet(f"{staged}/new")
     days = [r[day] for r in batch.select(day).distinct().collect()]  # one value per touched day
     if not days:
         return
-    if not exists(spark, path):
-        batch.hint("rebalance", day).write.partitionBy(day).parquet(path)
-        return
     old = spark.read.schema(new.schema).parquet(path).where(F.col(day).isin(days))
-    upsert(old.select(*new.columns), batch, keys).write.partitionBy(day).parquet(f"{staged}/merged")
+    upsert(old.select(*new.columns), batch, keys).write.parquet(f"{staged}/merged")
     _note(spark, path, f"{staged}/merged")
     finish_upsert(spark, path, new.schema, day)
 

@@ -7,18 +7,20 @@ then the query stops, and the checkpoint remembers what was done.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.window import Window
 
 from tidepool import schema as L
 from tidepool.functions.moments import micros, moment
 from tidepool.operators.combine import merge_intervals
 from tidepool.operators.features import has_keys, pool_features
 from tidepool.operators.forest import Forest, score
-from tidepool.operators.frames import dedup_latest
+from tidepool.operators.frames import HOURLY_CHUNK, dedup_latest, time_chunk
 from tidepool.plans.mart import day_between, preceding_rows, renamed_keys
 from tidepool.session import materialized
 from tidepool.sources.tables import exists, finish_upsert, upsert_days
@@ -121,7 +123,7 @@ def features_batch(path: str, keys: Sequence[str] = ("dex", *L.POOL_HOUR_KEY)) -
         batch.where(~whole).select(*cols).write.mode("overwrite").parquet(f"{unkeyed(path)}/batch={number}")
         fresh = materialized(dedup_latest(batch.where(whole), keys, newest, ["volume_usd", "tvl_usd"]).select(*cols), "batch")
         if not exists(spark, path):
-            made = pool_features(fresh, series)
+            made = pool_features(fresh, series, chunk_seconds=_chunk(fresh))
         else:
             finish_upsert(spark, path, StructType([*pool_features(fresh, series).schema.fields, StructField("day", StringType())]))
             stored = spark.read.parquet(path)
@@ -132,7 +134,7 @@ def features_batch(path: str, keys: Sequence[str] = ("dex", *L.POOL_HOUR_KEY)) -
                 fresh = materialized(_not_older(fresh, known, keys), "batch")
             if fresh.isEmpty():
                 return
-            made = _with_history(fresh, known, keys, series)
+            made = _with_history(fresh, known, series)
         upsert_days(made.withColumn("day", F.date_format("hour_ts", "yyyy-MM-dd")), path, keys)
 
     return handle
@@ -165,29 +167,37 @@ def _not_older(fresh: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataF
     return fresh.join(held, [*same, F.col("_stored") > F.col("load_ts")], "left_anti")
 
 
-def _with_history(fresh: DataFrame, known: DataFrame, keys: Sequence[str], series: Sequence[str]) -> DataFrame:
+def _with_history(fresh: DataFrame, known: DataFrame, series: Sequence[str]) -> DataFrame:
     """Features of the batch's rows and of the rows after them, given what is stored.
 
     A late or corrected hour changes the 24 rows that follow it, so every stored row from
-    a pool's first touched hour on is computed again, behind the 24 rows before it.
+    a pool's first touched hour on is computed again, behind the 24 rows before it. Where a row
+    comes from says which stored rows are replaced and which rows only stand before, so neither takes a join.
     """
-    since = fresh.groupBy(*series).agg(F.min("hour_ts").alias("since"))
-    before = preceding_rows(known, since, day="day", series=series)
+    since = materialized(fresh.groupBy(*series).agg(F.min("hour_ts").alias("since")), "since")
+    before = materialized(preceding_rows(known, since, day="day", series=series), "before")
     first = since.agg(micros(F.min("since"))).first()[0]
     start, of_series = renamed_keys(since, series, F.col("since").alias("_since"))
-    replaced = fresh.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
-    same = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]
-    after = (
-        day_between(known, "day", moment(first), None)
-        .where(F.col("hour_ts") >= moment(first))
-        .join(start, of_series)
-        .where(F.col("hour_ts") >= F.col("_since"))
-        .join(replaced, same, "left_anti")
-    )
-    cols = fresh.columns
-    made = pool_features(before.select(*cols).unionByName(after.select(*cols)).unionByName(fresh), series)
-    changed = made.join(start, of_series).where("hour_ts >= _since")
-    return changed.drop("_since", *[f"_key_{k}" for k in series])
+    later = day_between(known, "day", moment(first), None).where(F.col("hour_ts") >= moment(first))
+    after = later.join(start, of_series).where(F.col("hour_ts") >= F.col("_since"))
+    chunk = _chunk(before, later, fresh)
+    parts = [df.select(*fresh.columns, F.lit(n).alias("_from")) for n, df in enumerate((before, after, fresh))]
+    rows = reduce(DataFrame.unionByName, parts)
+    # the windows' own grouping, so that rows are dealt out and sorted once where there are no chunks
+    within = [F.col(k) for k in series] + ([] if chunk is None else [time_chunk("hour_ts", chunk)])
+    copies = Window.partitionBy(*within).orderBy("hour_ts").rangeBetween(Window.currentRow, Window.currentRow)
+    rows = rows.withColumn("_newest", F.max("_from").over(copies)).where("_from <> 1 OR _newest = 1").drop("_newest")
+    return pool_features(rows, series, chunk_seconds=chunk).where("_from > 0").drop("_from")
+
+
+def _chunk(*parts: DataFrame) -> int | None:
+    """Chunks for the windows over rows of one per series and hour; none if all lie within the length of one.
+
+    A series then has no more rows than a chunk may have, and there are no seams to compute again.
+    """
+    hours = reduce(DataFrame.union, [df.select("hour_ts") for df in parts])
+    first, last = hours.agg(micros(F.min("hour_ts")), micros(F.max("hour_ts"))).first()
+    return None if first is None or last - first < HOURLY_CHUNK * 1_000_000 else HOURLY_CHUNK
 
 
 def alert_batch(model: Forest, path: str, threshold: float = 0.6) -> Callable[[DataFrame, int], None]:
