@@ -12,9 +12,11 @@ passage that two texts share, all cuts are the same but for ``memory`` + ``windo
 whatever was inserted elsewhere. ``shape`` chooses both so short that a stretch of ``min_words`` words always holds a
 whole run of ``run`` chunks there. A stretch stands for the least digest among its runs of chunks, equal stretches for
 equal ones, neighbours mostly for the same. These are de-duplicated by digest over the corpus. Check: only stretches whose
-run occurs in several documents are themselves compared, by a digest of 128 bits of their characters.
+run occurs in several documents are themselves compared, by a digest of 128 bits of their characters. They are sent
+once, to their digest, where the smallest id goes through all rows of it.
 
-A chunk or stretch that very many rows hold is joined without a shuffle by it: there are at most ``HOT_KEYS`` of these.
+A chunk or stretch that very many rows hold is joined without a shuffle by it: there are at most ``HOT_KEYS`` of these. A
+stretch is in no more rows than its run of chunks, so the counts of the runs tell which may be hot.
 
 Null texts stay null, empty ones empty. Null ids come after all others. Rows with equal ids are one
 document: they never make each other's passages repeats, and each loses what earlier documents hold. Repeats
@@ -34,6 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from tidepool.llm.common import by_bytes, map_batches, whole_text
 from tidepool.session import materialized
@@ -167,7 +170,7 @@ def grouped(texts: list[str], min_words: int) -> Iterator[tuple[int, list[str],
 def joined(rows: DataFrame, held: DataFrame, keys: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Inner join of ``rows`` with ``held``: ``keys``, the number ``n`` of rows that have them, and more; hot keys are split up.
 
-    Of the keys, those to ``keep`` are in the result.
+    Of the keys, those to ``keep`` are in the result, and ``_is_hot``.
     """
     held = materialized(held, "held")
     hot_from = max(HOT_ROWS, (held.agg(F.sum("n")).first()[0] or 0) // HOT_KEYS)
@@ -180,11 +183,11 @@ def joined(rows: DataFrame, held: DataFrame, keys: Sequence[str], keep: Sequence
     # hot rows are done: they are dealt out by what they are, and find nothing
     known = known.withColumn(keys[0], F.when(F.col("_is_hot"), F.xxhash64("id", "th")).otherwise(F.col(keys[0])))
     found = known.join(cold, [*keys, "_is_hot"], "left").where(F.col("_is_hot") | F.col("_found"))
-    return found.select("id", "th", *(c for c in rows.columns if c not in ("id", "th", *keys)), *(F.coalesce(F.col(f"_hot_{c}"), F.col(c)).alias(c) for c in (*keep, *more)))
+    return found.select("id", "th", "_is_hot", *(c for c in rows.columns if c not in ("id", "th", *keys)), *(F.coalesce(F.col(f"_hot_{c}"), F.col(c)).alias(c) for c in (*keep, *more)))
 
 
 def shared_chunks(rows: DataFrame, min_words: int) -> DataFrame:
-    """``id``, ``th`` and ``chunks``: digests of the runs of chunks of a text that other documents have too."""
+    """``id``, ``th``, ``chunks`` and ``hot``: digests of the runs of chunks of a text that other documents have too, and of hot ones."""
 
     def find(batch: pa.RecordBatch) -> dict:
         taken, chunks = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -199,33 +202,78 @@ def shared_chunks(rows: DataFrame, min_words: int) -> DataFrame:
     chunks = map_batches(rows, find, f"id {kind}, th bigint, chunk bigint")
     held = chunks.groupBy("chunk").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.max(F.col("id").isNull()).alias("some_null"), F.count("*").alias("n"))
     several = (F.col("first") < F.col("last")) | (F.col("first").isNotNull() & F.col("some_null"))
-    return joined(chunks, held.where(several).select("chunk", "n"), ["chunk"], ["chunk"]).groupBy("id", "th").agg(F.collect_set("chunk").alias("chunks"))
+    found = joined(chunks, held.where(several).select("chunk", "n"), ["chunk"], ["chunk"])
+    parts = {"chunks": ~F.col("_is_hot"), "hot": F.col("_is_hot")}
+    return found.groupBy("id", "th").agg(*[F.collect_set(F.when(which, F.col("chunk"))).alias(name) for name, which in parts.items()])
 
 
-def repeats(rows: DataFrame, min_words: int) -> DataFrame:
-    """``id``, ``th`` and ``places``: the words at which a stretch starts that a document with a smaller id holds."""
+def stretches(rows: DataFrame, min_words: int) -> DataFrame:
+    """``id``, ``th``, ``place``, ``more``, ``high`` and ``low``: the stretches of a text whose run is among its ``chunks``, each once.
+
+    ``place`` is the word at which a stretch first starts, ``more`` has the others, if any.
+    """
 
     def compare(batch: pa.RecordBatch) -> dict:
         listed = batch.column("chunks")
         shared = np.unique(listed.flatten().to_numpy()) if len(listed) else np.zeros(0, np.int64)
-        taken, places, digests = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
+        taken, places, halves, more = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros((0, 2), np.int64)], []
         for before, texts, c in grouped(batch.column("text").to_pylist(), min_words):
             at = c.at[np.isin(c.reps, shared)]
-            taken.append(before + c.text[at])
-            places.append(at - c.first[at])
             data = memoryview(" ".join(texts).encode())
             bounds = zip(c.bytes[c.starts[at]].tolist(), c.bytes[c.ends[at + min_words - 1]].tolist(), strict=True)
-            digests += [xxhash.xxh3_128_digest(data[i:j]) for i, j in bounds]
-        order = pa.array(np.concatenate(taken))
-        halves = np.frombuffer(b"".join(digests), ">i8").astype(np.int64).reshape(-1, 2)
-        spots = {"place": np.concatenate(places), "high": halves[:, 0], "low": halves[:, 1]}
+            digests = np.frombuffer(b"".join([xxhash.xxh3_128_digest(data[i:j]) for i, j in bounds]), ">i8").astype(np.int64).reshape(-1, 2)
+            text, place = c.text[at], at - c.first[at]
+            kept, others = once(text, place, digests)
+            taken.append(before + text[kept])
+            places.append(place[kept])
+            halves.append(digests[kept])
+            more += others
+        order, both = pa.array(np.concatenate(taken)), np.concatenate(halves)
+        spots = {"place": np.concatenate(places), "more": more, "high": both[:, 0], "low": both[:, 1]}
         return {"id": batch.column("id").take(order), "th": batch.column("th").take(order), **spots}
 
     kind = rows.schema["id"].dataType.simpleString()
-    found = map_batches(rows, compare, f"id {kind}, th bigint, place int, high bigint, low bigint")
-    first = found.groupBy("high", "low").agg(F.min("id").alias("first"), F.count("*").alias("n"))
-    later = joined(found, first.where("n > 1 AND first IS NOT NULL"), ["high", "low"]).where((F.col("id") > F.col("first")) | F.col("id").isNull())
-    return later.groupBy("id", "th").agg(F.collect_set("place").alias("places"))
+    return map_batches(rows, compare, f"id {kind}, th bigint, place int, more array<int>, high bigint, low bigint")
+
+
+def once(text: np.ndarray, place: np.ndarray, digests: np.ndarray) -> tuple[np.ndarray, list[list[int] | None]]:
+    """Which stretches come first among the equal ones of their text, and for each of these the places of the others."""
+    # most texts repeat nothing: one sort of one number tells
+    mark = np.sort(digests[:, 1] ^ (text.astype(np.uint64) * _ODD).view(np.int64))
+    if not (mark[1:] == mark[:-1]).any():
+        return np.arange(len(text)), [None] * len(text)
+    order = np.lexsort((place, digests[:, 1], digests[:, 0], text))
+    sorted_by = np.column_stack([text, digests])[order]
+    first = np.concatenate([[True], (sorted_by[1:] != sorted_by[:-1]).any(axis=1)])
+    starts = np.flatnonzero(first)
+    ends = np.append(starts[1:], len(order))
+    others = {int(order[a]): place[order[a + 1 : b]].tolist() for a, b in zip(starts, ends, strict=True) if b - a > 1}
+    kept = np.sort(order[starts])
+    return kept, [others.get(k) for k in kept.tolist()]
+
+
+def repeats(rows: DataFrame, min_words: int) -> DataFrame:
+    """``id``, ``th`` and ``places``: the words at which a stretch starts that a document with a smaller id holds.
+
+    ``rows`` have the digests of their shared runs, the hot ones apart (``chunks`` and ``hot``).
+    """
+    found = stretches(rows.where(F.size("chunks") > 0).drop("hot"), min_words)
+    # the rows of a digest are at most those of a run that is not hot; the smallest id is known from the first of them on
+    upwards = Window.partitionBy("high", "low").orderBy(F.col("id").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
+    later = after_first(found.withColumn("first", F.first("id").over(upwards)))
+    hot = rows.where(F.size("hot") > 0).select("id", "th", "text", F.col("hot").alias("chunks"))
+    if not hot.isEmpty():
+        found = stretches(hot, min_words)
+        first = found.groupBy("high", "low").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+        later = later.unionByName(after_first(joined(found, first.where("n > 1 AND first IS NOT NULL"), ["high", "low"])))
+    return later.groupBy("id", "th").agg(F.collect_list("place").alias("places"))
+
+
+def after_first(found: DataFrame) -> DataFrame:
+    """``id``, ``th`` and every ``place`` of the rows whose id comes after that of their digest's ``first``."""
+    after = (F.col("id") > F.col("first")) | (F.col("id").isNull() & F.col("first").isNotNull())
+    places = F.concat(F.array("place"), F.coalesce("more", F.array().cast("array<int>")))
+    return found.where(after).select("id", "th", F.explode(places).alias("place"))
 
 
 def spans(text: str, places: list[int], min_words: int) -> list[tuple[int, int]]:
@@ -248,16 +296,17 @@ def dedup_substrings(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str =
     keys = [F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), text.alias("text")]
     rows = given.withColumn("_th", F.xxhash64(text))
 
-    def beside(left: DataFrame, found: DataFrame, values: str) -> DataFrame:
-        right = found.select(F.col("id").alias("_rid"), F.col("th").alias("_rth"), F.col(values).alias(f"_{values}"))
+    def beside(left: DataFrame, found: DataFrame, *values: str) -> DataFrame:
+        right = found.select(F.col("id").alias("_rid"), F.col("th").alias("_rth"), *[F.col(v).alias(f"_{v}") for v in values])
         return left.join(right, F.col(id_col).eqNullSafe(F.col("_rid")) & (F.col("_th") == F.col("_rth")), "left").drop("_rid", "_rth")
 
     # read twice: the texts that share something with others are compared, the others are done
     # as a written table numbers its rows for good, the number takes the place of the hash
-    marked = beside(rows, shared_chunks(given.select(*keys), min_words), "chunks").withColumn("_th", F.monotonically_increasing_id())
+    marked = beside(rows, shared_chunks(given.select(*keys), min_words), "chunks", "hot").withColumn("_th", F.monotonically_increasing_id())
     marked = materialized(marked, "marked")
     some = marked.where(F.col("_chunks").isNotNull())
-    found = repeats(some.select(F.col(id_col).alias("id"), F.col("_th").alias("th"), text.alias("text"), F.col("_chunks").alias("chunks")), min_words)
+    shared = [F.col(f"_{c}").alias(c) for c in ("chunks", "hot")]
+    found = repeats(some.select(F.col(id_col).alias("id"), F.col("_th").alias("th"), text.alias("text"), *shared), min_words)
     placed = beside(some, found, "places")
     span = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
     kind = T.StructType([*given.schema.fields, T.StructField("removed", span)])
